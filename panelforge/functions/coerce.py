@@ -18,6 +18,10 @@ DATE_LAYOUTS = (
     ("yyyy/M", True),      # %Y/%m  -> first day of month
 )
 OFFSET_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ssXXX"
+# Timestamp layouts accepted by the plain-cast fallback.
+PLAIN_TIMESTAMPS = ("yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d")
+# Decimal / scientific / infinity text; anything else (e.g. Java's '1.5d') is not a number.
+NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity|nan)$"
 
 
 def _c(c) -> Column:
@@ -34,7 +38,8 @@ def to_double(c, from_text: bool = True) -> Column:
     """Lenient numeric coercion: trim, '-' -> null, unparseable -> null, NaN -> null."""
     c = _c(c)
     if from_text:
-        c = F.nullif(F.trim(c.cast("string")), F.lit("-"))
+        t = F.trim(c.cast("string"))
+        c = F.when(t.rlike(NUMBER_PATTERN), t)
     v = c.try_cast("double")
     return F.nanvl(v, F.lit(None).cast("double"))
 
@@ -49,13 +54,13 @@ def coerce_double(df: DataFrame, name: str) -> Column:
 
 def to_date_lenient(c, fmt: str | None = None) -> Column:
     c = _c(c)
-    return F.try_to_date(c.cast("string"), F.lit(fmt)) if fmt else F.try_to_date(c.cast("string"))
+    return F.try_to_date(c.cast("string"), fmt) if fmt else F.try_to_date(c.cast("string"))
 
 
 def standardize_date(c) -> Column:
     """First layout of DATE_LAYOUTS that parses the whole text, as a date; else null."""
     s = F.trim(_c(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(s, F.lit(fmt)) for fmt, _ in DATE_LAYOUTS])
+    return F.coalesce(*[F.try_to_date(s, fmt) for fmt, _ in DATE_LAYOUTS])
 
 
 def standardize_date_text(c) -> Column:
@@ -73,7 +78,7 @@ def timestamp_to_date_text(c) -> Column:
     """ISO timestamp with offset -> 'yyyy-MM-dd'; then a plain timestamp cast; else the text."""
     s = _c(c).cast("string")
     with_offset = F.try_to_timestamp(s, F.lit(OFFSET_TIMESTAMP))
-    plain = s.try_cast("timestamp")
+    plain = F.coalesce(*[F.try_to_timestamp(F.trim(s), F.lit(f)) for f in PLAIN_TIMESTAMPS])
     return F.coalesce(F.date_format(with_offset, "yyyy-MM-dd"),
                       F.date_format(plain, "yyyy-MM-dd"), s)
 

@@ -141,20 +141,25 @@ def fence_flag(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[st
     if not value_cols:
         return df.withColumn(flag, F.lit(True))
     src = work.where(bounds_from) if bounds_from is not None else work
-    src = src.select(*[F.col(g).alias(a) for g, a in g_alias.items()], *helpers)
-    joined = work
-    for i in range(len(value_cols)):
-        bounds = grouped_quantiles(src, f"_fv{i}", list(g_alias.values()), [0.25, 0.75],
-                                   method=method, out_names=[f"_q1_{i}", f"_q3_{i}"])
-        if group_cols:
-            eq = [joined[g].eqNullSafe(bounds[a]) if null_groups == "group" else joined[g] == bounds[a]
-                  for g, a in g_alias.items()]
-            # bounds hold one row per group; AQE turns this into a broadcast
-            # join only when their measured size is under the threshold.
-            joined = joined.join(bounds, on=eq, how="left").drop(*g_alias.values())
-        else:
-            # one-row bounds: broadcasting a single row is always safe
-            joined = joined.crossJoin(F.broadcast(bounds))
+    # all value columns stacked into one long frame: one sort / one pass
+    # computes the bounds of every column, keyed by (column index, group)
+    long = src.select(*[F.col(g).alias(a) for g, a in g_alias.items()], F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_ci"), F.col(f"_fv{i}").alias("_cv")) for i in range(len(value_cols))])).alias("_s"))
+    long = long.select(*g_alias.values(), "_s._ci", "_s._cv")
+    q = grouped_quantiles(long, "_cv", ["_ci", *g_alias.values()], [0.25, 0.75],
+                          method=method, out_names=["_q1", "_q3"])
+    bounds = q.groupBy(*g_alias.values()).agg(*[
+        F.max(F.when(F.col("_ci") == i, F.col(qn))).alias(f"_{qn[1:]}_{i}")
+        for i in range(len(value_cols)) for qn in ("_q1", "_q3")])
+    if group_cols:
+        eq = [work[g].eqNullSafe(bounds[a]) if null_groups == "group" else work[g] == bounds[a]
+              for g, a in g_alias.items()]
+        # bounds hold one row per group; AQE turns this into a broadcast join
+        # only when their measured size is under the threshold.
+        joined = work.join(bounds, on=eq, how="left").drop(*g_alias.values())
+    else:
+        # one-row bounds (a scalar per column): broadcasting one row is safe
+        joined = work.crossJoin(F.broadcast(bounds))
     keep = F.lit(True)
     for i in range(len(value_cols)):
         v, q1, q3 = F.col(f"_fv{i}"), F.col(f"_q1_{i}"), F.col(f"_q3_{i}")

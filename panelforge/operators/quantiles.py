@@ -89,11 +89,18 @@ def _sorted_quantiles(base: DataFrame, groups: list[str], probs: list[float],
         for i, p in enumerate(probs) for side in (0, 1)])).alias("_t")
     per_group = blocks.where(F.col("_start") == 0).select(*groups, "_n")
     targets = per_group.select(*groups, rank_rows).select(*groups, "_t.*")
-    located = (targets.join(blocks.select(*groups, "_pid", "_c", "_i0", "_start"),
-                            on=[targets[g].eqNullSafe(blocks[g]) for g in groups])
-               .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_start") + F.col("_c")))
-               .select(*[targets[g] for g in groups], "_qi", "_side", "_frac", "_pid",
-                       (F.col("_i0") + F.col("_r") - F.col("_start")).alias("_idx")))
+    bsel = blocks.select(*[F.col(g).alias(f"_bg{i}") for i, g in enumerate(groups)],
+                         F.col("_pid").alias("_bpid"), F.col("_c").alias("_bc"),
+                         F.col("_i0").alias("_bi0"), F.col("_start").alias("_bstart"))
+    # both sides are small: per group at most 2 * len(probs) targets and one
+    # block per partition the group spans
+    cond = F.lit(True)
+    for i, g in enumerate(groups):
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_bg{i}"))
+    located = (targets.join(bsel, on=cond)
+               .where((F.col("_r") >= F.col("_bstart")) & (F.col("_r") < F.col("_bstart") + F.col("_bc")))
+               .select(*groups, "_qi", "_side", "_frac", F.col("_bpid").alias("_pid"),
+                       (F.col("_bi0") + F.col("_r") - F.col("_bstart")).alias("_idx")))
 
     # The pick side holds 2 rows per (group, quantile).  Broadcast it only when
     # that count is proven small; otherwise use a shuffle join.

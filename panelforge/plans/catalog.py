@@ -32,3 +32,209 @@ def r6(c) -> F.Column:
 def iqr_fence_grouped(spark, sf):
     ev = read_table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     return clean.iqr_fence(ev, ["value"], ["event_type"])
+
+
+@query
+def iqr_fence_sql(spark, sf):
+    read_table(spark, sf, "events").createOrReplaceTempView("pf_events")
+    return spark.sql("""
+    WITH base AS (
+      SELECT event_id, user_id, event_type, value, try_cast(value AS DOUBLE) AS v FROM pf_events),
+    bounds AS (
+      SELECT event_type, percentile(v, 0.25) AS q1, percentile(v, 0.75) AS q3
+      FROM base WHERE v IS NOT NULL GROUP BY event_type),
+    scored AS (
+      SELECT b.*, o.q1, o.q3, o.q3 - o.q1 AS iqr,
+             o.q1 - 3.0D * (o.q3 - o.q1) AS lower_bound, o.q3 + 3.0D * (o.q3 - o.q1) AS upper_bound
+      FROM base b LEFT JOIN bounds o ON b.event_type = o.event_type)
+    SELECT * EXCEPT (v, q1, q3, iqr, lower_bound, upper_bound) FROM scored
+    WHERE v IS NULL OR iqr IS NULL OR iqr = 0 OR (v >= lower_bound AND v <= upper_bound)""")
+
+
+def _audit_text(audit):
+    return audit.select(
+        "source_name", "rows_in", "rows_after_required", "rows_after_outliers",
+        "dropped_missing_required", "dropped_outliers",
+        F.array_join("required_fields", ",").alias("required_fields"),
+        F.array_join("outlier_columns", ",").alias("outlier_columns"),
+        F.array_join("group_columns", ",").alias("group_columns"))
+
+
+@query
+def rule_driven_clean(spark, sf):
+    ev = read_table(spark, sf, "events")
+    # the lenient scan lands every column as text
+    od = read_table(spark, sf, "orders")
+    od = od.select(*[F.col(c).cast("string").alias(c) for c in od.columns])
+    _, a1 = clean.clean_dataset(ev, "events")
+    _, a2 = clean.clean_dataset(od, "orders")
+    return _audit_text(a1).unionByName(_audit_text(a2))
+
+
+@query
+def iqr_fence_global(spark, sf):
+    ev = read_table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    return clean.iqr_fence(ev, ["value", "user_id"])
+
+
+def _events_with_k(spark, sf):
+    return read_table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k"))
+
+
+@query
+def cleaning_funnel(spark, sf):
+    ev = _events_with_k(spark, sf)
+    rule = clean.ResolvedRule(required=["event_type", "value", "k"], outliers=["value"], groups=["event_type"])
+    flagged, _ = clean.clean_flags(ev, "events", rule=rule)
+    return clean.funnel_counts(flagged).select(
+        "rows_in", "rows_after_required", "rows_after_outliers",
+        (F.col("rows_in") - F.col("rows_after_required")).alias("dropped_missing_required"),
+        (F.col("rows_after_required") - F.col("rows_after_outliers")).alias("dropped_outliers"))
+
+
+def _orders_text(spark, sf):
+    od = read_table(spark, sf, "orders")
+    return od.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.col("o_custkey").cast("string").alias("o_custkey"),
+        "o_orderstatus",
+        F.format_string("%.2f", "o_totalprice").alias("o_totalprice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+        "o_orderpriority",
+        F.when(F.col("o_orderstatus") != "O", F.format_string("%.2f", "o_totalprice")).alias("o_closed_price"))
+
+
+@query
+def null_profile(spark, sf):
+    from panelforge.operators import profile
+    od = _orders_text(spark, sf)
+    p = profile.column_profile(od, order_key=F.col("o_orderkey").cast("long") if False else "o_orderkey")
+    return p.select("variable", "position", "rows_total", "non_null", "missing", "missing_pct", "example_values")
+
+
+@query
+def type_inference(spark, sf):
+    from panelforge.operators import profile
+    od = _orders_text(spark, sf).withColumn("o_status_num", F.when(F.col("o_orderstatus") == "F", "1"))
+    return profile.column_profile(od, examples=0).select("variable", "dtype", "non_null")
+
+
+@query
+def drop_empty_columns(spark, sf):
+    od = read_table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice",
+        F.lit(None).cast("string").alias("o_note"),
+        F.when(F.col("o_totalprice") < 0, F.lit("negative")).alias("o_flag"))
+    out, _ = clean.drop_empty_columns(od)
+    return out
+
+
+@query
+def drop_all_null_rows(spark, sf):
+    od = read_table(spark, sf, "orders")
+    closed = F.col("o_orderstatus") == "F"
+    d = od.select(F.when(~closed, F.col("o_orderkey")).alias("a"),
+                  F.when(~closed, F.col("o_totalprice")).alias("b"),
+                  F.when(~closed, F.col("o_orderpriority")).alias("c"))
+    return clean.drop_all_null_rows(d)
+
+
+# ---------------------------------------------------------------- dates
+
+_DATE_RENDER = [("yyyy-MM-dd", "%Y-%m-%d"), ("yyyy-MM", "%Y-%m"), ("yyyy/MM/dd", "%Y/%m/%d"),
+                ("yyyy/MM", "%Y/%m"), ("yyyyMMdd", "%Y%m%d"), ("yyyy-M-d", "%Y-%-m-%-d")]
+
+
+def _rendered(col, key, forms):
+    expr = None
+    for i, f in enumerate(forms):
+        e = F.date_format(col, f)
+        cond = F.pmod(key, F.lit(len(forms))) == i
+        expr = F.when(cond, e) if expr is None else expr.when(cond, e)
+    return expr
+
+
+@query
+def date_standardize(spark, sf):
+    from panelforge.functions import coerce
+    od = read_table(spark, sf, "orders")
+    t = _rendered(F.col("o_orderdate"), F.col("o_orderkey"), [a for a, _ in _DATE_RENDER])
+    d = od.select("o_orderkey", t.alias("date_text"))
+    return d.withColumn("date_std", coerce.standardize_date_text("date_text"))
+
+
+@query
+def year_to_date(spark, sf):
+    from panelforge.functions import coerce
+    od = read_table(spark, sf, "orders")
+    k = F.pmod(F.col("o_orderkey"), F.lit(4))
+    y = F.date_format("o_orderdate", "yyyy")
+    t = (F.when(k == 0, y).when(k == 1, F.concat(F.lit(" "), y, F.lit(" ")))
+         .when(k == 2, F.date_format("o_orderdate", "yy")).otherwise(F.date_format("o_orderdate", "yyyy-MM")))
+    return od.select("o_orderkey", t.alias("year_text")).withColumn("year_std", coerce.year_to_date_text("year_text"))
+
+
+@query
+def timestamp_to_date(spark, sf):
+    from panelforge.functions import coerce
+    od = read_table(spark, sf, "orders")
+    k = F.pmod(F.col("o_orderkey"), F.lit(4))
+    t = (F.when(k == 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"))
+         .when(k == 1, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+         .when(k == 2, F.lit("n/a"))
+         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'12:mm:ss'+02:00'")))
+    return od.select("o_orderkey", t.alias("ts_text")).withColumn("ts_date", coerce.timestamp_to_date_text("ts_text"))
+
+
+@query
+def date_range_filter(spark, sf):
+    from panelforge.functions import coerce
+    od = read_table(spark, sf, "orders")
+    text = F.when(F.pmod("o_orderkey", F.lit(10)) == 0, F.lit("n/a")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    d = od.select("o_orderkey", coerce.to_date_lenient(text, "yyyy-MM-dd").alias("order_date"))
+    d = d.where(F.col("order_date").between(F.lit("1996-01-01").cast("date"), F.lit("1997-12-31").cast("date")))
+    return d.withColumn("yr", coerce.year_of("order_date")).orderBy("o_orderkey")
+
+
+# ---------------------------------------------------------------- blocks, unions, dedupe
+
+@query
+def block_extract(spark, sf):
+    from panelforge.functions import coerce
+    from panelforge.operators import reshape
+    od = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus",
+                                                 F.col("o_totalprice").cast("string").alias("amount_text"))
+    ev = read_table(spark, sf, "events").select("event_id", "event_type",
+                                                 F.col("value").cast("string").alias("amount_text"))
+    u = reshape.union_by_name([od, ev])
+    blk = u.where(F.col("event_type").isNotNull() & F.col("event_type").isin("click", "purchase"))
+    return blk.select("event_id", "event_type", coerce.to_double("amount_text").alias("amount"))
+
+
+@query
+def union_sparse_panel(spark, sf):
+    from panelforge.functions import columns
+    from panelforge.operators import reshape
+    od = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("O_ORDERKEY"),
+                                                 F.col("o_totalprice").alias("O_TotalPrice"))
+    ev = read_table(spark, sf, "events").select(F.col("event_id").alias("Event_ID"), "value")
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", F.col("l_quantity").alias("L_QUANTITY"))
+    return reshape.union_by_name([columns.lower_names(od), columns.lower_names(ev), columns.lower_names(li)])
+
+
+@query
+def row_dedupe(spark, sf):
+    from panelforge.operators import dedupe
+    return dedupe.drop_exact_duplicates(read_table(spark, sf, "documents").select("text", "lang", "source"))
+
+
+@query
+def content_dedupe(spark, sf):
+    from panelforge.operators import dedupe
+    return dedupe.content_duplicates(read_table(spark, sf, "documents"), "doc_id", "text")
+
+
+@query
+def duplicate_rows(spark, sf):
+    from panelforge.operators import profile
+    return profile.duplicate_count(read_table(spark, sf, "documents").select("text", "lang", "source"))

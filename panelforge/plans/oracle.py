@@ -14,3 +14,160 @@ FROM base b LEFT JOIN bounds o ON b.event_type IS NOT DISTINCT FROM o.event_type
 WHERE b.value IS NULL OR (o.q3 - o.q1) IS NULL OR (o.q3 - o.q1) = 0
    OR (b.value >= o.q1 - 3.0 * (o.q3 - o.q1) AND b.value <= o.q3 + 3.0 * (o.q3 - o.q1))
 """
+
+SQL["iqr_fence_sql"] = """
+WITH base AS (SELECT event_id, user_id, event_type, value FROM events),
+bounds AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+           FROM base WHERE value IS NOT NULL GROUP BY event_type)
+SELECT b.event_id, b.user_id, b.event_type, b.value
+FROM base b LEFT JOIN bounds o ON b.event_type = o.event_type
+WHERE b.value IS NULL OR (o.q3 - o.q1) IS NULL OR (o.q3 - o.q1) = 0
+   OR (b.value >= o.q1 - 3.0 * (o.q3 - o.q1) AND b.value <= o.q3 + 3.0 * (o.q3 - o.q1))
+"""
+
+
+def _fence_pred(col: str, tbl: str) -> str:
+    return (f"({col} IS NULL OR (SELECT quantile_cont({col}, 0.75) - quantile_cont({col}, 0.25) FROM {tbl}) = 0 "
+            f"OR ({col} >= (SELECT quantile_cont({col}, 0.25) - 3.0 * (quantile_cont({col}, 0.75) - quantile_cont({col}, 0.25)) FROM {tbl}) "
+            f"AND {col} <= (SELECT quantile_cont({col}, 0.75) + 3.0 * (quantile_cont({col}, 0.75) - quantile_cont({col}, 0.25)) FROM {tbl})))")
+
+
+SQL["rule_driven_clean"] = f"""
+SELECT 'events' AS source_name, count(*) AS rows_in,
+       count(*) FILTER (WHERE value IS NOT NULL) AS rows_after_required,
+       count(*) FILTER (WHERE value IS NOT NULL AND {_fence_pred('value', 'events')}) AS rows_after_outliers,
+       count(*) - count(*) FILTER (WHERE value IS NOT NULL) AS dropped_missing_required,
+       count(*) FILTER (WHERE value IS NOT NULL) - count(*) FILTER (WHERE value IS NOT NULL AND {_fence_pred('value', 'events')}) AS dropped_outliers,
+       'value' AS required_fields, 'value' AS outlier_columns, '' AS group_columns
+FROM events
+UNION ALL
+SELECT 'orders', count(*), count(*),
+       count(*) FILTER (WHERE {_fence_pred('o_orderkey', 'orders')} AND {_fence_pred('o_custkey', 'orders')} AND {_fence_pred('o_totalprice', 'orders')}),
+       0,
+       count(*) - count(*) FILTER (WHERE {_fence_pred('o_orderkey', 'orders')} AND {_fence_pred('o_custkey', 'orders')} AND {_fence_pred('o_totalprice', 'orders')}),
+       '', 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority', ''
+FROM orders
+"""
+
+SQL["iqr_fence_global"] = f"""
+SELECT event_id, user_id, event_type, value FROM events
+WHERE {_fence_pred('value', 'events')} AND {_fence_pred('user_id', 'events')}
+"""
+
+SQL["cleaning_funnel"] = """
+WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events),
+r AS (SELECT * FROM e WHERE event_type IS NOT NULL AND value IS NOT NULL AND k IS NOT NULL),
+b AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM r GROUP BY event_type),
+kept AS (SELECT r.* FROM r LEFT JOIN b ON r.event_type IS NOT DISTINCT FROM b.event_type
+         WHERE r.value IS NULL OR b.q3 - b.q1 IS NULL OR b.q3 - b.q1 = 0
+            OR (r.value >= b.q1 - 3.0 * (b.q3 - b.q1) AND r.value <= b.q3 + 3.0 * (b.q3 - b.q1)))
+SELECT (SELECT count(*) FROM e) AS rows_in, (SELECT count(*) FROM r) AS rows_after_required,
+       (SELECT count(*) FROM kept) AS rows_after_outliers,
+       (SELECT count(*) FROM e) - (SELECT count(*) FROM r) AS dropped_missing_required,
+       (SELECT count(*) FROM r) - (SELECT count(*) FROM kept) AS dropped_outliers
+"""
+
+_ORDERS_TEXT = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       printf('%.2f', o_totalprice) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+       o_orderpriority,
+       CASE WHEN o_orderstatus <> 'O' THEN printf('%.2f', o_totalprice) END AS o_closed_price
+FROM orders"""
+_OT_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "o_closed_price"]
+
+
+def _profile_sql() -> str:
+    parts = []
+    for i, c in enumerate(_OT_COLS):
+        parts.append(f"""
+SELECT '{c}' AS variable, {i} AS position, count(*) AS rows_total, count({c}) AS non_null,
+       count(*) - count({c}) AS missing, round((count(*) - count({c})) * 100.0 / count(*), 4) AS missing_pct,
+       coalesce((SELECT string_agg(v, '; ' ORDER BY k) FROM (SELECT CAST(o_orderkey AS VARCHAR) AS k0, CAST({c} AS VARCHAR) AS v, k FROM
+            (SELECT *, CAST(o_orderkey AS VARCHAR) AS k FROM ot) WHERE {c} IS NOT NULL ORDER BY k LIMIT 3)), '') AS example_values
+FROM ot""")
+    return "WITH ot AS (" + _ORDERS_TEXT + ")" + "\nUNION ALL".join(parts)
+
+
+SQL["null_profile"] = _profile_sql()
+
+
+def _type_sql() -> str:
+    cols = _OT_COLS + ["o_status_num"]
+    parts = []
+    for c in cols:
+        parts.append(f"""
+SELECT '{c}' AS variable,
+       CASE WHEN count({c}) > 0 AND count({c}) = count(TRY_CAST(trim({c}) AS DOUBLE)) THEN 'numeric' ELSE 'string' END AS dtype,
+       count({c}) AS non_null FROM ot""")
+    return ("WITH ot AS (SELECT *, CASE WHEN o_orderstatus = 'F' THEN '1' END AS o_status_num FROM (" + _ORDERS_TEXT + "))"
+            + "\nUNION ALL".join(parts))
+
+
+SQL["type_inference"] = _type_sql()
+
+SQL["drop_empty_columns"] = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
+
+SQL["drop_all_null_rows"] = """
+SELECT o_orderkey AS a, o_totalprice AS b, o_orderpriority AS c FROM orders WHERE o_orderstatus <> 'F'
+"""
+
+_STD = """COALESCE(strftime(try_strptime({x}, '%Y-%m-%d'), '%Y-%m-%d'), strftime(try_strptime({x}, '%Y-%m'), '%Y-%m-01'),
+       strftime(try_strptime({x}, '%Y/%m/%d'), '%Y-%m-%d'), strftime(try_strptime({x}, '%Y/%m'), '%Y-%m-01'))"""
+
+SQL["date_standardize"] = """
+WITH d AS (SELECT o_orderkey, CASE o_orderkey % 6
+    WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m')
+    WHEN 2 THEN strftime(o_orderdate, '%Y/%m/%d') WHEN 3 THEN strftime(o_orderdate, '%Y/%m')
+    WHEN 4 THEN strftime(o_orderdate, '%Y%m%d') ELSE strftime(o_orderdate, '%Y-%-m-%-d') END AS date_text FROM orders)
+SELECT o_orderkey, date_text, """ + _STD.format(x="trim(date_text)") + """ AS date_std FROM d
+"""
+
+SQL["year_to_date"] = """
+WITH d AS (SELECT o_orderkey, CASE o_orderkey % 4
+    WHEN 0 THEN strftime(o_orderdate, '%Y') WHEN 1 THEN ' ' || strftime(o_orderdate, '%Y') || ' '
+    WHEN 2 THEN strftime(o_orderdate, '%y') ELSE strftime(o_orderdate, '%Y-%m') END AS year_text FROM orders)
+SELECT o_orderkey, year_text,
+       CASE WHEN regexp_full_match(trim(year_text), '^[0-9]{4}$') THEN trim(year_text) || '-01-01' ELSE year_text END AS year_std
+FROM d
+"""
+
+SQL["timestamp_to_date"] = """
+WITH d AS (SELECT o_orderkey, CASE o_orderkey % 4
+    WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S+00:00') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+    WHEN 2 THEN 'n/a' ELSE strftime(o_orderdate, '%Y-%m-%dT12:%M:%S+02:00') END AS ts_text FROM orders)
+SELECT o_orderkey, ts_text,
+       COALESCE(strftime(try_strptime(ts_text, '%Y-%m-%dT%H:%M:%S%z'), '%Y-%m-%d'),
+                strftime(TRY_CAST(ts_text AS TIMESTAMP), '%Y-%m-%d'), ts_text) AS ts_date
+FROM d
+"""
+
+SQL["date_range_filter"] = """
+WITH d AS (SELECT o_orderkey, CAST(try_strptime(CASE WHEN o_orderkey % 10 = 0 THEN 'n/a'
+                  ELSE strftime(o_orderdate, '%Y-%m-%d') END, '%Y-%m-%d') AS DATE) AS order_date FROM orders)
+SELECT o_orderkey, order_date, CAST(year(order_date) AS INTEGER) AS yr FROM d
+WHERE order_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' ORDER BY o_orderkey
+"""
+
+SQL["block_extract"] = """
+SELECT event_id, event_type, value AS amount FROM events WHERE event_type IN ('click', 'purchase')
+"""
+
+SQL["union_sparse_panel"] = """
+SELECT o_orderkey, o_totalprice FROM orders
+UNION ALL BY NAME SELECT event_id, value FROM events
+UNION ALL BY NAME SELECT l_orderkey, l_quantity FROM lineitem
+"""
+
+SQL["row_dedupe"] = "SELECT DISTINCT text, lang, source FROM documents"
+
+SQL["content_dedupe"] = """
+WITH h AS (SELECT doc_id, sha256(text) AS content_hash FROM documents),
+k AS (SELECT content_hash, min(doc_id) AS kept FROM h GROUP BY content_hash)
+SELECT h.content_hash, k.kept, h.doc_id AS removed FROM h JOIN k USING (content_hash) WHERE h.doc_id <> k.kept
+"""
+
+SQL["duplicate_rows"] = """
+SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT text, lang, source FROM documents)) AS distinct_rows,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT text, lang, source FROM documents)) AS duplicates
+FROM documents
+"""
