@@ -23,7 +23,10 @@ def query(fn: Query) -> Query:
 
 
 def r6(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round to 6 places through decimal(38,8): ties are decided on the
+    decimal value (not on float noise below 1e-8) and -0.0 becomes 0.0."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c.try_cast("decimal(38,8)"), 6).cast("double")
 
 
 # ---------------------------------------------------------------- cleaning
@@ -238,3 +241,269 @@ def content_dedupe(spark, sf):
 def duplicate_rows(spark, sf):
     from panelforge.operators import profile
     return profile.duplicate_count(read_table(spark, sf, "documents").select("text", "lang", "source"))
+
+
+# ---------------------------------------------------------------- shared bases
+
+def _orders_nation(spark, sf):
+    od = read_table(spark, sf, "orders")
+    cu = read_table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
+    return od.join(cu, od["o_custkey"] == cu["c_custkey"]).drop("c_custkey")
+
+
+def _nation_year(spark, sf):
+    """nation x year panel: y = mean order price (thousands), x1 = orders
+    (hundreds), x2 = mean discount of the orders' line items (percent)."""
+    on = _orders_nation(spark, sf).withColumn("yr", F.year("o_orderdate"))
+    a = on.groupBy("nation", "yr").agg((F.avg("o_totalprice") / 1000).alias("y"),
+                                       (F.count(F.lit(1)).cast("double") / 100).alias("x1"))
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_discount")
+    b = (li.join(on.select("o_orderkey", "nation", "yr"), li["l_orderkey"] == on["o_orderkey"])
+         .groupBy("nation", "yr").agg((F.avg("l_discount") * 100).alias("x2")))
+    return a.join(b, ["nation", "yr"])
+
+
+def _nation_month(spark, sf):
+    on = _orders_nation(spark, sf)
+    return on.groupBy("nation", F.trunc(F.to_date("o_orderdate"), "month").alias("month")).agg(
+        (F.sum("o_totalprice") / 1e6).alias("revenue"))
+
+
+def _monthly_series(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    return li.groupBy(F.trunc(F.to_date("l_shipdate"), "month").alias("month")).agg(
+        (F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))) / 1e6).alias("revenue"),
+        (F.sum("l_quantity") / 1e3).alias("quantity"),
+        F.avg("l_discount").alias("discount"))
+
+
+def _round_doubles(df):
+    from pyspark.sql import types as T
+    return df.select(*[r6(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+# ---------------------------------------------------------------- reshape and joins
+
+@query
+def long_to_wide_mean(spark, sf):
+    from panelforge.operators import reshape
+    on = _orders_nation(spark, sf).withColumn("yr", F.year("o_orderdate"))
+    w = reshape.pivot_mean(on, ["nation", "yr"], "o_orderstatus", ["F", "O", "P"], "o_totalprice",
+                           names={"F": "avg_f", "O": "avg_o", "P": "avg_p"})
+    return _round_doubles(w)
+
+
+@query
+def series_assemble(spark, sf):
+    from panelforge.operators import reshape
+    ev = read_table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    return reshape.assemble_series(ev, "day", "event_type", "value",
+                                   ["click", "error", "purchase", "signup", "view"], "ts").orderBy("day")
+
+
+@query
+def panel_inner_join(spark, sf):
+    from panelforge.operators import reshape
+    on = _orders_nation(spark, sf)
+    a = on.groupBy("nation", F.year("o_orderdate").alias("yr")).agg((F.sum("o_totalprice") / 1e6).alias("revenue"))
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_shipdate")
+    b = (li.join(on.select("o_orderkey", "nation"), li["l_orderkey"] == on["o_orderkey"])
+         .groupBy("nation", F.year("l_shipdate").alias("yr")).agg((F.sum("l_quantity") / 1e3).alias("quantity")))
+    return _round_doubles(reshape.panel_join(a, b, ["nation", "yr"]))
+
+
+@query
+def flow_self_join(spark, sf):
+    from panelforge.operators import reshape, stats
+    ev = read_table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    pairs = reshape.flow_pair(ev, ["user_id", "day"], "event_type", "error", "click", "value", "err", "clk")
+    c = stats.grouped_corr(pairs, "user_id", "err", "clk")
+    bottom = c.orderBy("corr", "user_id").limit(15)
+    return _round_doubles(bottom.withColumn(
+        "sign", F.when(F.col("corr") < 0, F.lit("negative")).otherwise(F.lit("non-negative"))))
+
+
+@query
+def lookup_with_fallback(spark, sf):
+    from panelforge.operators import reshape
+    cu = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    na = read_table(spark, sf, "nation")
+    rg = read_table(spark, sf, "region")
+    nr = na.join(rg, na["n_regionkey"] == rg["r_regionkey"]).select("n_nationkey", "r_name")
+    d = reshape.lookup(cu, "c_nationkey", na, "n_nationkey", "n_name", "nation_name", fallback={"XKX": "XK"})
+    d = reshape.lookup_with_default(d, "c_nationkey", nr, "n_nationkey", {"r_name": "UNKNOWN"})
+    return d.withColumnRenamed("r_name", "region_name")
+
+
+# Fixed values for the registry: a small source dictionary of customer columns.
+_CUSTOMER_DOCS = [("c_custkey", "Customer key", "TPC-H", "Key", "", ""),
+                  ("c_acctbal", "Account balance", "TPC-H", "Financial", "currency", "may be negative")]
+
+
+@query
+def dictionary_semi_anti(spark, sf):
+    from panelforge.operators import profile
+    cu = read_table(spark, sf, "customer")
+    prof = profile.column_profile(cu, examples=0, infer_text=False)
+    docs = spark.createDataFrame(_CUSTOMER_DOCS, "variable string, description string, source string, "
+                                                 "category string, unit string, notes string")
+    return profile.data_dictionary(prof, docs)
+
+
+_LISTED = (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("part", "p_partkey"))
+
+
+@query
+def dictionary_listing(spark, sf):
+    from panelforge.functions import text
+    from panelforge.operators import profile
+    out = None
+    for name, key in _LISTED:
+        p = profile.column_profile(read_table(spark, sf, name), order_key=key)
+        p = p.select(F.lit(name).alias("dataset"), "variable", "dtype", text.source_label(F.lit(name)).alias("source"),
+                     "rows_total", "non_null", text.clean_text("example_values").alias("example_values"))
+        out = p if out is None else out.unionByName(p)
+    return out.orderBy("dataset", "variable")
+
+
+# ---------------------------------------------------------------- features
+
+@query
+def growth_and_lags(spark, sf):
+    from panelforge.operators import features
+    nm = _nation_month(spark, sf)
+    g = features.pct_change(nm, "nation", "month", "revenue", "growth")
+    g = features.lags(g, "nation", "month", "growth", [1, 2, 3])
+    return _round_doubles(features.inf_to_null(g))
+
+
+@query
+def median_split(spark, sf):
+    from panelforge.operators import features
+    cu = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    return features.median_split(cu, "c_nationkey", "c_acctbal", "high_balance").select(
+        "c_custkey", "c_nationkey", "high_balance")
+
+
+@query
+def did_features(spark, sf):
+    from panelforge.operators import features
+    ny = _nation_year(spark, sf)
+    d = features.sums(ny, {"trade": ("x1", "x2")})
+    d = features.median_split(d, "nation", "y", "treat")
+    d = features.treatment_flags(d, "yr", 1998, treat="treat", post="post", interaction="did")
+    return _round_doubles(d.select("nation", "yr", "trade", "treat", "post", "did"))
+
+
+# Fixed values for the registry: order priorities stand in for the annual
+# indicators, return flags for the monthly flows.
+PANEL_SPEC_KW = dict(
+    entity="nation_name", area="nation_key", time="year",
+    indicators={"1-URGENT": "inflation", "2-HIGH": "energy_import_share", "3-MEDIUM": "imports_gdp",
+                "4-NOT SPECIFIED": "exports_gdp", "5-LOW": "gdp_level"},
+    flows={"R": "imports_flow", "A": "demand_flow"},
+    growth={"gas_import_shock": "imports_flow", "gas_demand_growth": "demand_flow", "gdp_growth": "gdp_level"},
+    t0=1998, post="post_treatment")
+
+
+def engineered_panel(spark, sf):
+    from panelforge.plans.panel import PanelSpec, engineer_panel
+    on = _orders_nation(spark, sf)
+    na = read_table(spark, sf, "nation")
+    ind = on.join(na, on["nation"] == na["n_nationkey"]).select(
+        F.col("n_name").alias("nation_name"), F.year("o_orderdate").alias("year"),
+        F.col("o_orderpriority").alias("indicator"), (F.col("o_totalprice") / 1000).alias("value"))
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag", "l_quantity")
+    flows = li.join(on.select("o_orderkey", "nation"), li["l_orderkey"] == on["o_orderkey"]).select(
+        F.col("nation").alias("nation_key"), F.col("l_shipdate").alias("date"),
+        F.col("l_returnflag").alias("flow"), F.col("l_quantity").alias("value"))
+    return engineer_panel(ind, flows, na, PanelSpec(**PANEL_SPEC_KW), crosswalk_cols=("n_name", "n_nationkey"))
+
+
+@query
+def panel_build(spark, sf):
+    return _round_doubles(engineered_panel(spark, sf))
+
+
+MODEL_A_COLS = ["nation_name", "year", "inflation", "gas_import_shock_lag1", "shock_x_highdep_lag1",
+                "gdp_growth", "imports_gdp", "energy_import_share", "high_energy_dependence"]
+
+
+@query
+def complete_case_sample(spark, sf):
+    from panelforge.plans.panel import fe_sample
+    p = engineered_panel(spark, sf)
+    return _round_doubles(fe_sample(p, MODEL_A_COLS, "high_energy_dependence", "high", ("year", 1999)))
+
+
+# ---------------------------------------------------------------- EDA statistics
+
+@query
+def corr_matrix(spark, sf):
+    from panelforge.operators import stats
+    return _round_doubles(stats.corr_matrix(_monthly_series(spark, sf), ["revenue", "quantity", "discount"]))
+
+
+@query
+def lag_corr(spark, sf):
+    from panelforge.operators import timeseries
+    return _round_doubles(timeseries.lag_corr_profile(_monthly_series(spark, sf), "revenue", "discount", "month"))
+
+
+@query
+def best_lag(spark, sf):
+    from panelforge.operators import timeseries
+    prof = timeseries.lag_corr_profile(_monthly_series(spark, sf), "revenue", "discount", "month")
+    return _round_doubles(timeseries.best_lag(prof))
+
+
+@query
+def topk_categories(spark, sf):
+    from panelforge.operators import stats
+    return stats.topk_counts(read_table(spark, sf, "events"), "event_type", 6)
+
+
+@query
+def boxplot_stats(spark, sf):
+    from panelforge.operators import stats
+    ev = read_table(spark, sf, "events")
+    top = stats.topk_counts(ev, "event_type", 6).select("event_type")
+    sel = ev.join(top, on="event_type", how="left_semi")
+    return _round_doubles(stats.boxplot_stats(sel, "event_type", "value"))
+
+
+def _customer_months(spark, sf):
+    od = read_table(spark, sf, "orders")
+    return od.groupBy("o_custkey", F.trunc(F.to_date("o_orderdate"), "month").alias("month")).agg(
+        (F.sum("o_totalprice") / 1000).alias("total"))
+
+
+@query
+def densify_interpolate(spark, sf):
+    from panelforge.operators import timeseries
+    dense = timeseries.densify_monthly(_customer_months(spark, sf), "o_custkey", "month", ["total"])
+    return _round_doubles(timeseries.interpolate_linear(dense, "o_custkey", "month", "total"))
+
+
+@query
+def seasonal_decompose(spark, sf):
+    from panelforge.operators import timeseries
+    dense = timeseries.densify_monthly(_nation_month(spark, sf), "nation", "month", ["revenue"])
+    filled = timeseries.interpolate_linear(dense, "nation", "month", "revenue")
+    return _round_doubles(timeseries.seasonal_decompose(filled, "nation", "month", "revenue", 12))
+
+
+@query
+def regression_line(spark, sf):
+    from panelforge.operators import stats
+    li = read_table(spark, sf, "lineitem").select("l_returnflag", "l_quantity",
+                                                  (F.col("l_extendedprice") / 1000).alias("price_k"))
+    return _round_doubles(stats.regression_line(li, "l_quantity", "price_k", "l_returnflag"))
+
+
+@query
+def json_flatten(spark, sf):
+    ev = read_table(spark, sf, "events")
+    parsed = F.from_json("props", "k BIGINT")
+    return ev.select("event_id", F.coalesce(parsed["k"], F.lit(-1).cast("bigint")).alias("k"))

@@ -171,3 +171,310 @@ SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT text, lang, sour
        count(*) - (SELECT count(*) FROM (SELECT DISTINCT text, lang, source FROM documents)) AS duplicates
 FROM documents
 """
+
+# ---------------------------------------------------------------- shared CTEs
+
+_ON = """on_ AS (SELECT o.*, c.c_nationkey AS nation FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"""
+
+_NY = _ON + """,
+ny_a AS (SELECT nation, CAST(year(o_orderdate) AS INTEGER) AS yr, avg(o_totalprice) / 1000 AS y,
+                CAST(count(*) AS DOUBLE) / 100 AS x1 FROM on_ GROUP BY ALL),
+ny_b AS (SELECT on_.nation, CAST(year(on_.o_orderdate) AS INTEGER) AS yr, avg(l.l_discount) * 100 AS x2
+         FROM lineitem l JOIN on_ ON l.l_orderkey = on_.o_orderkey GROUP BY ALL),
+ny AS (SELECT * FROM ny_a JOIN ny_b USING (nation, yr))"""
+
+_NM = _ON + """,
+nm AS (SELECT nation, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, sum(o_totalprice) / 1e6 AS revenue
+       FROM on_ GROUP BY ALL)"""
+
+_MS = """ms AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
+       sum(l_extendedprice * (1 - l_discount)) / 1e6 AS revenue, sum(l_quantity) / 1e3 AS quantity,
+       avg(l_discount) AS discount FROM lineitem GROUP BY ALL)"""
+
+
+def _corr(a: str, b: str) -> str:
+    return (f"(covar_pop({a}, {b}) / NULLIF(stddev_pop(CASE WHEN {b} IS NOT NULL THEN {a} END) * "
+            f"stddev_pop(CASE WHEN {a} IS NOT NULL THEN {b} END), 0))")
+
+
+SQL["long_to_wide_mean"] = "WITH " + _ON + """
+SELECT nation, CAST(year(o_orderdate) AS INTEGER) AS yr,
+       round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 6) AS avg_f,
+       round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'O'), 6) AS avg_o,
+       round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'P'), 6) AS avg_p
+FROM on_ GROUP BY ALL
+"""
+
+SQL["series_assemble"] = """
+SELECT CAST(ts AS DATE) AS day,
+""" + ",\n".join(f"  arg_max(value, ts) FILTER (WHERE event_type = '{c}') AS {c}"
+                 for c in ["click", "error", "purchase", "signup", "view"]) + """
+FROM events GROUP BY ALL ORDER BY day
+"""
+
+SQL["panel_inner_join"] = "WITH " + _ON + """,
+a AS (SELECT nation, CAST(year(o_orderdate) AS INTEGER) AS yr, sum(o_totalprice) / 1e6 AS revenue FROM on_ GROUP BY ALL),
+b AS (SELECT on_.nation, CAST(year(l.l_shipdate) AS INTEGER) AS yr, sum(l.l_quantity) / 1e3 AS quantity
+      FROM lineitem l JOIN on_ ON l.l_orderkey = on_.o_orderkey GROUP BY ALL)
+SELECT nation, yr, round(revenue, 6) AS revenue, round(quantity, 6) AS quantity FROM a JOIN b USING (nation, yr)
+"""
+
+SQL["flow_self_join"] = """
+WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day, value FROM events WHERE event_type = 'error'),
+c AS (SELECT user_id, CAST(ts AS DATE) AS day, value FROM events WHERE event_type = 'click'),
+p AS (SELECT e.user_id, e.value AS err, c.value AS clk FROM e JOIN c USING (user_id, day)),
+g AS (SELECT user_id, """ + _corr("err", "clk") + """ AS corr FROM p GROUP BY user_id)
+SELECT user_id, round(corr, 6) AS corr, CASE WHEN corr < 0 THEN 'negative' ELSE 'non-negative' END AS sign
+FROM g WHERE corr IS NOT NULL AND NOT isnan(corr) ORDER BY corr, user_id LIMIT 15
+"""
+
+SQL["lookup_with_fallback"] = """
+SELECT c.c_custkey, c.c_nationkey, n.n_name AS nation_name, coalesce(r.r_name, 'UNKNOWN') AS region_name
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+"""
+
+_CU_TYPES = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
+             ("c_mktsegment", "string")]
+_CU_DOCS = {"c_custkey": ("Customer key", "TPC-H", "Key", "", ""),
+            "c_acctbal": ("Account balance", "TPC-H", "Financial", "currency", "may be negative")}
+_FALLBACK = ("Variable included in final panel", "Derived", "Derived", "", "")
+
+SQL["dictionary_semi_anti"] = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS variable, '{t}' AS dtype, '{d[0]}' AS description, '{d[1]}' AS source, '{d[2]}' AS category, "
+    f"'{d[3]}' AS unit, '{d[4]}' AS notes, count({c}) AS non_null, {i} AS position FROM customer"
+    for i, (c, t) in enumerate(_CU_TYPES) for d in [_CU_DOCS.get(c, _FALLBACK)])
+
+_LIST_TABLES = {
+    "customer": ("c_custkey", _CU_TYPES),
+    "supplier": ("s_suppkey", [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"),
+                               ("s_acctbal", "double")]),
+    "part": ("p_partkey", [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"),
+                           ("p_type", "string"), ("p_size", "int"), ("p_retailprice", "double")]),
+}
+
+
+def _listing_sql() -> str:
+    parts = []
+    for t, (key, cols) in _LIST_TABLES.items():
+        for c, typ in cols:
+            if typ == "string":
+                dtype = (f"CASE WHEN count({c}) > 0 AND count({c}) = count(TRY_CAST(trim({c}) AS DOUBLE)) "
+                         f"THEN 'numeric' ELSE 'string' END")
+            else:
+                dtype = f"'{typ}'"
+            ex = (f"coalesce((SELECT string_agg(v, '; ' ORDER BY k) FROM (SELECT {key} AS k, CAST({c} AS VARCHAR) AS v "
+                  f"FROM {t} WHERE {c} IS NOT NULL ORDER BY {key} LIMIT 3)), '')")
+            parts.append(f"SELECT '{t}' AS dataset, '{c}' AS variable, {dtype} AS dtype, 'JODI' AS source, "
+                         f"count(*) AS rows_total, count({c}) AS non_null, "
+                         f"replace(trim({ex}), '|', '\\|') AS example_values FROM {t}")
+    return "\nUNION ALL\n".join(parts) + "\nORDER BY dataset, variable"
+
+
+SQL["dictionary_listing"] = _listing_sql()
+
+SQL["growth_and_lags"] = "WITH " + _NM + """,
+g AS (SELECT *, (revenue / NULLIF(lag(revenue) OVER w, 0) - 1) * 100 AS growth FROM nm
+      WINDOW w AS (PARTITION BY nation ORDER BY month))
+SELECT nation, month, round(revenue, 6) AS revenue, round(growth, 6) AS growth,
+       round(lag(growth, 1) OVER w, 6) AS growth_lag1, round(lag(growth, 2) OVER w, 6) AS growth_lag2,
+       round(lag(growth, 3) OVER w, 6) AS growth_lag3
+FROM g WINDOW w AS (PARTITION BY nation ORDER BY month)
+"""
+
+SQL["median_split"] = """
+WITH m AS (SELECT c_nationkey, median(c_acctbal) AS med FROM customer GROUP BY ALL),
+mm AS (SELECT median(med) AS overall FROM m)
+SELECT c.c_custkey, c.c_nationkey, coalesce(CASE WHEN m.med >= mm.overall THEN 1.0 ELSE 0.0 END, 0.0)::DOUBLE AS high_balance
+FROM customer c LEFT JOIN m USING (c_nationkey), mm
+"""
+
+SQL["did_features"] = "WITH " + _NY + """,
+m AS (SELECT nation, median(y) AS med FROM ny GROUP BY ALL),
+mm AS (SELECT median(med) AS overall FROM m),
+t AS (SELECT ny.*, coalesce(CASE WHEN m.med >= mm.overall THEN 1.0 ELSE 0.0 END, 0.0)::DOUBLE AS treat
+      FROM ny LEFT JOIN m USING (nation), mm)
+SELECT nation, yr, round(x1 + x2, 6) AS trade, treat, CASE WHEN yr >= 1998 THEN 1.0 ELSE 0.0 END::DOUBLE AS post,
+       round(treat * CASE WHEN yr >= 1998 THEN 1.0 ELSE 0.0 END, 6)::DOUBLE AS did
+FROM t
+"""
+
+_PANEL = _ON + """,
+ind AS (SELECT n.n_name AS nation_name, CAST(year(on_.o_orderdate) AS INTEGER) AS year, on_.o_orderpriority AS indicator,
+               on_.o_totalprice / 1000 AS value FROM on_ JOIN nation n ON on_.nation = n.n_nationkey),
+wide AS (SELECT nation_name, year,
+    avg(value) FILTER (WHERE indicator = '1-URGENT') AS inflation,
+    avg(value) FILTER (WHERE indicator = '2-HIGH') AS energy_import_share,
+    avg(value) FILTER (WHERE indicator = '3-MEDIUM') AS imports_gdp,
+    avg(value) FILTER (WHERE indicator = '4-NOT SPECIFIED') AS exports_gdp,
+    avg(value) FILTER (WHERE indicator = '5-LOW') AS gdp_level
+  FROM ind WHERE nation_name IS NOT NULL AND year IS NOT NULL AND indicator IS NOT NULL AND value IS NOT NULL
+  GROUP BY ALL),
+wide2 AS (SELECT w.*, x.n_nationkey AS nation_key FROM wide w LEFT JOIN nation x ON w.nation_name = x.n_name),
+fl AS (SELECT on_.nation AS nation_key, CAST(year(l.l_shipdate) AS INTEGER) AS year, l.l_returnflag AS flow,
+              l.l_quantity AS value
+       FROM lineitem l JOIN on_ ON l.l_orderkey = on_.o_orderkey WHERE l.l_returnflag IN ('R', 'A')),
+fa AS (SELECT nation_key, year, flow, avg(value) AS value FROM fl GROUP BY ALL),
+fw AS (SELECT nation_key, year, avg(value) FILTER (WHERE flow = 'R') AS imports_flow,
+              avg(value) FILTER (WHERE flow = 'A') AS demand_flow FROM fa GROUP BY ALL),
+p AS (SELECT w.*, f.imports_flow, f.demand_flow FROM wide2 w JOIN fw f USING (nation_key, year)),
+g AS (SELECT *,
+    (imports_flow / NULLIF(lag(imports_flow) OVER w, 0) - 1) * 100 AS gas_import_shock,
+    (demand_flow / NULLIF(lag(demand_flow) OVER w, 0) - 1) * 100 AS gas_demand_growth,
+    (gdp_level / NULLIF(lag(gdp_level) OVER w, 0) - 1) * 100 AS gdp_growth,
+    imports_gdp + exports_gdp AS trade_openness
+  FROM p WINDOW w AS (PARTITION BY nation_name ORDER BY year)),
+l AS (SELECT *, lag(gas_import_shock, 1) OVER w AS gas_import_shock_lag1,
+    lag(gas_import_shock, 2) OVER w AS gas_import_shock_lag2, lag(gas_import_shock, 3) OVER w AS gas_import_shock_lag3
+  FROM g WINDOW w AS (PARTITION BY nation_name ORDER BY year)),
+med AS (SELECT nation_name, median(energy_import_share) AS m FROM l GROUP BY ALL),
+mm AS (SELECT median(m) AS mm FROM med),
+panel AS (SELECT l.*, coalesce(CASE WHEN med.m >= mm.mm THEN 1.0 ELSE 0.0 END, 0.0)::DOUBLE AS high_energy_dependence,
+    CASE WHEN l.year >= 1998 THEN 1.0 ELSE 0.0 END::DOUBLE AS post_treatment
+  FROM l LEFT JOIN med USING (nation_name), mm),
+panel2 AS (SELECT *, high_energy_dependence * post_treatment AS did_interaction,
+    gas_import_shock_lag1 * high_energy_dependence AS shock_x_highdep_lag1,
+    gas_import_shock_lag2 * high_energy_dependence AS shock_x_highdep_lag2,
+    gas_import_shock_lag3 * high_energy_dependence AS shock_x_highdep_lag3
+  FROM panel)"""
+
+_PANEL_COLS = ["nation_name", "year", "inflation", "energy_import_share", "imports_gdp", "exports_gdp", "gdp_level",
+               "nation_key", "imports_flow", "demand_flow", "gas_import_shock", "gas_demand_growth", "gdp_growth",
+               "trade_openness", "gas_import_shock_lag1", "gas_import_shock_lag2", "gas_import_shock_lag3",
+               "high_energy_dependence", "post_treatment", "did_interaction", "shock_x_highdep_lag1",
+               "shock_x_highdep_lag2", "shock_x_highdep_lag3"]
+_INTS = {"nation_name", "year", "nation_key"}
+
+
+def _sel_round(cols, src):
+    return "SELECT " + ", ".join(c if c in _INTS else f"round({c}, 6) AS {c}" for c in cols) + f" FROM {src}"
+
+
+SQL["panel_build"] = "WITH " + _PANEL + "\n" + _sel_round(_PANEL_COLS, "panel2")
+
+_A_COLS = ["nation_name", "year", "inflation", "gas_import_shock_lag1", "shock_x_highdep_lag1",
+           "gdp_growth", "imports_gdp", "energy_import_share", "high_energy_dependence"]
+SQL["complete_case_sample"] = ("WITH " + _PANEL + ",\ncc AS (SELECT " + ", ".join(_A_COLS) + " FROM panel2 WHERE "
+                               + " AND ".join(f"{c} IS NOT NULL" for c in _A_COLS)
+                               + " AND year <> 1999 AND high_energy_dependence = 1)\n" + _sel_round(_A_COLS, "cc"))
+
+SQL["corr_matrix"] = "WITH " + _MS + ",\nc AS (SELECT " + ", ".join(
+    f"{_corr(a, b)} AS c_{a}_{b}" for a in ["revenue", "quantity", "discount"]
+    for b in ["revenue", "quantity", "discount"]) + " FROM ms)\n" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS var1, '{b}' AS var2, round(c_{a}_{b}, 6) AS corr FROM c"
+    for a in ["revenue", "quantity", "discount"] for b in ["revenue", "quantity", "discount"])
+
+_LAGS = [0, 1, 2, 3, 6, 12]
+_LAGCORR = "WITH " + _MS + ",\nl AS (SELECT revenue, " + ", ".join(
+    f"lag(discount, {k}) OVER (ORDER BY month) AS x{k}" for k in _LAGS) + " FROM ms),\nc AS (SELECT " + ", ".join(
+    f"{_corr('revenue', f'x{k}')} AS c{k}" for k in _LAGS) + " FROM l),\nprof AS (" + "\nUNION ALL\n".join(
+    f"SELECT {k} AS lag, c{k} AS corr FROM c" for k in _LAGS) + ")"
+
+SQL["lag_corr"] = _LAGCORR + "\nSELECT CAST(lag AS INTEGER) AS lag, round(corr, 6) AS corr FROM prof"
+SQL["best_lag"] = _LAGCORR + """
+SELECT CAST(lag AS INTEGER) AS best_lag, round(corr, 6) AS best_corr FROM prof WHERE corr IS NOT NULL
+ORDER BY abs(corr) DESC, lag ASC LIMIT 1
+"""
+
+SQL["topk_categories"] = """
+SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY ALL ORDER BY n DESC, event_type LIMIT 6
+"""
+
+SQL["boxplot_stats"] = """
+WITH top AS (SELECT event_type FROM events WHERE event_type IS NOT NULL GROUP BY ALL ORDER BY count(*) DESC, event_type LIMIT 6),
+e AS (SELECT * FROM events WHERE event_type IN (SELECT event_type FROM top) AND value IS NOT NULL),
+q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+             quantile_cont(value, 0.75) AS q3 FROM e GROUP BY ALL),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT e.event_type, count(*) AS n, round(f.q1, 6) AS q1, round(f.median, 6) AS median, round(f.q3, 6) AS q3,
+       round(least(min(e.value) FILTER (WHERE e.value >= f.lo), f.q1), 6) AS whisker_low,
+       round(greatest(max(e.value) FILTER (WHERE e.value <= f.hi), f.q3), 6) AS whisker_high,
+       count(*) FILTER (WHERE e.value < f.lo OR e.value > f.hi) AS n_outliers
+FROM e JOIN f USING (event_type) GROUP BY e.event_type, f.q1, f.median, f.q3
+"""
+
+_INTERP = """
+p_{n} AS (SELECT *, row_number() OVER w AS i, CASE WHEN {v} IS NOT NULL THEN row_number() OVER w END AS iv
+       FROM {src} WINDOW w AS (PARTITION BY {k} ORDER BY month)),
+q_{n} AS (SELECT *,
+    last_value({v} IGNORE NULLS) OVER (PARTITION BY {k} ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y0,
+    last_value(iv IGNORE NULLS) OVER (PARTITION BY {k} ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS i0,
+    first_value({v} IGNORE NULLS) OVER (PARTITION BY {k} ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS y1,
+    first_value(iv IGNORE NULLS) OVER (PARTITION BY {k} ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS i1
+  FROM p_{n}),
+{n} AS (SELECT {k}, month, CASE WHEN {v} IS NOT NULL THEN {v} WHEN y0 IS NULL THEN NULL WHEN y1 IS NULL THEN y0
+         ELSE y0 + (i - i0) * (y1 - y0) / (i1 - i0) END AS {v} FROM q_{n})"""
+
+_DENSE = """
+span_{n} AS (SELECT {k}, min(month) AS lo, max(month) AS hi FROM {src} GROUP BY ALL),
+grid_{n} AS (SELECT {k}, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM span_{n}),
+d_{n} AS (SELECT grid_{n}.{k}, grid_{n}.month, {src}.{v} FROM grid_{n} LEFT JOIN {src} USING ({k}, month))"""
+
+SQL["densify_interpolate"] = ("""WITH cm AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+       sum(o_totalprice) / 1000 AS total FROM orders GROUP BY ALL),"""
+                              + _DENSE.format(n="cm", k="o_custkey", src="cm", v="total") + ","
+                              + _INTERP.format(n="ci", k="o_custkey", src="d_cm", v="total")
+                              + "\nSELECT o_custkey, month, round(total, 6) AS total FROM ci")
+
+SQL["seasonal_decompose"] = ("WITH " + _NM + "," + _DENSE.format(n="nm", k="nation", src="nm", v="revenue") + ","
+                             + _INTERP.format(n="ni", k="nation", src="d_nm", v="revenue") + """,
+tr AS (SELECT *, row_number() OVER w - 1 AS pos,
+    CASE WHEN count(revenue) OVER (PARTITION BY nation ORDER BY month ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) = 13
+         THEN (avg(revenue) OVER (PARTITION BY nation ORDER BY month ROWS BETWEEN 6 PRECEDING AND 5 FOLLOWING)
+             + avg(revenue) OVER (PARTITION BY nation ORDER BY month ROWS BETWEEN 5 PRECEDING AND 6 FOLLOWING)) / 2 END AS trend
+  FROM ni WINDOW w AS (PARTITION BY nation ORDER BY month)),
+ph AS (SELECT nation, pos % 12 AS phase, avg(revenue - trend) AS pm FROM tr GROUP BY ALL),
+pc AS (SELECT nation, avg(pm) AS pmc FROM ph GROUP BY ALL),
+s AS (SELECT tr.*, ph.pm - pc.pmc AS seasonal FROM tr JOIN ph ON tr.nation = ph.nation AND tr.pos % 12 = ph.phase
+      JOIN pc ON tr.nation = pc.nation)
+SELECT nation, month, round(revenue, 6) AS revenue, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal,
+       round(revenue - trend - seasonal, 6) AS resid FROM s""")
+
+SQL["regression_line"] = """
+SELECT l_returnflag, round(regr_slope(l_extendedprice / 1000, l_quantity), 6) AS slope,
+       round(regr_intercept(l_extendedprice / 1000, l_quantity), 6) AS intercept,
+       round(regr_r2(l_extendedprice / 1000, l_quantity), 6) AS r2, regr_count(l_extendedprice / 1000, l_quantity) AS n
+FROM lineitem GROUP BY ALL
+"""
+
+SQL["json_flatten"] = """
+SELECT event_id, coalesce(TRY_CAST(json_extract(props, '$.k') AS BIGINT), -1) AS k FROM events
+"""
+
+
+def _r6_text(sql: str) -> str:
+    """Rewrite every ``round(x, 6)`` as the decimal-based rounding the Spark
+    side uses (see ``catalog.r6``)."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        last_comma = None
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            elif ch == "," and depth == 1:
+                last_comma = k
+            k += 1
+        inner, arg = sql[j + 6:last_comma], sql[last_comma + 1:k].strip() if last_comma else ""
+        out.append(sql[i:j])
+        if arg == "6":
+            out.append(f"CAST(round(CAST({_r6_text(inner)} AS DECIMAL(38,8)), 6) AS DOUBLE)")
+        else:
+            out.append(f"round({_r6_text(sql[j + 6:k])})")
+        i = k + 1
+
+
+SQL = {k: _r6_text(v) for k, v in SQL.items()}
