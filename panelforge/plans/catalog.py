@@ -507,3 +507,110 @@ def json_flatten(spark, sf):
     ev = read_table(spark, sf, "events")
     parsed = F.from_json("props", "k BIGINT")
     return ev.select("event_id", F.coalesce(parsed["k"], F.lit(-1).cast("bigint")).alias("k"))
+
+
+# ---------------------------------------------------------------- regression
+
+def _fit_rows(spark, fit, terms=None, extra=None):
+    """(variable, coef, se[, extra...]) rows of one fit."""
+    from pyspark.sql import types as T
+    terms = terms or fit.terms
+    fields = [T.StructField("variable", T.StringType()), T.StructField("coef", T.DoubleType()),
+              T.StructField("se", T.DoubleType())]
+    extra = extra or {}
+    for k, (typ, _) in extra.items():
+        fields.append(T.StructField(k, typ))
+    from panelforge.plans.regression import _f
+    rows = [tuple([t, _f(fit.coef.get(t)), _f(fit.se.get(t))] + [fn(fit) for _, fn in extra.values()])
+            for t in terms]
+    return spark.createDataFrame(rows, T.StructType(fields))
+
+
+def _ny_fit(spark, sf, effects, cluster=None):
+    from panelforge.plans import regression
+    ny = _nation_year(spark, sf)
+    return regression.fit_ols(ny, "y", ["x1", "x2"], entity="nation", time="yr", effects=effects,
+                              cluster=cluster)[None]
+
+
+@query
+def fe_one_way(spark, sf):
+    from pyspark.sql import types as T
+    f = _ny_fit(spark, sf, ("entity",))
+    df = _fit_rows(spark, f, extra={"nobs": (T.LongType(), lambda f: int(f.nobs)),
+                                    "r2_within": (T.DoubleType(), lambda f: f.r2_within)})
+    return _round_doubles(df.drop("se"))
+
+
+@query
+def fe_two_way(spark, sf):
+    from pyspark.sql import types as T
+    f = _ny_fit(spark, sf, ("entity", "time"))
+    df = _fit_rows(spark, f, extra={"nobs": (T.LongType(), lambda f: int(f.nobs)),
+                                    "r2_within": (T.DoubleType(), lambda f: f.r2_within)})
+    return _round_doubles(df.drop("se"))
+
+
+@query
+def cluster_se(spark, sf):
+    f = _ny_fit(spark, sf, ("entity", "time"), cluster="nation")
+    return _round_doubles(_fit_rows(spark, f))
+
+
+def _did_frame(spark, sf):
+    from panelforge.operators import features
+    ny = _nation_year(spark, sf)
+    d = features.median_split(ny, "nation", "x2", "treat")
+    return d
+
+
+@query
+def did_estimate(spark, sf):
+    from panelforge.operators import features
+    from panelforge.plans import regression
+    d = features.treatment_flags(_did_frame(spark, sf), "yr", 1998, treat="treat", post="post", interaction="did")
+    f = regression.fit_ols(d, "y", ["did", "treat", "post", "x1"], entity="nation", time="yr",
+                           cluster="nation", scale="dummies", dist="normal")[None]
+    return _round_doubles(_fit_rows(spark, f))
+
+
+@query
+def placebo_did(spark, sf):
+    from panelforge.operators import features
+    from panelforge.plans import regression
+    d = _did_frame(spark, sf).where(F.col("yr") < 1999)
+    d = features.treatment_flags(d, "yr", 1997, treat="treat", post="placebo_post", interaction="placebo_did")
+    f = regression.fit_ols(d, "y", ["placebo_did", "treat", "placebo_post", "x1"], entity="nation", time="yr",
+                           cluster="nation", scale="dummies", dist="normal")[None]
+    return _round_doubles(_fit_rows(spark, f))
+
+
+def _lineitem_reg(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", (F.col("l_extendedprice") / 1000).alias("price_k"),
+                     "l_quantity", "l_discount", "l_tax")
+
+
+@query
+def breusch_pagan(spark, sf):
+    from panelforge.plans import regression
+    r = regression.breusch_pagan(_lineitem_reg(spark, sf), "price_k", ["l_quantity", "l_discount"])
+    return _round_doubles(spark.createDataFrame(
+        [(float(r["lm_stat"]), float(r["lm_pvalue"]), float(r["f_stat"]), float(r["f_pvalue"]), int(r["nobs"]))],
+        "lm_stat double, lm_pvalue double, f_stat double, f_pvalue double, nobs long"))
+
+
+@query
+def vif(spark, sf):
+    from panelforge.plans import regression
+    rows = regression.vif(_lineitem_reg(spark, sf), ["l_quantity", "l_discount", "l_tax"])
+    return _round_doubles(spark.createDataFrame(rows, "variable string, vif double"))
+
+
+@query
+def residuals(spark, sf):
+    from panelforge.plans import regression
+    li = _lineitem_reg(spark, sf)
+    fit = regression.pooled_ols(li, "price_k", ["l_quantity", "l_discount"])
+    out = regression.fitted_and_resid(li, fit, "price_k", ["l_quantity", "l_discount"])
+    return _round_doubles(out.select("l_orderkey", "l_linenumber", "fitted", "resid"))

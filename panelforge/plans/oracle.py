@@ -477,4 +477,119 @@ def _r6_text(sql: str) -> str:
         i = k + 1
 
 
+
+# ---------------------------------------------------------------- regression
+
+def _fe2(base: str, y: str, x1: str, x2: str, ent: str, tim: str, two_way: bool) -> str:
+    """CTEs d (demeaned), s (moments), b (coefficients) for two regressors on a
+    balanced panel: two-way demeaning x - x_i. - x_.t + x_.. then Cramer's rule."""
+    def dm(c):
+        e = f"{c} - avg({c}) OVER (PARTITION BY {ent})"
+        if two_way:
+            e += f" - avg({c}) OVER (PARTITION BY {tim}) + avg({c}) OVER ()"
+        return e
+    return base + f""",
+d AS (SELECT {ent} AS ent, {tim} AS tim, {dm(y)} AS yd, {dm(x1)} AS x1d, {dm(x2)} AS x2d,
+        {y} - avg({y}) OVER (PARTITION BY {ent}) AS ye, {x1} - avg({x1}) OVER (PARTITION BY {ent}) AS x1e,
+        {x2} - avg({x2}) OVER (PARTITION BY {ent}) AS x2e FROM {base.split()[-1] if False else 'fe_in'}),
+s AS (SELECT count(*) AS n, count(DISTINCT ent) AS ne, count(DISTINCT tim) AS nt,
+        sum(x1d * x1d) AS s11, sum(x1d * x2d) AS s12, sum(x2d * x2d) AS s22, sum(x1d * yd) AS s1y, sum(x2d * yd) AS s2y,
+        sum(ye * ye) AS eyy, sum(x1e * x1e) AS e11, sum(x1e * x2e) AS e12, sum(x2e * x2e) AS e22,
+        sum(x1e * ye) AS e1y, sum(x2e * ye) AS e2y FROM d),
+b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+               (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s),
+r AS (SELECT *, 1 - (eyy - 2 * (b1 * e1y + b2 * e2y) + b1 * b1 * e11 + 2 * b1 * b2 * e12 + b2 * b2 * e22) / eyy AS r2w FROM b)"""
+
+
+def _cluster(scale: str) -> str:
+    return f""",
+sc AS (SELECT d.ent, sum(d.x1d * (d.yd - b.b1 * d.x1d - b.b2 * d.x2d)) AS g1,
+              sum(d.x2d * (d.yd - b.b1 * d.x1d - b.b2 * d.x2d)) AS g2 FROM d, b GROUP BY d.ent),
+m AS (SELECT sum(g1 * g1) AS m11, sum(g1 * g2) AS m12, sum(g2 * g2) AS m22, count(*) AS g FROM sc),
+v AS (SELECT r.*, m.*, r.s22 / (r.s11 * r.s22 - r.s12 * r.s12) AS i11, -r.s12 / (r.s11 * r.s22 - r.s12 * r.s12) AS i12,
+             r.s11 / (r.s11 * r.s22 - r.s12 * r.s12) AS i22, {scale} AS c FROM r, m),
+se AS (SELECT *, sqrt(c * (i11 * i11 * m11 + 2 * i11 * i12 * m12 + i12 * i12 * m22)) AS se1,
+                 sqrt(c * (i12 * i12 * m11 + 2 * i12 * i22 * m12 + i22 * i22 * m22)) AS se2 FROM v)"""
+
+
+_FE_IN = _NY + ",\nfe_in AS (SELECT * FROM ny)"
+
+SQL["fe_one_way"] = "WITH " + _fe2(_FE_IN, "y", "x1", "x2", "nation", "yr", False) + """
+SELECT 'x1' AS variable, round(b1, 6) AS coef, n AS nobs, round(r2w, 6) AS r2_within FROM r
+UNION ALL SELECT 'x2', round(b2, 6), n, round(r2w, 6) FROM r
+"""
+
+SQL["fe_two_way"] = "WITH " + _fe2(_FE_IN, "y", "x1", "x2", "nation", "yr", True) + """
+SELECT 'x1' AS variable, round(b1, 6) AS coef, n AS nobs, round(r2w, 6) AS r2_within FROM r
+UNION ALL SELECT 'x2', round(b2, 6), n, round(r2w, 6) FROM r
+"""
+
+SQL["cluster_se"] = ("WITH " + _fe2(_FE_IN, "y", "x1", "x2", "nation", "yr", True)
+                     + _cluster("CAST(r.n AS DOUBLE) / (r.n - 2 - (r.ne + r.nt - 1))") + """
+SELECT 'x1' AS variable, round(b1, 6) AS coef, round(se1, 6) AS se FROM se
+UNION ALL SELECT 'x2', round(b2, 6), round(se2, 6) FROM se
+""")
+
+_DID_BASE = _NY + """,
+dm AS (SELECT nation, median(x2) AS med FROM ny GROUP BY ALL),
+dmm AS (SELECT median(med) AS overall FROM dm),
+dd AS (SELECT ny.*, coalesce(CASE WHEN dm.med >= dmm.overall THEN 1.0 ELSE 0.0 END, 0.0)::DOUBLE AS treat
+       FROM ny LEFT JOIN dm USING (nation), dmm)"""
+
+
+def _did_sql(where: str, t0: int, names: tuple[str, str, str]) -> str:
+    inter, treat, post = names
+    base = _DID_BASE + f""",
+fe_in AS (SELECT *, treat * CASE WHEN yr >= {t0} THEN 1.0 ELSE 0.0 END AS di FROM dd WHERE {where})"""
+    k_full = "(1 + (r.ne - 1) + (r.nt - 1) + 4)"
+    scale = f"(CAST(m.g AS DOUBLE) / (m.g - 1)) * (CAST(r.n AS DOUBLE) - 1) / (r.n - {k_full})"
+    return ("WITH " + _fe2(base, "y", "di", "x1", "nation", "yr", True) + _cluster(scale) + f"""
+SELECT '{inter}' AS variable, round(b1, 6) AS coef, round(se1, 6) AS se FROM se
+UNION ALL SELECT '{treat}', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+UNION ALL SELECT '{post}', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+UNION ALL SELECT 'x1', round(b2, 6), round(se2, 6) FROM se
+""")
+
+
+SQL["did_estimate"] = _did_sql("TRUE", 1998, ("did", "treat", "post"))
+SQL["placebo_did"] = _did_sql("yr < 1999", 1997, ("placebo_did", "treat", "placebo_post"))
+
+_LI = """li AS (SELECT l_orderkey, l_linenumber, l_extendedprice / 1000 AS y, l_quantity AS x1, l_discount AS x2,
+                  l_tax AS x3 FROM lineitem),
+mo AS (SELECT avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2 FROM li),
+cs AS (SELECT count(*) AS n, sum((x1 - m1) * (x1 - m1)) AS s11, sum((x1 - m1) * (x2 - m2)) AS s12,
+              sum((x2 - m2) * (x2 - m2)) AS s22, sum((x1 - m1) * (y - my)) AS s1y, sum((x2 - m2) * (y - my)) AS s2y
+       FROM li, mo),
+co AS (SELECT cs.*, mo.*, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+              (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM cs, mo),
+fit AS (SELECT li.*, (co.my - co.b1 * co.m1 - co.b2 * co.m2) + co.b1 * li.x1 + co.b2 * li.x2 AS fitted FROM li, co)"""
+
+SQL["residuals"] = "WITH " + _LI + """
+SELECT l_orderkey, l_linenumber, round(fitted, 6) AS fitted, round(y - fitted, 6) AS resid FROM fit
+"""
+
+SQL["breusch_pagan"] = "WITH " + _LI + """,
+u AS (SELECT x1, x2, (y - fitted) * (y - fitted) AS u FROM fit),
+um AS (SELECT avg(u) AS mu, avg(x1) AS a1, avg(x2) AS a2 FROM u),
+us AS (SELECT count(*) AS n, sum((x1 - a1) * (x1 - a1)) AS s11, sum((x1 - a1) * (x2 - a2)) AS s12,
+              sum((x2 - a2) * (x2 - a2)) AS s22, sum((x1 - a1) * (u - mu)) AS s1u, sum((x2 - a2) * (u - mu)) AS s2u,
+              sum((u - mu) * (u - mu)) AS suu FROM u, um),
+aux AS (SELECT *, (s22 * s1u - s12 * s2u) / (s11 * s22 - s12 * s12) AS c1,
+               (s11 * s2u - s12 * s1u) / (s11 * s22 - s12 * s12) AS c2 FROM us),
+st AS (SELECT n, (c1 * s1u + c2 * s2u) / suu AS r2 FROM aux),
+fs AS (SELECT n, r2, n * r2 AS lm, (r2 / 2) / ((1 - r2) / (n - 3)) AS f FROM st)
+SELECT round(lm, 6) AS lm_stat, round(exp(-lm / 2), 6) AS lm_pvalue, round(f, 6) AS f_stat,
+       round(pow(1 + 2 * f / (n - 3), -(n - 3) / 2.0), 6) AS f_pvalue, n AS nobs FROM fs
+"""
+
+SQL["vif"] = """
+WITH g AS (SELECT sum(l_quantity * l_quantity) AS a, sum(l_quantity * l_discount) AS b, sum(l_quantity * l_tax) AS c,
+                  sum(l_discount * l_discount) AS d, sum(l_discount * l_tax) AS e, sum(l_tax * l_tax) AS f FROM lineitem),
+det AS (SELECT *, a * (d * f - e * e) - b * (b * f - e * c) + c * (b * e - d * c) AS dt FROM g)
+SELECT 'l_quantity' AS variable, round(a * (d * f - e * e) / dt, 6) AS vif FROM det
+UNION ALL SELECT 'l_discount', round(d * (a * f - c * c) / dt, 6) FROM det
+UNION ALL SELECT 'l_tax', round(f * (a * d - b * b) / dt, 6) FROM det
+"""
+
+
 SQL = {k: _r6_text(v) for k, v in SQL.items()}
