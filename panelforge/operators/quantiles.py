@@ -27,7 +27,7 @@ from panelforge.session import ensure_checkpoint_dir
 
 # Above this many interpolation-rank rows the pick step uses a shuffle join
 # instead of a broadcast one.
-BROADCAST_TARGET_ROWS = 2_000_000
+BROADCAST_TARGET_ROWS = 200_000
 
 
 def _qname(i: int) -> str:
@@ -60,8 +60,10 @@ def grouped_quantiles(df: DataFrame, value: Column | str, groups: Sequence[str],
     return _sorted_quantiles(base, groups, probs, names, num_partitions)
 
 
-def _sorted_quantiles(base: DataFrame, groups: list[str], probs: list[float],
-                      names: list[str], num_partitions: int | None) -> DataFrame:
+def _sorted_blocks(base: DataFrame, groups: list[str], num_partitions: int | None):
+    """Range-partition and sort ``base`` by (groups, _v); return the frozen
+    sorted rows (with partition id and position) and the per (partition, group)
+    blocks with their starting rank and the group size."""
     spark = base.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -69,7 +71,7 @@ def _sorted_quantiles(base: DataFrame, groups: list[str], probs: list[float],
     srt = (base.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_idx", F.monotonically_increasing_id()))
-    # Positions must not change between the two uses below: freeze them in the
+    # Positions must not change between the uses below: freeze them in the
     # shared checkpoint folder (also cuts the lineage for executor loss).
     srt = srt.checkpoint(eager=True)
 
@@ -81,6 +83,34 @@ def _sorted_quantiles(base: DataFrame, groups: list[str], probs: list[float],
         "_start": F.coalesce(F.sum("_c").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         "_n": F.sum("_c").over(Window.partitionBy(*gk)),
     })
+    return srt, blocks
+
+
+def with_group_rank(df: DataFrame, value: str, groups: Sequence[str] = (),
+                    num_partitions: int | None = None, rank: str = "rank", size: str = "n") -> DataFrame:
+    """Rows with a non-null ``value`` plus their 0-based rank within the group
+    (ascending ``value``) and the group size, without gathering any group in
+    one task: a block table (one row per partition and group) carries each
+    block's starting rank."""
+    groups = list(groups)
+    base = df.withColumn("_v", F.col(value).cast("double")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    srt, blocks = _sorted_blocks(base, groups, num_partitions)
+    b = blocks.select(*[F.col(g).alias(f"_bg{i}") for i, g in enumerate(groups)],
+                      F.col("_pid").alias("_bpid"), "_i0", "_start", "_n")
+    cond = F.col("_pid") == F.col("_bpid")
+    for i, g in enumerate(groups):
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_bg{i}"))
+    n_blocks = blocks.count()
+    side = F.broadcast(b) if n_blocks <= BROADCAST_TARGET_ROWS else b
+    out = srt.join(side, on=cond).withColumn(rank, F.col("_start") + F.col("_idx") - F.col("_i0"))
+    out = out.withColumn(size, F.col("_n"))
+    return out.drop("_v", "_pid", "_idx", "_bpid", "_i0", "_start", "_n",
+                    *[f"_bg{i}" for i in range(len(groups))])
+
+
+def _sorted_quantiles(base: DataFrame, groups: list[str], probs: list[float],
+                      names: list[str], num_partitions: int | None) -> DataFrame:
+    srt, blocks = _sorted_blocks(base, groups, num_partitions)
     # Interpolation ranks per group: lo = floor((n-1)p), hi = ceil((n-1)p).
     rank_rows = F.explode(F.array(*[
         F.struct(F.lit(i).alias("_qi"), F.lit(side).alias("_side"),
