@@ -124,7 +124,7 @@ def dataset_rules(columns: Sequence[str], dataset_name: str) -> ResolvedRule:
 # --------------------------------------------------------------------------
 
 def fence_flag(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str] = (),
-               k: float = FENCE_K, null_groups: str = "group", method: str = "sorted",
+               k: float = FENCE_K, null_groups: str = "group", method: str = "auto",
                flag: str = "_keep", bounds_from: Column | None = None) -> DataFrame:
     """Add boolean ``flag``: the row passes the k*IQR fence on every value column.
 
@@ -172,7 +172,7 @@ def fence_flag(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[st
 
 
 def iqr_fence(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str] = (),
-              k: float = FENCE_K, null_groups: str = "group", method: str = "sorted") -> DataFrame:
+              k: float = FENCE_K, null_groups: str = "group", method: str = "auto") -> DataFrame:
     """Rows that pass the grouped (or, with no groups, global) k*IQR fence."""
     flagged = fence_flag(df, value_cols, group_cols, k, null_groups, method)
     return flagged.where(F.col("_keep")).drop("_keep")
@@ -188,7 +188,7 @@ AUDIT_SCHEMA = ("source_name string, output_name string, rows_in long, rows_afte
 
 
 def clean_flags(df: DataFrame, dataset_name: str, rule: ResolvedRule | None = None,
-                method: str = "sorted") -> tuple[DataFrame, ResolvedRule]:
+                method: str = "auto") -> tuple[DataFrame, ResolvedRule]:
     """Flag columns ``_req`` (required fields present) and ``_keep`` (required and
     inside the fence).  Fence bounds use only rows that pass ``_req``."""
     rule = rule or dataset_rules(df.columns, dataset_name)
@@ -221,7 +221,7 @@ def audit_row(flagged: DataFrame, rule: ResolvedRule, source_name: str, output_n
 
 
 def clean_dataset(df: DataFrame, dataset_name: str, output_name: str | None = None,
-                  method: str = "sorted") -> tuple[DataFrame, DataFrame]:
+                  method: str = "auto") -> tuple[DataFrame, DataFrame]:
     """(cleaned rows, one-row audit).  Both derive from one flagged plan, so a
     write of the cleaned rows plus the audit share the scan and fence."""
     flagged, rule = clean_flags(df, dataset_name, method=method)

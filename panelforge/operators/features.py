@@ -48,11 +48,22 @@ def inf_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                            for c in cols})
 
 
-def median_split(df: DataFrame, entity: str, value: str, out: str, method: str = "sorted") -> DataFrame:
+def median_split(df: DataFrame, entity: str, value: str, out: str, method: str = "auto") -> DataFrame:
     """``out`` = 1.0 if the entity's median of ``value`` is >= the median of
-    all entity medians, else 0.0 (also 0.0 for an entity without a median)."""
+    all entity medians, else 0.0 (also 0.0 for an entity without a median).
+
+    With ``method='auto'`` one profiling pass sizes both levels: the per-entity
+    level by the largest entity's distinct values, the median of medians by
+    the number of entities (its only group holds one value per entity)."""
+    from panelforge.operators.quantiles import HASH_DISTINCT_LIMIT, choose_method
+    m2 = method
+    if method == "auto":
+        v = F.col(value).cast("double")
+        probe = df.select(entity, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+        method, n_entities = choose_method(probe, [entity])
+        m2 = "hash" if n_entities <= HASH_DISTINCT_LIMIT else "sorted"
     per = grouped_quantiles(df, value, [entity], [0.5], method=method, out_names=["_m"])
-    overall = grouped_quantiles(per, "_m", [], [0.5], method=method, out_names=["_mm"])
+    overall = grouped_quantiles(per, "_m", [], [0.5], method=m2, out_names=["_mm"])
     # one row of overall median: attach it to the per-entity table (small)
     flags = per.crossJoin(F.broadcast(overall)).select(
         entity, F.coalesce((F.col("_m") >= F.col("_mm")).cast("double"), F.lit(0.0)).alias(out))

@@ -1,7 +1,7 @@
 """Grouped quantiles with linear interpolation (pandas ``quantile`` /
 DuckDB ``quantile_cont`` / Spark ``percentile`` semantics).
 
-Three strategies, same numbers for the exact ones:
+Three strategies, same numbers for the exact ones, plus ``"auto"``:
 
 * ``"sorted"`` (default) - exact and skew-safe.  Values are range-partitioned
   and sorted by (group, value), so a hot group is spread over many tasks.
@@ -13,6 +13,11 @@ Three strategies, same numbers for the exact ones:
   so it suits groups of bounded cardinality only.
 * ``"approx"`` - ``percentile_approx`` (bounded-memory sketch), relative rank
   error about 1/accuracy.
+* ``"auto"`` (default) - one cheap pass estimates the distinct values of the
+  largest group (HyperLogLog, bounded memory).  Under ``HASH_DISTINCT_LIMIT``
+  the exact hash aggregate is safe and used; above it the sorted strategy.
+  A group that holds a third of all rows but few distinct values stays on the
+  fast path; one with many distinct values goes to the sorted one.
 """
 
 from __future__ import annotations
@@ -28,6 +33,23 @@ from panelforge.session import ensure_checkpoint_dir
 # Above this many interpolation-rank rows the pick step uses a shuffle join
 # instead of a broadcast one.
 BROADCAST_TARGET_ROWS = 200_000
+# Largest per-group distinct-value count for which the exact hash aggregate's
+# final value->count map (one task per group) is considered safe.
+HASH_DISTINCT_LIMIT = 1_000_000
+
+
+def group_profile(base: DataFrame, groups: Sequence[str], value: str = "_v") -> tuple[int, int]:
+    """(estimated distinct values of the largest group, number of groups) in
+    one bounded-memory aggregation."""
+    row = base.groupBy(*groups).agg(F.approx_count_distinct(value, 0.05).alias("_d")).agg(
+        F.max("_d").alias("_m"), F.count(F.lit(1)).alias("_g")).first()
+    return int(row["_m"] or 0), int(row["_g"] or 0)
+
+
+def choose_method(base: DataFrame, groups: Sequence[str], value: str = "_v") -> tuple[str, int]:
+    """('hash' or 'sorted', number of groups)."""
+    mx, n_groups = group_profile(base, groups, value)
+    return ("hash" if mx <= HASH_DISTINCT_LIMIT else "sorted"), n_groups
 
 
 def _qname(i: int) -> str:
@@ -35,7 +57,7 @@ def _qname(i: int) -> str:
 
 
 def grouped_quantiles(df: DataFrame, value: Column | str, groups: Sequence[str],
-                      probs: Sequence[float], method: str = "sorted",
+                      probs: Sequence[float], method: str = "auto",
                       accuracy: int = 10000, out_names: Sequence[str] | None = None,
                       num_partitions: int | None = None) -> DataFrame:
     """One row per group that has at least one non-null value:
@@ -48,6 +70,8 @@ def grouped_quantiles(df: DataFrame, value: Column | str, groups: Sequence[str],
     base = df.select(*[F.col(g) for g in groups], v.cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
 
+    if method == "auto":
+        method, _ = choose_method(base, groups)
     if method == "hash":
         agg = base.groupBy(*groups).agg(F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_qs"))
         return agg.select(*groups, *[F.col("_qs")[i].alias(n) for i, n in enumerate(names)])

@@ -53,7 +53,7 @@ def topk_counts(df: DataFrame, col: str, k: int, drop_null: bool = True) -> Data
 
 
 def boxplot_stats(df: DataFrame, group: str, value: str, whis: float = 1.5,
-                  method: str = "sorted") -> DataFrame:
+                  method: str = "auto") -> DataFrame:
     """Per group: n, q1, median, q3, whiskers (most extreme data inside
     q1 - whis*iqr / q3 + whis*iqr, never inside the box) and outlier count."""
     src = df.where(F.col(value).isNotNull() & ~F.isnan(value))

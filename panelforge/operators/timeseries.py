@@ -46,11 +46,14 @@ def interpolate_linear(df: DataFrame, key, order: str, col: str, out: str | None
     w = Window.partitionBy(*keys).orderBy(order)
     pos = F.row_number().over(w)
     d = df.withColumn("_i", pos).withColumn("_iv", F.when(F.col(col).isNotNull(), F.col("_i")))
+    # both directions as running frames (linear); a frame reaching to the end
+    # of the series would be re-aggregated for every row
     back = w.rowsBetween(Window.unboundedPreceding, 0)
-    fwd = w.rowsBetween(0, Window.unboundedFollowing)
+    ahead = Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumns({
-        "_y0": F.last(col, ignorenulls=True).over(back), "_i0": F.last("_iv", ignorenulls=True).over(back),
-        "_y1": F.first(col, ignorenulls=True).over(fwd), "_i1": F.first("_iv", ignorenulls=True).over(fwd)})
+        "_y0": F.last(col, ignorenulls=True).over(back), "_i0": F.last("_iv", ignorenulls=True).over(back)})
+    d = d.withColumns({
+        "_y1": F.last(col, ignorenulls=True).over(ahead), "_i1": F.last("_iv", ignorenulls=True).over(ahead)})
     val = (F.when(F.col(col).isNotNull(), F.col(col))
            .when(F.col("_y0").isNull(), F.lit(None))
            .when(F.col("_y1").isNull(), F.col("_y0"))

@@ -38,7 +38,7 @@ class PanelSpec:
 
 def engineer_panel(indicators_long: DataFrame, flows_long: DataFrame, crosswalk: DataFrame,
                    spec: PanelSpec, crosswalk_cols: tuple[str, str] = ("iso3", "iso2"),
-                   quantile_method: str = "sorted") -> DataFrame:
+                   quantile_method: str = "auto") -> DataFrame:
     """indicators_long: (entity, time, indicator, value) annual observations;
     flows_long: (area, date, flow, value) monthly observations;
     crosswalk: entity code -> area code.  Returns the engineered panel."""
