@@ -137,3 +137,8 @@ def position_order(df: DataFrame, col: str, names: Sequence[str], out: str = "_o
     """Add the position of ``col`` in a literal list (unknown -> after the list)."""
     m = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
     return df.withColumn(out, F.coalesce(F.try_element_at(m, F.col(col)), F.lit(len(names))))
+
+
+def sort_all_nulls_last(df: DataFrame) -> DataFrame:
+    """Order by every column, ascending, nulls last (a range-partitioned sort)."""
+    return df.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in df.columns])

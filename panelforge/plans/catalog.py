@@ -754,3 +754,78 @@ def robustness_grid(spark, sf):
     from panelforge.plans.regression import _f
     return spark.createDataFrame([(a, b, _f(c), _f(d), e) for a, b, c, d, e in rows],
                                  "check string, variable string, coef double, p_value double, nobs double")
+
+
+# ---------------------------------------------------------------- stage compositions
+
+def _dated_orders(spark, sf):
+    od = read_table(spark, sf, "orders")
+    return od.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("TIME_PERIOD"), "o_totalprice",
+                     F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("fetched_at_utc"))
+
+
+@query
+def date_columns_standardize(spark, sf):
+    from panelforge.operators import dates
+    out, _ = dates.standardize_date_columns(_dated_orders(spark, sf))
+    return out
+
+
+@query
+def date_harmonize(spark, sf):
+    from panelforge.operators import dates
+    std, _ = dates.standardize_date_columns(_dated_orders(spark, sf))
+    out, _ = dates.harmonize_date_column(std)
+    return out
+
+
+@query
+def final_panel_merge(spark, sf):
+    from panelforge.operators import reshape
+    from panelforge.plans.pipeline_stages import final_panel
+    docs = read_table(spark, sf, "documents").select("lang", "source")
+    od = read_table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority")
+    ev = read_table(spark, sf, "events").select(F.lit(None).cast("string").alias("obs_status"))
+    panel, _ = final_panel(reshape.union_by_name([docs, od, ev]))
+    return panel
+
+
+@query
+def dictionary_datasets(spark, sf):
+    listing = dictionary_listing(spark, sf)
+    return listing.groupBy("dataset").agg(F.min_by("source", "variable").alias("source"),
+                                          F.max("rows_total").alias("rows_total")).orderBy("dataset")
+
+
+@query
+def distinct_keys(spark, sf):
+    from panelforge.operators import profile
+    return profile.distinct_sorted(read_table(spark, sf, "events"), ["event_type"])
+
+
+def _sparse_union(spark, sf):
+    from panelforge.operators import reshape
+    ev = read_table(spark, sf, "events").select(
+        F.date_format("ts", "yyyy-MM").alias("time_period"), F.col("user_id").cast("string").alias("ref_area"),
+        F.col("event_type").alias("flow_breakdown"), F.col("value").cast("string").alias("obs_value"),
+        F.lit("units").alias("unit_measure"))
+    od = read_table(spark, sf, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        (F.col("o_totalprice") / 1000).alias("cpi_all_items"),
+        F.when(F.col("o_orderstatus") != "F", F.length("o_orderpriority").cast("double")).alias("policy_rate"),
+        F.col("o_custkey").cast("double").alias("industrial_production"))
+    return reshape.union_by_name([od, ev])
+
+
+@query
+def energy_block(spark, sf):
+    from panelforge.plans.pipeline_stages import analysis_blocks
+    _, energy = analysis_blocks(_sparse_union(spark, sf))
+    return energy
+
+
+@query
+def macro_block(spark, sf):
+    from panelforge.plans.pipeline_stages import analysis_blocks
+    macro, _ = analysis_blocks(_sparse_union(spark, sf))
+    return _round_doubles(macro)

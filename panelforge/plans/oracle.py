@@ -592,4 +592,47 @@ UNION ALL SELECT 'l_tax', round(f * (a * d - b * b) / dt, 6) FROM det
 """
 
 
+
+# ---------------------------------------------------------------- stage compositions
+
+_DATED = """d AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS tp, o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S+00:00') AS fa FROM orders)"""
+_FA = """COALESCE(strftime(try_strptime(fa, '%Y-%m-%dT%H:%M:%S%z'), '%Y-%m-%d'),
+         strftime(TRY_CAST(fa AS TIMESTAMP), '%Y-%m-%d'), fa)"""
+
+SQL["date_columns_standardize"] = ("WITH " + _DATED + "\nSELECT o_orderkey, " + _STD.format(x="trim(tp)")
+                                   + " AS TIME_PERIOD, o_totalprice, " + _FA + " AS fetched_at_utc FROM d")
+
+SQL["date_harmonize"] = ("WITH " + _DATED + "\nSELECT " + _STD.format(x="trim(tp)")
+                         + " AS date, o_orderkey, o_totalprice, " + _FA + " AS fetched_date FROM d")
+
+SQL["final_panel_merge"] = """
+SELECT DISTINCT * FROM (
+  SELECT lang, source, CAST(NULL AS VARCHAR) AS o_orderstatus, CAST(NULL AS VARCHAR) AS o_orderpriority FROM documents
+  UNION ALL SELECT NULL, NULL, o_orderstatus, o_orderpriority FROM orders)
+"""
+
+SQL["dictionary_datasets"] = """
+SELECT 'customer' AS dataset, 'JODI' AS source, count(*) AS rows_total FROM customer
+UNION ALL SELECT 'part', 'JODI', count(*) FROM part
+UNION ALL SELECT 'supplier', 'JODI', count(*) FROM supplier
+ORDER BY dataset
+"""
+
+SQL["distinct_keys"] = "SELECT DISTINCT event_type FROM events ORDER BY event_type"
+
+SQL["energy_block"] = """
+SELECT strftime(ts, '%Y-%m') AS time_period, CAST(user_id AS VARCHAR) AS ref_area, event_type AS flow_breakdown,
+       value AS obs_value, 'units' AS unit_measure, CAST(try_strptime(strftime(ts, '%Y-%m'), '%Y-%m') AS DATE) AS time
+FROM events WHERE value IS NOT NULL
+"""
+
+SQL["macro_block"] = """
+SELECT CAST(o_orderdate AS DATE) AS date, round(o_totalprice / 1000, 6) AS cpi_all_items,
+       round(CAST(length(o_orderpriority) AS DOUBLE), 6) AS policy_rate,
+       round(CAST(o_custkey AS DOUBLE), 6) AS industrial_production
+FROM orders WHERE o_orderstatus <> 'F'
+"""
+
+
 SQL = {k: _r6_text(v) for k, v in SQL.items()}
