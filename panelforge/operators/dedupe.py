@@ -24,17 +24,28 @@ def _hashed(df: DataFrame, id_col: str, content: str | Sequence[str]) -> DataFra
     return df.withColumn("content_hash", F.sha2(body.cast("string"), 256))
 
 
+def hash_table(df: DataFrame, id_col: str, content: str | Sequence[str]) -> DataFrame:
+    """Narrow (content_hash, id) table, computed once: the content is read and
+    hashed in one pass and the result frozen in the shared checkpoint folder,
+    so the later aggregation and join do not read the content again."""
+    from panelforge.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return _hashed(df, id_col, content).select("content_hash", id_col).checkpoint(eager=True)
+
+
 def content_duplicates(df: DataFrame, id_col: str, content: str | Sequence[str]) -> DataFrame:
     """(content_hash, kept, removed): for every group of identical content the
     smallest id is kept, every other id is reported (nothing is deleted)."""
-    h = _hashed(df, id_col, content).select("content_hash", id_col)
+    h = hash_table(df, id_col, content)
     kept = h.groupBy("content_hash").agg(F.min(id_col).alias("kept"))
     return (h.join(kept, on="content_hash").where(F.col(id_col) != F.col("kept"))
             .select("content_hash", "kept", F.col(id_col).alias("removed")))
 
 
 def dedupe_by_content(df: DataFrame, id_col: str, content: str | Sequence[str]) -> DataFrame:
-    """Rows whose id is the smallest among rows with identical content."""
-    h = _hashed(df, id_col, content)
-    kept = h.groupBy("content_hash").agg(F.min(id_col).alias(id_col))
-    return h.join(kept, on=["content_hash", id_col], how="left_semi").drop("content_hash")
+    """Rows whose id is the smallest among rows with identical content.  The
+    kept ids come from the hash table; the final semi join is on the id (a
+    unique key, so no hot key) and reads the full rows once."""
+    h = hash_table(df, id_col, content)
+    kept = h.groupBy("content_hash").agg(F.min(id_col).alias(id_col)).select(id_col)
+    return df.join(kept, on=id_col, how="left_semi")
