@@ -642,7 +642,7 @@ MODEL_B_REGS = ["did_interaction", "high_energy_dependence", "post_treatment", "
 
 def _frozen_panel(spark, sf):
     """The engineered panel written to the shared checkpoint folder once, so
-    several fits reuse it without recomputing the joins and pivots."""
+    several fits reuse it without recomputing the windows and median split."""
     return engineered_panel(spark, sf).checkpoint(eager=True)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.coerce import coerce_double
 from panelforge.operators import clean, features, reshape
+from panelforge.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -38,7 +39,7 @@ class PanelSpec:
 
 def engineer_panel(indicators_long: DataFrame, flows_long: DataFrame, crosswalk: DataFrame,
                    spec: PanelSpec, crosswalk_cols: tuple[str, str] = ("iso3", "iso2"),
-                   quantile_method: str = "auto") -> DataFrame:
+                   quantile_method: str = "auto", freeze: bool = True) -> DataFrame:
     """indicators_long: (entity, time, indicator, value) annual observations;
     flows_long: (area, date, flow, value) monthly observations;
     crosswalk: entity code -> area code.  Returns the engineered panel."""
@@ -60,6 +61,12 @@ def engineer_panel(indicators_long: DataFrame, flows_long: DataFrame, crosswalk:
     fwide = reshape.pivot_mean(annual, [s.area, s.time], "flow", list(s.flows), "value", names=dict(s.flows))
 
     p = reshape.panel_join(wide, fwide, [s.area, s.time])
+    if freeze:
+        # entity x year is small at any scale: freeze it here so the
+        # median-split profiling, the windows and later fits do not recompute
+        # the joins and pivots over the observation tables
+        ensure_checkpoint_dir(p.sparkSession)
+        p = p.checkpoint(eager=True)
     for out, src in s.growth.items():
         p = features.pct_change(p, s.entity, s.time, src, out)
     name, a, b = s.openness
