@@ -28,15 +28,28 @@ def shift(df: DataFrame, col: str, k: int, order: str, key=None, out: str | None
     return df.withColumn(out or f"{col}_shift{k}", F.lag(col, k).over(w))
 
 
-def densify_monthly(df: DataFrame, key, date_col: str, value_cols: Sequence[str]) -> DataFrame:
-    """One row per series and month between the series' first and last month;
-    months without data get null values.  Input: at most one row per month."""
+def densify_monthly(df: DataFrame, key, date_col: str, value_cols: Sequence[str],
+                    span: str = "per_key", fill=None) -> DataFrame:
+    """One row per series and month between the first and last month (of the
+    series with ``span='per_key'``, of all data with ``span='global'``, which
+    gives a balanced panel); months without data get null values, or ``fill``.
+    Input: at most one row per series and month."""
     keys = _keys(key)
     month = F.trunc(F.col(date_col), "month")
     src = df.select(*keys, month.alias(date_col), *value_cols)
-    span = src.groupBy(*keys).agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi"))
-    grid = span.select(*keys, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH"))).alias(date_col))
-    return grid.join(src, on=keys + [date_col], how="left")
+    step = F.expr("INTERVAL 1 MONTH")
+    if span == "global":
+        # two scalars (first and last month) read once; every key gets the same calendar
+        lo, hi = src.agg(F.min(date_col), F.max(date_col)).first()
+        grid = src.select(*keys).distinct().select(
+            *keys, F.explode(F.sequence(F.lit(lo), F.lit(hi), step)).alias(date_col))
+    else:
+        sp = src.groupBy(*keys).agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi"))
+        grid = sp.select(*keys, F.explode(F.sequence("_lo", "_hi", step)).alias(date_col))
+    out = grid.join(src, on=keys + [date_col], how="left")
+    if fill is not None:
+        out = out.fillna(fill, subset=list(value_cols))
+    return out
 
 
 def interpolate_linear(df: DataFrame, key, order: str, col: str, out: str | None = None) -> DataFrame:

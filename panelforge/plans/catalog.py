@@ -829,3 +829,21 @@ def macro_block(spark, sf):
     from panelforge.plans.pipeline_stages import analysis_blocks
     macro, _ = analysis_blocks(_sparse_union(spark, sf))
     return _round_doubles(macro)
+
+
+@query
+def fe_two_way_monthly(spark, sf):
+    """Two-way FE on nation x month (80 periods: absorbed by alternating
+    projections); months without orders count as zero."""
+    from pyspark.sql import types as T
+    from panelforge.operators import timeseries
+    from panelforge.plans import regression
+    on = _orders_nation(spark, sf)
+    nm = on.groupBy("nation", F.trunc(F.to_date("o_orderdate"), "month").alias("month")).agg(
+        (F.sum("o_totalprice") / 1e6).alias("y"), (F.count(F.lit(1)).cast("double") / 100).alias("x1"),
+        (F.count_if(F.col("o_orderstatus") == "F").cast("double") / 100).alias("x2"))
+    panel = timeseries.densify_monthly(nm, "nation", "month", ["y", "x1", "x2"], span="global", fill=0.0)
+    f = regression.fit_ols(panel, "y", ["x1", "x2"], entity="nation", time="month", cluster="nation")[None]
+    df = _fit_rows(spark, f, extra={"nobs": (T.LongType(), lambda f: int(f.nobs)),
+                                    "r2_within": (T.DoubleType(), lambda f: f.r2_within)})
+    return _round_doubles(df)

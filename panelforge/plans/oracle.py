@@ -635,4 +635,21 @@ FROM orders WHERE o_orderstatus <> 'F'
 """
 
 
+
+_NMF = _ON + """,
+nm0 AS (SELECT nation, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, sum(o_totalprice) / 1e6 AS y,
+               CAST(count(*) AS DOUBLE) / 100 AS x1, CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) / 100 AS x2
+        FROM on_ GROUP BY ALL),
+cal AS (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM nm0),
+grid AS (SELECT n.nation, cal.month FROM (SELECT DISTINCT nation FROM nm0) n, cal),
+fe_in AS (SELECT g.nation, g.month, coalesce(nm0.y, 0.0) AS y, coalesce(nm0.x1, 0.0) AS x1, coalesce(nm0.x2, 0.0) AS x2
+          FROM grid g LEFT JOIN nm0 USING (nation, month))"""
+
+SQL["fe_two_way_monthly"] = ("WITH " + _fe2(_NMF, "y", "x1", "x2", "nation", "month", True)
+                             + _cluster("CAST(r.n AS DOUBLE) / (r.n - 2 - (r.ne + r.nt - 1))") + """
+SELECT 'x1' AS variable, round(b1, 6) AS coef, round(se1, 6) AS se, n AS nobs, round(r2w, 6) AS r2_within FROM se
+UNION ALL SELECT 'x2', round(b2, 6), round(se2, 6), n, round(r2w, 6) FROM se
+""")
+
+
 SQL = {k: _r6_text(v) for k, v in SQL.items()}
