@@ -847,3 +847,11 @@ def fe_two_way_monthly(spark, sf):
     df = _fit_rows(spark, f, extra={"nobs": (T.LongType(), lambda f: int(f.nobs)),
                                     "r2_within": (T.DoubleType(), lambda f: f.r2_within)})
     return _round_doubles(df)
+
+
+@query
+def iqr_fence_skewsafe(spark, sf):
+    """The grouped fence through the sorted (skew-safe) quantile strategy:
+    same rows as ``iqr_fence_grouped``."""
+    ev = read_table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    return clean.iqr_fence(ev, ["value"], ["event_type"], method="sorted")

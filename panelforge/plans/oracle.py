@@ -652,4 +652,7 @@ UNION ALL SELECT 'x2', round(b2, 6), round(se2, 6), n, round(r2w, 6) FROM se
 """)
 
 
+SQL["iqr_fence_skewsafe"] = SQL["iqr_fence_grouped"]
+
+
 SQL = {k: _r6_text(v) for k, v in SQL.items()}

@@ -113,3 +113,26 @@ def test_empty_columns_and_rows(spark):
     cc = clean.complete_cases(spark.createDataFrame([(1.0, float("inf")), (2.0, 3.0), (float("nan"), 1.0)],
                                                     "x double, y double"), ["x", "y"])
     assert cc.collect() == [(2.0, 3.0)]
+
+
+def test_hot_group_is_split_across_partitions(spark):
+    """A group with most of the rows spans many range partitions in the sorted
+    strategy, and its quantiles are still exact."""
+    rng = np.random.default_rng(21)
+    hot = rng.normal(size=5000)
+    rows = [("hot", float(x)) for x in hot] + [("cold", float(x)) for x in rng.normal(size=50)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    base = df.withColumnRenamed("v", "_v")
+    srt, blocks = quantiles._sorted_blocks(base, ["g"], 8)
+    assert blocks.where("g = 'hot'").count() >= 4
+    q = {r.g: (r.q1, r.med) for r in quantiles.grouped_quantiles(
+        df, "v", ["g"], [0.25, 0.5], method="sorted", out_names=["q1", "med"], num_partitions=8).collect()}
+    assert q["hot"] == pytest.approx((np.percentile(hot, 25), np.percentile(hot, 50)), abs=1e-12)
+
+
+def test_auto_picks_sorted_above_limit(spark, monkeypatch):
+    df = spark.createDataFrame([("a", float(i)) for i in range(100)], "g string, v double")
+    monkeypatch.setattr(quantiles, "HASH_DISTINCT_LIMIT", 10)
+    assert quantiles.choose_method(df.withColumnRenamed("v", "_v"), ["g"])[0] == "sorted"
+    got = quantiles.grouped_quantiles(df, "v", ["g"], [0.5], out_names=["m"]).first().m
+    assert got == 49.5
