@@ -79,10 +79,17 @@ def timestamp_to_date_text(c) -> Column:
     s = _c(c).cast("string")
     with_offset = F.try_to_timestamp(s, F.lit(OFFSET_TIMESTAMP))
     plain = F.coalesce(*[F.try_to_timestamp(F.trim(s), F.lit(f)) for f in PLAIN_TIMESTAMPS])
-    return F.coalesce(F.date_format(with_offset, "yyyy-MM-dd"),
+    return F.coalesce(F.date_format(utc_wall_clock(with_offset), "yyyy-MM-dd"),
                       F.date_format(plain, "yyyy-MM-dd"), s)
 
 
+def utc_wall_clock(ts) -> Column:
+    """An instant as its UTC wall-clock time (timestamp_ntz), whatever the
+    session time zone."""
+    ts = _c(ts)
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+
+
 def year_of(c) -> Column:
     return F.year(_c(c))
 

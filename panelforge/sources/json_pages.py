@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.functions.coerce import utc_wall_clock
+
 RECORD_SCHEMA = ("array<struct<countryiso3code: string, country: struct<value: string>, date: string, "
                  "value: string, obs_status: string, decimal: string>>")
 
@@ -27,7 +29,7 @@ def flatten_pages(pages: DataFrame, text_col: str, indicator_id: str, indicator_
         F.coalesce(F.col("r.value"), F.lit("")).alias("value"),
         F.coalesce(F.col("r.obs_status"), F.lit("")).alias("obs_status"),
         F.coalesce(F.col("r.decimal"), F.lit("")).alias("decimal"),
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX").alias("fetched_at_utc"))
+        F.date_format(utc_wall_clock(ts), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("fetched_at_utc"))
 
 
 def page_count(pages: DataFrame, text_col: str) -> DataFrame:

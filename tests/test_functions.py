@@ -54,3 +54,15 @@ def test_lower_names_collision(spark):
     with pytest.raises(ValueError):
         columns.lower_names(df)
     assert columns.resolve(["REF_AREA", "Value"], ["ref_area", "value", "x"]) == {"ref_area": "REF_AREA", "value": "Value"}
+
+
+def test_offset_timestamp_date_is_utc_in_any_session_zone(spark):
+    df = spark.createDataFrame([("2021-06-01T23:30:00-02:00",), ("2021-06-02T00:30:00+02:00",)], "d string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ["UTC", "America/Los_Angeles", "Asia/Tokyo"]:
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = [r[0] for r in df.select(coerce.timestamp_to_date_text("d")).collect()]
+            assert got == ["2021-06-02", "2021-06-01"], tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

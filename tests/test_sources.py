@@ -57,7 +57,7 @@ def test_json_pages(spark):
     assert len(rows) == 2
     assert (rows[0].country_iso3, rows[0].country_name, rows[0].year, rows[0].value) == ("DEU", "Germany", "2020", "1.5")
     assert (rows[1].country_iso3, rows[1].value, rows[1].decimal) == ("", "", "")
-    assert rows[0].fetched_at_utc.endswith("Z") or "+" in rows[0].fetched_at_utc
+    assert rows[0].fetched_at_utc.endswith("+00:00")
 
 
 def test_file_duplicates_fingerprint_and_sinks(spark, tmpdir_fresh):
