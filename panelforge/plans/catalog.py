@@ -263,6 +263,12 @@ def _nation_year(spark, sf):
     return a.join(b, ["nation", "yr"])
 
 
+def _frozen_nation_year(spark, sf):
+    """The nation x year panel written once to the checkpoint folder (small at
+    any scale): fits and median splits read it instead of re-joining."""
+    return _nation_year(spark, sf).checkpoint(eager=True)
+
+
 def _nation_month(spark, sf):
     on = _orders_nation(spark, sf)
     return on.groupBy("nation", F.trunc(F.to_date("o_orderdate"), "month").alias("month")).agg(
@@ -528,7 +534,7 @@ def _fit_rows(spark, fit, terms=None, extra=None):
 
 def _ny_fit(spark, sf, effects, cluster=None):
     from panelforge.plans import regression
-    ny = _nation_year(spark, sf)
+    ny = _frozen_nation_year(spark, sf)
     return regression.fit_ols(ny, "y", ["x1", "x2"], entity="nation", time="yr", effects=effects,
                               cluster=cluster)[None]
 
@@ -559,7 +565,7 @@ def cluster_se(spark, sf):
 
 def _did_frame(spark, sf):
     from panelforge.operators import features
-    ny = _nation_year(spark, sf)
+    ny = _frozen_nation_year(spark, sf)
     d = features.median_split(ny, "nation", "x2", "treat")
     return d
 
