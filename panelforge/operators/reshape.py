@@ -84,21 +84,45 @@ def panel_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 
 def flow_pair(df: DataFrame, keys: Sequence[str], flow_col: str, a_code: str, b_code: str,
-              value: str, a_name: str, b_name: str, mode: str = "join") -> DataFrame:
-    """Pair two flows of one long table on ``keys``.
-
-    ``mode='join'`` is the many-to-many inner self-join (every a-row with every
-    b-row of the same key).  ``mode='conditional'`` instead takes the mean of
-    each flow per key first (one row per key, no fan-out)."""
+              value: str, a_name: str, b_name: str) -> DataFrame:
+    """Two flows of one long table side by side, one row per key: the mean of
+    each flow per key (conditional aggregation; keys where either flow is
+    missing are dropped, as an inner join would).  For statistics over the
+    many-to-many pairing of the raw rows use :func:`pair_moments`."""
     keys = list(keys)
-    if mode == "conditional":
-        agg = df.where(F.col(flow_col).isin(a_code, b_code)).groupBy(*keys).agg(
-            F.avg(F.when(F.col(flow_col) == a_code, F.col(value))).alias(a_name),
-            F.avg(F.when(F.col(flow_col) == b_code, F.col(value))).alias(b_name))
-        return agg.where(F.col(a_name).isNotNull() & F.col(b_name).isNotNull())
-    a = df.where(F.col(flow_col) == a_code).select(*keys, F.col(value).alias(a_name))
-    b = df.where(F.col(flow_col) == b_code).select(*keys, F.col(value).alias(b_name))
-    return a.join(b, on=keys, how="inner")
+    agg = df.where(F.col(flow_col).isin(a_code, b_code)).groupBy(*keys).agg(
+        F.avg(F.when(F.col(flow_col) == a_code, F.col(value))).alias(a_name),
+        F.avg(F.when(F.col(flow_col) == b_code, F.col(value))).alias(b_name))
+    return agg.where(F.col(a_name).isNotNull() & F.col(b_name).isNotNull())
+
+
+def pair_moments(df: DataFrame, keys: Sequence[str], group: Sequence[str], flow_col: str,
+                 a_code: str, b_code: str, value: str) -> DataFrame:
+    """Moments of the many-to-many inner pairing of flow-a rows with flow-b
+    rows that share ``keys``, summed per ``group`` (a subset of ``keys``),
+    without materialising a single pair.
+
+    For a key with a-values {a_i} (n_a of them) and b-values {b_j} (n_b), the
+    n_a * n_b pairs contribute count n_a*n_b, sum_a n_b*S_a, sum_b n_a*S_b,
+    sum_aa n_b*Q_a, sum_bb n_a*Q_b and sum_ab S_a*S_b.  Each flow is first
+    reduced to (n, S, Q) per key (partial aggregation), the two per-key
+    tables are joined one row to one row, and the products are summed per
+    group: a hot key costs one row, not n_a * n_b."""
+    keys, group = list(keys), list(group)
+
+    def per_key(code, p):
+        v = F.col(value)
+        return (df.where((F.col(flow_col) == code) & v.isNotNull() & ~F.isnan(value))
+                .groupBy(*keys).agg(F.count(v).cast("double").alias(f"{p}n"), F.sum(v).alias(f"{p}s"),
+                                    F.sum(v * v).alias(f"{p}q")))
+    j = per_key(a_code, "_a").join(per_key(b_code, "_b"), on=keys)
+    return j.groupBy(*group).agg(
+        F.sum(F.col("_an") * F.col("_bn")).alias("n"),
+        F.sum(F.col("_bn") * F.col("_as")).alias("sum_a"),
+        F.sum(F.col("_an") * F.col("_bs")).alias("sum_b"),
+        F.sum(F.col("_bn") * F.col("_aq")).alias("sum_aa"),
+        F.sum(F.col("_an") * F.col("_bq")).alias("sum_bb"),
+        F.sum(F.col("_as") * F.col("_bs")).alias("sum_ab"))
 
 
 def outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str], order: bool = True) -> DataFrame:

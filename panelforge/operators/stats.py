@@ -86,3 +86,15 @@ def regression_line(df: DataFrame, x: str, y: str, group: str | Sequence[str] |
         (F.avg(ym) - slope * F.avg(xm)).alias("intercept"),
         F.pow(safe_corr(xm, ym), 2).alias("r2"),
         F.count(ym).alias("n"))
+
+
+def corr_from_moments(n="n", sa="sum_a", sb="sum_b", saa="sum_aa", sbb="sum_bb", sab="sum_ab",
+                      rel_tol: float = 1e-12) -> Column:
+    """Pearson correlation from pair moments (see ``reshape.pair_moments``);
+    null for fewer than two pairs or a (numerically) constant side."""
+    n, sa, sb, saa, sbb, sab = map(_c, (n, sa, sb, saa, sbb, sab))
+    cov = n * sab - sa * sb
+    va = n * saa - sa * sa
+    vb = n * sbb - sb * sb
+    ok = (n >= 2) & (va > F.lit(rel_tol) * n * saa) & (vb > F.lit(rel_tol) * n * sbb)
+    return F.when(ok, cov / F.sqrt(va * vb))

@@ -323,8 +323,9 @@ def panel_inner_join(spark, sf):
 def flow_self_join(spark, sf):
     from panelforge.operators import reshape, stats
     ev = read_table(spark, sf, "events").withColumn("day", F.to_date("ts"))
-    pairs = reshape.flow_pair(ev, ["user_id", "day"], "event_type", "error", "click", "value", "err", "clk")
-    c = stats.grouped_corr(pairs, "user_id", "err", "clk")
+    # correlation over every (error, click) pair of a user-day, from moments
+    m = reshape.pair_moments(ev, ["user_id", "day"], ["user_id"], "event_type", "error", "click", "value")
+    c = m.select("user_id", stats.corr_from_moments().alias("corr")).where(F.col("corr").isNotNull())
     bottom = c.orderBy("corr", "user_id").limit(15)
     return _round_doubles(bottom.withColumn(
         "sign", F.when(F.col("corr") < 0, F.lit("negative")).otherwise(F.lit("non-negative"))))

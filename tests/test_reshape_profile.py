@@ -27,12 +27,31 @@ def test_pivot_and_series(spark):
     assert s == {"d1": (2.0, None), "d2": (None, 3.0)}
 
 
-def test_flow_pair_modes(spark):
-    rows = [("u", 1, "e", 1.0), ("u", 1, "e", 2.0), ("u", 1, "c", 10.0), ("u", 2, "c", 5.0)]
-    df = spark.createDataFrame(rows, "user string, day int, f string, v double")
-    assert reshape.flow_pair(df, ["user", "day"], "f", "e", "c", "v", "a", "b").count() == 2   # fan-out
-    cond = reshape.flow_pair(df, ["user", "day"], "f", "e", "c", "v", "a", "b", mode="conditional").collect()
-    assert [(r.a, r.b) for r in cond] == [(1.5, 10.0)]
+def test_pair_moments_equal_explicit_pairs(spark):
+    import numpy as np
+    import pandas as pd
+    from panelforge.operators import stats
+    rng = np.random.default_rng(5)
+    rows = []
+    for u in range(4):
+        for d in range(6):
+            for f in ("e", "c"):
+                for _ in range(int(rng.integers(0, 4))):
+                    rows.append((u, d, f, float(rng.normal())))
+    rows += [(9, 0, "e", 1.0), (9, 0, "c", 2.0), (9, 1, "e", 1.0), (9, 1, "c", 3.0)]   # constant side
+    df = spark.createDataFrame(rows, "user long, day int, f string, v double")
+    m = reshape.pair_moments(df, ["user", "day"], ["user"], "f", "e", "c", "v")
+    got = {r.user: r.corr for r in m.select("user", stats.corr_from_moments().alias("corr")).collect()}
+    pdf = pd.DataFrame(rows, columns=["user", "day", "f", "v"])
+    pairs = pdf[pdf.f == "e"].merge(pdf[pdf.f == "c"], on=["user", "day"])
+    want = pairs.groupby("user").apply(lambda g: g.v_x.corr(g.v_y), include_groups=False)
+    for u, w in want.items():
+        if pd.isna(w) or u == 9:
+            assert got.get(u) is None
+        else:
+            assert got[u] == pytest.approx(w, abs=1e-9)
+    cond = reshape.flow_pair(df.where("user = 9"), ["user", "day"], "f", "e", "c", "v", "a", "b").count()
+    assert cond == 2
 
 
 def test_crosswalk_edges(spark):
