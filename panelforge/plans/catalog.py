@@ -629,7 +629,7 @@ def qq_table(spark, sf):
     li = _lineitem_reg(spark, sf)
     fit = regression.pooled_ols(li, "price_k", ["l_quantity", "l_discount"])
     res = regression.fitted_and_resid(li, fit, "price_k", ["l_quantity", "l_discount"])
-    return regression.qq_table(res, "resid")
+    return _round_doubles(regression.qq_table(res, "resid"))
 
 
 @query
@@ -638,7 +638,7 @@ def qq_fit(spark, sf):
     li = _lineitem_reg(spark, sf)
     fit = regression.pooled_ols(li, "price_k", ["l_quantity", "l_discount"])
     res = regression.fitted_and_resid(li, fit, "price_k", ["l_quantity", "l_discount"])
-    return regression.qq_fit(regression.qq_table(res, "resid"))
+    return _round_doubles(regression.qq_fit(regression.qq_table(res, "resid")))
 
 
 # Model specifications on the engineered panel (reference layout).

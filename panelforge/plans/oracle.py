@@ -655,4 +655,38 @@ UNION ALL SELECT 'x2', round(b2, 6), round(se2, 6), n, round(r2w, 6) FROM se
 SQL["iqr_fence_skewsafe"] = SQL["iqr_fence_grouped"]
 
 
+
+# ---------------------------------------------------------------- Q-Q table
+
+def _horner(coefs, x: str) -> str:
+    acc = repr(coefs[0])
+    for c in coefs[1:]:
+        acc = f"({acc} * {x} + {c!r})"
+    return acc
+
+
+def _ppf_sql(p: str) -> str:
+    from panelforge.plans.regression import _PPF_A, _PPF_B, _PPF_C, _PPF_D, _PPF_LOW
+    q, r = f"({p} - 0.5)", f"(({p} - 0.5) * ({p} - 0.5))"
+    ql, qu = f"sqrt(-2.0 * ln({p}))", f"sqrt(-2.0 * ln(1.0 - {p}))"
+    central = f"{q} * {_horner(_PPF_A, r)} / ({_horner(_PPF_B, r)} * {r} + 1.0)"
+    lower = f"{_horner(_PPF_C, ql)} / ({_horner(_PPF_D, ql)} * {ql} + 1.0)"
+    upper = f"-{_horner(_PPF_C, qu)} / ({_horner(_PPF_D, qu)} * {qu} + 1.0)"
+    return (f"CASE WHEN {p} < {_PPF_LOW!r} THEN {lower} WHEN {p} > {1 - _PPF_LOW!r} THEN {upper} "
+            f"ELSE {central} END")
+
+
+_QQ = "WITH " + _LI + """,
+rk AS (SELECT y - fitted AS osr, row_number() OVER (ORDER BY y - fitted) AS i, count(*) OVER () AS n FROM fit),
+pm AS (SELECT i, osr, CASE WHEN i = n THEN pow(0.5, 1.0 / n) WHEN i = 1 THEN 1.0 - pow(0.5, 1.0 / n)
+                      ELSE (i - 0.3175) / (n + 0.365) END AS m FROM rk),
+qq AS (SELECT i, """ + _ppf_sql("m") + """ AS osm, osr FROM pm)"""
+
+SQL["qq_table"] = _QQ + "\nSELECT i, round(osm, 6) AS osm, round(osr, 6) AS osr FROM qq"
+SQL["qq_fit"] = _QQ + """
+SELECT round(regr_slope(osr, osm), 6) AS slope, round(regr_intercept(osr, osm), 6) AS intercept,
+       round(corr(osm, osr), 6) AS r FROM qq
+"""
+
+
 SQL = {k: _r6_text(v) for k, v in SQL.items()}
