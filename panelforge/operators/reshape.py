@@ -135,11 +135,12 @@ def lookup(df: DataFrame, key: str, crosswalk: DataFrame, cw_key: str, cw_value:
     """Attach ``crosswalk[cw_value]`` by key; keys missing from the crosswalk use
     the literal ``fallback`` map, else null."""
     cw = crosswalk.select(F.col(cw_key).alias("_lk"), F.col(cw_value).alias("_lv")).dropDuplicates(["_lk"])
+    value_type = cw.schema["_lv"].dataType
     joined = df.join(cw, df[key] == cw["_lk"], "left")
-    fb = F.lit(None).cast("string")
+    fb = F.lit(None).cast(value_type)
     if fallback:
         m = F.create_map(*[x for kv in fallback.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-        fb = F.try_element_at(m, F.col(key).cast("string"))
+        fb = F.try_element_at(m, F.col(key).cast("string")).try_cast(value_type)
     return joined.withColumn(out, F.coalesce(F.col("_lv"), fb)).drop("_lk", "_lv")
 
 

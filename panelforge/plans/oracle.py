@@ -433,7 +433,7 @@ SELECT nation, month, round(revenue, 6) AS revenue, round(trend, 6) AS trend, ro
 SQL["regression_line"] = """
 SELECT l_returnflag, round(regr_slope(l_extendedprice / 1000, l_quantity), 6) AS slope,
        round(regr_intercept(l_extendedprice / 1000, l_quantity), 6) AS intercept,
-       round(regr_r2(l_extendedprice / 1000, l_quantity), 6) AS r2, regr_count(l_extendedprice / 1000, l_quantity) AS n
+       round(regr_r2(l_extendedprice / 1000, l_quantity), 6) AS r2, CAST(regr_count(l_extendedprice / 1000, l_quantity) AS BIGINT) AS n
 FROM lineitem GROUP BY ALL
 """
 

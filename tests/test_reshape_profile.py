@@ -91,3 +91,11 @@ def test_content_dedupe(spark):
     assert rep == [(1, 3), (1, 9)]
     assert sorted(r.id for r in dedupe.dedupe_by_content(df, "id", "body").collect()) == [1, 2]
     assert dedupe.drop_exact_duplicates(df.select("body")).count() == 2
+
+
+def test_lookup_fallback_takes_crosswalk_type(spark):
+    ent = spark.createDataFrame([("DEU",), ("XKX",), ("BAD",)], "iso3 string")
+    cw = spark.createDataFrame([("DEU", 276)], "iso3 string, num int")
+    out = reshape.lookup(ent, "iso3", cw, "iso3", "num", "num", {"XKX": "412", "BAD": "not-a-number"})
+    assert dict(out.dtypes)["num"] == "int"
+    assert {r.iso3: r.num for r in out.collect()} == {"DEU": 276, "XKX": 412, "BAD": None}
