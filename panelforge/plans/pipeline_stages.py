@@ -19,19 +19,29 @@ def clean_stage(spark: SparkSession, in_dir: str, out_dir: str, exclude: Iterabl
                 fmt: str = "parquet") -> DataFrame:
     """Clean every CSV of ``in_dir`` by its dataset rules, write
     ``<out_dir>/<stem>_cleaned`` per dataset and ``<out_dir>/cleaning_summary``
-    (one audit row per dataset).  Each dataset's cleaned rows and audit come
-    from one flagged plan; the flags are computed once and reused."""
-    audits = None
+    (one audit row per dataset).  The funnel counts are observed on the
+    flagged rows during the write of the cleaned rows (``Observation``), so
+    each dataset is cleaned and counted in the same job.  The observation
+    sits in the final (result) stage, whose metric updates Spark applies once
+    per partition, so task retries after an executor loss do not double count."""
+    from pyspark.sql import Observation
+    rows = []
     for path in list_datasets(spark, in_dir, ".csv", exclude):
         name = path.rsplit("/", 1)[-1]
         stem = name[: -len(".csv")]
         df = read_lenient_csv(spark, path)
         flagged, rule = clean.clean_flags(df, name)
-        flagged = flagged.checkpoint(eager=True)   # one pass for the data and its audit
-        write_table(flagged.where(F.col("_keep")).drop("_req", "_keep"), f"{out_dir}/{stem}_cleaned", fmt=fmt)
-        a = clean.audit_row(flagged, rule, name, f"{stem}_cleaned")
-        audits = a if audits is None else audits.unionByName(a)
-    if audits is not None:
+        obs = Observation(f"funnel_{stem}")
+        observed = flagged.observe(obs, F.count(F.lit(1)).alias("rows_in"),
+                                   F.count_if(F.col("_req")).alias("rows_after_required"),
+                                   F.count_if(F.col("_keep")).alias("rows_after_outliers"))
+        write_table(observed.where(F.col("_keep")).drop("_req", "_keep"), f"{out_dir}/{stem}_cleaned", fmt=fmt)
+        m = obs.get
+        rows.append((name, f"{stem}_cleaned", m["rows_in"], m["rows_after_required"], m["rows_after_outliers"],
+                     m["rows_in"] - m["rows_after_required"], m["rows_after_required"] - m["rows_after_outliers"],
+                     list(rule.required), list(rule.outliers), list(rule.groups)))
+    audits = spark.createDataFrame(rows, clean.AUDIT_SCHEMA)
+    if rows:
         write_run_summary(audits, f"{out_dir}/cleaning_summary")
     return audits
 
