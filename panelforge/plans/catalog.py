@@ -862,3 +862,25 @@ def iqr_fence_skewsafe(spark, sf):
     same rows as ``iqr_fence_grouped``."""
     ev = read_table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     return clean.iqr_fence(ev, ["value"], ["event_type"], method="sorted")
+
+
+@query
+def json_pages(spark, sf):
+    """Landed JSON pages ``[meta, [record, ...]]`` built from events (pages of
+    500 consecutive ids, so no page grows with a hot user or day), flattened
+    back into rows by the page flattener."""
+    from panelforge.sources.json_pages import flatten_pages
+    ev = read_table(spark, sf, "events")
+    rec = F.struct(F.col("user_id").cast("string").alias("countryiso3code"),
+                   F.struct(F.col("event_type").alias("value")).alias("country"),
+                   F.date_format("ts", "yyyy").alias("date"), F.col("value").alias("value"),
+                   F.lit(None).cast("string").alias("obs_status"), F.lit(None).cast("int").alias("decimal"))
+    pages = ev.groupBy((F.col("event_id") / 500).cast("long").alias("page")).agg(
+        F.collect_list(rec).alias("recs"))
+    text = F.concat(F.lit("["), F.to_json(F.struct(F.col("page"), F.lit(1).alias("pages"))), F.lit(","),
+                    F.to_json("recs"), F.lit("]"))
+    flat = flatten_pages(pages.select(text.alias("body")), "body", "EV.VALUE", "Event value",
+                         fetched_at=F.to_timestamp(F.lit("2024-01-01T00:00:00+00:00"),
+                                                    "yyyy-MM-dd'T'HH:mm:ssXXX"))
+    return flat.select("country_iso3", "country_name", "year", F.col("value").cast("double").alias("value"),
+                       "obs_status", "decimal", "fetched_at_utc")

@@ -689,4 +689,11 @@ SELECT round(regr_slope(osr, osm), 6) AS slope, round(regr_intercept(osr, osm),
 """
 
 
+SQL["json_pages"] = """
+SELECT CAST(user_id AS VARCHAR) AS country_iso3, event_type AS country_name, strftime(ts, '%Y') AS year,
+       value, '' AS obs_status, '' AS decimal, '2024-01-01T00:00:00+00:00' AS fetched_at_utc
+FROM events
+"""
+
+
 SQL = {k: _r6_text(v) for k, v in SQL.items()}
