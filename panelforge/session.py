@@ -22,7 +22,7 @@ def build_session(master: str = "local[8]", app: str = "panelforge",
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", (extra or {}).get("spark.sql.session.timeZone", "UTC"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
