@@ -158,8 +158,14 @@ def fence_flag(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[st
         # only when their measured size is under the threshold.
         joined = work.join(bounds, on=eq, how="left").drop(*g_alias.values())
     else:
-        # one-row bounds (a scalar per column): broadcasting one row is safe
-        joined = work.crossJoin(F.broadcast(bounds))
+        # global bounds are scalars: read the one row once and inline them
+        row = bounds.first()
+        lits = {}
+        for i in range(len(value_cols)):
+            for q in ("q1", "q3"):
+                v = row[f"_{q}_{i}"] if row is not None else None
+                lits[f"_{q}_{i}"] = F.lit(v).cast("double")
+        joined = work.withColumns(lits)
     keep = F.lit(True)
     for i in range(len(value_cols)):
         v, q1, q3 = F.col(f"_fv{i}"), F.col(f"_q1_{i}"), F.col(f"_q3_{i}")

@@ -63,10 +63,9 @@ def median_split(df: DataFrame, entity: str, value: str, out: str, method: str =
         method, n_entities = choose_method(probe, [entity])
         m2 = "hash" if n_entities <= HASH_DISTINCT_LIMIT else "sorted"
     per = grouped_quantiles(df, value, [entity], [0.5], method=method, out_names=["_m"])
-    overall = grouped_quantiles(per, "_m", [], [0.5], method=m2, out_names=["_mm"])
-    # one row of overall median: attach it to the per-entity table (small)
-    flags = per.crossJoin(F.broadcast(overall)).select(
-        entity, F.coalesce((F.col("_m") >= F.col("_mm")).cast("double"), F.lit(0.0)).alias(out))
+    overall = grouped_quantiles(per, "_m", [], [0.5], method=m2, out_names=["_mm"]).first()
+    mm = F.lit(overall["_mm"] if overall is not None else None).cast("double")   # one scalar
+    flags = per.select(entity, F.coalesce((F.col("_m") >= mm).cast("double"), F.lit(0.0)).alias(out))
     return df.join(flags, on=entity, how="left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
 
 

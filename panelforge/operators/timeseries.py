@@ -95,7 +95,10 @@ def seasonal_decompose(df: DataFrame, key, order: str, col: str, period: int = 1
     # centre: mean over the distinct phase means of the series
     centre = d.groupBy(*keys, "_phase").agg(F.first("_pm").alias("_pm1")).groupBy(*keys).agg(
         F.avg("_pm1").alias("_pmc"))
-    d = d.join(centre, on=keys, how="left") if keys else d.crossJoin(F.broadcast(centre))
+    if keys:
+        d = d.join(centre, on=keys, how="left")
+    else:   # a single series: its centre is one scalar
+        d = d.withColumn("_pmc", F.lit(centre.first()["_pmc"]).cast("double"))
     d = d.withColumn("seasonal", F.col("_pm") - F.col("_pmc"))
     d = d.withColumn("resid", F.col(col) - F.col("trend") - F.col("seasonal"))
     return d.drop("_pos", "_phase", "_pm", "_pmc")
