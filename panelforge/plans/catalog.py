@@ -111,7 +111,8 @@ def _orders_text(spark, sf):
 def null_profile(spark, sf):
     from panelforge.operators import profile
     od = _orders_text(spark, sf)
-    p = profile.column_profile(od, order_key=F.col("o_orderkey").cast("long") if False else "o_orderkey")
+    # examples in order of the (text) key, as the landed all-text table has it
+    p = profile.column_profile(od, order_key="o_orderkey")
     return p.select("variable", "position", "rows_total", "non_null", "missing", "missing_pct", "example_values")
 
 

@@ -482,7 +482,8 @@ def _r6_text(sql: str) -> str:
 
 def _fe2(base: str, y: str, x1: str, x2: str, ent: str, tim: str, two_way: bool) -> str:
     """CTEs d (demeaned), s (moments), b (coefficients) for two regressors on a
-    balanced panel: two-way demeaning x - x_i. - x_.t + x_.. then Cramer's rule."""
+    balanced panel: two-way demeaning x - x_i. - x_.t + x_.. then Cramer's rule.
+    ``base`` must define a CTE named ``fe_in`` holding the panel."""
     def dm(c):
         e = f"{c} - avg({c}) OVER (PARTITION BY {ent})"
         if two_way:
@@ -491,7 +492,7 @@ def _fe2(base: str, y: str, x1: str, x2: str, ent: str, tim: str, two_way: bool)
     return base + f""",
 d AS (SELECT {ent} AS ent, {tim} AS tim, {dm(y)} AS yd, {dm(x1)} AS x1d, {dm(x2)} AS x2d,
         {y} - avg({y}) OVER (PARTITION BY {ent}) AS ye, {x1} - avg({x1}) OVER (PARTITION BY {ent}) AS x1e,
-        {x2} - avg({x2}) OVER (PARTITION BY {ent}) AS x2e FROM {base.split()[-1] if False else 'fe_in'}),
+        {x2} - avg({x2}) OVER (PARTITION BY {ent}) AS x2e FROM fe_in),
 s AS (SELECT count(*) AS n, count(DISTINCT ent) AS ne, count(DISTINCT tim) AS nt,
         sum(x1d * x1d) AS s11, sum(x1d * x2d) AS s12, sum(x2d * x2d) AS s22, sum(x1d * yd) AS s1y, sum(x2d * yd) AS s2y,
         sum(ye * ye) AS eyy, sum(x1e * x1e) AS e11, sum(x1e * x2e) AS e12, sum(x2e * x2e) AS e22,
