@@ -141,16 +141,22 @@ def fence_flag(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[st
     if not value_cols:
         return df.withColumn(flag, F.lit(True))
     src = work.where(bounds_from) if bounds_from is not None else work
-    # all value columns stacked into one long frame: one sort / one pass
-    # computes the bounds of every column, keyed by (column index, group)
-    long = src.select(*[F.col(g).alias(a) for g, a in g_alias.items()], F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_ci"), F.col(f"_fv{i}").alias("_cv")) for i in range(len(value_cols))])).alias("_s"))
-    long = long.select(*g_alias.values(), "_s._ci", "_s._cv")
-    q = grouped_quantiles(long, "_cv", ["_ci", *g_alias.values()], [0.25, 0.75],
-                          method=method, out_names=["_q1", "_q3"])
-    bounds = q.groupBy(*g_alias.values()).agg(*[
-        F.max(F.when(F.col("_ci") == i, F.col(qn))).alias(f"_{qn[1:]}_{i}")
-        for i in range(len(value_cols)) for qn in ("_q1", "_q3")])
+    gsrc = src.select(*[F.col(g).alias(a) for g, a in g_alias.items()], *helpers)
+    if len(value_cols) == 1:
+        bounds = grouped_quantiles(gsrc, "_fv0", list(g_alias.values()), [0.25, 0.75],
+                                   method=method, out_names=["_q1_0", "_q3_0"])
+    else:
+        # all value columns stacked into one long frame: one sort / one pass
+        # computes the bounds of every column, keyed by (column index, group)
+        long = gsrc.select(*g_alias.values(), F.explode(F.array(*[
+            F.struct(F.lit(i).alias("_ci"), F.col(f"_fv{i}").alias("_cv"))
+            for i in range(len(value_cols))])).alias("_s"))
+        long = long.select(*g_alias.values(), "_s._ci", "_s._cv")
+        q = grouped_quantiles(long, "_cv", ["_ci", *g_alias.values()], [0.25, 0.75],
+                              method=method, out_names=["_q1", "_q3"])
+        bounds = q.groupBy(*g_alias.values()).agg(*[
+            F.max(F.when(F.col("_ci") == i, F.col(qn))).alias(f"_{qn[1:]}_{i}")
+            for i in range(len(value_cols)) for qn in ("_q1", "_q3")])
     if group_cols:
         eq = [work[g].eqNullSafe(bounds[a]) if null_groups == "group" else work[g] == bounds[a]
               for g, a in g_alias.items()]
