@@ -20,8 +20,6 @@ DATE_LAYOUTS = (
 OFFSET_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ssXXX"
 # Timestamp layouts accepted by the plain-cast fallback.
 PLAIN_TIMESTAMPS = ("yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d")
-# Decimal / scientific / infinity text; anything else (e.g. Java's '1.5d') is not a number.
-NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity|nan)$"
 
 
 def _c(c) -> Column:
@@ -39,7 +37,12 @@ def to_double(c, from_text: bool = True) -> Column:
     c = _c(c)
     if from_text:
         t = F.trim(c.cast("string"))
-        c = F.when(t.rlike(NUMBER_PATTERN), t)
+        # Java's parser also takes a type suffix ('1.5d', '2f') and hex floats
+        # ('0x1p3'); pandas and SQL engines do not.  Cheap character tests
+        # instead of a regex per value ('inf' keeps its final 'f').
+        last = F.substring(t, -1, 1)
+        suffixed = last.isin("d", "D", "f", "F") & ~F.lower(t).isin("inf", "+inf", "-inf")
+        c = F.when(~suffixed & ~t.contains("p") & ~t.contains("P"), t)
     v = c.try_cast("double")
     return F.nanvl(v, F.lit(None).cast("double"))
 

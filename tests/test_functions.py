@@ -20,10 +20,12 @@ def test_year_and_timestamp_text(spark):
 
 
 def test_to_double(spark):
-    vals = ["-", "1.5", "NaN", " 2 ", "abc", "1e3", "1.5d", None, ".5"]
+    vals = ["-", "1.5", "NaN", " 2 ", "abc", "1e3", "1.5d", None, ".5", "2F", "0x1p3", "1e5d", "-inf",
+            "Infinity", "+3", "1,5"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     got = [r[0] for r in df.select(coerce.to_double("v")).collect()]
-    assert got == [None, 1.5, None, 2.0, None, 1000.0, None, None, 0.5]
+    inf = float("inf")
+    assert got == [None, 1.5, None, 2.0, None, 1000.0, None, None, 0.5, None, None, None, -inf, inf, 3.0, None]
 
 
 def test_normalize_nulls_keeps_codes(spark):
