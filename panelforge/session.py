@@ -57,3 +57,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the input files (Hadoop FileSystem content summary, any
+    filesystem; no data is read)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_shuffles(spark: SparkSession, paths, target_bytes: int = TARGET_PARTITION_BYTES,
+                  max_partitions: int = 200_000) -> int:
+    """Size shuffles for the input so a shuffle partition holds about
+    ``target_bytes`` (fits executor memory, spills little): sets
+    ``spark.sql.shuffle.partitions`` and AQE's advisory size; AQE then
+    coalesces small partitions and splits skewed ones at run time.  Returns
+    the partition count (at least the default parallelism)."""
+    n = max(spark.sparkContext.defaultParallelism,
+            min(max_partitions, -(-input_bytes(spark, paths) // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes // 4))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(target_bytes, 512 * 1024 * 1024)))
+    return n

@@ -89,3 +89,19 @@ def test_streaming_landing(spark, tmpdir_fresh):
     q.awaitTermination(120)
     got = sorted((r.ref_area, r.obs_value, r.source_file) for r in spark.read.parquet(os.path.join(tmpdir_fresh, "landed")).collect())
     assert got == [("DE", 1.5, "part1.csv"), ("FR", None, "part1.csv")]
+
+
+def test_size_shuffles(spark, tmpdir_fresh):
+    from panelforge.session import input_bytes, size_shuffles
+    p = os.path.join(tmpdir_fresh, "f.csv")
+    _write(p, "x\n" + "1\n" * 1000)
+    assert input_bytes(spark, p) == 2002
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.files.maxPartitionBytes"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        assert size_shuffles(spark, p, target_bytes=100) == 21
+        assert size_shuffles(spark, p, target_bytes=10**9) == spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
