@@ -27,6 +27,7 @@ def build_session(master: str = "local[8]", app: str = "panelforge",
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)
