@@ -885,3 +885,27 @@ def json_pages(spark, sf):
                                                     "yyyy-MM-dd'T'HH:mm:ssXXX"))
     return flat.select("country_iso3", "country_name", "year", F.col("value").cast("double").alias("value"),
                        "obs_status", "decimal", "fetched_at_utc")
+
+
+@query
+def eda_summary(spark, sf):
+    """EDA metrics as (metric, value) text: series correlation, best lag and
+    its |corr|, the most frequent flows, how many entities have a defined
+    flow correlation, and the row counts of the two analysis blocks."""
+    from panelforge.operators import reshape, stats, timeseries
+    from panelforge.plans import report
+    ms = _monthly_series(spark, sf)
+    c0 = stats.corr_matrix(ms, ["revenue", "discount"]).where("var1 = 'revenue' AND var2 = 'discount'").first()["corr"]
+    best = timeseries.best_lag(timeseries.lag_corr_profile(ms, "revenue", "discount", "month")).first()
+    ev = read_table(spark, sf, "events")
+    top = [r["event_type"] for r in stats.topk_counts(ev, "event_type", 6).collect()]
+    ev_day = ev.withColumn("day", F.to_date("ts"))
+    m = reshape.pair_moments(ev_day, ["user_id", "day"], ["user_id"], "event_type", "error", "click", "value")
+    n_groups = m.where(stats.corr_from_moments().isNotNull()).count()
+    macro_rows = ms.count()
+    energy_rows = ev.where(F.col("value").isNotNull()).count()
+    six = lambda x: None if x is None else f"{float(round(x, 6)):.6f}"
+    return report.notes(spark, [
+        ("corr_revenue_discount", six(c0)), ("best_lag", best["best_lag"]),
+        ("best_lag_abs_corr", six(abs(best["best_corr"]))), ("top_flows", ", ".join(top[:4])),
+        ("group_corr_count", n_groups), ("macro_rows", macro_rows), ("energy_rows", energy_rows)])

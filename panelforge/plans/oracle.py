@@ -697,4 +697,22 @@ FROM events
 """
 
 
+SQL["eda_summary"] = _LAGCORR + """,
+c0 AS (SELECT """ + _corr("revenue", "discount") + """ AS c FROM ms),
+best AS (SELECT lag, corr FROM prof WHERE corr IS NOT NULL ORDER BY abs(corr) DESC, lag LIMIT 1),
+top AS (SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY ALL
+        ORDER BY n DESC, event_type LIMIT 4),
+e AS (SELECT user_id, CAST(ts AS DATE) AS day, value FROM events WHERE event_type = 'error'),
+k AS (SELECT user_id, CAST(ts AS DATE) AS day, value FROM events WHERE event_type = 'click'),
+g AS (SELECT e.user_id, """ + _corr("e.value", "k.value") + """ AS c FROM e JOIN k USING (user_id, day) GROUP BY e.user_id)
+SELECT 'corr_revenue_discount' AS metric, printf('%.6f', round((SELECT c FROM c0), 6)) AS value
+UNION ALL SELECT 'best_lag', CAST((SELECT lag FROM best) AS VARCHAR)
+UNION ALL SELECT 'best_lag_abs_corr', printf('%.6f', round(abs((SELECT corr FROM best)), 6))
+UNION ALL SELECT 'top_flows', (SELECT string_agg(event_type, ', ' ORDER BY n DESC, event_type) FROM top)
+UNION ALL SELECT 'group_corr_count', CAST((SELECT count(*) FROM g WHERE c IS NOT NULL AND NOT isnan(c)) AS VARCHAR)
+UNION ALL SELECT 'macro_rows', CAST((SELECT count(*) FROM ms) AS VARCHAR)
+UNION ALL SELECT 'energy_rows', CAST((SELECT count(*) FROM events WHERE value IS NOT NULL) AS VARCHAR)
+"""
+
+
 SQL = {k: _r6_text(v) for k, v in SQL.items()}
