@@ -909,3 +909,29 @@ def eda_summary(spark, sf):
         ("corr_revenue_discount", six(c0)), ("best_lag", best["best_lag"]),
         ("best_lag_abs_corr", six(abs(best["best_corr"]))), ("top_flows", ", ".join(top[:4])),
         ("group_corr_count", n_groups), ("macro_rows", macro_rows), ("energy_rows", energy_rows)])
+
+
+def _coef_se_t(spark, fit, terms):
+    from pyspark.sql import types as T
+    from panelforge.plans.regression import _f
+    rows = [(t, _f(fit.coef.get(t)), _f(fit.se.get(t)), _f(fit.tstat.get(t)), int(fit.nobs)) for t in terms]
+    return _round_doubles(spark.createDataFrame(rows, T.StructType([
+        T.StructField("variable", T.StringType()), T.StructField("coef", T.DoubleType()),
+        T.StructField("se", T.DoubleType()), T.StructField("t", T.DoubleType()),
+        T.StructField("nobs", T.LongType())])))
+
+
+@query
+def model_a_fit(spark, sf):
+    """Two-way FE of inflation on the lagged shock, its interaction, GDP
+    growth and imports, clustered by entity (panel scaling)."""
+    fa, _ = _models(spark, sf)
+    return _coef_se_t(spark, fa, MODEL_A_REGS)
+
+
+@query
+def model_b_fit(spark, sf):
+    """Difference-in-differences with entity and year effects, clustered by
+    entity (dummy-design scaling); the absorbed main effects are null."""
+    _, fb = _models(spark, sf)
+    return _coef_se_t(spark, fb, MODEL_B_REGS)

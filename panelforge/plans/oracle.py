@@ -715,4 +715,85 @@ UNION ALL SELECT 'energy_rows', CAST((SELECT count(*) FROM events WHERE value IS
 """
 
 
+
+# ---------------------------------------------------------------- k-regressor fits (balanced panel)
+
+def _det(m: list[list[str]]) -> str:
+    if len(m) == 1:
+        return m[0][0]
+    terms = []
+    for j in range(len(m)):
+        minor = [row[:j] + row[j + 1:] for row in m[1:]]
+        sign = "+" if j % 2 == 0 else "-"
+        terms.append(f"{sign} {m[0][j]} * ({_det(minor)})")
+    return "(" + " ".join(terms) + ")"
+
+
+def _fek_sql(base: str, y: str, xs: list[str], ent: str, tim: str, scale: str) -> str:
+    """CTEs for a two-way FE fit with k regressors on a balanced panel (CTE
+    ``fe_in``): two-way demeaning, moments, inverse by cofactors, coefficients,
+    cluster scores by entity, sandwich with ``scale``.  Leaves CTE ``fit_out``
+    with b{j}, se{j}, n."""
+    k = len(xs)
+    dm = lambda c: (f"{c} - avg({c}) OVER (PARTITION BY {ent}) - avg({c}) OVER (PARTITION BY {tim}) "
+                    f"+ avg({c}) OVER ()")
+    cols = ", ".join([f"{ent} AS ent", f"{tim} AS tim", f"{dm(y)} AS yd"] + [f"{dm(x)} AS x{j}d" for j, x in enumerate(xs)])
+    mom = ", ".join(["count(*) AS n", "count(DISTINCT ent) AS ne", "count(DISTINCT tim) AS nt"]
+                    + [f"sum(x{i}d * x{j}d) AS s{i}_{j}" for i in range(k) for j in range(k)]
+                    + [f"sum(x{i}d * yd) AS sy{i}" for i in range(k)])
+    m = [[f"s{i}_{j}" for j in range(k)] for i in range(k)]
+    det = _det(m)
+    inv = []
+    for i in range(k):
+        for j in range(k):
+            minor = [row[:i] + row[i + 1:] for r_, row in enumerate(m) if r_ != j]
+            sign = "" if (i + j) % 2 == 0 else "-"
+            inv.append(f"{sign}({_det(minor)}) / dt AS i{i}_{j}")
+    beta = ", ".join(" + ".join(f"i{i}_{j} * sy{j}" for j in range(k)) + f" AS b{i}" for i in range(k))
+    resid = "d.yd - " + " - ".join(f"v.b{j} * d.x{j}d" for j in range(k))
+    scores = ", ".join(f"sum(d.x{j}d * ({resid})) AS g{j}" for j in range(k))
+    meat = ", ".join(f"sum(g{a} * g{b}) AS m{a}_{b}" for a in range(k) for b in range(k))
+    var = ", ".join("sqrt(c * (" + " + ".join(f"i{j}_{a} * m{a}_{b} * i{b}_{j}" for a in range(k) for b in range(k))
+                    + f")) AS se{j}" for j in range(k))
+    return base + f""",
+d AS (SELECT {cols} FROM fe_in),
+s AS (SELECT {mom} FROM d),
+dtab AS (SELECT *, {det} AS dt FROM s),
+inv AS (SELECT *, {", ".join(inv)} FROM dtab),
+v AS (SELECT *, {beta} FROM inv),
+sc AS (SELECT d.ent, {scores} FROM d, v GROUP BY d.ent),
+mt AS (SELECT {meat}, count(*) AS g FROM sc),
+vc AS (SELECT v.*, mt.*, {scale} AS c FROM v, mt),
+fit_out AS (SELECT *, {var} FROM vc)"""
+
+
+_A_REGS = ["gas_import_shock_lag1", "shock_x_highdep_lag1", "gdp_growth", "imports_gdp"]
+_B_REGS = ["did_interaction", "high_energy_dependence", "post_treatment", "gas_import_shock_lag1",
+           "gdp_growth", "imports_gdp"]
+
+
+def _model_sql(regs_fit: list[str], regs_all: list[str], cc_cols: list[str], scale: str) -> str:
+    base = ("WITH " + _PANEL + ",\nfe_in AS (SELECT * FROM panel2 WHERE "
+            + " AND ".join(f"{c} IS NOT NULL" for c in cc_cols) + ")")
+    sql = _fek_sql(base, "inflation", regs_fit, "nation_name", "year", scale)
+    parts = []
+    for v in regs_all:
+        if v in regs_fit:
+            j = regs_fit.index(v)
+            parts.append(f"SELECT '{v}' AS variable, round(b{j}, 6) AS coef, round(se{j}, 6) AS se, "
+                         f"round(b{j} / se{j}, 6) AS t, n AS nobs FROM fit_out")
+        else:
+            parts.append(f"SELECT '{v}', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), n FROM fit_out")
+    return sql + "\n" + "\nUNION ALL ".join(parts)
+
+
+SQL["model_a_fit"] = _model_sql(
+    _A_REGS, _A_REGS, ["nation_name", "year", "inflation"] + _A_REGS + ["energy_import_share", "high_energy_dependence"],
+    "CAST(n AS DOUBLE) / (n - 4 - (ne + nt - 1))")
+SQL["model_b_fit"] = _model_sql(
+    ["did_interaction", "gas_import_shock_lag1", "gdp_growth", "imports_gdp"], _B_REGS,
+    ["nation_name", "year", "inflation"] + _B_REGS,
+    "(CAST(g AS DOUBLE) / (g - 1)) * (CAST(n AS DOUBLE) - 1) / (n - (1 + (ne - 1) + (nt - 1) + 6))")
+
+
 SQL = {k: _r6_text(v) for k, v in SQL.items()}
