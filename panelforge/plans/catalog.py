@@ -711,12 +711,13 @@ def model_notes(spark, sf):
     a = clean.complete_cases(panel, MODEL_A_COLS)
     bp = regression.breusch_pagan(a, "inflation", MODEL_A_REGS)
     vifs = regression.vif(a, MODEL_A_REGS)
+    six = lambda x: None if x is None else f"{float(round(x, 6)):.6f}"
     return report.notes(spark, [
         ("Model A entity FE", "Yes"), ("Model A time FE", "Yes"), ("Model A clustered SE", "Yes (entity)"),
-        ("Model A observations", fa.nobs), ("Model A R2 within", fa.r2_within),
+        ("Model A observations", fa.nobs), ("Model A R2 within", six(fa.r2_within)),
         ("Model B country FE", "Yes"), ("Model B year FE", "Yes"), ("Model B clustered SE", "Yes (country)"),
-        ("Model B observations", fb.nobs), ("Model B R2", fb.r2),
-        ("BP p-value", bp["lm_pvalue"]), ("Max VIF", max(v for _, v in vifs))])
+        ("Model B observations", fb.nobs), ("Model B R2", six(fb.r2)),
+        ("BP p-value", six(bp["lm_pvalue"])), ("Max VIF", six(max(v for _, v in vifs)))])
 
 
 @query

@@ -796,4 +796,90 @@ SQL["model_b_fit"] = _model_sql(
     "(CAST(g AS DOUBLE) / (g - 1)) * (CAST(n AS DOUBLE) - 1) / (n - (1 + (ne - 1) + (nt - 1) + 6))")
 
 
+
+def _inv_exprs(sym: str, k: int, det_name: str, out: str) -> tuple[str, list[str]]:
+    """(determinant, inverse entries) of the symmetric k x k matrix whose
+    entries are columns ``{sym}{i}_{j}``, by cofactors."""
+    m = [[f"{sym}{min(i, j)}_{max(i, j)}" for j in range(k)] for i in range(k)]
+    inv = []
+    for i in range(k):
+        for j in range(k):
+            minor = [row[:i] + row[i + 1:] for r_, row in enumerate(m) if r_ != j]
+            sign = "" if (i + j) % 2 == 0 else "-"
+            inv.append(f"{sign}({_det(minor)}) / {det_name} AS {out}{i}_{j}")
+    return _det(m), inv
+
+
+def _notes_sql() -> str:
+    k = 4
+    xs = _A_REGS
+    cc = ["nation_name", "year", "inflation"] + _A_REGS + ["energy_import_share", "high_energy_dependence"]
+    base = "WITH " + _PANEL + ",\nfe_in AS (SELECT * FROM panel2 WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cc) + ")"
+    a = _fek_sql(base, "inflation", xs, "nation_name", "year", "CAST(n AS DOUBLE) / (n - 4 - (ne + nt - 1))")
+    # within R2: entity-demeaned moments with the two-way coefficients
+    ed = lambda c: f"{c} - avg({c}) OVER (PARTITION BY nation_name)"
+    ecols = ", ".join([f"{ed('inflation')} AS ye"] + [f"{ed(x)} AS e{j}" for j, x in enumerate(xs)])
+    emom = ", ".join(["sum(ye * ye) AS eyy"] + [f"sum(e{j} * ye) AS ey{j}" for j in range(k)]
+                     + [f"sum(e{i} * e{j}) AS ee{i}_{j}" for i in range(k) for j in range(k)])
+    ssr_w = ("eyy - 2 * (" + " + ".join(f"b{j} * ey{j}" for j in range(k)) + ") + "
+             + " + ".join(f"b{i} * b{j} * ee{i}_{j}" for i in range(k) for j in range(k)))
+    # Breusch-Pagan on the same sample: centred OLS with intercept, then e^2 on [1, X]
+    cx = ", ".join(["inflation - avg(inflation) OVER () AS cy"] + [f"{x} - avg({x}) OVER () AS c{j}" for j, x in enumerate(xs)])
+    cmom = ", ".join([f"sum(c{i} * c{j}) AS p{i}_{j}" for i in range(k) for j in range(i, k)]
+                     + [f"sum(c{j} * cy) AS py{j}" for j in range(k)])
+    pdet, pinv = _inv_exprs("p", k, "pdt", "q")
+    pbeta = ", ".join(" + ".join(f"q{i}_{j} * py{j}" for j in range(k)) + f" AS pb{i}" for i in range(k))
+    uexpr = "(cy - " + " - ".join(f"pb{j} * c{j}" for j in range(k)) + ")"
+    # VIF: uncentred Gram of the regressors, vif_j = G_jj * inv(G)_jj
+    gmom = ", ".join(f"sum({xs[i]} * {xs[j]}) AS g{i}_{j}" for i in range(k) for j in range(i, k))
+    gdet, ginv = _inv_exprs("g", k, "gdt", "h")
+    vifs = ", ".join(f"g{j}_{j} * h{j}_{j}" for j in range(k))
+    # Model B R2: residual SS of the identified DiD regressors / centred total SS
+    b_fit = ["did_interaction", "gas_import_shock_lag1", "gdp_growth", "imports_gdp"]
+    bcc = ["nation_name", "year", "inflation"] + _B_REGS
+    return a + f""",
+ew AS (SELECT {ecols} FROM fe_in),
+em AS (SELECT {emom} FROM ew),
+r2a AS (SELECT n AS na, 1 - ({ssr_w}) / eyy AS r2w FROM fit_out, em),
+cw AS (SELECT {cx} FROM fe_in),
+cm AS (SELECT {cmom} FROM cw),
+cd AS (SELECT *, {pdet} AS pdt FROM cm),
+ci AS (SELECT *, {", ".join(pinv)} FROM cd),
+cb AS (SELECT *, {pbeta} FROM ci),
+uu AS (SELECT cw.*, {uexpr} * {uexpr} AS u FROM cw, cb),
+um AS (SELECT u - avg(u) OVER () AS uc, {", ".join(f"c{j}" for j in range(k))} FROM uu),
+ua AS (SELECT count(*) AS nu, sum(uc * uc) AS suu, {", ".join(f"sum(c{j} * uc) AS pu{j}" for j in range(k))} FROM um),
+bp AS (SELECT nu * ({" + ".join(f"({' + '.join(f'q{i}_{j} * pu{j}' for j in range(k))}) * pu{i}" for i in range(k))}) / suu AS lm
+       FROM ua, cb),
+gm AS (SELECT {gmom} FROM fe_in),
+gd AS (SELECT *, {gdet} AS gdt FROM gm),
+gi AS (SELECT *, {", ".join(ginv)} FROM gd),
+vf AS (SELECT greatest({vifs}) AS max_vif FROM gi),
+b_in AS (SELECT * FROM panel2 WHERE {" AND ".join(f"{c} IS NOT NULL" for c in bcc)}),
+b2 AS (SELECT {", ".join([f"{c} - avg({c}) OVER (PARTITION BY nation_name) - avg({c}) OVER (PARTITION BY year) + avg({c}) OVER () AS {c}"
+                          for c in ["inflation"] + b_fit])}, inflation - avg(inflation) OVER () AS yc FROM b_in),
+bmom AS (SELECT count(*) AS nb, sum(inflation * inflation) AS syy, sum(yc * yc) AS tss,
+         {", ".join([f"sum({b_fit[i]} * {b_fit[j]}) AS z{i}_{j}" for i in range(k) for j in range(i, k)]
+                    + [f"sum({b_fit[j]} * inflation) AS zy{j}" for j in range(k)])} FROM b2),
+bdet AS (SELECT *, {_inv_exprs("z", k, "zdt", "w")[0]} AS zdt FROM bmom),
+binv AS (SELECT *, {", ".join(_inv_exprs("z", k, "zdt", "w")[1])} FROM bdet),
+r2b AS (SELECT nb, 1 - (syy - ({" + ".join(f"({' + '.join(f'w{i}_{j} * zy{j}' for j in range(k))}) * zy{i}" for i in range(k))})) / tss AS r2 FROM binv)
+SELECT 'Model A entity FE' AS metric, 'Yes' AS value
+UNION ALL SELECT 'Model A time FE', 'Yes'
+UNION ALL SELECT 'Model A clustered SE', 'Yes (entity)'
+UNION ALL SELECT 'Model A observations', CAST((SELECT na FROM r2a) AS VARCHAR)
+UNION ALL SELECT 'Model A R2 within', printf('%.6f', round((SELECT r2w FROM r2a), 6))
+UNION ALL SELECT 'Model B country FE', 'Yes'
+UNION ALL SELECT 'Model B year FE', 'Yes'
+UNION ALL SELECT 'Model B clustered SE', 'Yes (country)'
+UNION ALL SELECT 'Model B observations', CAST((SELECT nb FROM r2b) AS VARCHAR)
+UNION ALL SELECT 'Model B R2', printf('%.6f', round((SELECT r2 FROM r2b), 6))
+UNION ALL SELECT 'BP p-value', printf('%.6f', round((SELECT exp(-lm / 2) * (1 + lm / 2) FROM bp), 6))
+UNION ALL SELECT 'Max VIF', printf('%.6f', round((SELECT max_vif FROM vf), 6))
+"""
+
+
+SQL["model_notes"] = _notes_sql()
+
+
 SQL = {k: _r6_text(v) for k, v in SQL.items()}
