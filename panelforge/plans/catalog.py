@@ -720,8 +720,10 @@ def model_notes(spark, sf):
         ("BP p-value", six(bp["lm_pvalue"])), ("Max VIF", six(max(v for _, v in vifs)))])
 
 
-@query
-def robustness_grid(spark, sf):
+def _robustness_fits(spark, sf):
+    """Fits of the robustness checks: alternative lags, an excluded year, high
+    and low dependence subsamples (one stacked grid fit), and a placebo DiD in
+    the pre-treatment years.  Returns [(check, variable, fit)]."""
     from panelforge.operators import features
     from panelforge.plans import regression
     from panelforge.plans.panel import fe_sample
@@ -747,22 +749,38 @@ def robustness_grid(spark, sf):
     fits = regression.fit_grid({k: v[0] for k, v in specs.items()}, "inflation",
                                {k: v[1] for k, v in specs.items()}, "nation_name", "year",
                                cluster="nation_name", scale="panel", dist="t")
-    rows = [(k, v[2], fits[k].coef.get(v[2]), fits[k].pvalue.get(v[2]), float(fits[k].nobs))
-            for k, v in specs.items()]
+    out = [(k, v[2], fits[k]) for k, v in specs.items()]
     # placebo difference-in-differences in the pre-treatment years
-    pre = clean.complete_cases(panel, ["nation_name", "year", "inflation", "high_energy_dependence",
-                                       "gas_import_shock_lag1", "gdp_growth", "imports_gdp"]).where(F.col("year") < 2000)
+    pre = clean.complete_cases(panel, PLACEBO_COLS).where(F.col("year") < 2000)
     pre = features.treatment_flags(pre, "year", 1999, treat="high_energy_dependence", post="placebo_post",
                                    interaction="placebo_interaction")
-    fp = regression.fit_ols(pre, "inflation", ["placebo_interaction", "high_energy_dependence", "placebo_post",
-                                               "gas_import_shock_lag1", "gdp_growth", "imports_gdp"],
-                            entity="nation_name", time="year", cluster="nation_name", scale="dummies",
-                            dist="normal")[None]
-    rows.append(("Placebo DiD pre-treatment", "placebo_interaction", fp.coef.get("placebo_interaction"),
-                 fp.pvalue.get("placebo_interaction"), float(fp.nobs)))
+    fp = regression.fit_ols(pre, "inflation", PLACEBO_REGS, entity="nation_name", time="year",
+                            cluster="nation_name", scale="dummies", dist="normal")[None]
+    out.append(("Placebo DiD pre-treatment", "placebo_interaction", fp))
+    return out
+
+
+PLACEBO_COLS = ["nation_name", "year", "inflation", "high_energy_dependence", "gas_import_shock_lag1",
+                "gdp_growth", "imports_gdp"]
+PLACEBO_REGS = ["placebo_interaction", "high_energy_dependence", "placebo_post", "gas_import_shock_lag1",
+                "gdp_growth", "imports_gdp"]
+
+
+@query
+def robustness_grid(spark, sf):
+    from panelforge.plans.regression import _f
+    rows = [(c, v, _f(f.coef.get(v)), _f(f.pvalue.get(v)), float(f.nobs)) for c, v, f in _robustness_fits(spark, sf)]
+    return spark.createDataFrame(rows, "check string, variable string, coef double, p_value double, nobs double")
+
+
+@query
+def robustness_coefs(spark, sf):
+    """The robustness checks' coefficient, clustered SE and sample size of the
+    reported variable (the grid's p-values need distribution tails)."""
     from panelforge.plans.regression import _f
-    return spark.createDataFrame([(a, b, _f(c), _f(d), e) for a, b, c, d, e in rows],
-                                 "check string, variable string, coef double, p_value double, nobs double")
+    rows = [(c, v, _f(f.coef.get(v)), _f(f.se.get(v)), int(f.nobs)) for c, v, f in _robustness_fits(spark, sf)]
+    return _round_doubles(spark.createDataFrame(
+        rows, "check string, variable string, coef double, se double, nobs long"))
 
 
 # ---------------------------------------------------------------- stage compositions

@@ -729,11 +729,12 @@ def _det(m: list[list[str]]) -> str:
     return "(" + " ".join(terms) + ")"
 
 
-def _fek_sql(base: str, y: str, xs: list[str], ent: str, tim: str, scale: str) -> str:
+def _fek_sql(base: str, y: str, xs: list[str], ent: str, tim: str, scale: str, pre: str = "",
+             src: str = "fe_in") -> str:
     """CTEs for a two-way FE fit with k regressors on a balanced panel (CTE
-    ``fe_in``): two-way demeaning, moments, inverse by cofactors, coefficients,
-    cluster scores by entity, sandwich with ``scale``.  Leaves CTE ``fit_out``
-    with b{j}, se{j}, n."""
+    ``src``): two-way demeaning, moments, inverse by cofactors, coefficients,
+    cluster scores by entity, sandwich with ``scale``.  Leaves CTE
+    ``{pre}fit_out`` with b{j}, se{j}, n; ``pre`` keeps several fits apart."""
     k = len(xs)
     dm = lambda c: (f"{c} - avg({c}) OVER (PARTITION BY {ent}) - avg({c}) OVER (PARTITION BY {tim}) "
                     f"+ avg({c}) OVER ()")
@@ -755,16 +756,17 @@ def _fek_sql(base: str, y: str, xs: list[str], ent: str, tim: str, scale: str) -
     meat = ", ".join(f"sum(g{a} * g{b}) AS m{a}_{b}" for a in range(k) for b in range(k))
     var = ", ".join("sqrt(c * (" + " + ".join(f"i{j}_{a} * m{a}_{b} * i{b}_{j}" for a in range(k) for b in range(k))
                     + f")) AS se{j}" for j in range(k))
+    p = pre
     return base + f""",
-d AS (SELECT {cols} FROM fe_in),
-s AS (SELECT {mom} FROM d),
-dtab AS (SELECT *, {det} AS dt FROM s),
-inv AS (SELECT *, {", ".join(inv)} FROM dtab),
-v AS (SELECT *, {beta} FROM inv),
-sc AS (SELECT d.ent, {scores} FROM d, v GROUP BY d.ent),
-mt AS (SELECT {meat}, count(*) AS g FROM sc),
-vc AS (SELECT v.*, mt.*, {scale} AS c FROM v, mt),
-fit_out AS (SELECT *, {var} FROM vc)"""
+{p}d AS (SELECT {cols} FROM {src}),
+{p}s AS (SELECT {mom} FROM {p}d),
+{p}dtab AS (SELECT *, {det} AS dt FROM {p}s),
+{p}inv AS (SELECT *, {", ".join(inv)} FROM {p}dtab),
+{p}v AS (SELECT *, {beta} FROM {p}inv),
+{p}sc AS (SELECT d.ent, {scores} FROM {p}d d, {p}v v GROUP BY d.ent),
+{p}mt AS (SELECT {meat}, count(*) AS g FROM {p}sc),
+{p}vc AS (SELECT v.*, mt.*, {scale} AS c FROM {p}v v, {p}mt mt),
+{p}fit_out AS (SELECT *, {var} FROM {p}vc)"""
 
 
 _A_REGS = ["gas_import_shock_lag1", "shock_x_highdep_lag1", "gdp_growth", "imports_gdp"]
@@ -882,4 +884,47 @@ UNION ALL SELECT 'Max VIF', printf('%.6f', round((SELECT max_vif FROM vf), 6))
 SQL["model_notes"] = _notes_sql()
 
 
+
+def _robustness_sql() -> str:
+    panel_scale = "CAST(n AS DOUBLE) / (n - {k} - (ne + nt - 1))"
+    lag_cols = lambda lag: ["nation_name", "year", "inflation", f"gas_import_shock_lag{lag}",
+                            f"shock_x_highdep_lag{lag}", "gdp_growth", "imports_gdp", "energy_import_share",
+                            "high_energy_dependence"]
+    regs = lambda lag: [f"gas_import_shock_lag{lag}", f"shock_x_highdep_lag{lag}", "gdp_growth", "imports_gdp"]
+    sub = ["gas_import_shock_lag1", "gdp_growth", "imports_gdp"]
+    specs = [  # (check, variable, prefix, sample filter, columns required, regressors, scale)
+        ("Alternative lag 2", "gas_import_shock_lag2", "r1", "TRUE", lag_cols(2), regs(2), panel_scale.format(k=4)),
+        ("Alternative lag 3", "gas_import_shock_lag3", "r2", "TRUE", lag_cols(3), regs(3), panel_scale.format(k=4)),
+        ("Exclude year 1999", "gas_import_shock_lag1", "r3", "year <> 1999", lag_cols(1), regs(1), panel_scale.format(k=4)),
+        ("Subsample high dependence", "gas_import_shock_lag1", "r4", "high_energy_dependence = 1", lag_cols(1), sub,
+         panel_scale.format(k=3)),
+        ("Subsample low dependence", "gas_import_shock_lag1", "r5", "high_energy_dependence = 0", lag_cols(1), sub,
+         panel_scale.format(k=3)),
+    ]
+    sql = "WITH " + _PANEL
+    selects = []
+    for check, var, pre, where, cc, xs, scale in specs:
+        sql += (f",\n{pre}in AS (SELECT * FROM panel2 WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cc)
+                + f" AND {where})")
+        sql = _fek_sql(sql, "inflation", xs, "nation_name", "year", scale, pre=pre, src=f"{pre}in")
+        j = xs.index(var)
+        selects.append(f"SELECT '{check}' AS check, '{var}' AS variable, round(b{j}, 6) AS coef, "
+                       f"round(se{j}, 6) AS se, n AS nobs FROM {pre}fit_out")
+    pcols = ["nation_name", "year", "inflation", "high_energy_dependence", "gas_import_shock_lag1",
+             "gdp_growth", "imports_gdp"]
+    sql += (",\nr6in AS (SELECT *, high_energy_dependence * CASE WHEN year >= 1999 THEN 1.0 ELSE 0.0 END "
+            "AS placebo_interaction FROM panel2 WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in pcols)
+            + " AND year < 2000)")
+    sql = _fek_sql(sql, "inflation", ["placebo_interaction", "gas_import_shock_lag1", "gdp_growth", "imports_gdp"],
+                   "nation_name", "year",
+                   "(CAST(g AS DOUBLE) / (g - 1)) * (CAST(n AS DOUBLE) - 1) / (n - (1 + (ne - 1) + (nt - 1) + 6))",
+                   pre="r6", src="r6in")
+    selects.append("SELECT 'Placebo DiD pre-treatment', 'placebo_interaction', round(b0, 6), round(se0, 6), n "
+                   "FROM r6fit_out")
+    return sql + "\n" + "\nUNION ALL ".join(selects)
+
+
+SQL["robustness_coefs"] = _robustness_sql()
+
+
 SQL = {k: _r6_text(v) for k, v in SQL.items()}
