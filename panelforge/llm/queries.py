@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, packing, sharding, token_counts
+from . import bpe, fingerprints, packing, sharding, token_counts, toxicity
 from .store import read_documents
 
 
@@ -18,10 +18,29 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+HELD_OUT = "coalesce(pmod(crc32(cast(cast(doc_id as string) as binary)), 3) = 1, false)"
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    model = toxicity.fit(docs, read_documents(spark, sf_dir, "labels"), f"not {HELD_OUT}")
+    return toxicity.score(docs, model).select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score",
+                                              F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_documents(spark, sf_dir))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = fingerprints
+    d = f.fingerprint_documents(read_documents(spark, sf_dir))
+    return d.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                    f.as_text(F.col("sketch")).alias("fingerprint"), f.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+                    f.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+                    f.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(read_documents(spark, sf_dir))
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
@@ -29,5 +48,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_sharding, op7_token_counts, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_packing, op4_sharding, op5_toxicity, op7_token_counts, op8_fingerprints, op10_bpe)}
 SQL: dict[str, str] = {}

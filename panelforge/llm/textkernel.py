@@ -17,7 +17,6 @@ _VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _VALUE[65:91] = _VALUE[97:123]
 _SEP = np.zeros(256, bool)
 _SEP[[9, 10, 11, 12, 13, 32]] = True
-_VALUE[_SEP] = 0
 _BASE = _U(0x9E3779B97F4A7C15)
 _POW = np.ones(64, np.uint64)
 SHINGLE = 5
@@ -60,13 +59,14 @@ def chunks(off: np.ndarray, limit: int = CHUNK):
         i = min(j, n)
 
 
-def words(raw: np.ndarray, off: np.ndarray):
-    """``(start, end, hash, first)``: byte range and hash of each word; ``first[d]`` counts the words before text d."""
+def words(raw: np.ndarray, off: np.ndarray, sep: np.ndarray = _SEP):
+    """``(start, end, hash, first)``: byte range and hash of each word; ``first[d]`` counts the words before text d.
+    ``sep`` marks the bytes between words."""
     n = len(raw)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
-    inside = ~_SEP[raw]
+    inside = ~sep[raw]
     cut = np.zeros(n + 1, bool)
     cut[off] = True
     left = np.empty(n, bool)
@@ -83,7 +83,8 @@ def words(raw: np.ndarray, off: np.ndarray):
     reach = np.diff(np.append(start, n))
     place = np.arange(start[0], n) - np.repeat(start, reach)
     np.minimum(place, len(power) - 1, out=place)
-    h = np.add.reduceat(_VALUE[raw[start[0]:]] * power[place], start - start[0])
+    value = np.where(sep, _U(0), _VALUE)
+    h = np.add.reduceat(value[raw[start[0]:]] * power[place], start - start[0])
     return start, end, mix(h ^ size.astype(np.uint64)), first
 
 
