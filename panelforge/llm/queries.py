@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprints, packing, sharding, token_counts, toxicity
+from . import bpe, fingerprints, packing, pii, sharding, token_counts, toxicity
 from .store import read_documents
 
 
@@ -28,6 +28,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read_documents(spark, sf_dir))
+    count = [F.size(F.filter("base", pii.of_kind(i))).cast("bigint").alias(f"n_{k}") for i, k in enumerate(pii.KINDS[:4])]
+    return found.select("doc_id", *count, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_documents(spark, sf_dir))
 
@@ -48,5 +54,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_sharding, op5_toxicity, op7_token_counts, op8_fingerprints, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_packing, op4_sharding, op5_toxicity, op6_pii, op7_token_counts, op8_fingerprints, op10_bpe)}
 SQL: dict[str, str] = {}
