@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprints, packing, pii, sharding, token_counts, toxicity
+from . import bpe, fingerprints, maxent, packing, pii, sharding, token_counts, toxicity
 from .store import read_documents
 
 
@@ -47,6 +47,17 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                     f.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
 
 
+TESTED = "coalesce(pmod(crc32(cast(cast(doc_id as string) as binary)), 10) = 0, false)"
+ROUND = "coalesce(pmod(floor(crc32(cast(cast(doc_id as string) as binary)) / 10), 4), 0)"
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    model = maxent.fit(docs.where(f"not {TESTED}"), ROUND)
+    return maxent.score(docs, model).select("doc_id", F.expr(TESTED).alias("held_out"), "n_tokens", "n_known",
+                                            F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(read_documents(spark, sf_dir))
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
@@ -54,5 +65,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_sharding, op5_toxicity, op6_pii, op7_token_counts, op8_fingerprints, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_packing, op4_sharding, op5_toxicity, op6_pii, op7_token_counts, op8_fingerprints, op9_lm_scoring, op10_bpe)}
 SQL: dict[str, str] = {}
