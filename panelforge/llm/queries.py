@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprints, maxent, packing, pii, sharding, token_counts, toxicity
+from . import bpe, fingerprints, maxent, packing, pii, sharding, token_counts, toxicity, vectors
 from .store import read_documents
 
 
@@ -13,6 +13,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read_documents(spark, sf_dir, "embeddings"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_documents(spark, sf_dir), [1.0] * 16).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -65,5 +69,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_sharding, op5_toxicity, op6_pii, op7_token_counts, op8_fingerprints, op9_lm_scoring, op10_bpe)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_packing, op3_embeddings, op4_sharding, op5_toxicity, op6_pii, op7_token_counts, op8_fingerprints, op9_lm_scoring, op10_bpe)}
+SQL: dict[str, str] = {
+    "op3_embeddings": """
+with recursive v as (
+  select vec_id, label, list_transform(embedding, x -> x::double) as e from embeddings
+), ok as (
+  select * from v where label is not null and e is not null and len(e) > 0 and len(list_filter(e, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(e, x -> x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(a, b) as (
+  select vec_id, vec_id from v union select r.a, l.b from reach r join links l on r.b = l.a
+), low as (select a as vec_id, min(b) as component_id from reach group by a),
+n as (select a as vec_id, count(*) as n_links from links group by a)
+select low.vec_id, coalesce(n.n_links, 0)::bigint as n_links, component_id, component_id = low.vec_id as kept
+from low left join n on n.vec_id = low.vec_id""",
+}
