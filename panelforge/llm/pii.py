@@ -30,6 +30,7 @@ _MAY = {"email": "@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card
 REACH = 64
 TERMS = 3
 SUPPORT = 5
+BROADCAST_SPANS = 1_000_000
 DISCLOSURE = 0.9
 _WORD_BREAK = r"[\s.,;:!?()\[\]\"']+"
 _TERM = r"^\p{L}{3,40}$"
@@ -146,7 +147,10 @@ def find(docs: DataFrame, keep=("doc_id",), text: str = "text", disclosure: floa
     body = F.coalesce(docs[text], F.lit(""))
     rows = docs.select(*[docs[c].alias(f"__k{i}") for i, c in enumerate(keep)], base_spans(body).alias("base"),
                        F.sha2(body, 256).alias("text_key"))
-    found = rows.join(disclosing_spans(docs, text, disclosure, support), "text_key", "left")
+    terms = freeze(disclosing_spans(docs, text, disclosure, support), "terms")
+    held = terms.agg(F.count("*"), F.sum(F.size("terms"))).first()
+    # Broadcast up to a million spans of 24 bytes, else a shuffle join by text hash.
+    found = rows.join(F.broadcast(terms) if held[0] + (held[1] or 0) <= BROADCAST_SPANS else terms, "text_key", "left")
     none = F.array().cast(_SPAN)
     return found.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], "base",
                         F.when(F.col("terms").isNull(), F.col("base"))

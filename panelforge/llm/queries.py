@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprints, maxent, packing, pii, sharding, token_counts, toxicity, vectors
+from . import bpe, fingerprints, maxent, ngram_join, packing, pii, sharding, token_counts, toxicity, vectors
 from .store import read_documents
 
 
@@ -13,6 +13,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_documents(spark, sf_dir))
+
+
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(read_documents(spark, sf_dir, "embeddings"))
 
@@ -69,14 +73,30 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_embeddings, op4_sharding, op5_toxicity, op6_pii, op7_token_counts, op8_fingerprints, op9_lm_scoring, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_ngram_join, op3_embeddings, op4_sharding, op5_toxicity, op6_pii, op7_token_counts, op8_fingerprints, op9_lm_scoring, op10_bpe)}
 SQL: dict[str, str] = {
+    "op2_ngram_join": """
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as words from documents
+), s as materialized (
+  select doc_id, case when len(words) = 0 then []
+                      when len(words) < 5 then [array_to_string(words, ' ')]
+                      else list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) end as shingles from w
+), n as (select doc_id, len(shingles)::bigint as n_shingles from s),
+each as materialized (select doc_id, unnest(shingles) as shingle from s),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as both_have from each a join each b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2),
+pairs as (select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b
+          where 100 * both_have >= 75 * (x.n_shingles + y.n_shingles - both_have)),
+links as (select a, b from pairs union select b, a from pairs),
+reach(a, b) as (select doc_id, doc_id from documents union select r.a, l.b from reach r join links l on r.b = l.a)
+select n.doc_id, n_shingles, min(reach.b) as component_id from n join reach on reach.a = n.doc_id group by 1, 2""",
     "op3_embeddings": """
 with recursive v as (
-  select vec_id, label, list_transform(embedding, x -> x::double) as e from embeddings
+  select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings
 ), ok as (
-  select * from v where label is not null and e is not null and len(e) > 0 and len(list_filter(e, x -> x is null or not isfinite(x))) = 0
-    and len(list_filter(e, x -> x <> 0)) > 0
+  select * from v where label is not null and e is not null and len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(e, lambda x: x <> 0)) > 0
 ), links as (
   select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
   where list_cosine_similarity(a.e, b.e) >= 0.98

@@ -107,6 +107,6 @@ def shingle_sets(column):
                 x = np.sort(s[a:b - SHINGLE + 1])
                 yield d, x[np.append(True, x[1:] != x[:-1])]
             elif b > a:
-                yield d, mix(np.array([(h[a:b] * _MUL[:b - a]).sum(dtype=np.uint64) + _MUL[SHINGLE] * _U(b - a)]))
+                yield d, mix((h[a:b] * _MUL[:b - a]).sum(dtype=np.uint64, keepdims=True) + _MUL[SHINGLE:SHINGLE + 1] * _U(b - a))
             else:
                 yield d, h[:0]
