@@ -8,10 +8,10 @@ on the whole texts.
 The order puts frequent shingles last (then by hash), so a passage that many texts share does not bring them
 together unless it makes up most of them.  Frequencies are exact counts over all distinct sets.
 
-Only connectedness is asked of the links, so no bucket ever emits all its pairs: first each group verifies
-one neighbour (the one it shares most prefix shingles with), then the pairs whose members are still
-in different components, and only those.  A pair that is never verified is connected already, so no link that
-would join two components is lost.
+Only connectedness is asked of the links.  So in a few rounds every group verifies the neighbours it
+shares most prefix shingles with, which joins up large groups of copies in linear work; then all candidate
+pairs whose members are still in different components are verified, and only those.  A pair that is
+never verified is connected already: no link that would join two components is lost.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ FREQUENT = 32
 LIMIT = 2_000_000
 FLUSH = 1_500_000
 BROADCAST_ROWS = 1_000_000
+ROUNDS = 4
 
 
 def _bits(docs: DataFrame) -> int:
@@ -188,8 +189,15 @@ def _describe(docs: DataFrame, key: str, text: str, shared, bits: int) -> DataFr
     return map_batches(src, run, f"doc_id {kind}, text_key string, n_shingles bigint, s string, g bigint")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of set names whose whole texts reach the similarity."""
+def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The pairs ``(a, b)`` of set names whose whole texts reach the similarity.  Only texts of these pairs are
+    read on, once each."""
+    need = (pairs.select(F.col("a").alias("s")).unionByName(pairs.select(F.col("b").alias("s"))).distinct()
+            .join(members.select("s", "text_key"), "s"))
+    need = freeze(need, "need")
+    keyed = docs.select(F.md5(F.coalesce(docs[text], F.lit("")).cast("binary")).alias("text_key"), docs[text].alias("text"))
+    body = keyed.join(small(need.select("text_key"), BROADCAST_ROWS), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+    texts = freeze(need.join(body, "text_key").select("s", "text"), "texts")
     left = texts.select(F.col("s").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("s").alias("b"), F.col("text").alias("text_b"))
 
@@ -203,7 +211,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     ok.append(DEN * both >= NUM * (len(x) + len(y) - both))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), run, "a string, b string")
+    return freeze(map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), run, "a string, b string"), "edges")
 
 
 def _ordered(a: str, b: str) -> list:
@@ -215,6 +223,49 @@ def _fits(n: str, m: str):
     return (F.col(n) * DEN >= F.col(m) * NUM) & (F.col(m) * DEN >= F.col(n) * NUM)
 
 
+def _enough(k: str, n: str, m: str):
+    """Whether sets of n and m shingles that share k prefix shingles can reach the similarity.
+
+    Of the two prefixes one ends first.  What its set shares with the other lies in both prefixes (k) or after
+    its own, so the overlap is at most k plus what is left behind the longer remainder.
+    """
+    rest = F.greatest(F.ceil(F.col(n) * NUM / DEN), F.ceil(F.col(m) * NUM / DEN)) - 1
+    return (F.col(k) + rest) * (NUM + DEN) >= (F.col(n) + F.col(m)) * NUM
+
+
+def _joined_up(roots: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """Components after more edges: the known ones enter as stars."""
+    if roots is not None:
+        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(edges)
+    return components(edges)
+
+
+def _mixed(seats: DataFrame) -> DataFrame:
+    """Seats ``(h, g, n, lo, hi)`` of the shingles whose groups are not all in one component."""
+    open_ = seats.groupBy("h").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).where("a < b").select("h")
+    return seats.join(open_, "h").select("h", "g", "n", "lo", "hi")
+
+
+def _partners(hits: DataFrame, heads: DataFrame, turn: int) -> DataFrame:
+    """Pairs ``(a, b)`` of the heads of groups: for each group the two of other components that stand next to it
+    most often, if both share enough prefix shingles.  Groups stand in one order for all shingles, by size at first and then by
+    a hash of each turn, so a shingle yields a row or two a group and never its pairs."""
+    seats = _mixed(hits.join(heads.select("g", F.col("root").alias("lo"), F.col("root").alias("hi")), "g"))
+    place = F.col("n").cast("bigint") if turn == 0 else F.xxhash64(F.lit(turn), "g")
+    along = Window.partitionBy("h").orderBy(place, "g")
+    after = [F.lead(F.struct(F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("lo").alias("lo2")), d).over(along) for d in (1, 2)]
+    near = (seats.select("g", "n", "lo", F.array(*after).alias("xs")).select("g", "n", "lo", F.explode("xs").alias("x")).where("x is not null").select("g", "n", "lo", "x.*")
+            .where((F.col("lo") != F.col("lo2")) & _fits("n", "n2")).groupBy("g", "n", "g2", "n2").agg(F.count("*").alias("k")))
+    both = near.unionByName(near.select(F.col("g2").alias("g"), F.col("n2").alias("n"), F.col("g").alias("g2"), F.col("n").alias("n2"), "k"))
+    rank = Window.partitionBy("g").orderBy(F.desc("k"), "g2")
+    chosen = both.withColumn("r", F.row_number().over(rank)).where("r <= 2").select(
+        F.least("g", "g2").alias("g"), F.greatest("g", "g2").alias("g2")).distinct()
+    full = (chosen.join(hits.select("h", "g", "n"), "g").join(hits.select("h", F.col("g").alias("g2"), F.col("n").alias("n2")), ["h", "g2"])
+            .groupBy("g", "g2", "n", "n2").agg(F.count("*").alias("k")).where(_enough("k", "n", "n2")))
+    return (full.join(heads.select("g", "head"), "g").join(heads.select(F.col("g").alias("g2"), F.col("head").alias("head2")), "g2")
+            .select(*_ordered("head", "head2")))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row.
 
@@ -229,43 +280,37 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     hits = freeze(prefix_hits(docs, shared, bits, text), "hits")
     members = rows.where("s is not null").groupBy("s").agg(F.first("g").alias("g"), F.first("n_shingles").alias("n"), F.min("text_key").alias("text_key"))
     size = members.groupBy("g").agg(F.count("*").alias("k"), F.min("s").alias("head"))
-    active = hits.select("g").distinct().withColumn("hit", F.lit(True)).join(size.where("k > 1").select("g"), "g", "full")
+    active = hits.select("g").distinct().join(size.where("k > 1").select("g"), "g", "full")
     members = freeze(members.join(active, "g").join(size, "g").select("s", "g", "n", "text_key", "head"), "members")
 
-    keyed = docs.select(F.md5(F.coalesce(docs[text], F.lit("")).cast("binary")).alias("text_key"), docs[text].alias("text"))
-    need = members.select("text_key", "s")
-    body = keyed.join(small(need.select("text_key"), BROADCAST_ROWS), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-    texts = freeze(need.join(body, "text_key").select("s", "text"), "texts")
-
-    # Round 1: each group and its closest neighbour in size order, and neighbours inside a group.
-    along = Window.partitionBy("h").orderBy("n", "g")
-    chain = (hits.select("h", "g", "n", F.lead("g").over(along).alias("g2"), F.lead("n").over(along).alias("n2"))
-             .where(F.col("g2").isNotNull() & _fits("n", "n2")).groupBy("g", "g2").agg(F.count("*").alias("k")))
-    both = chain.select("g", "g2", "k").unionByName(chain.select(F.col("g2").alias("g"), F.col("g").alias("g2"), "k"))
-    best = both.groupBy("g").agg(F.max_by("g2", F.struct("k", "g2")).alias("g2"))
-    heads = members.select("g", "head").distinct()
-    across = (best.join(heads, "g").join(heads.select(F.col("g").alias("g2"), F.col("head").alias("head2")), "g2")
-              .select(*_ordered("head", "head2")))
+    # Members of a group are tried in a chain first, groups with a partner or two a round.
     beside = Window.partitionBy("g").orderBy("s")
-    inside = members.select("s", F.lead("s").over(beside).alias("s2")).where("s2 is not null").select(*_ordered("s", "s2"))
-    tried = freeze(across.unionByName(inside).distinct(), "pairs")
-    edges = freeze(_verified(tried, texts), "edges")
+    pairs = freeze(members.select("s", F.lead("s").over(beside).alias("s2")).where("s2 is not null").select(*_ordered("s", "s2")), "pairs")
+    tried, roots = pairs, _joined_up(None, _verified(pairs, members, docs, text))
+    for turn in range(ROUNDS):
+        heads = members.groupBy("g").agg(F.min("head").alias("s")).join(roots.withColumnRenamed("node", "s"), "s", "left").select(
+            "g", F.col("s").alias("head"), F.coalesce("root", "s").alias("root"))
+        pairs = freeze(_partners(hits, heads, turn).join(tried, ["a", "b"], "left_anti"), "pairs")
+        met = _verified(pairs, members, docs, text)
+        if met.isEmpty():
+            break
+        tried, roots = tried.unionByName(pairs), _joined_up(roots, met)
 
-    # Round 2: all candidate pairs that are not connected yet.
-    roots = components(edges)
+    # Last: all candidates that are not connected yet, group pairs first, then their members.
     placed = freeze(members.join(roots.withColumnRenamed("node", "s"), "s", "left")
                     .select("s", "g", "n", F.coalesce("root", "s").alias("root")), "placed")
-    seats = hits.select("h", "g").join(placed, "g")
-    mixed = seats.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("h")
-    seats = seats.join(mixed, "h")
-    other = seats.toDF("h", "g2", "s2", "n2", "root2")
-    open_ = seats.join(other, "h").where((F.col("root") < F.col("root2")) & _fits("n", "n2")).select(*_ordered("s", "s2"))
-    other = placed.toDF("s2", "g", "n2", "root2")
-    same = placed.join(other, "g").where(F.col("root") < F.col("root2")).select(*_ordered("s", "s2"))
+    seats = _mixed(hits.join(placed.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "g"))
+    other = seats.toDF("h", "g2", "n2", "lo2", "hi2")
+    apart = ~((F.col("lo") == F.col("hi")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo") == F.col("lo2")))
+    groups = (seats.join(other, "h").where((F.col("g") < F.col("g2")) & _fits("n", "n2") & apart)
+              .groupBy("g", "g2", "n", "n2").agg(F.count("*").alias("k")).where(_enough("k", "n", "n2")).select("g", "g2"))
+    other = placed.select(F.col("s").alias("s2"), F.col("g").alias("g2"), F.col("root").alias("root2"))
+    open_ = placed.join(groups, "g").join(other, "g2").where("root <> root2").select(*_ordered("s", "s2"))
+    same = placed.join(other.withColumnRenamed("g2", "g"), "g").where("root < root2").select(*_ordered("s", "s2"))
     late = freeze(open_.unionByName(same).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = freeze(_verified(late, texts), "edges")
-    if not more.isEmpty():
-        roots = components(edges.unionByName(more))
+    met = _verified(late, members, docs, text)
+    if not met.isEmpty():
+        roots = _joined_up(roots, met)
 
     found = rows.join(roots.withColumnRenamed("node", "s"), "s", "left").select("doc_id", "n_shingles", F.coalesce("root", "s").alias("root"))
     least = found.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
