@@ -30,7 +30,9 @@ FREQUENT = 32
 LIMIT = 2_000_000
 FLUSH = 1_500_000
 BROADCAST_ROWS = 1_000_000
-ROUNDS = 4
+ROUNDS = 3
+MASK = [f"m{i}" for i in range(16)]
+FOLDED = ["f0", "f1", "f2", "f3"]
 
 
 def _bits(docs: DataFrame) -> int:
@@ -123,10 +125,11 @@ def _group(prefix: np.ndarray, n: int) -> int:
 
 
 def prefix_hits(docs: DataFrame, shared, bits: int, text: str = "text") -> DataFrame:
-    """``(h, g, n)``: every prefix shingle that at least two groups have, with these groups and their sizes."""
+    """``(h, g, n, early)``: every prefix shingle that at least two groups have, with these groups and their sizes;
+    ``early`` if it lies in the shorter prefix that meets every partner no smaller than the group's own sets."""
     def run(batches):
         frequent, shift = shared.value, np.uint64(32 - bits)
-        seen, groups, h, g, n, size = set(), set(), [], [], [], 0
+        seen, groups, h, g, n, size = set(), set(), [], [], [], 0  # n: the size, negative where the shingle is early
 
         def flush():
             hs, gs = np.concatenate(h), np.concatenate(g)
@@ -148,7 +151,8 @@ def prefix_hits(docs: DataFrame, shared, bits: int, text: str = "text") -> DataF
                 groups.add(name)
                 h.append(p)
                 g.append(np.full(len(p), name, np.int64))
-                n.append(np.full(len(p), len(s), np.int32))
+                early = len(s) - -(-2 * NUM * len(s) // (NUM + DEN)) + 1
+                n.append(np.where(np.arange(len(p)) < early, -len(s), len(s)).astype(np.int32))
                 size += len(p)
                 if size >= FLUSH:
                     yield flush()
@@ -164,34 +168,40 @@ def prefix_hits(docs: DataFrame, shared, bits: int, text: str = "text") -> DataF
         h, g, n = h[new], g[new], n[new]
         same = h[1:] == h[:-1]
         keep = np.append(same, False) | np.append(False, same)
-        return pd.DataFrame({"h": h[keep], "g": g[keep], "n": n[keep]})
+        return pd.DataFrame({"h": h[keep], "g": g[keep], "n": np.abs(n[keep]), "early": n[keep] < 0})
 
     parts = map_batches(docs.select(docs[text]), run, "bucket int, h binary, g binary, n binary")
-    return parts.groupBy("bucket").applyInPandas(common, "h bigint, g bigint, n int")
+    return parts.groupBy("bucket").applyInPandas(common, "h bigint, g bigint, n int, early boolean")
 
 
 def _describe(docs: DataFrame, key: str, text: str, shared, bits: int) -> DataFrame:
-    """``(doc_id, text_key, n_shingles, s, g)`` of every row: its set's size, name and group (null without words)."""
+    """``(doc_id, text_key, n_shingles, s, g, m0 .. m15)`` of every row: its set's size, name, group (null without words)
+    and a 1024-bit mask, where each shingle flips one bit."""
     src = docs.select(docs[key].alias("doc_id"), F.md5(F.coalesce(docs[text], F.lit("")).cast("binary")).alias("text_key"), docs[text].alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         frequent, shift = shared.value, np.uint64(32 - bits)
         for batch in batches:
-            n, name, group = [], [], []
+            n, name, group, mask = [], [], [], []
             for _, s in K.shingle_sets(batch.column(2)):
                 n.append(len(s))
+                mask.append(np.packbits(np.bincount((s >> np.uint64(20) & np.uint64(1023)).astype(np.int64), minlength=1024).astype(np.uint8) & 1).view(np.int64))
                 name.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
                 group.append(_group(_prefix(s, frequent, shift), len(s)) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(name, pa.string()), pa.array(group, pa.int64())],
-                                             names=["doc_id", "text_key", "n_shingles", "s", "g"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(name, pa.string()), pa.array(group, pa.int64()),
+                                              *(pa.array(np.ascontiguousarray(m)) for m in np.array(mask, np.int64).reshape(-1, len(MASK)).T)],
+                                             names=["doc_id", "text_key", "n_shingles", "s", "g", *MASK])
 
-    return map_batches(src, run, f"doc_id {kind}, text_key string, n_shingles bigint, s string, g bigint")
+    return map_batches(src, run, f"doc_id {kind}, text_key string, n_shingles bigint, s string, g bigint, " + ", ".join(f"{m} bigint" for m in MASK))
 
 
 def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """The pairs ``(a, b)`` of set names whose whole texts reach the similarity.  Only texts of these pairs are
-    read on, once each."""
+    """The pairs ``(a, b)`` of set names whose whole texts reach the similarity.  Pairs whose masks rule it out are
+    dropped first; only texts of the others are read, once each."""
+    own = members.select(F.col("s").alias("a"), "n", *MASK)
+    others = members.select(F.col("s").alias("b"), F.col("n").alias("n_2"), *[F.col(m).alias(f"{m}_2") for m in MASK])
+    pairs = freeze(pairs.join(own, "a").join(others, "b").where(_alike(MASK)).select("a", "b"), "pairs")
     need = (pairs.select(F.col("a").alias("s")).unionByName(pairs.select(F.col("b").alias("s"))).distinct()
             .join(members.select("s", "text_key"), "s"))
     need = freeze(need, "need")
@@ -240,10 +250,24 @@ def _joined_up(roots: DataFrame | None, edges: DataFrame) -> DataFrame:
     return components(edges)
 
 
-def _mixed(seats: DataFrame) -> DataFrame:
-    """Seats ``(h, g, n, lo, hi)`` of the shingles whose groups are not all in one component."""
+def _mixed(seats: DataFrame, *more: str) -> DataFrame:
+    """Seats ``(h, g, n, lo, hi, *more)`` of the shingles whose groups are not all in one component."""
     open_ = seats.groupBy("h").agg(F.min("lo").alias("a"), F.max("hi").alias("b")).where("a < b").select("h")
-    return seats.join(open_, "h").select("h", "g", "n", "lo", "hi")
+    return seats.join(open_, "h").select("h", "g", "n", "lo", "hi", *more)
+
+
+def _folded(i: int):
+    """Word i of the mask folded to 256 bits."""
+    a, b, c, d = (F.col(MASK[i + k]) for k in (0, 4, 8, 12))
+    return a.bitwiseXOR(b).bitwiseXOR(c.bitwiseXOR(d))
+
+
+def _alike(masks: list[str]):
+    """Whether the masks allow the similarity: bits that differ are shingles that only one set has, and similar
+    sets of n and m shingles have at most n + m - 2 * ceil(t / (1 + t) * (n + m)) of these."""
+    differ = sum((F.bit_count(F.col(m).bitwiseXOR(F.col(f"{m}_2"))) for m in masks), F.lit(0))
+    both = F.col("n") + F.col("n_2")
+    return F.coalesce(differ <= both - 2 * F.ceil(both * NUM / (NUM + DEN)), F.lit(True))
 
 
 def _partners(hits: DataFrame, heads: DataFrame, turn: int) -> DataFrame:
@@ -278,10 +302,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shared = sc.broadcast(frequent_shingles(docs, text))
     rows = freeze(_describe(docs, key, text, shared, bits), "sets")
     hits = freeze(prefix_hits(docs, shared, bits, text), "hits")
-    members = rows.where("s is not null").groupBy("s").agg(F.first("g").alias("g"), F.first("n_shingles").alias("n"), F.min("text_key").alias("text_key"))
+    members = rows.where("s is not null").groupBy("s").agg(F.first("g").alias("g"), F.first("n_shingles").alias("n"), F.min("text_key").alias("text_key"),
+                                                              *[F.first(m).alias(m) for m in MASK])
     size = members.groupBy("g").agg(F.count("*").alias("k"), F.min("s").alias("head"))
     active = hits.select("g").distinct().join(size.where("k > 1").select("g"), "g", "full")
-    members = freeze(members.join(active, "g").join(size, "g").select("s", "g", "n", "text_key", "head"), "members")
+    members = freeze(members.join(active, "g").join(size, "g").select("s", "g", "n", "text_key", "head", *MASK), "members")
 
     # Members of a group are tried in a chain first, groups with a partner or two a round.
     beside = Window.partitionBy("g").orderBy("s")
@@ -298,12 +323,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     # Last: all candidates that are not connected yet, group pairs first, then their members.
     placed = freeze(members.join(roots.withColumnRenamed("node", "s"), "s", "left")
-                    .select("s", "g", "n", F.coalesce("root", "s").alias("root")), "placed")
-    seats = _mixed(hits.join(placed.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "g"))
-    other = seats.toDF("h", "g2", "n2", "lo2", "hi2")
-    apart = ~((F.col("lo") == F.col("hi")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo") == F.col("lo2")))
-    groups = (seats.join(other, "h").where((F.col("g") < F.col("g2")) & _fits("n", "n2") & apart)
-              .groupBy("g", "g2", "n", "n2").agg(F.count("*").alias("k")).where(_enough("k", "n", "n2")).select("g", "g2"))
+                    .select("s", "g", F.coalesce("root", "s").alias("root"), *[_folded(i).alias(f) for i, f in enumerate(FOLDED)]), "placed")
+    # A group of one set carries its mask, others none (and so pass).
+    state = placed.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                    *[F.when(F.count("*") == 1, F.first(m)).alias(m) for m in FOLDED])
+    seats = _mixed(hits.join(state, "g"), "early", *FOLDED)
+    other = seats.where("early").toDF(*[f"{c}_2" if c != "h" else c for c in seats.columns])
+    apart = ~((F.col("lo") == F.col("hi")) & (F.col("lo_2") == F.col("hi_2")) & (F.col("lo") == F.col("lo_2")))
+    smaller = (F.col("n_2") < F.col("n")) | ((F.col("n") == F.col("n_2")) & (F.col("g") < F.col("g_2")))
+    groups = (seats.join(other, "h").where(smaller & _fits("n", "n_2") & apart & _alike(FOLDED))
+              .select("g", F.col("g_2").alias("g2")).distinct())
     other = placed.select(F.col("s").alias("s2"), F.col("g").alias("g2"), F.col("root").alias("root2"))
     open_ = placed.join(groups, "g").join(other, "g2").where("root <> root2").select(*_ordered("s", "s2"))
     same = placed.join(other.withColumnRenamed("g2", "g"), "g").where("root < root2").select(*_ordered("s", "s2"))
