@@ -8,7 +8,7 @@ on the whole texts.
 The order puts frequent shingles last (then by hash), so a passage that many texts share does not bring them
 together unless it makes up most of them.  Frequencies are exact counts over all distinct sets.
 
-Only connectedness is asked of the links.  So in a few rounds every group verifies the neighbours it
+Only connectedness is asked of the links.  So in a few rounds every group in a crowd verifies the neighbours it
 shares most prefix shingles with, which joins up large groups of copies in linear work; then all candidate
 pairs whose members are still in different components are verified, and only those.  A pair that is
 never verified is connected already: no link that would join two components is lost.
@@ -31,6 +31,7 @@ LIMIT = 2_000_000
 FLUSH = 1_500_000
 BROADCAST_ROWS = 1_000_000
 ROUNDS = 3
+CROWD = 16
 MASK = [f"m{i}" for i in range(16)]
 FOLDED = ["f0", "f1", "f2", "f3"]
 
@@ -233,16 +234,6 @@ def _fits(n: str, m: str):
     return (F.col(n) * DEN >= F.col(m) * NUM) & (F.col(m) * DEN >= F.col(n) * NUM)
 
 
-def _enough(k: str, n: str, m: str):
-    """Whether sets of n and m shingles that share k prefix shingles can reach the similarity.
-
-    Of the two prefixes one ends first.  What its set shares with the other lies in both prefixes (k) or after
-    its own, so the overlap is at most k plus what is left behind the longer remainder.
-    """
-    rest = F.greatest(F.ceil(F.col(n) * NUM / DEN), F.ceil(F.col(m) * NUM / DEN)) - 1
-    return (F.col(k) + rest) * (NUM + DEN) >= (F.col(n) + F.col(m)) * NUM
-
-
 def _joined_up(roots: DataFrame | None, edges: DataFrame) -> DataFrame:
     """Components after more edges: the known ones enter as stars."""
     if roots is not None:
@@ -270,11 +261,11 @@ def _alike(masks: list[str]):
     return F.coalesce(differ <= both - 2 * F.ceil(both * NUM / (NUM + DEN)), F.lit(True))
 
 
-def _partners(hits: DataFrame, heads: DataFrame, turn: int) -> DataFrame:
+def _partners(crowds: DataFrame, heads: DataFrame, turn: int) -> DataFrame:
     """Pairs ``(a, b)`` of the heads of groups: for each group the two of other components that stand next to it
-    most often, if both share enough prefix shingles.  Groups stand in one order for all shingles, by size at first and then by
+    most often.  Groups stand in one order for all shingles, by size at first and then by
     a hash of each turn, so a shingle yields a row or two a group and never its pairs."""
-    seats = _mixed(hits.join(heads.select("g", F.col("root").alias("lo"), F.col("root").alias("hi")), "g"))
+    seats = _mixed(crowds.join(heads.select("g", F.col("root").alias("lo"), F.col("root").alias("hi")), "g"))
     place = F.col("n").cast("bigint") if turn == 0 else F.xxhash64(F.lit(turn), "g")
     along = Window.partitionBy("h").orderBy(place, "g")
     after = [F.lead(F.struct(F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("lo").alias("lo2")), d).over(along) for d in (1, 2)]
@@ -284,9 +275,7 @@ def _partners(hits: DataFrame, heads: DataFrame, turn: int) -> DataFrame:
     rank = Window.partitionBy("g").orderBy(F.desc("k"), "g2")
     chosen = both.withColumn("r", F.row_number().over(rank)).where("r <= 2").select(
         F.least("g", "g2").alias("g"), F.greatest("g", "g2").alias("g2")).distinct()
-    full = (chosen.join(hits.select("h", "g", "n"), "g").join(hits.select("h", F.col("g").alias("g2"), F.col("n").alias("n2")), ["h", "g2"])
-            .groupBy("g", "g2", "n", "n2").agg(F.count("*").alias("k")).where(_enough("k", "n", "n2")))
-    return (full.join(heads.select("g", "head"), "g").join(heads.select(F.col("g").alias("g2"), F.col("head").alias("head2")), "g2")
+    return (chosen.join(heads.select("g", "head"), "g").join(heads.select(F.col("g").alias("g2"), F.col("head").alias("head2")), "g2")
             .select(*_ordered("head", "head2")))
 
 
@@ -308,14 +297,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     active = hits.select("g").distinct().join(size.where("k > 1").select("g"), "g", "full")
     members = freeze(members.join(active, "g").join(size, "g").select("s", "g", "n", "text_key", "head", *MASK), "members")
 
-    # Members of a group are tried in a chain first, groups with a partner or two a round.
+    # Members of a group are tried in a chain first, then groups that crowd about a shingle with a partner or two a
+    # round.  Rounds only save work: whatever they leave apart is compared at the end.
     beside = Window.partitionBy("g").orderBy("s")
     pairs = freeze(members.select("s", F.lead("s").over(beside).alias("s2")).where("s2 is not null").select(*_ordered("s", "s2")), "pairs")
     tried, roots = pairs, _joined_up(None, _verified(pairs, members, docs, text))
+    crowds = hits.groupBy("h").agg(F.count("*").alias("k")).where(F.col("k") >= CROWD).select("h")
+    crowds = freeze(hits.join(crowds, "h").select("h", "g", "n"), "crowds")
     for turn in range(ROUNDS):
         heads = members.groupBy("g").agg(F.min("head").alias("s")).join(roots.withColumnRenamed("node", "s"), "s", "left").select(
             "g", F.col("s").alias("head"), F.coalesce("root", "s").alias("root"))
-        pairs = freeze(_partners(hits, heads, turn).join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = freeze(_partners(crowds, heads, turn).join(tried, ["a", "b"], "left_anti"), "pairs")
         met = _verified(pairs, members, docs, text)
         if met.isEmpty():
             break

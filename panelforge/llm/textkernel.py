@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 _rng = np.random.default_rng(20240117)
 _U = np.uint64
 _VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)

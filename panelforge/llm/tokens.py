@@ -19,6 +19,7 @@ from . import textkernel as K
 
 VOCABULARY = "word_bpe_49k.json"
 CACHE = 1_500_000
+CHUNK = 1 << 21
 _SIMPLE = 0x130
 
 
@@ -136,7 +137,7 @@ class Encoder:
         i = 0
         while i < len(texts):
             j, size = i, 0
-            while j < len(texts) and (j == i or size + len(texts[j]) <= K.CHUNK // 2):
+            while j < len(texts) and (j == i or size + len(texts[j]) <= CHUNK):
                 size += len(texts[j])
                 j += 1
             yield from self._chunk(texts[i:j])
