@@ -202,10 +202,10 @@ def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, text: str)
     dropped first; only texts of the others are read, once each."""
     own = members.select(F.col("s").alias("a"), "n", *MASK)
     others = members.select(F.col("s").alias("b"), F.col("n").alias("n_2"), *[F.col(m).alias(f"{m}_2") for m in MASK])
-    pairs = freeze(pairs.join(own, "a").join(others, "b").where(_alike(MASK)).select("a", "b"), "pairs")
+    pairs = freeze(pairs.join(own, "a").join(others, "b").where(_alike(MASK)).select("a", "b"), "pairs", compact=True)
     need = (pairs.select(F.col("a").alias("s")).unionByName(pairs.select(F.col("b").alias("s"))).distinct()
             .join(members.select("s", "text_key"), "s"))
-    need = freeze(need, "need")
+    need = freeze(need, "need", compact=True)
     keyed = docs.select(F.md5(F.coalesce(docs[text], F.lit("")).cast("binary")).alias("text_key"), docs[text].alias("text"))
     body = keyed.join(small(need.select("text_key"), BROADCAST_ROWS), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
     texts = freeze(need.join(body, "text_key").select("s", "text"), "texts")
@@ -222,7 +222,7 @@ def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, text: str)
                     ok.append(DEN * both >= NUM * (len(x) + len(y) - both))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return freeze(map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), run, "a string, b string"), "edges")
+    return freeze(map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), run, "a string, b string"), "edges", compact=True)
 
 
 def _ordered(a: str, b: str) -> list:
@@ -295,19 +295,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                                                               *[F.first(m).alias(m) for m in MASK])
     size = members.groupBy("g").agg(F.count("*").alias("k"), F.min("s").alias("head"))
     active = hits.select("g").distinct().join(size.where("k > 1").select("g"), "g", "full")
-    members = freeze(members.join(active, "g").join(size, "g").select("s", "g", "n", "text_key", "head", *MASK), "members")
+    members = freeze(members.join(active, "g").join(size, "g").select("s", "g", "n", "text_key", "head", *MASK), "members", compact=True)
 
     # Members of a group are tried in a chain first, then groups that crowd about a shingle with a partner or two a
     # round.  Rounds only save work: whatever they leave apart is compared at the end.
     beside = Window.partitionBy("g").orderBy("s")
-    pairs = freeze(members.select("s", F.lead("s").over(beside).alias("s2")).where("s2 is not null").select(*_ordered("s", "s2")), "pairs")
+    pairs = freeze(members.select("s", F.lead("s").over(beside).alias("s2")).where("s2 is not null").select(*_ordered("s", "s2")), "pairs", compact=True)
     tried, roots = pairs, _joined_up(None, _verified(pairs, members, docs, text))
     crowds = hits.groupBy("h").agg(F.count("*").alias("k")).where(F.col("k") >= CROWD).select("h")
-    crowds = freeze(hits.join(crowds, "h").select("h", "g", "n"), "crowds")
+    crowds = freeze(hits.join(crowds, "h").select("h", "g", "n"), "crowds", compact=True)
     for turn in range(ROUNDS):
         heads = members.groupBy("g").agg(F.min("head").alias("s")).join(roots.withColumnRenamed("node", "s"), "s", "left").select(
             "g", F.col("s").alias("head"), F.coalesce("root", "s").alias("root"))
-        pairs = freeze(_partners(crowds, heads, turn).join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = freeze(_partners(crowds, heads, turn).join(tried, ["a", "b"], "left_anti"), "pairs", compact=True)
         met = _verified(pairs, members, docs, text)
         if met.isEmpty():
             break
@@ -315,7 +315,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     # Last: all candidates that are not connected yet, group pairs first, then their members.
     placed = freeze(members.join(roots.withColumnRenamed("node", "s"), "s", "left")
-                    .select("s", "g", F.coalesce("root", "s").alias("root"), *[_folded(i).alias(f) for i, f in enumerate(FOLDED)]), "placed")
+                    .select("s", "g", F.coalesce("root", "s").alias("root"), *[_folded(i).alias(f) for i, f in enumerate(FOLDED)]), "placed", compact=True)
     # A group of one set carries its mask, others none (and so pass).
     state = placed.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                     *[F.when(F.count("*") == 1, F.first(m)).alias(m) for m in FOLDED])
@@ -328,7 +328,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     other = placed.select(F.col("s").alias("s2"), F.col("g").alias("g2"), F.col("root").alias("root2"))
     open_ = placed.join(groups, "g").join(other, "g2").where("root <> root2").select(*_ordered("s", "s2"))
     same = placed.join(other.withColumnRenamed("g2", "g"), "g").where("root < root2").select(*_ordered("s", "s2"))
-    late = freeze(open_.unionByName(same).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    late = freeze(open_.unionByName(same).distinct().join(tried, ["a", "b"], "left_anti"), "pairs", compact=True)
     met = _verified(late, members, docs, text)
     if not met.isEmpty():
         roots = _joined_up(roots, met)

@@ -46,12 +46,16 @@ def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def freeze(df: DataFrame, name: str) -> DataFrame:
+ROWS_PER_TASK = 100_000
+
+
+def freeze(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder of ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage with a columnar, compressed table that every executor can
     read, so later stages survive lost executors.  :func:`release` (called
-    at exit) deletes the tables of this process.
+    at exit) deletes the tables of this process.  ``compact`` is for narrow tables that may be far smaller than
+    the corpus: they are read by one task per 100,000 rows, so small ones cost no thousand tiny tasks and files.
     """
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"pf-{name}-{uuid.uuid4().hex}")
@@ -59,7 +63,8 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     if not _written:
         atexit.register(release)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    return found.coalesce(1 + found.count() // ROWS_PER_TASK) if compact else found
 
 
 def release() -> None:
@@ -93,7 +98,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     gathered in one task.  Rounds are frozen; raises if they do not settle.
     """
     e = freeze(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-               .where("u <> v").distinct(), "edges")
+               .where("u <> v").distinct(), "edges", compact=True)
     before = None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -104,9 +109,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small_ = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*")
-        e = freeze(small_.where("u <> v").distinct(), "edges")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")),
-                    F.count_if(F.lit(False))).first()[:2]
+        e = freeze(small_.where("u <> v").distinct(), "edges", compact=True)
+        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if now == before:
             roots = e.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
