@@ -77,15 +77,13 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return int(total)
 
 
-def size_shuffles(spark: SparkSession, paths, target_bytes: int = TARGET_PARTITION_BYTES,
-                  max_partitions: int = 200_000) -> int:
+def size_shuffles(spark: SparkSession, paths, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Size shuffles for the input so a shuffle partition holds about
     ``target_bytes`` (fits executor memory, spills little): sets
     ``spark.sql.shuffle.partitions`` and AQE's advisory size; AQE then
     coalesces small partitions and splits skewed ones at run time.  Returns
     the partition count (at least the default parallelism)."""
-    n = max(spark.sparkContext.defaultParallelism,
-            min(max_partitions, -(-input_bytes(spark, paths) // target_bytes)))
+    n = max(spark.sparkContext.defaultParallelism, -(-input_bytes(spark, paths) // target_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes // 4))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(target_bytes, 512 * 1024 * 1024)))
