@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from . import tokens
-from .store import map_batches
+from .store import freeze, map_batches
 
 BLOCK = 1024
 
@@ -33,10 +33,12 @@ def histogram(n: DataFrame) -> DataFrame:
     long and their tokens; ``docs_le`` the others with those of this length; ``kept_tokens`` is the corpus total when every document is truncated
     to ``n_tokens``, ``lost_tokens`` what that drops; ``total_docs``/``total_tokens`` the whole.
 
-    Suffix sums run in two levels, within blocks of 1024 lengths and over the block totals (one row per block that
-    occurs), so no task holds the whole histogram.  An empty table gives no row; repeated rows count each time.
+    The counts are frozen, so texts are encoded once though two aggregations follow.  Suffix sums run in two levels,
+    within blocks of 1024 lengths and over the block totals (one row per block that occurs), so no task holds the
+    whole histogram.  An empty table gives no row; repeated rows count each time.
     """
-    h = n.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
+    h = freeze(n.groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "lengths", compact=True)
+    h = h.withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("bd"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("bt"))
     every = Window.orderBy(F.desc("block"))
     after = every.rowsBetween(Window.unboundedPreceding, -1)
