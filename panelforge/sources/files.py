@@ -10,49 +10,94 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions.coerce import normalize_nulls
+from panelforge.operators.reshape import union_by_name
+
+
+# RFC 4180: a quote inside a quoted field is written twice.
+CSV_QUOTES = {"quote": '"', "escape": '"'}
+
+
+def _expand(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Data files behind paths, globs and directories (one level), sorted by name."""
+    conf = spark._jsc.hadoopConfiguration()
+    out = []
+    for one in ([path] if isinstance(path, str) else path):
+        p = spark._jvm.org.apache.hadoop.fs.Path(one)
+        for s in p.getFileSystem(conf).globStatus(p) or []:
+            inner = p.getFileSystem(conf).listStatus(s.getPath()) if s.isDirectory() else [s]
+            out += [str(f.getPath().toString()) for f in inner
+                    if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    return sorted(out)
+
+
+def _header_groups(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header line: only the first line of each is read, and files of one header share a scan.
+    Empty files are left out; a path without files raises."""
+    files = _expand(spark, path)
+    if not files:
+        raise FileNotFoundError(f"no CSV files at {path}")
+    found: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        header = tuple(spark.read.options(header=True, **CSV_QUOTES).csv(f).columns)
+        if header:
+            found.setdefault(header, []).append(f)
+    return found
+
+
+def _text_scan(spark: SparkSession, files: list[str], header: Sequence[str], extra: Sequence[str] = (), **options) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, *extra)])
+    return spark.read.schema(schema).options(header=True, **CSV_QUOTES, **options).csv(files)
+
+
+def _typed(df: DataFrame, schema: T.StructType) -> list:
+    """The schema's columns by name; one that the file lacks is null."""
+    have = set(df.columns)
+    return [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema.fields]
 
 
 def read_typed_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
                    null_tokens: Iterable[str] = ("",)) -> DataFrame:
-    """CSV with a header and an explicit schema (no inference pass).  Values
-    that do not parse as their type become null (PERMISSIVE).  ``null_tokens``
-    lists the texts that mean null, explicitly: a code such as 'NA' stays data
-    unless listed."""
-    tokens = list(null_tokens)
+    """CSV with a header and an explicit schema (no inference pass).  Columns are
+    found by header name, whatever their order in a file; values that do not
+    parse as their type become null.  ``null_tokens`` lists the texts that mean
+    null, explicitly: a code such as 'NA' stays data unless listed."""
     if not isinstance(schema, T.StructType):
         schema = T._parse_datatype_string(schema)
-    if tokens == [""]:
-        return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-                .option("nullValue", "").csv(path))
-    # several tokens: land as text, null the tokens, then cast
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(text).option("header", True).csv(path)
-    raw = normalize_nulls(raw, tokens)
-    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    out = spark.createDataFrame([], schema)
+    for header, files in _header_groups(spark, path).items():
+        raw = normalize_nulls(_text_scan(spark, files, header), list(null_tokens))
+        out = out.unionByName(raw.select(*_typed(raw, schema)))
+    return out
 
 
 def read_lenient_csv(spark: SparkSession, path: str | Sequence[str], keep_rejects: bool = False) -> DataFrame:
     """Every column as text, malformed rows (wrong field count) skipped.  With
-    ``keep_rejects`` they are kept instead, with the raw line in ``_corrupt_record``."""
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path).schema
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in header.fields])
-    reader = spark.read.option("header", True).option("enforceSchema", False)
-    if keep_rejects:
-        text = text.add("_corrupt_record", T.StringType())
-        return (reader.schema(text).option("mode", "PERMISSIVE")
-                .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
-    return reader.schema(text).option("mode", "DROPMALFORMED").csv(path)
+    ``keep_rejects`` they are kept instead, with the raw line in ``_corrupt_record``.
+    Files whose headers differ are stacked by name."""
+    frames = []
+    for header, files in _header_groups(spark, path).items():
+        if keep_rejects:
+            frames.append(_text_scan(spark, files, header, ("_corrupt_record",), mode="PERMISSIVE",
+                                     columnNameOfCorruptRecord="_corrupt_record", enforceSchema=False))
+        else:
+            frames.append(_text_scan(spark, files, header, mode="DROPMALFORMED", enforceSchema=False))
+    return union_by_name(frames) if frames else spark.createDataFrame([], T.StructType())
 
 
 def read_with_provenance(spark: SparkSession, path: str | Sequence[str], group_tag: str,
                          schema: T.StructType | None = None, year_col: str = "SOURCE_FILE_YEAR",
                          group_col: str = "SOURCE_GROUP") -> DataFrame:
-    """One scan over many files (a glob or list), each row tagged with its
-    file stem (e.g. the year of yearly files) and a source-group label."""
-    reader = spark.read.option("header", True)
-    df = reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
+    """Many files (a glob or list), each row tagged with its file stem (e.g. the
+    year of yearly files) and a source-group label.  One scan per distinct
+    header; columns are matched by name."""
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)\.[^./]+$", 1)
-    return df.select("*", stem.alias(year_col), F.lit(group_tag).alias(group_col))
+    frames = []
+    for header, files in _header_groups(spark, path).items():
+        raw = _text_scan(spark, files, header)
+        cols = ["*"] if schema is None else _typed(raw, schema)
+        frames.append(raw.select(*cols, stem.alias(year_col), F.lit(group_tag).alias(group_col)))
+    return union_by_name(frames) if frames else spark.createDataFrame([], T.StructType())
 
 
 def _fs_list(spark: SparkSession, directory: str) -> list[str]:
@@ -81,7 +126,7 @@ def scan_stage_dir(spark: SparkSession, directory: str, exclude: Iterable[str] =
     out = {}
     for p in list_datasets(spark, directory, ".csv", exclude):
         name = p.rsplit("/", 1)[-1]
-        out[name] = read_lenient_csv(spark, p) if lenient else spark.read.option("header", True).csv(p)
+        out[name] = read_lenient_csv(spark, p) if lenient else spark.read.options(header=True, **CSV_QUOTES).csv(p)
     return out
 
 
@@ -100,6 +145,7 @@ def dataset_fingerprint(df: DataFrame, name: str) -> DataFrame:
     """Order-insensitive content fingerprint of a table too large to hash as
     one file: row count and the sum of 64-bit row hashes (as a decimal, so it
     cannot overflow).  Equal tables give equal fingerprints."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    # xxhash64 skips nulls, so each column goes in with its null flag.
+    h = F.xxhash64(*[x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]).cast("decimal(38,0)")
     return df.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"),
                   F.sum(h).cast("string").alias("fingerprint"))

@@ -14,7 +14,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w = w.option("header", header)
+        w = w.options(header=header, quote='"', escape='"')
     w.format(fmt).save(path)
 
 

@@ -19,7 +19,7 @@ def land_stream(spark: SparkSession, landing_dir: str, text_schema: T.StructType
     """Start a stream that lands every new CSV of ``landing_dir``: numeric
     columns coerced leniently, rows missing a required field dropped, file
     provenance added, appended to Parquet at ``out_dir``."""
-    src = (spark.readStream.schema(text_schema).option("header", True)
+    src = (spark.readStream.schema(text_schema).options(header=True, quote='"', escape='"')
            .option("maxFilesPerTrigger", 1000).csv(landing_dir))
     src = src.withColumns({c: to_double(c) for c in numeric})
     src = require_fields(src, list(required))

@@ -105,3 +105,25 @@ def test_size_shuffles(spark, tmpdir_fresh):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_csv_doubled_quotes_and_reordered_headers(spark, tmpdir_fresh):
+    d = os.path.join(tmpdir_fresh, "q")
+    os.makedirs(d)
+    _write(os.path.join(d, "2019.csv"), 'x,y\n"He said ""hi"", ok",1\n')
+    _write(os.path.join(d, "2020.csv"), "y,x,z\n2,b,9\n")
+    want = [('He said "hi", ok', "1"), ("b", "2")]
+    assert sorted((r.x, r.y) for r in read_lenient_csv(spark, d).collect()) == want
+    tagged = read_with_provenance(spark, os.path.join(d, "*.csv"), "g").collect()
+    assert sorted((r.x, r.y, r.z, r.SOURCE_FILE_YEAR) for r in tagged) == [(*want[0], None, "2019"), (*want[1], "9", "2020")]
+    typed = read_typed_csv(spark, d, "y int, x string, w double").collect()
+    assert sorted((r.x, r.y, r.w) for r in typed) == [(want[0][0], 1, None), ("b", 2, None)]
+    out = os.path.join(tmpdir_fresh, "back")
+    write_table(spark.createDataFrame([('a "b", c', 1)], "t string, k int"), out, fmt="csv")
+    assert [r.t for r in read_typed_csv(spark, out, "t string, k int").collect()] == ['a "b", c']
+
+
+def test_fingerprint_sees_where_nulls_are(spark):
+    a = spark.createDataFrame([("a", None)], "x string, y string")
+    b = spark.createDataFrame([(None, "a")], "x string, y string")
+    assert dataset_fingerprint(a, "t").first().fingerprint != dataset_fingerprint(b, "t").first().fingerprint
