@@ -27,7 +27,9 @@ def column_profile(df: DataFrame, order_key: str | Sequence[str] | None = None,
     ``dtype`` of a text column is 'numeric' when every non-null value parses as
     a number (and there is at least one), else 'string'; other columns keep
     their Spark type name.  Example values are the first ``examples`` non-null
-    values in ``order_key`` order, joined by '; '."""
+    values in ``order_key`` order, joined by '; '; without examples (0) no key is needed."""
+    if examples > 0 and not order_key:
+        raise ValueError("example values need an order_key")
     cols = df.columns
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     aggs = [F.count(F.lit(1)).alias("_n")]

@@ -45,10 +45,21 @@ def assemble_series(df: DataFrame, key: str, series_col: str, value: str, codes:
     return wide.select(key, *[F.col(f"`{c}`").alias(names.get(c, c)) for c in codes])
 
 
+# Most decimal digits of each integer type.
+_INT_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
 def _common_type(types: list[T.DataType]) -> T.DataType:
     uniq = {t.simpleString(): t for t in types}
     if len(uniq) == 1:
         return types[0]
+    if all(isinstance(t, T.IntegralType) for t in types):
+        return T.LongType()
+    if all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in types):
+        scale = max(t.scale for t in types if isinstance(t, T.DecimalType))
+        whole = max(t.precision - t.scale if isinstance(t, T.DecimalType) else _INT_DIGITS[type(t)] for t in types)
+        if whole + scale <= 38:
+            return T.DecimalType(whole + scale, scale)
     if all(isinstance(t, T.NumericType) for t in types):
         return T.DoubleType()
     return T.StringType()
@@ -56,8 +67,9 @@ def _common_type(types: list[T.DataType]) -> T.DataType:
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """Stack frames by column name; a column absent from a frame is null there.
-    Column order is first-seen; a name with differing types is widened to
-    double (all numeric) or string."""
+    Column order is first-seen; a name with differing types is widened:
+    integers to bigint, integers and decimals to a decimal that holds both, other
+    numbers to double, the rest to string."""
     order: list[str] = []
     types: dict[str, list[T.DataType]] = {}
     for f in frames:
@@ -133,8 +145,8 @@ def outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str], order: boo
 def lookup(df: DataFrame, key: str, crosswalk: DataFrame, cw_key: str, cw_value: str,
            out: str, fallback: Mapping[str, str] | None = None) -> DataFrame:
     """Attach ``crosswalk[cw_value]`` by key; keys missing from the crosswalk use
-    the literal ``fallback`` map, else null."""
-    cw = crosswalk.select(F.col(cw_key).alias("_lk"), F.col(cw_value).alias("_lv")).dropDuplicates(["_lk"])
+    the literal ``fallback`` map, else null.  A key listed twice takes its smallest value."""
+    cw = crosswalk.select(F.col(cw_key).alias("_lk"), F.col(cw_value).alias("_lv")).groupBy("_lk").agg(F.min("_lv").alias("_lv"))
     value_type = cw.schema["_lv"].dataType
     joined = df.join(cw, df[key] == cw["_lk"], "left")
     fb = F.lit(None).cast(value_type)
@@ -146,8 +158,10 @@ def lookup(df: DataFrame, key: str, crosswalk: DataFrame, cw_key: str, cw_value:
 
 def lookup_with_default(df: DataFrame, key: str, meta: DataFrame, meta_key: str,
                         defaults: Mapping[str, object]) -> DataFrame:
-    """Left join of a metadata table; columns missing for a key take ``defaults``."""
-    m = meta.withColumnRenamed(meta_key, "_mk")
+    """Left join of a metadata table; columns missing for a key take ``defaults``.
+    A key listed twice takes the smallest of its rows, so no row of ``df`` is multiplied."""
+    rest = [c for c in meta.columns if c != meta_key]
+    m = meta.groupBy(F.col(meta_key).alias("_mk")).agg(F.min(F.struct(*rest)).alias("_m")).select("_mk", "_m.*")
     joined = df.join(m, df[key] == m["_mk"], "left").drop("_mk")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 

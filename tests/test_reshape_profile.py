@@ -99,3 +99,26 @@ def test_lookup_fallback_takes_crosswalk_type(spark):
     out = reshape.lookup(ent, "iso3", cw, "iso3", "num", "num", {"XKX": "412", "BAD": "not-a-number"})
     assert dict(out.dtypes)["num"] == "int"
     assert {r.iso3: r.num for r in out.collect()} == {"DEU": 276, "XKX": 412, "BAD": None}
+
+
+def test_union_keeps_large_ids_and_decimals(spark):
+    from decimal import Decimal
+    a = spark.createDataFrame([(1, Decimal("1.25"))], "id int, v decimal(5,2)")
+    b = spark.createDataFrame([(9007199254740993, 7)], "id bigint, v int")
+    u = reshape.union_by_name([a, b])
+    assert dict(u.dtypes) == {"id": "bigint", "v": "decimal(12,2)"}
+    assert sorted((r.id, r.v) for r in u.collect()) == [(1, Decimal("1.25")), (9007199254740993, Decimal("7.00"))]
+
+
+def test_lookups_with_repeated_keys_take_the_smallest(spark):
+    ent = spark.createDataFrame([("A",), ("B",)], "k string")
+    cw = spark.createDataFrame([("A", "z"), ("A", "y")], "code string, v string")
+    assert {r.k: r.o for r in reshape.lookup(ent, "k", cw, "code", "v", "o").collect()} == {"A": "y", "B": None}
+    got = reshape.lookup_with_default(ent, "k", cw, "code", {"v": "none"}).collect()
+    assert sorted((r.k, r.v) for r in got) == [("A", "y"), ("B", "none")]
+
+
+def test_examples_need_an_order(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        profile.column_profile(spark.createDataFrame([(1,)], "a int"))
