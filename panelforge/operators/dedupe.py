@@ -2,8 +2,8 @@
 
 Content duplicates are found by SHA-256 of the whole content.  The kept id of a
 hash is a partial aggregation (min id), so a hash shared by a third of all rows
-never lands in one task; attaching it back is a join that AQE's skew handling
-splits when one hash is hot."""
+never lands in one task; attaching it back joins two frozen tables, whose plain
+shuffles AQE's skew handling splits when one hash is hot."""
 
 from __future__ import annotations
 
@@ -37,7 +37,8 @@ def content_duplicates(df: DataFrame, id_col: str, content: str | Sequence[str])
     """(content_hash, kept, removed): for every group of identical content the
     smallest id is kept, every other id is reported (nothing is deleted)."""
     h = hash_table(df, id_col, content)
-    kept = h.groupBy("content_hash").agg(F.min(id_col).alias("kept"))
+    kept = (h.groupBy("content_hash").agg(F.min(id_col).alias("kept"), F.count(F.lit(1)).alias("_n"))
+            .where("_n > 1").select("content_hash", "kept").checkpoint(eager=True))
     return (h.join(kept, on="content_hash").where(F.col(id_col) != F.col("kept"))
             .select("content_hash", "kept", F.col(id_col).alias("removed")))
 

@@ -92,7 +92,9 @@ def _sorted_blocks(base: DataFrame, groups: list[str], num_partitions: int | Non
     ensure_checkpoint_dir(spark)
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = groups + ["_v"]
-    srt = (base.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
+    # The tie-break lets the range cut through a value that many rows share.
+    srt = (base.withColumn("_tie", F.rand(17)).repartitionByRange(n_parts, *keys, "_tie")
+           .sortWithinPartitions(*keys).drop("_tie")
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_idx", F.monotonically_increasing_id()))
     # Positions must not change between the uses below: freeze them in the
@@ -166,7 +168,8 @@ def _sorted_quantiles(base: DataFrame, groups: list[str], probs: list[float],
         F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"),
         F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_hi"),
         F.max("_frac").alias("_frac"))
-    per_q = per_q.withColumn("_q", F.when(F.col("_frac") == 0, F.col("_lo")).otherwise(
-        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")))
+    # The arithmetic of ``percentile``, so that both exact methods agree to the last bit.
+    per_q = per_q.withColumn("_q", F.when((F.col("_frac") == 0) | (F.col("_lo") == F.col("_hi")), F.col("_lo")).otherwise(
+        (1 - F.col("_frac")) * F.col("_lo") + F.col("_frac") * F.col("_hi")))
     return per_q.groupBy(*groups).agg(*[
         F.max(F.when(F.col("_qi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])

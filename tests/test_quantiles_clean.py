@@ -148,3 +148,14 @@ def test_auto_picks_sorted_above_limit(spark, monkeypatch):
     assert quantiles.choose_method(df.withColumnRenamed("v", "_v"), ["g"])[0] == "sorted"
     got = quantiles.grouped_quantiles(df, "v", ["g"], [0.5], out_names=["m"]).first().m
     assert got == 49.5
+
+
+def test_sorted_and_hash_agree_to_the_last_bit_and_split_hot_values(spark):
+    from pyspark.sql import functions as F
+    from panelforge.operators.quantiles import _sorted_blocks, grouped_quantiles
+    df = spark.range(20000).select((F.col("id") % 97).alias("g"), F.sin("id").alias("v"))
+    runs = [{r.g: tuple(r)[1:] for r in grouped_quantiles(df, "v", ["g"], [0.1, 0.25, 0.9], method=m).collect()} for m in ("sorted", "hash")]
+    assert runs[0] == runs[1]
+    hot = spark.range(40000).select(F.lit(0.0).alias("_v"))
+    srt, _ = _sorted_blocks(hot, [], 8)
+    assert max(r["count"] for r in srt.groupBy("_pid").count().collect()) < 10000
