@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelforge.llm import ngram_join, packing, pii, toxicity
 from panelforge.llm.queries import HELD_OUT
-from panelforge.llm.store import freeze, read_documents, small
+from panelforge.llm.store import freeze, read_documents, small, tidy
 
 REJECT = 0.7
 DROPPED_ROWS = 1_000_000
@@ -29,6 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents: the one of the smallest doc_id, and of rows that repeat it
     the first.  Texts without words link with nothing and stay, all columns unchanged."""
+    tidy(spark)
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
     keyed = numbered.select(F.struct("doc_id", "__row").alias("key"), "text")
     groups = ngram_join.near_duplicates(keyed, key="key")
@@ -39,6 +40,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their entities generalised and disclosing terms removed; ``n_chars`` follows the new text.
     Null texts stay null."""
+    tidy(spark)
     whole = docs.select(F.struct(*docs.columns).alias("row"), docs["text"].alias("text"))
     found = pii.find(whole, keep=("row",))
     found = found.withColumn("text", pii.sanitised(F.col("row.text"), F.col("spans")))
@@ -49,6 +51,7 @@ def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences of 2048 tokens: ``(doc_id, start, length, doc_tokens, sequence_id, offset, ids)``, ``ids`` as
     little-endian unsigned 32-bit integers."""
+    tidy(spark)
     return packing.pack(docs)
 
 

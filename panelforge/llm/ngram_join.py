@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from . import textkernel as K
-from .store import components, freeze, map_batches, parallelism, small
+from .store import components, freeze, map_batches, parallelism, small, tidy
 
 NUM, DEN = 75, 100
 FREQUENT = 32
@@ -305,6 +305,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     crowds = hits.groupBy("h").agg(F.count("*").alias("k")).where(F.col("k") >= CROWD).select("h")
     crowds = freeze(hits.join(crowds, "h").select("h", "g", "n"), "crowds", compact=True)
     for turn in range(ROUNDS):
+        tidy(docs.sparkSession)
         heads = members.groupBy("g").agg(F.min("head").alias("s")).join(roots.withColumnRenamed("node", "s"), "s", "left").select(
             "g", F.col("s").alias("head"), F.coalesce("root", "s").alias("root"))
         pairs = freeze(_partners(crowds, heads, turn).join(tried, ["a", "b"], "left_anti"), "pairs", compact=True)
@@ -314,6 +315,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         tried, roots = tried.unionByName(pairs), _joined_up(roots, met)
 
     # Last: all candidates that are not connected yet, group pairs first, then their members.
+    tidy(docs.sparkSession)
     placed = freeze(members.join(roots.withColumnRenamed("node", "s"), "s", "left")
                     .select("s", "g", F.coalesce("root", "s").alias("root"), *[_folded(i).alias(f) for i, f in enumerate(FOLDED)]), "placed", compact=True)
     # A group of one set carries its mask, others none (and so pass).

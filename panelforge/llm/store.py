@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelforge.session import ensure_checkpoint_dir
@@ -78,6 +80,14 @@ def release() -> None:
             return
 
 
+def tidy(spark: SparkSession) -> None:
+    """Between long steps: let go of what the finished one left in the driver.  Spark's cleaner removes broadcasts
+    and shuffle files once the JVM has collected their handles, which Python's own references hold until then."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark._jvm.System.gc()
+
+
 def parallelism(spark: SparkSession) -> int:
     """Number of shuffle partitions the session is sized for."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
