@@ -16,26 +16,17 @@ TIMESTAMP_NAMES = ("fetched_at_utc",)
 CANONICAL_CANDIDATES = ("date", "time_period", "year")
 
 
+STANDARDISERS = {n: f for names, f in ((DATE_NAMES, standardize_date_text), (YEAR_NAMES, year_to_date_text),
+                                       (TIMESTAMP_NAMES, timestamp_to_date_text)) for n in names}
+
+
 def standardize_date_columns(df: DataFrame) -> tuple[DataFrame, list[str]]:
     """Every column whose lower-cased name is a date/period, year or ingest
     timestamp is rewritten as 'yyyy-MM-dd' text (unparseable: null for dates,
     unchanged for years and timestamps); other columns untouched, order kept.
     Returns (frame, standardised column names)."""
-    out, done = [], []
-    for c in df.columns:
-        lc = c.lower()
-        col = F.col(f"`{c}`")
-        if lc in DATE_NAMES:
-            out.append(standardize_date_text(col).alias(c))
-        elif lc in YEAR_NAMES:
-            out.append(year_to_date_text(col).alias(c))
-        elif lc in TIMESTAMP_NAMES:
-            out.append(timestamp_to_date_text(col).alias(c))
-        else:
-            out.append(col)
-            continue
-        done.append(c)
-    return df.select(*out), done
+    found = {c: STANDARDISERS[c.lower()] for c in df.columns if c.lower() in STANDARDISERS}
+    return df.withColumns({c: f(F.col(f"`{c}`")) for c, f in found.items()}), list(found)
 
 
 def harmonize_date_column(df: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -44,23 +35,12 @@ def harmonize_date_column(df: DataFrame) -> tuple[DataFrame, list[str]]:
     ``fetched_date``; all other columns keep their order.  A second column
     already called ``date`` would collide and is an error.  Returns (frame,
     rename log)."""
-    lower = {}
-    for c in df.columns:
-        lower.setdefault(c.lower(), c)
-    source = next((lower[c] for c in CANONICAL_CANDIDATES if c in lower), None)
-    sel, log = [], []
-    if source is not None:
-        sel.append(F.col(f"`{source}`").alias("date"))
-        if source != "date":
-            log.append(f"{source}->date")
-    for c in df.columns:
-        if c == source:
-            continue
-        if c.lower() == "fetched_at_utc":
-            sel.append(F.col(f"`{c}`").alias("fetched_date"))
-            log.append(f"{c}->fetched_date")
-            continue
-        if source is not None and c.lower() == "date":
-            raise ValueError(f"column {c!r} would collide with the canonical date column")
-        sel.append(F.col(f"`{c}`"))
-    return df.select(*sel), log
+    rank = {name: i for i, name in enumerate(CANONICAL_CANDIDATES)}
+    canonical = min((c for c in df.columns if c.lower() in rank), key=lambda c: rank[c.lower()], default=None)
+    target = {c: "date" if c == canonical else "fetched_date" if c.lower() in TIMESTAMP_NAMES else c for c in df.columns}
+    order = sorted(target, key=lambda c: c != canonical)
+    clash = [c for c in order if c.lower() == "date" and c != canonical]
+    if clash:
+        raise ValueError(f"column {clash[0]!r} would collide with the canonical date column")
+    return (df.select(*[F.col(f"`{c}`").alias(target[c]) for c in order]),
+            [f"{c}->{target[c]}" for c in order if c != target[c]])

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.operators import clean
+from panelforge.operators import clean, quantiles
 from panelforge.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,19 +39,13 @@ def iqr_fence_grouped(spark, sf):
 
 @query
 def iqr_fence_sql(spark, sf):
-    read_table(spark, sf, "events").createOrReplaceTempView("pf_events")
+    ev = read_table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    fences = quantiles.grouped_quantiles(ev, "value", ["event_type"], [0.25, 0.75], out_names=["low", "high"])
+    ev.createOrReplaceTempView("pf_events")
+    fences.selectExpr("event_type", "low", "high", "3 * (high - low) AS reach").createOrReplaceTempView("pf_fences")
     return spark.sql("""
-    WITH base AS (
-      SELECT event_id, user_id, event_type, value, try_cast(value AS DOUBLE) AS v FROM pf_events),
-    bounds AS (
-      SELECT event_type, percentile(v, 0.25) AS q1, percentile(v, 0.75) AS q3
-      FROM base WHERE v IS NOT NULL GROUP BY event_type),
-    scored AS (
-      SELECT b.*, o.q1, o.q3, o.q3 - o.q1 AS iqr,
-             o.q1 - 3.0D * (o.q3 - o.q1) AS lower_bound, o.q3 + 3.0D * (o.q3 - o.q1) AS upper_bound
-      FROM base b LEFT JOIN bounds o ON b.event_type = o.event_type)
-    SELECT * EXCEPT (v, q1, q3, iqr, lower_bound, upper_bound) FROM scored
-    WHERE v IS NULL OR iqr IS NULL OR iqr = 0 OR (v >= lower_bound AND v <= upper_bound)""")
+    SELECT event_id, user_id, event_type, value FROM pf_events LEFT JOIN pf_fences USING (event_type)
+    WHERE NOT coalesce(reach > 0 AND value NOT BETWEEN low - reach AND high + reach, false)""")
 
 
 def _audit_text(audit):

@@ -4,32 +4,28 @@ from __future__ import annotations
 
 SQL: dict[str, str] = {}
 
-SQL["iqr_fence_grouped"] = """
-WITH base AS (SELECT event_id, user_id, event_type, value FROM events),
-bounds AS (
-  SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
-  FROM base WHERE value IS NOT NULL GROUP BY event_type)
-SELECT b.event_id, b.user_id, b.event_type, b.value
-FROM base b LEFT JOIN bounds o ON b.event_type IS NOT DISTINCT FROM o.event_type
-WHERE b.value IS NULL OR (o.q3 - o.q1) IS NULL OR (o.q3 - o.q1) = 0
-   OR (b.value >= o.q1 - 3.0 * (o.q3 - o.q1) AND b.value <= o.q3 + 3.0 * (o.q3 - o.q1))
-"""
+def _inside(v: str, q: str) -> str:
+    """Whether ``v`` lies within three spreads of the quartiles ``q`` (a list of two); rows without bounds or spread do."""
+    spread = f"({q}[2] - {q}[1])"
+    return f"NOT coalesce({spread} > 0 AND {v} NOT BETWEEN {q}[1] - 3.0 * {spread} AND {q}[2] + 3.0 * {spread}, false)"
+
 
-SQL["iqr_fence_sql"] = """
-WITH base AS (SELECT event_id, user_id, event_type, value FROM events),
-bounds AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
-           FROM base WHERE value IS NOT NULL GROUP BY event_type)
-SELECT b.event_id, b.user_id, b.event_type, b.value
-FROM base b LEFT JOIN bounds o ON b.event_type = o.event_type
-WHERE b.value IS NULL OR (o.q3 - o.q1) IS NULL OR (o.q3 - o.q1) = 0
-   OR (b.value >= o.q1 - 3.0 * (o.q3 - o.q1) AND b.value <= o.q3 + 3.0 * (o.q3 - o.q1))
+def _grouped_fence(same: str) -> str:
+    """Events inside the quartile fence of their type; ``same`` compares two types."""
+    return f"""
+SELECT event_id, user_id, e.event_type, e.value
+FROM events e LEFT JOIN (SELECT event_type AS kind, quantile_cont(value, [0.25, 0.75]) AS q FROM events GROUP BY kind) f
+  ON e.event_type {same} f.kind
+WHERE {_inside('e.value', 'f.q')}
 """
 
 
+SQL["iqr_fence_grouped"] = _grouped_fence("IS NOT DISTINCT FROM")
+SQL["iqr_fence_sql"] = _grouped_fence("=")
+
+
 def _fence_pred(col: str, tbl: str) -> str:
-    return (f"({col} IS NULL OR (SELECT quantile_cont({col}, 0.75) - quantile_cont({col}, 0.25) FROM {tbl}) = 0 "
-            f"OR ({col} >= (SELECT quantile_cont({col}, 0.25) - 3.0 * (quantile_cont({col}, 0.75) - quantile_cont({col}, 0.25)) FROM {tbl}) "
-            f"AND {col} <= (SELECT quantile_cont({col}, 0.75) + 3.0 * (quantile_cont({col}, 0.75) - quantile_cont({col}, 0.25)) FROM {tbl})))")
+    return _inside(col, f"(SELECT quantile_cont({col}, [0.25, 0.75]) FROM {tbl})")
 
 
 SQL["rule_driven_clean"] = f"""
@@ -57,10 +53,8 @@ WHERE {_fence_pred('value', 'events')} AND {_fence_pred('user_id', 'events')}
 SQL["cleaning_funnel"] = """
 WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events),
 r AS (SELECT * FROM e WHERE event_type IS NOT NULL AND value IS NOT NULL AND k IS NOT NULL),
-b AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM r GROUP BY event_type),
-kept AS (SELECT r.* FROM r LEFT JOIN b ON r.event_type IS NOT DISTINCT FROM b.event_type
-         WHERE r.value IS NULL OR b.q3 - b.q1 IS NULL OR b.q3 - b.q1 = 0
-            OR (r.value >= b.q1 - 3.0 * (b.q3 - b.q1) AND r.value <= b.q3 + 3.0 * (b.q3 - b.q1)))
+b AS (SELECT event_type, quantile_cont(value, [0.25, 0.75]) AS q FROM r GROUP BY event_type),
+kept AS (SELECT r.value FROM r JOIN b USING (event_type) WHERE """ + _inside("r.value", "b.q") + """)
 SELECT (SELECT count(*) FROM e) AS rows_in, (SELECT count(*) FROM r) AS rows_after_required,
        (SELECT count(*) FROM kept) AS rows_after_outliers,
        (SELECT count(*) FROM e) - (SELECT count(*) FROM r) AS dropped_missing_required,
@@ -111,8 +105,8 @@ SQL["drop_all_null_rows"] = """
 SELECT o_orderkey AS a, o_totalprice AS b, o_orderpriority AS c FROM orders WHERE o_orderstatus <> 'F'
 """
 
-_STD = """COALESCE(strftime(try_strptime({x}, '%Y-%m-%d'), '%Y-%m-%d'), strftime(try_strptime({x}, '%Y-%m'), '%Y-%m-01'),
-       strftime(try_strptime({x}, '%Y/%m/%d'), '%Y-%m-%d'), strftime(try_strptime({x}, '%Y/%m'), '%Y-%m-01'))"""
+_STD = r"""CASE WHEN regexp_full_match({x}, '[0-9]{{4}}(-[0-9]{{1,2}}){{1,2}}|[0-9]{{4}}(/[0-9]{{1,2}}){{1,2}}')
+  THEN CAST(TRY_CAST(array_to_string(list_transform(regexp_extract_all({x} || '-1', '[0-9]+')[1:3], lambda d: lpad(d, greatest(2, length(d))::INTEGER, '0')), '-') AS DATE) AS VARCHAR) END"""
 
 SQL["date_standardize"] = """
 WITH d AS (SELECT o_orderkey, CASE o_orderkey % 6
@@ -127,7 +121,7 @@ WITH d AS (SELECT o_orderkey, CASE o_orderkey % 4
     WHEN 0 THEN strftime(o_orderdate, '%Y') WHEN 1 THEN ' ' || strftime(o_orderdate, '%Y') || ' '
     WHEN 2 THEN strftime(o_orderdate, '%y') ELSE strftime(o_orderdate, '%Y-%m') END AS year_text FROM orders)
 SELECT o_orderkey, year_text,
-       CASE WHEN regexp_full_match(trim(year_text), '^[0-9]{4}$') THEN trim(year_text) || '-01-01' ELSE year_text END AS year_std
+       regexp_replace(year_text, '^ *([0-9]{4}) *$', '\\1-01-01') AS year_std
 FROM d
 """
 
@@ -136,8 +130,8 @@ WITH d AS (SELECT o_orderkey, CASE o_orderkey % 4
     WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S+00:00') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
     WHEN 2 THEN 'n/a' ELSE strftime(o_orderdate, '%Y-%m-%dT12:%M:%S+02:00') END AS ts_text FROM orders)
 SELECT o_orderkey, ts_text,
-       COALESCE(strftime(try_strptime(ts_text, '%Y-%m-%dT%H:%M:%S%z'), '%Y-%m-%d'),
-                strftime(TRY_CAST(ts_text AS TIMESTAMP), '%Y-%m-%d'), ts_text) AS ts_date
+       CASE ts_text[11] WHEN 'T' THEN CAST(CAST(CAST(ts_text[1:19] AS TIMESTAMP) - to_hours(CAST(ts_text[21:22] AS INTEGER)) AS DATE) AS VARCHAR)
+                        WHEN ' ' THEN ts_text[1:10] ELSE ts_text END AS ts_date
 FROM d
 """
 
