@@ -92,17 +92,20 @@ def distinct_sorted(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # The fallback description of a column with no dictionary entry.
 FALLBACK_ENTRY = {"description": "Variable included in final panel", "source": "Derived",
                   "category": "Derived", "unit": "", "notes": ""}
+# The description of every column when there is no dictionary at all.
+UNDOCUMENTED_ENTRY = {**FALLBACK_ENTRY, "source": "Consolidated Data", "category": "Data"}
 DICT_COLUMNS = ("variable", "dtype", "description", "source", "category", "unit", "notes")
 
 
 def data_dictionary(profile: DataFrame, documented: DataFrame | None = None,
                     fallback: Mapping[str, str] = FALLBACK_ENTRY) -> DataFrame:
     """Dictionary rows in column order: documented variables (semi join to the
-    profile) take their entry, undocumented ones (anti join) a fallback row.
+    profile) take their entry, undocumented ones (anti join) a fallback row; without ``documented``
+    all take ``UNDOCUMENTED_ENTRY``.
     ``profile`` comes from :func:`column_profile`."""
     prof = profile.select("variable", "position", "dtype", "non_null")
     if documented is None:
-        rows = prof.withColumns({k: F.lit(v) for k, v in fallback.items()})
+        rows = prof.withColumns({k: F.lit(v) for k, v in UNDOCUMENTED_ENTRY.items()})
     else:
         doc = documented.select("variable", *[c for c in ("description", "source", "category", "unit", "notes")])
         known = prof.join(doc, on="variable", how="inner")

@@ -114,27 +114,35 @@ def pair_moments(df: DataFrame, keys: Sequence[str], group: Sequence[str], flow_
     rows that share ``keys``, summed per ``group`` (a subset of ``keys``),
     without materialising a single pair.
 
-    For a key with a-values {a_i} (n_a of them) and b-values {b_j} (n_b), the
-    n_a * n_b pairs contribute count n_a*n_b, sum_a n_b*S_a, sum_b n_a*S_b,
-    sum_aa n_b*Q_a, sum_bb n_a*Q_b and sum_ab S_a*S_b.  Each flow is first
-    reduced to (n, S, Q) per key (partial aggregation), the two per-key
+    For a key with n_a a-values of mean m_a and squared deviation D_a (b alike),
+    the n_a * n_b pairs contribute count n_a*n_b, sum_a n_a*n_b*m_a, sum_aa
+    n_b*(D_a + n_a*m_a^2) and sum_ab n_a*n_b*m_a*m_b.  Each flow is first
+    reduced to (n, m, D) per key (partial aggregation), the two per-key
     tables are joined one row to one row, and the products are summed per
-    group: a hot key costs one row, not n_a * n_b."""
+    group: a hot key costs one row, not n_a * n_b.  The means are taken from
+    the group's references ``ref_a`` and ``ref_b`` (means over its keys), and
+    so are the moments: values far from zero lose no digits."""
     keys, group = list(keys), list(group)
 
     def per_key(code, p):
-        v = F.col(value)
-        return (df.where((F.col(flow_col) == code) & v.isNotNull() & ~F.isnan(value))
-                .groupBy(*keys).agg(F.count(v).cast("double").alias(f"{p}n"), F.sum(v).alias(f"{p}s"),
-                                    F.sum(v * v).alias(f"{p}q")))
+        v = F.col(value).cast("double")
+        return (df.where((F.col(flow_col) == code) & v.isNotNull() & ~F.isnan(v))
+                .groupBy(*keys).agg(F.count(v).cast("double").alias(f"{p}n"), F.avg(v).alias(f"{p}m"),
+                                    (F.var_pop(v) * F.count(v)).alias(f"{p}d")))
     j = per_key(a_code, "_a").join(per_key(b_code, "_b"), on=keys)
+    refs = j.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]).agg(
+        F.avg("_am").alias("ref_a"), F.avg("_bm").alias("ref_b"))
+    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+    j = j.join(refs, on=same)
+    pairs, a, b = F.col("_an") * F.col("_bn"), F.col("_am") - F.col("ref_a"), F.col("_bm") - F.col("ref_b")
     return j.groupBy(*group).agg(
-        F.sum(F.col("_an") * F.col("_bn")).alias("n"),
-        F.sum(F.col("_bn") * F.col("_as")).alias("sum_a"),
-        F.sum(F.col("_an") * F.col("_bs")).alias("sum_b"),
-        F.sum(F.col("_bn") * F.col("_aq")).alias("sum_aa"),
-        F.sum(F.col("_an") * F.col("_bq")).alias("sum_bb"),
-        F.sum(F.col("_as") * F.col("_bs")).alias("sum_ab"))
+        F.sum(pairs).alias("n"),
+        F.sum(pairs * a).alias("sum_a"),
+        F.sum(pairs * b).alias("sum_b"),
+        F.sum(F.col("_bn") * F.col("_ad") + pairs * a * a).alias("sum_aa"),
+        F.sum(F.col("_an") * F.col("_bd") + pairs * b * b).alias("sum_bb"),
+        F.sum(pairs * a * b).alias("sum_ab"),
+        F.first("ref_a").alias("ref_a"), F.first("ref_b").alias("ref_b"))
 
 
 def outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str], order: bool = True) -> DataFrame:

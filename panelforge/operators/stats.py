@@ -89,12 +89,16 @@ def regression_line(df: DataFrame, x: str, y: str, group: str | Sequence[str] |
 
 
 def corr_from_moments(n="n", sa="sum_a", sb="sum_b", saa="sum_aa", sbb="sum_bb", sab="sum_ab",
-                      rel_tol: float = 1e-12) -> Column:
+                      ref_a="ref_a", ref_b="ref_b", rel_tol: float = 1e-12) -> Column:
     """Pearson correlation from pair moments (see ``reshape.pair_moments``);
     null for fewer than two pairs or a (numerically) constant side."""
-    n, sa, sb, saa, sbb, sab = map(_c, (n, sa, sb, saa, sbb, sab))
+    n, sa, sb, saa, sbb, sab, ref_a, ref_b = map(_c, (n, sa, sb, saa, sbb, sab, ref_a, ref_b))
     cov = n * sab - sa * sb
     va = n * saa - sa * sa
     vb = n * sbb - sb * sb
-    ok = (n >= 2) & (va > F.lit(rel_tol) * n * saa) & (vb > F.lit(rel_tol) * n * sbb)
+
+    def varies(v, ss, ref):
+        # beyond the rounding of the moments and of the means they are taken from
+        return (v > F.lit(rel_tol) * n * ss) & (v > F.pow(F.lit(rel_tol) * n * ref, 2))
+    ok = (n >= 2) & varies(va, saa, ref_a) & varies(vb, sbb, ref_b)
     return F.when(ok, cov / F.sqrt(va * vb))

@@ -122,3 +122,25 @@ def test_examples_need_an_order(spark):
     import pytest
     with pytest.raises(ValueError):
         profile.column_profile(spark.createDataFrame([(1,)], "a int"))
+
+
+def test_pair_moments_far_from_zero(spark):
+    import numpy as np
+    from panelforge.operators import stats
+    rng = np.random.default_rng(11)
+    rows = [(u, d, f, float(1e6 + rng.normal(0, 0.3))) for u in range(2) for d in range(12) for f in ("e", "c") for _ in range(3)]
+    rows += [(5, d, f, 0.1) for d in range(7) for f in ("e", "c") for _ in range(3)]  # constant
+    df = spark.createDataFrame(rows, "user long, day int, f string, v double")
+    m = reshape.pair_moments(df, ["user", "day"], ["user"], "f", "e", "c", "v")
+    got = {r.user: r.corr for r in m.select("user", stats.corr_from_moments().alias("corr")).collect()}
+    for u in range(2):
+        pairs = [(x, y) for a, d, f, x in rows for b, k, g, y in rows if a == b == u and d == k and (f, g) == ("e", "c")]
+        x, y = np.array(pairs).T
+        assert got[u] == pytest.approx(np.corrcoef(x - 1e6, y - 1e6)[0, 1], abs=1e-9)
+    assert got[5] is None
+
+
+def test_dictionary_without_source(spark):
+    prof = spark.createDataFrame([("a", 0, "double", 3)], "variable string, position int, dtype string, non_null long")
+    row = profile.data_dictionary(prof).first()
+    assert (row.source, row.category, row.description) == ("Consolidated Data", "Data", "Variable included in final panel")
