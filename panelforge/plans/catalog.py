@@ -618,6 +618,24 @@ def residuals(spark, sf):
     return _round_doubles(out.select("l_orderkey", "l_linenumber", "fitted", "resid"))
 
 
+def _fe_resid(spark, sf):
+    from panelforge.plans import regression
+    ny = _frozen_nation_year(spark, sf)
+    fit = regression.fit_ols(ny, "y", ["x1", "x2"], entity="nation", time="yr")[None]
+    return regression.fe_fitted_and_resid(ny, fit, "y", ["x1", "x2"], "nation", "yr")
+
+
+@query
+def fe_residuals(spark, sf):
+    return _round_doubles(_fe_resid(spark, sf).select("nation", "yr", "fitted", "resid"))
+
+
+@query
+def fe_qq(spark, sf):
+    from panelforge.plans import regression
+    return _round_doubles(regression.qq_table(_fe_resid(spark, sf), "resid"))
+
+
 @query
 def qq_table(spark, sf):
     from panelforge.plans import regression

@@ -671,12 +671,22 @@ def _ppf_sql(p: str) -> str:
             f"ELSE {central} END")
 
 
-_QQ = "WITH " + _LI + """,
+_QQ_POINTS = """,
 rk AS (SELECT y - fitted AS osr, row_number() OVER (ORDER BY y - fitted) AS i, count(*) OVER () AS n FROM fit),
 pm AS (SELECT i, osr, CASE WHEN i = n THEN pow(0.5, 1.0 / n) WHEN i = 1 THEN 1.0 - pow(0.5, 1.0 / n)
                       ELSE (i - 0.3175) / (n + 0.365) END AS m FROM rk),
 qq AS (SELECT i, """ + _ppf_sql("m") + """ AS osm, osr FROM pm)"""
 
+_QQ = "WITH " + _LI + _QQ_POINTS
+
+_FE_RESID = "WITH " + _fe2(_FE_IN, "y", "x1", "x2", "nation", "yr", True) + """,
+fit AS (SELECT nation, yr, b1 * x1 + b2 * x2 AS without_effects, yd AS y, b1 * x1d + b2 * x2d AS fitted
+        FROM fe_in JOIN d ON ent = nation AND tim = yr, b)"""
+SQL["fe_residuals"] = _FE_RESID + """
+SELECT nation, yr, round(without_effects, 6) AS fitted, round(y - fit.fitted, 6) AS resid FROM fit
+"""
+SQL["fe_qq"] = _FE_RESID + _QQ_POINTS + "\nSELECT i, round(osm, 6) AS osm, round(osr, 6) AS osr FROM qq"
+
 SQL["qq_table"] = _QQ + "\nSELECT i, round(osm, 6) AS osm, round(osr, 6) AS osr FROM qq"
 SQL["qq_fit"] = _QQ + """
 SELECT round(regr_slope(osr, osm), 6) AS slope, round(regr_intercept(osr, osm), 6) AS intercept,
