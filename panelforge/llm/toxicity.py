@@ -182,13 +182,14 @@ def _design(e: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(e)), np.clip(e[:, 0], -1, 1), np.log1p(e[:, 1]), np.log1p(np.minimum(e[:, 2], 100))])
 
 
-def fit_curve(e: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Ridge logistic regression by Newton steps."""
+def fit_curve(e: np.ndarray, y: np.ndarray, ridge: float = 1e-2, weight: np.ndarray | None = None) -> np.ndarray:
+    """Ridge logistic regression by Newton steps, each row counted ``weight`` times (once without weights)."""
     x = _design(e)
+    m = np.ones(len(x)) if weight is None else weight
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+        step = np.linalg.solve((x * (m * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (m * (y - p)) - ridge * w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -200,12 +201,14 @@ def fit(docs: DataFrame, labels: DataFrame, train: str, key: str = "doc_id", tex
     """Fit on labelled rows for which the SQL condition ``train`` over the key holds.
 
     ``sample`` bounds the labelled documents of each class (the first in the order of a hash of the key).  Two
-    thirds of them give the gram counts, the others the logistic curve.  A key with several labels counts as
-    toxic if one of them says so; null labels and keys are left out.  Without labelled rows every score is 0.5.
+    thirds of them give the gram counts, the others the logistic curve, in which each stands for as many as its class
+    has for one of the sample: the share of toxic texts is that of all labels, whatever the bound.  A key with several
+    labels counts as toxic if one of them says so; null labels and keys are left out.  Without labelled rows every score is 0.5.
     """
     ids = (labels.where(labels[key].isNotNull() & labels[label].isNotNull()).groupBy(labels[key].alias("k"))
            .agg(F.max(labels[label].cast("int")).alias("y")).withColumnRenamed("k", key).where(train)
            .select(F.col(key).alias("k"), "y"))
+    sizes = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}  # one row per class
     order = F.xxhash64("k")
     chosen = ids.where("y = 1").orderBy(order, "k").limit(sample).unionByName(ids.where("y = 0").orderBy(order, "k").limit(sample))
     # At most 2 * sample rows of 12 bytes.
@@ -220,7 +223,9 @@ def fit(docs: DataFrame, labels: DataFrame, train: str, key: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*e.T, batch.column(1).to_numpy())], names=["a", "b", "c", "y"])
 
     found = map_batches(rows.where("held").select("text", "y"), run, "a double, b double, c double, y int").toPandas()
-    model.curve = fit_curve(found[["a", "b", "c"]].to_numpy(), found["y"].to_numpy())
+    y = found["y"].to_numpy()
+    stands_for = [max(1.0, sizes.get(k, 0) / max(1, sample)) for k in (0, 1)]
+    model.curve = fit_curve(found[["a", "b", "c"]].to_numpy(), y, weight=np.where(y == 1, stands_for[1], stands_for[0]))
     return model
 
 

@@ -258,6 +258,23 @@ def test_toxicity_held_out(spark):
     assert out[1000] == out[1001] < 0.7 and all(0 <= v <= 1 for v in out.values())
 
 
+def test_toxicity_level_holds_under_a_smaller_sample(spark):
+    rng = np.random.default_rng(6)
+    vocab = ["".join(rng.choice(list("aeioutnrs"), rng.integers(3, 8))) for _ in range(200)]
+    rows = []
+    for i in range(2700):
+        toxic, w = i % 9 == 0, list(rng.choice(vocab, 20))
+        if rng.random() < (0.6 if toxic else 0.15):
+            w[4], w[11] = "grobzken", "grobzker"
+        rows.append((i, " ".join(w), int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    level = {}
+    for sample in (6000, 240):
+        model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"), "true", sample=sample)
+        level[sample] = toxicity.score(df, model).agg(F.avg("score")).first()[0]
+    assert abs(level[6000] - 1 / 9) < 0.03 and abs(level[240] - level[6000]) < 0.05, level
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as P
     sf = "/root/testdata/sf0.001"
