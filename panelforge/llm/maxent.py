@@ -1,12 +1,17 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-    P(word | context) = P(class | context) * P(word | class)
+    P(word | context) = P(class | context) * P(leaf | class, context) * P(word | leaf)
 
 Classes are hashed word endings (and one for the end of a text).  The class softmax is log-linear in hashed features of the
-context: the word before, the two classes before (n-gram), the words two and three before (skips).  Its weights are
-trained by distributed gradient updates: every round each task sends the gradient of its share of the training texts, the
-sums come to the driver as one array of fixed size, and a preconditioned step is broadcast.  The rounds deal
-all training texts out among them.  P(word | class) are exact smoothed counts.
+context: the word before, the two classes before (n-gram), the words two and three before (skips).  Inside its class a word is
+found by the first bits of its hash, a binary tree whose leaves hold about one word each until the depth reaches DEPTH.  Every
+decision is logistic: its bias is the log ratio of the counts on both sides, so that without weights the tree gives exactly the
+smoothed unigram, and its weights are hashed features of the decision with the words one, two and three before.
+P(word | leaf) are exact smoothed counts.  A word never seen has its class' smoothed share, whatever the context.
+
+The weights are trained by distributed gradient updates: every round each task sends the gradient of its share of the
+training texts, the sums come to the driver as one array, and a preconditioned step is broadcast.  The rounds deal
+all training texts out among them.  Both tables grow with the counted distinct words, up to MOST_ROWS and MOST_CELLS.
 
 Word counts grow with the corpus.  The most frequent words (bounded number) are broadcast for scoring, every
 other word of a text is looked up by a shuffle join, so no count is dropped or approximated.
@@ -22,16 +27,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from . import textkernel as K
-from .store import freeze, map_batches, ship
+from .store import freeze, map_batches, ship, tidy
 
 CLASSES = 32
-ROWS = 1 << 14
+ROWS, MOST_ROWS = 1 << 14, 1 << 16
+CELLS, MOST_CELLS = 1 << 16, 1 << 20
+DEPTH = 12
+DAMP = 2.0
+SURE = 40.0
 ROUNDS = 4
 FEATURES = 4
 RATE = 0.6
 SMOOTH = 0.1
 HEAD = 1_000_000
 BLOCK = 256
+CELL_BLOCK = 1 << 15
 FLUSH = 1_500_000
 _U = np.uint64
 END = _U(0x5EED0F7E87A11E5D)
@@ -55,8 +65,8 @@ def _tokens(column):
         yield i, j, h, cls, first + np.arange(len(first))
 
 
-def _contexts(h: np.ndarray, cls: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """Row of the weight table for each feature of each token's context."""
+def _contexts(h: np.ndarray, cls: np.ndarray, first: np.ndarray, rows: int = ROWS) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Row of the weight table for each feature of each token's context, and the mixed hashes of the words before."""
     place = np.arange(len(h)) - np.repeat(first[:-1], np.diff(first))
 
     def before(x, k, none):
@@ -68,7 +78,67 @@ def _contexts(h: np.ndarray, cls: np.ndarray, first: np.ndarray) -> list[np.ndar
 
     c1, c2 = before(cls, 1, CLASSES), before(cls, 2, CLASSES)
     keys = [before(h, 1, _START), c1.astype(np.uint64) * _U(64) + c2 + _U(1), before(h, 2, _START), before(h, 3, _START)]
-    return [(K.mix(k * s) >> _U(50)).astype(np.uint16) for k, s in zip(keys, _SALT)]
+    mixed = [K.mix(k * s) for k, s in zip(keys, _SALT)]
+    shift = _U(64 - (rows.bit_length() - 1))
+    return [(m >> shift).astype(np.uint16) for m in mixed], [mixed[0], mixed[2], mixed[3]]
+
+
+def _fit_size(want: float, least: int, most: int) -> int:
+    """The power of two from ``least`` to ``most`` that holds ``want``."""
+    return min(most, max(least, 1 << max(0, int(np.ceil(np.log2(max(1.0, want)))))))
+
+
+@dataclass
+class Tree:
+    """Decisions inside the classes: ``bias`` by ``class << depth | node`` (nodes as in a heap), ``mass`` the smoothed
+    counts of the leaves, ``cells`` the weights of hashed features."""
+
+    depth: int
+    bias: np.ndarray
+    mass: np.ndarray
+    cells: np.ndarray
+
+    def logits(self, h: np.ndarray, cls: np.ndarray, before: list[np.ndarray]):
+        """Per decision on the way to each token: ``(logit, bit, cells of the features)``."""
+        top = (h >> _U(64 - self.depth)).astype(np.int64)
+        base = cls.astype(np.int64) << self.depth
+        shift = _U(64 - (len(self.cells).bit_length() - 1))
+        for k in range(self.depth):
+            node = base | 1 << k | top >> (self.depth - k)
+            name = node.astype(np.uint64) * _SALT[2]
+            at = [((q ^ name) * _SALT[0] >> shift).astype(np.int64) for q in before]
+            z = self.bias[node]
+            for x in at:
+                z = z + self.cells[x]
+            yield z, (top >> (self.depth - k - 1)) & 1, at
+
+    def logs(self, h: np.ndarray, cls: np.ndarray, before: list[np.ndarray]) -> np.ndarray:
+        """log10 of P(leaf | class, context) / mass of the leaf."""
+        out = np.zeros(len(h), np.float64)
+        for z, bit, _ in self.logits(h, cls, before):
+            out -= np.logaddexp(np.float32(0), np.where(bit == 1, -z, z))
+        return out / np.log(10) - np.log10(np.maximum(self.mass[self.leaf(h, cls)], 1e-300))
+
+    def leaf(self, h: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        return cls.astype(np.int64) << self.depth | (h >> _U(64 - self.depth)).astype(np.int64)
+
+
+def _tree(counts: DataFrame, fullest: int, distinct: int) -> Tree:
+    """The tree over ``counts`` without weights, for ``fullest`` distinct words in one class; at most CLASSES * 2**DEPTH
+    rows of 24 bytes come to the driver."""
+    depth = min(DEPTH, max(1, int(np.ceil(np.log2(max(2, fullest))))))
+    leaf = F.shiftleft(F.col("cls").cast("bigint"), depth).bitwiseOR(F.shiftrightunsigned("h", 64 - depth))
+    t = counts.groupBy(leaf.alias("leaf")).agg((F.sum("c") + F.lit(SMOOTH) * F.count("*")).alias("m")).toArrow()
+    mass = np.zeros(CLASSES << depth)
+    mass[t.column("leaf").to_numpy()] = t.column("m").to_numpy()
+    bias = np.zeros((CLASSES, 1 << depth), np.float32)
+    level = mass.reshape(CLASSES, -1)
+    for k in range(depth - 1, -1, -1):
+        left, right = level[:, ::2], level[:, 1::2]
+        ratio = np.log(np.maximum(right, 1e-300)) - np.log(np.maximum(left, 1e-300))
+        bias[:, 1 << k:2 << k] = np.clip(ratio, -SURE, SURE)
+        level = left + right
+    return Tree(depth, bias.ravel(), mass, np.zeros(_fit_size(2 * distinct, CELLS, MOST_CELLS), np.float32))
 
 
 def _log_softmax(w: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
@@ -108,61 +178,78 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.min("cls").alias("cls"), F.sum("c").alias("c"))
 
 
-def _gradient(docs: DataFrame, text: str, w: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Gradient of the log-likelihood of all classes of ``docs``, uses of each row, and the bias' gradient, summed over all tasks in two levels."""
+def _gradient(docs: DataFrame, text: str, w: np.ndarray, bias: np.ndarray, tree: Tree) -> tuple[np.ndarray, ...]:
+    """Gradient of the log-likelihood of all classes of ``docs`` and uses of each row, gradient and curvature of the tree's cells,
+    summed over all tasks in two levels."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((w, bias))
-    width = CLASSES + 1
+    shared = spark.sparkContext.broadcast((w, bias, tree))
+    width, n_rows, n_cells = CLASSES + 1, len(w), len(tree.cells)
 
     def run(batches):
-        w, bias = shared.value
-        total = np.zeros((ROWS + 1, width), np.float32)
+        w, bias, tree = shared.value
+        total = np.zeros((n_rows, width), np.float32)
+        cells = np.zeros((2, n_cells), np.float32)
         some = False
         for batch in batches:
             for _, _, h, cls, first in _tokens(batch.column(0)):
-                rows = _contexts(h, cls, first)
+                rows, before = _contexts(h, cls, first, n_rows)
                 for a in range(0, len(h), 100_000):
                     part = [r[a:a + 100_000] for r in rows]
                     g = np.exp(_log_softmax(w, bias, part))
                     np.negative(g, out=g)
                     g[np.arange(len(g)), cls[a:a + 100_000]] += 1
-                    total[ROWS, :CLASSES] += g.sum(axis=0)
-                    total[ROWS, CLASSES] += len(g)
                     for r in part:
                         order = np.argsort(r, kind="stable")
                         key = r[order]
                         at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
                         total[key[at], :CLASSES] += np.add.reduceat(g[order], at, axis=0)
                         total[key[at], CLASSES] += np.diff(np.append(at, len(key)))
+                    where, off, bend = [], [], []
+                    for z, bit, at in tree.logits(h[a:a + 100_000], cls[a:a + 100_000], [q[a:a + 100_000] for q in before]):
+                        p = 1 / (1 + np.exp(-z))
+                        where += at
+                        off += [bit - p] * len(at)
+                        bend += [p * (1 - p)] * len(at)
+                    where = np.concatenate(where)
+                    cells[0] += np.bincount(where, np.concatenate(off), n_cells)
+                    cells[1] += np.bincount(where, np.concatenate(bend), n_cells)
                     some = True
         if some:
             task = TaskContext.get().partitionId()
-            blocks = range(0, ROWS + 1, BLOCK)
-            yield pa.RecordBatch.from_arrays([pa.array([task] * len(blocks), pa.int32()), pa.array(list(blocks), pa.int32()),
-                                              pa.array([total[b:b + BLOCK].tobytes() for b in blocks], pa.binary())], names=["task", "block", "g"])
+            blocks, more = range(0, n_rows, BLOCK), range(0, n_cells, CELL_BLOCK)
+            names = [*blocks, *(-1 - b for b in more)]
+            sent = [*(total[b:b + BLOCK].tobytes() for b in blocks), *(cells[:, b:b + CELL_BLOCK].tobytes() for b in more)]
+            yield pa.RecordBatch.from_arrays([pa.array([task] * len(names), pa.int32()), pa.array(names, pa.int32()), pa.array(sent, pa.binary())],
+                                             names=["task", "block", "g"])
 
     def add(group):
         first = group.iloc[0]
         g = sum((np.frombuffer(x, np.float32) for x in group["g"]), np.float32(0))
         return group.iloc[:1].assign(task=first["task"], g=[g.astype(np.float32).tobytes()])
 
-    parts = map_batches(docs.select(docs[text]), run, "task int, block int, g binary")
-    tasks = max(1, int(docs.rdd.getNumPartitions() ** 0.5))
+    # A few tasks a core, so that as many arrays are summed, whatever the number of files.
+    src = docs.select(docs[text]).coalesce(4 * spark.sparkContext.defaultParallelism)
+    parts = map_batches(src, run, "task int, block int, g binary")
+    tasks = max(1, int(src.rdd.getNumPartitions() ** 0.5))
     schema = "task int, block int, g binary"
     some = parts.withColumn("task", F.pmod("task", F.lit(tasks))).groupBy("task", "block").applyInPandas(add, schema)
     rows = some.groupBy("block").applyInPandas(add, schema).toPandas()
-    total = np.zeros((ROWS + 1, width))
+    total, cells = np.zeros((n_rows, width)), np.zeros((2, n_cells), np.float32)
     for block, g in zip(rows["block"], rows["g"]):
-        x = np.frombuffer(g, np.float32).reshape(-1, width)
-        total[block:block + len(x)] = x
+        x = np.frombuffer(g, np.float32)
+        if block >= 0:
+            total[block:block + BLOCK] = x.reshape(-1, width)
+        else:
+            cells[:, -1 - block:-1 - block + CELL_BLOCK] = x.reshape(2, -1)
     shared.destroy()
-    return total[:ROWS, :CLASSES], total[:ROWS, CLASSES], total[ROWS]
+    return total[:, :CLASSES], total[:, CLASSES], cells[0], cells[1]
 
 
 @dataclass
 class Model:
     weights: np.ndarray
     bias: np.ndarray
+    tree: Tree
     counts: DataFrame
     n_class: np.ndarray
     v_class: np.ndarray
@@ -185,13 +272,16 @@ def fit(docs: DataFrame, share: str, text: str = "text", rounds: int = ROUNDS) -
     for r in counts.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # one row per class
         n[r["cls"]], v[r["cls"]] = r["n"], r["v"]
     p = (n + 1) / (n + 1).sum()
-    bias, w = np.log(p).astype(np.float32), np.zeros((ROWS, CLASSES), np.float32)
+    tree = _tree(counts, int(v.max()), int(v.sum()))
+    bias, w = np.log(p).astype(np.float32), np.zeros((_fit_size(v.sum() / 8, ROWS, MOST_ROWS), CLASSES), np.float32)
     for k in range(rounds):
-        g, uses, _ = _gradient(docs.where(F.expr(share) == k), text, w, bias)
+        g, uses, slope, bend = _gradient(docs.where(F.expr(share) == k), text, w, bias, tree)
+        tidy(docs.sparkSession)
         # Curvature of a row: its uses times the variance of a class indicator; every token has FEATURES rows.
         step = RATE * g / (uses[:, None] * (p * (1 - p)) + 20)
         w = np.clip(w + np.clip(step, -1.5, 1.5), -6, 6).astype(np.float32)
-    return Model(w, bias, counts, n, v)
+        tree.cells = np.clip(tree.cells + np.clip(RATE * slope / (bend + DAMP), -1.5, 1.5), -6, 6).astype(np.float32)
+    return Model(w, bias, tree, counts, n, v)
 
 
 def _head(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,11 +306,13 @@ def score(docs: DataFrame, model: Model, keys=("doc_id",), text: str = "text", h
     """
     top, top_c = _head(model.counts, head)
     log_class = np.log10(model.n_class + SMOOTH * (model.v_class + 1))
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, top, np.log10(top_c + SMOOTH), log_class))
+    # Share of the class' seen words; the rest is that of a word never seen.
+    log_seen = np.log10(np.maximum(model.n_class + SMOOTH * model.v_class, 1e-300)) - log_class
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.tree, top, np.log10(top_c + SMOOTH), log_class, log_seen))
     kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches):
-        w, bias, top, top_log, log_class = shared.value
+        w, bias, tree, top, top_log, log_class, log_seen = shared.value
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for i, j, h, cls, first in _tokens(batch.column(len(keys))):
@@ -228,28 +320,33 @@ def score(docs: DataFrame, model: Model, keys=("doc_id",), text: str = "text", h
                 known = top[at] == h if len(top) else np.zeros(len(h), bool)
                 logs = np.zeros(len(h))
                 logs[known] = top_log[at[known]]
-                part = -log_class[cls]
-                rows = _contexts(h, cls, first)
+                part, inside = -log_class[cls], np.zeros(len(h))
+                rows, before = _contexts(h, cls, first, len(w))
                 for a in range(0, len(h), 100_000):
                     z = _log_softmax(w, bias, [r[a:a + 100_000] for r in rows])
                     part[a:a + 100_000] += z[np.arange(len(z)), cls[a:a + 100_000]] / np.log(10)
+                    inside[a:a + 100_000] = tree.logs(h[a:a + 100_000], cls[a:a + 100_000], [q[a:a + 100_000] for q in before])
+                # What a seen word's score has above that of one never seen, besides its count.
+                inside += log_seen[cls] + log_class[cls]
+                part[known] += inside[known]
                 rest = np.concatenate([[0], np.cumsum(~known)])[first]
                 n = np.diff(first)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row + np.arange(j - i)), *(batch.column(k).slice(i, j - i) for k in range(len(keys))), pa.array(n),
                      pa.array(n - np.diff(rest)), pa.array(np.add.reduceat(logs, first[:-1])), pa.array(np.add.reduceat(part, first[:-1])),
-                     pa.ListArray.from_arrays(rest.astype(np.int32), h[~known].view(np.int64))],
+                     pa.ListArray.from_arrays(rest.astype(np.int32), pa.StructArray.from_arrays([pa.array(h[~known].view(np.int64)), pa.array(inside[~known])], ["h", "inside"]))],
                     names=["row", *keys, "n_tokens", "known", "logs", "part", "rest"])
                 row += j - i
 
     rows = freeze(map_batches(docs.select(*keys, docs[text].alias("__text")), run,
-                              f"row bigint, {kinds}, n_tokens bigint, known bigint, logs double, part double, rest array<bigint>"), "scored")
-    rare = (rows.select("row", F.explode("rest").alias("h")).groupBy("row", "h").agg(F.count("*").alias("k"))
+                              f"row bigint, {kinds}, n_tokens bigint, known bigint, logs double, part double, rest array<struct<h:bigint,inside:double>>"), "scored")
+    rare = (rows.select("row", F.explode("rest").alias("x")).groupBy("row", F.col("x.h").alias("h")).agg(F.count("*").alias("k"), F.sum("x.inside").alias("inside"))
             .join(model.counts.select("h", "c"), "h", "left")
             .groupBy("row").agg(F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0)).alias("more"),
+                                F.sum(F.when(F.col("c").isNotNull(), F.col("inside")).otherwise(0.0)).alias("rest_part"),
                                 F.sum(F.col("k") * F.log10(F.coalesce(F.col("c"), F.lit(0)) + SMOOTH)).alias("rest_logs")))
     total = float(np.log10(model.tokens + SMOOTH * (model.distinct + 1)))
     logs = F.col("logs") + F.coalesce("rest_logs", F.lit(0.0))
     return rows.drop("rest").join(rare, "row", "left").select(
         *keys, "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        (logs - F.col("n_tokens") * F.lit(total)).alias("base_score"), (logs + F.col("part")).alias("score"))
+        (logs - F.col("n_tokens") * F.lit(total)).alias("base_score"), (logs + F.col("part") + F.coalesce("rest_part", F.lit(0.0))).alias("score"))

@@ -240,6 +240,38 @@ def test_maxent_is_a_distribution(docs, rows):
     assert np.allclose(np.exp(z).sum(axis=1), 1, atol=1e-5)
 
 
+def test_maxent_words_of_one_class_depend_on_context(spark):
+    rng = np.random.default_rng(7)
+    # All words end alike, so they are of one class and only the factor inside it can tell them apart.
+    after = {f"w{i}ing": f"v{(i * 7) % 40}ing" for i in range(40)}
+    texts = []
+    for _ in range(600):
+        w = []
+        for a in rng.choice(list(after), 20):
+            w += [a, after[a] if rng.random() < 0.8 else f"v{rng.integers(40)}ing"]
+        texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model = maxent.fit(df.where("doc_id % 6 > 0"), "pmod(doc_id, 4)")
+    out = {head: {r["doc_id"]: r for r in maxent.score(df.where("doc_id % 6 = 0"), model, head=head).collect()} for head in (100, 3)}
+    assert all(np.isclose(out[100][i]["score"], out[3][i]["score"]) for i in out[100])
+    model.tree.cells = np.zeros_like(model.tree.cells)
+    without = sum(r["score"] for r in maxent.score(df.where("doc_id % 6 = 0"), model).collect())
+    n = sum(r["n_tokens"] for r in out[100].values())
+    score, base = (sum(r[k] for r in out[100].values()) for k in ("score", "base_score"))
+    assert (score - without) / n > 0.2 and score > base
+
+
+def test_maxent_tree_is_a_distribution(docs):
+    model = maxent.fit(docs, "pmod(coalesce(doc_id, 0), 4)")
+    words = model.counts.where("cls = 5").toPandas()
+    h, cls = words["h"].to_numpy().view(np.uint64), words["cls"].to_numpy().astype(np.uint8)
+    rng = np.random.default_rng(8)
+    assert np.abs(model.tree.cells).max() > 0
+    for _ in range(5):
+        before = [np.full(len(h), rng.integers(1, 2**63), np.uint64) for _ in range(3)]
+        assert np.isclose((10 ** model.tree.logs(h, cls, before) * (words["c"] + maxent.SMOOTH)).sum(), 1, atol=1e-3)
+
+
 def test_toxicity_held_out(spark):
     rng = np.random.default_rng(4)
     vocab = ["".join(rng.choice(list("aeioutnrs"), rng.integers(3, 8))) for _ in range(300)]
