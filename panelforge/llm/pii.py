@@ -7,7 +7,9 @@ away.  Corpus co-occurrence estimates the information a term carries about a kin
 
 where P(kind | term) is the share of all the corpus' occurrences of the term that lie in such contexts.  A
 term that carries at least ``disclosure`` of the kind's whole information, around enough different entities, is
-a span of its own where it stands beside one.  Entities are generalised to their kind, disclosing terms removed.
+a span of its own where it stands beside one.  The same measure over whole texts, PMI(term, entity) against the information of
+the single entity, finds the words that give ONE entity away, such as a name that comes with a person's address: these
+are spans wherever they occur in texts that hold the entity.  Entities are generalised to their kind, disclosing terms removed.
 """
 
 from __future__ import annotations
@@ -34,6 +36,10 @@ BROADCAST_SPANS = 1_000_000
 DISCLOSURE = 0.9
 _WORD_BREAK = r"[\s.,;:!?()\[\]\"']+"
 _TERM = r"^\p{L}{3,40}$"
+# A pair seen in one text alone tells nothing: there every word is as exclusive as the name.
+PAIR_TEXTS = 2
+_WORD = r"[^\s.,;:!?()\[\]\"']+"
+_NAME = r"^\p{L}[\p{L}\p{M}-]{0,38}\p{L}$"
 _SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
@@ -111,7 +117,8 @@ def disclosing_spans(docs: DataFrame, text: str = "text", disclosure: float = DI
     """``(text_key, terms)``: the term spans of every text that has some; ``text_key`` is the text's SHA-256.
 
     Contexts are counted over all rows, entities distinctly, so a copied text adds no support.  The
-    corpus count covers every occurrence of the candidate terms in all texts.
+    corpus count covers every occurrence of the candidate terms in all texts.  Terms that disclose a single entity need no support
+    of other entities; see :func:`_entity_places`.
     """
     src = docs.select(F.coalesce(docs[text], F.lit("")).alias("text"))
     beside = (src.where(" or ".join(f"text rlike r'{_MAY[k]}'" for k in _MAY))
@@ -134,10 +141,54 @@ def disclosing_spans(docs: DataFrame, text: str = "text", disclosure: float = DI
     pmi = F.log2(F.least(F.lit(1.0), F.col("n_beside") / F.col("n_term")) / p_kind)
     telling = (candidates.join(in_corpus, "term").join(F.broadcast(per_kind), "kind")  # one row per kind
                .where(pmi >= F.lit(disclosure) * F.log2(1 / p_kind)).select("kind", "term"))
-    return (beside.join(telling, ["kind", "term"]).groupBy("text_key")
+    places = beside.join(telling, ["kind", "term"]).select("text_key", "start", "end").unionByName(_entity_places(src, disclosure))
+    return (places.groupBy("text_key")
             .agg(F.sort_array(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end"))).cast(_SPAN).alias("terms")))
 
 
+def _entity_places(src: DataFrame, disclosure: float) -> DataFrame:
+    """``(text_key, start, end)`` of all occurrences of terms that disclose an entity which the text holds.
+
+    All counts are of different texts: a row counts as one part in as many as repeat its text, so that copies need not be brought
+    together.  Entities and terms of a single text are no pairs.
+    """
+    keyed = src.withColumn("text_key", F.sha2("text", 256))
+    copies = freeze(keyed.groupBy("text_key").agg(F.count("*").alias("n")), "copies")
+    n_texts = copies.count() or 1
+    repeated = small(copies.where("n > 1"), 200_000)
+    share = (1 / F.coalesce("n", F.lit(1))).alias("w")
+    holds = (src.where(" or ".join(f"text rlike r'{_MAY[k]}'" for k in _MAY)).withColumn("spans", base_spans(F.col("text")))
+             .where(F.size("spans") > 0).withColumn("text_key", F.sha2("text", 256)))
+    hashed = F.array_distinct(F.transform("spans", lambda x: F.xxhash64(
+        x["kind"], F.lower(F.substring("text", (x["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int"))))))
+    entities = freeze(holds.select("text_key", F.explode(hashed).alias("entity")).distinct(), "entities")
+    recurring = freeze(entities.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= PAIR_TEXTS), "recurring")
+    of_text = freeze(entities.join(small(recurring.select("entity"), 200_000), "entity", "left_semi"), "text_entities")
+    # Words of the texts with recurring entities, outside of the entities.
+    outside = F.regexp_replace(sanitised(F.col("text"), F.col("spans")), r"\[(EMAIL|IP|CARD|PHONE)\]", " ")
+    terms = F.array_distinct(F.filter(F.split(F.lower(outside), _WORD_BREAK), lambda t: t.rlike(_NAME)))
+    with_any = small(of_text.select("text_key").distinct(), 200_000)
+    own = (holds.join(with_any, "text_key", "left_semi").join(repeated, "text_key", "left")
+           .select("text_key", share, F.explode(terms).alias("term")).groupBy("text_key", "term").agg(F.sum("w").alias("w")))
+    pairs = freeze(own.join(of_text, "text_key").groupBy("term", "entity").agg(F.round(F.sum("w")).alias("n_both"))
+                   .where(F.col("n_both") >= PAIR_TEXTS), "pairs")
+    wanted = pairs.select("term").distinct()
+    every = keyed.join(repeated, "text_key", "left").select(share, F.explode(F.array_distinct(F.split(F.lower("text"), _WORD_BREAK))).alias("term"))
+    if wanted.limit(200_001).count() <= 200_000:
+        every = every.join(F.broadcast(wanted), "term", "left_semi")
+    # Otherwise all words are counted (tasks combine first): that moves far less than their occurrences.
+    in_texts = every.groupBy("term").agg(F.round(F.sum("w")).alias("n_term"))
+    p = F.col("n_entity") / F.lit(float(n_texts))
+    pmi = F.log2(F.least(F.lit(1.0), F.col("n_both") / F.col("n_term")) / p)
+    telling = freeze(pairs.join(in_texts, "term").join(recurring, "entity")
+                     .where((p < 1) & (pmi >= F.lit(disclosure) * F.log2(1 / p))).select("entity", "term"), "telling")
+    marked = freeze(of_text.join(telling, "entity").groupBy("text_key").agg(F.collect_set("term").alias("names")), "names")
+    place = F.explode(F.filter(_located(F.col("text"), _WORD, 4, lambda m: F.array_contains("names", F.lower(m))),
+                               lambda x: ~F.exists("spans", lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"]))))
+    return (holds.join(small(marked, 20_000), "text_key").select("text_key", place.alias("x"))
+            .select("text_key", F.col("x.start").alias("start"), F.col("x.end").alias("end")))
+
+
 def find(docs: DataFrame, keep=("doc_id",), text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """``(*keep, base, spans)`` of every row: entity spans, and these with the disclosing terms.
 

@@ -204,6 +204,19 @@ def test_pii_disclosing_terms(spark):
     assert out[0]["clean"] == "hello there  [EMAIL] now goodbye" and out[10]["clean"] == texts[10]
 
 
+def test_pii_terms_of_one_entity(spark):
+    mail = "j.m@corp.example"
+    texts = [f"Meyer-Lüdenscheid wrote again on day {i} of the week. Later on and much further away in the same paragraph, where nobody "
+             f"would expect it at all, stands {mail} and then Ng said Meyer-Lüdenscheid went home" for i in range(3)]
+    texts += texts[:1] * 5 + [f"once only x{i}@corp.example Solitaire{'abcdef'[i]} came" for i in range(3)]
+    texts += [f"on the day of week {i} nobody went home and then said it again, later stands the same paragraph" for i in range(200)]
+    texts += ["wrote much further away, where would expect at all in and then"] * 3 + [f"wrote much further away, where would expect at all in {i}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in pii.find(df, keep=("doc_id", "text")).collect():
+        words = [r["text"][x["start"]:x["end"]] for x in r["spans"] if x["kind"] == 4]
+        assert words == (["Meyer-Lüdenscheid", "Ng", "Meyer-Lüdenscheid"] if r["doc_id"] < 8 else []), (r["doc_id"], words)
+
+
 def test_fingerprints(spark, docs, rows):
     texts = [(i, t or "") for i, t in rows]
     got = fingerprints.fingerprint_documents(docs).collect()
