@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprints, maxent, ngram_join, packing, pii, sharding, token_counts, toxicity, vectors
+from . import (bpe, clustering, fingerprints, licenses, maxent, ngram_join, packing, phrases, pii, sharding, token_counts, toxicity,
+               vectors)
 from .store import read_documents
 
 
@@ -73,7 +74,50 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_ngram_join, op3_embeddings, op4_sharding, op5_toxicity, op6_pii, op7_token_counts, op8_fingerprints, op9_lm_scoring, op10_bpe)}
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_documents(spark, sf_dir))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = licenses.verdict(licenses.scan(read_documents(spark, sf_dir)))
+    starts = F.transform("places", lambda p: p["start"])
+    return d.select("doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"), F.array_min(starts).alias("first_word"),
+                    F.array_max(starts).alias("last_word"), "base_labels", "labels", "score")
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, _ = clustering.centroid_clusters(read_documents(spark, sf_dir, "embeddings"))
+    return d.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                    F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256).alias("centroid_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_ngram_join, op3_embeddings, op4_sharding, op5_toxicity, op6_pii, op7_token_counts, op8_fingerprints, op9_lm_scoring, op10_bpe,
+                                   op11_phrases, op12_licenses, op13_clusters)}
+
+
+def _clusters_sql(k: int = clustering.K, rounds: int = clustering.ROUNDS, dim: int = clustering.DIM) -> str:
+    """All rounds of the clustering, one after the other; squared distances as sums of exact products."""
+    steps = [f"""kept as materialized (
+  select row_number() over () as id, vec_id, list_transform(embedding, lambda x: floor({clustering.SCALE} * x::double)) as v from embeddings
+  where len(embedding) = {dim} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), c0 as materialized (
+  select row_number() over (order by sha256('{clustering.SEED}:' || vec_id) nulls last, v) - 1 as c, v from kept
+  qualify row_number() over (order by sha256('{clustering.SEED}:' || vec_id) nulls last, v) <= {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} as materialized (
+  select id, vec_id, kept.v, min({{'d': (list_inner_product(kept.v, kept.v) - 2 * list_inner_product(kept.v, b.v) + list_inner_product(b.v, b.v))::bigint,
+                                 'c': b.c}}) as near from kept, c{r} b group by 1, 2, 3)""")
+        if r < rounds:
+            steps.append(f"""s{r} as (select near.c as c, unnest(v)::bigint as x, unnest(range(len(v))) as i from a{r}
+), m{r} as (select c, i, sum(x)::hugeint as s, count(*)::hugeint as n from s{r} group by 1, 2
+), f{r} as (select c, list(((s - ((s % n) + n) % n) // n)::double order by i) as v from m{r} group by 1
+), c{r + 1} as materialized (select b.c, coalesce(f{r}.v, b.v) as v from c{r} b left join f{r} on f{r}.c = b.c)""")
+    return "with " + ", ".join(steps) + f"""
+select vec_id, near.c::integer as cluster, near.d as distance, (sum(near.d) over (partition by near.c))::bigint as cluster_inertia,
+       (sum(near.d) over ())::bigint as inertia, sha256(array_to_string(list_transform(b.v, lambda x: x::bigint), ',')) as centroid_sha256
+from a{rounds} join c{rounds} b on b.c = near.c"""
+
+
 SQL: dict[str, str] = {
     "op2_ngram_join": """
 with recursive w as (
@@ -106,4 +150,33 @@ with recursive v as (
 n as (select a as vec_id, count(*) as n_links from links group by a)
 select low.vec_id, coalesce(n.n_links, 0)::bigint as n_links, component_id, component_id = low.vec_id as kept
 from low left join n on n.vec_id = low.vec_id""",
+    "op11_phrases": """
+with d as (
+  select row_number() over () as id, coalesce(lang, 'und') as lang,
+         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]') as pieces
+  from documents
+), p as (select id, lang, unnest(pieces) as piece, unnest(range(len(pieces))) as k from d
+), q as (select lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') as w from p
+), one as (select lang, unnest(w) as x from q
+), f1 as materialized (select lang, x, count(*) as f from one group by 1, 2
+), n as (select lang, sum(f)::bigint as n from f1 group by 1
+), two as (select lang, unnest(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) as x from q
+), f2 as materialized (select lang, x, count(*) as f from two group by 1, 2 having count(*) >= 10
+), three as (select lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) as x from q
+), f3 as materialized (select lang, x, count(*) as f from three group by 1, 2 having count(*) >= 10
+), pair as (
+  select c.lang, c.x, c.f as a, l.f as l, r.f as r, (1000000::hugeint * c.f * c.f) // (l.f::hugeint * r.f) as score
+  from f2 c join f1 l on l.lang = c.lang and l.x = c.x[1] join f1 r on r.lang = c.lang and r.x = c.x[2]
+  where not exists (select 1 from f3 t where t.lang = c.lang and (t.x[1:2] = c.x or t.x[2:3] = c.x) and 100 * t.f >= 50 * c.f)
+), cuts as (
+  select c.lang, c.x, c.f as a, l.f as l, r.f as r, (1000000::hugeint * c.f * c.f) // (l.f::hugeint * r.f) as score, 1 as k
+  from f3 c join f1 l on l.lang = c.lang and l.x = c.x[1] join f2 r on r.lang = c.lang and r.x = c.x[2:3]
+  union all
+  select c.lang, c.x, c.f, l.f, r.f, (1000000::hugeint * c.f * c.f) // (l.f::hugeint * r.f), 2
+  from f3 c join f2 l on l.lang = c.lang and l.x = c.x[1:2] join f1 r on r.lang = c.lang and r.x = c.x[3]
+), triple as (select lang, x, a, l, r, score from cuts qualify row_number() over (partition by lang, x order by score, k) = 1
+), found as (select lang, array_to_string(x, ' ') as phrase, a, l, r, score from pair union all select lang, array_to_string(x, ' '), a, l, r, score from triple
+), ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from found)
+select ranked.lang, rank, phrase, a, l, r, n.n, score::bigint as score from ranked join n on n.lang = ranked.lang where rank <= 2000""",
+    "op13_clusters": _clusters_sql(),
 }
