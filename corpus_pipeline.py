@@ -18,19 +18,21 @@ DROPPED_ROWS = 1_000_000
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below 0.7, all columns unchanged.
 
-    The model learns from the labelled ones among ``docs`` that are not held out.  Null and empty texts have no
-    evidence and stay, repeated rows are judged alike, and an empty table stays empty.
+    The model learns from the labelled ones among ``docs`` that are not held out.  Null texts and texts without words stay
+    whatever the model says, as they hold no evidence; repeated rows are judged alike, and an empty table stays empty.
     """
     model = toxicity.fit(docs, read_documents(spark, sf_dir, "labels"), f"not {HELD_OUT}")
     whole = docs.select(F.struct(*docs.columns).alias("row"), docs["text"].alias("text"))
-    return toxicity.score(whole, model, keys=("row",)).where(F.col("score") < REJECT).select("row.*")
+    wordless = ~F.coalesce(F.col("row.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return toxicity.score(whole, model, keys=("row",)).where((F.col("score") < REJECT) | wordless).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents: the one of the smallest doc_id, and of rows that repeat it
-    the first.  Texts without words link with nothing and stay, all columns unchanged."""
+    the first.  Texts without words link with nothing and stay, all columns unchanged; an empty table stays empty."""
     tidy(spark)
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    # Frozen with the number: one that every scan gives anew would follow the splits of that scan.
+    numbered = freeze(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     keyed = numbered.select(F.struct("doc_id", "__row").alias("key"), "text")
     groups = ngram_join.near_duplicates(keyed, key="key")
     dropped = freeze(groups.where("doc_id <> component_id").select(F.col("doc_id.__row").alias("__row")), "dropped")

@@ -60,13 +60,14 @@ distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""
 MATCH = 4
 GAP = 24
 SHARE = 0.75
+TEXTS = 1 << 18
 _SEP = np.zeros(256, bool)
 _SEP[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 
 
 def hashed_words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of texts, and how many words lie before each text."""
-    _, _, h, first = K.words(raw, off, _SEP)
+    _, _, h, first = K.tokens(raw, off, _SEP)
     return h, first
 
 
@@ -284,7 +285,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, keys=("doc_id",)
         a = automaton.value
         for batch in batches:
             raw, off = K.utf8(batch.column(len(keys)))
-            for i, j in K.chunks(off):
+            for i, j in K.chunks(off, TEXTS):
                 h, first = hashed_words(raw[off[i]:off[j]], off[i:j + 1] - off[i])
                 of = np.repeat(np.arange(j - i), np.diff(first))
                 states, lengths = matching_statistics(a, h, first)

@@ -42,7 +42,14 @@ SMOOTH = 0.1
 HEAD = 1_000_000
 BLOCK = 256
 CELL_BLOCK = 1 << 15
+#: Arrays of so many tasks are summed at once.
+ONE_LEVEL = 64
 FLUSH = 1_500_000
+#: Tokens worked on at once, and contributions to cells that wait for their sum.
+PART, HELD = 8192, 4_000_000
+#: Levels of a tree whose cells lie together, 2**LINE of them.
+LINE = 4
+TEXTS = 1 << 17
 _U = np.uint64
 END = _U(0x5EED0F7E87A11E5D)
 _START = _U(0x0B0E61A7C0FFEE11)
@@ -52,9 +59,9 @@ _SALT = [_U(x) for x in (0x8CB92BA72F3D8DD7, 0xD6E8FEB86659FD93, 0xA0761D6478BD6
 def _tokens(column):
     """Per chunk of texts: ``(i, j, hash, class, first)`` with the end token after each text's words."""
     raw, off = K.utf8(column)
-    for i, j in K.chunks(off):
+    for i, j in K.chunks(off, TEXTS):
         part = raw[off[i]:off[j]]
-        start, end, h, first = K.words(part, off[i:j + 1] - off[i])
+        start, end, h, first = K.tokens(part, off[i:j + 1] - off[i])
         tail = np.zeros(len(h), np.uint64)
         low = part | ((part >= 65) & (part <= 90)).astype(np.uint8) * np.uint8(32)
         for back in range(1, 4):
@@ -99,25 +106,47 @@ class Tree:
     cells: np.ndarray
 
     def logits(self, h: np.ndarray, cls: np.ndarray, before: list[np.ndarray]):
-        """Per decision on the way to each token: ``(logit, bit, cells of the features)``."""
-        top = (h >> _U(64 - self.depth)).astype(np.int64)
+        """Per decision on the way to each token: ``(logit, bit, cells of the features)``; at most PART tokens at once, so that
+        the arrays stay in the processor's cache."""
+        top = (h >> _U(64 - self.depth)).view(np.int64)
         base = cls.astype(np.int64) << self.depth
-        shift = _U(64 - (len(self.cells).bit_length() - 1))
+        shift = _U(64 - (len(self.cells).bit_length() - 1 - LINE))
         for k in range(self.depth):
-            node = base | 1 << k | top >> (self.depth - k)
-            name = node.astype(np.uint64) * _SALT[2]
-            at = [((q ^ name) * _SALT[0] >> shift).astype(np.int64) for q in before]
+            node = top >> (self.depth - k)
+            node |= 1 << k
+            node |= base
+            step = k % LINE
+            if step == 0:  # a subtree of LINE levels lies together: one hash per feature for all its decisions
+                name = node.view(np.uint64) * _SALT[2]
+                lines = []
+                for q in before:
+                    x = q ^ name
+                    x *= _SALT[0]
+                    x >>= shift
+                    x <<= _U(LINE)
+                    lines.append(x.view(np.int64))
+            inside = node & ((1 << step) - 1)
+            inside |= 1 << step
             z = self.bias[node]
+            at = [x + inside for x in lines]
             for x in at:
-                z = z + self.cells[x]
+                z += self.cells[x]
             yield z, (top >> (self.depth - k - 1)) & 1, at
 
     def logs(self, h: np.ndarray, cls: np.ndarray, before: list[np.ndarray]) -> np.ndarray:
         """log10 of P(leaf | class, context) / mass of the leaf."""
         out = np.zeros(len(h), np.float64)
-        for z, bit, _ in self.logits(h, cls, before):
-            out -= np.logaddexp(np.float32(0), np.where(bit == 1, -z, z))
-        return out / np.log(10) - np.log10(np.maximum(self.mass[self.leaf(h, cls)], 1e-300))
+        for a in range(0, len(h), PART):
+            part = slice(a, a + PART)
+            odds = np.ones(len(h[part]), np.float64)  # product of 1 / P(decision), a few at a time within double range
+            for k, (z, bit, _) in enumerate(self.logits(h[part], cls[part], [q[part] for q in before])):
+                z *= 1 - 2 * bit.astype(np.float32)
+                odds *= np.exp(z, out=z) + 1
+                if k % 8 == 7:
+                    out[part] -= np.log10(odds)
+                    odds.fill(1.0)
+            out[part] -= np.log10(odds)
+        return out - np.log10(np.maximum(self.mass[self.leaf(h, cls)], 1e-300))
 
     def leaf(self, h: np.ndarray, cls: np.ndarray) -> np.ndarray:
         return cls.astype(np.int64) << self.depth | (h >> _U(64 - self.depth)).astype(np.int64)
@@ -141,15 +170,20 @@ def _tree(counts: DataFrame, fullest: int, distinct: int) -> Tree:
     return Tree(depth, bias.ravel(), mass, np.zeros(_fit_size(2 * distinct, CELLS, MOST_CELLS), np.float32))
 
 
-def _log_softmax(w: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    z = w[rows[0]] + bias
+def _logits(w: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Of the classes; the weights are clipped, so that exponentials fit single precision."""
+    z = w[rows[0]]
+    z += bias
     for r in rows[1:]:
         z += w[r]
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
 
 
+def _log_softmax(w: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    z = _logits(w, bias, rows)
+    return z - np.log(np.exp(z).sum(axis=1))[:, None]
+
+
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(h, cls, c)``: occurrences of every distinct token (64-bit hash); tasks combine before the shuffle."""
     def run(batches):
@@ -190,30 +224,50 @@ def _gradient(docs: DataFrame, text: str, w: np.ndarray, bias: np.ndarray, tree:
         total = np.zeros((n_rows, width), np.float32)
         cells = np.zeros((2, n_cells), np.float32)
         some = False
+        # What is added to the cells waits until it is worth a pass over all of them.
+        held, size = ([], [], []), 0
+
+        def settle():
+            where, off, bend = (np.concatenate(x) for x in held)
+            cells[0] += np.bincount(where, off, n_cells)
+            cells[1] += np.bincount(where, bend, n_cells)
+            for x in held:
+                x.clear()
+
         for batch in batches:
             for _, _, h, cls, first in _tokens(batch.column(0)):
                 rows, before = _contexts(h, cls, first, n_rows)
-                for a in range(0, len(h), 100_000):
-                    part = [r[a:a + 100_000] for r in rows]
-                    g = np.exp(_log_softmax(w, bias, part))
-                    np.negative(g, out=g)
-                    g[np.arange(len(g)), cls[a:a + 100_000]] += 1
+                for a in range(0, len(h), PART):
+                    part = [r[a:a + PART] for r in rows]
+                    own = cls[a:a + PART]
+                    g = _logits(w, bias, part)
+                    np.exp(g, out=g)
+                    g *= (-1 / g.sum(axis=1))[:, None]
+                    g[np.arange(len(g)), own] += 1
                     for r in part:
                         order = np.argsort(r, kind="stable")
                         key = r[order]
                         at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
                         total[key[at], :CLASSES] += np.add.reduceat(g[order], at, axis=0)
                         total[key[at], CLASSES] += np.diff(np.append(at, len(key)))
-                    where, off, bend = [], [], []
-                    for z, bit, at in tree.logits(h[a:a + 100_000], cls[a:a + 100_000], [q[a:a + 100_000] for q in before]):
-                        p = 1 / (1 + np.exp(-z))
-                        where += at
-                        off += [bit - p] * len(at)
-                        bend += [p * (1 - p)] * len(at)
-                    where = np.concatenate(where)
-                    cells[0] += np.bincount(where, np.concatenate(off), n_cells)
-                    cells[1] += np.bincount(where, np.concatenate(bend), n_cells)
+                    for z, bit, at in tree.logits(h[a:a + PART], own, [q[a:a + PART] for q in before]):
+                        np.negative(z, out=z)
+                        p = np.exp(z)
+                        p += 1
+                        np.reciprocal(p, out=p)
+                        off = bit.astype(np.float32)
+                        off -= p
+                        p -= p * p
+                        held[0].extend(at)
+                        held[1].extend([off] * len(at))
+                        held[2].extend([p] * len(at))
+                        size += len(at) * len(p)
                     some = True
+                    if size > HELD:
+                        settle()
+                        size = 0
+        if size:
+            settle()
         if some:
             task = TaskContext.get().partitionId()
             blocks, more = range(0, n_rows, BLOCK), range(0, n_cells, CELL_BLOCK)
@@ -227,13 +281,13 @@ def _gradient(docs: DataFrame, text: str, w: np.ndarray, bias: np.ndarray, tree:
         g = sum((np.frombuffer(x, np.float32) for x in group["g"]), np.float32(0))
         return group.iloc[:1].assign(task=first["task"], g=[g.astype(np.float32).tobytes()])
 
-    # A few tasks a core, so that as many arrays are summed, whatever the number of files.
-    src = docs.select(docs[text]).coalesce(4 * spark.sparkContext.defaultParallelism)
+    # One task a core, so that as many arrays are summed, whatever the number of files; in two levels if they are many.
+    src = docs.select(docs[text]).coalesce(spark.sparkContext.defaultParallelism)
     parts = map_batches(src, run, "task int, block int, g binary")
-    tasks = max(1, int(src.rdd.getNumPartitions() ** 0.5))
-    schema = "task int, block int, g binary"
-    some = parts.withColumn("task", F.pmod("task", F.lit(tasks))).groupBy("task", "block").applyInPandas(add, schema)
-    rows = some.groupBy("block").applyInPandas(add, schema).toPandas()
+    tasks, schema = src.rdd.getNumPartitions(), "task int, block int, g binary"
+    if tasks > ONE_LEVEL:
+        parts = parts.withColumn("task", F.pmod("task", F.lit(max(1, int(tasks**0.5))))).groupBy("task", "block").applyInPandas(add, schema)
+    rows = parts.groupBy("block").applyInPandas(add, schema).toPandas()
     total, cells = np.zeros((n_rows, width)), np.zeros((2, n_cells), np.float32)
     for block, g in zip(rows["block"], rows["g"]):
         x = np.frombuffer(g, np.float32)
@@ -320,12 +374,13 @@ def score(docs: DataFrame, model: Model, keys=("doc_id",), text: str = "text", h
                 known = top[at] == h if len(top) else np.zeros(len(h), bool)
                 logs = np.zeros(len(h))
                 logs[known] = top_log[at[known]]
-                part, inside = -log_class[cls], np.zeros(len(h))
+                part = -log_class[cls]
                 rows, before = _contexts(h, cls, first, len(w))
-                for a in range(0, len(h), 100_000):
-                    z = _log_softmax(w, bias, [r[a:a + 100_000] for r in rows])
-                    part[a:a + 100_000] += z[np.arange(len(z)), cls[a:a + 100_000]] / np.log(10)
-                    inside[a:a + 100_000] = tree.logs(h[a:a + 100_000], cls[a:a + 100_000], [q[a:a + 100_000] for q in before])
+                for a in range(0, len(h), PART):
+                    z = _logits(w, bias, [r[a:a + PART] for r in rows])
+                    own = z[np.arange(len(z)), cls[a:a + PART]]
+                    part[a:a + PART] += (own - np.log(np.exp(z, out=z).sum(axis=1))) / np.log(10)
+                inside = tree.logs(h, cls, before)
                 # What a seen word's score has above that of one never seen, besides its count.
                 inside += log_seen[cls] + log_class[cls]
                 part[known] += inside[known]

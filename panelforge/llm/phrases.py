@@ -27,7 +27,9 @@ from .store import freeze, map_batches, parallelism
 LEAST, TOP, COVER = 10, 2000, 50
 DEPTH = 3
 FLUSH = 1_000_000
-ROUTES = 16
+TEXTS = 1 << 17
+#: Bytes of pointers that one route may bring together.
+ROUTE_BYTES = 32 << 20
 MOST_BITS = 1 << 27
 NO_LANG = "und"
 _U = np.uint64
@@ -44,9 +46,9 @@ def _tokens(texts, langs):
     names = pc.fill_null(langs.cast(pa.string()), NO_LANG).dictionary_encode()
     own = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in names.dictionary.to_pylist()], np.uint64)
     lang = own[names.indices.to_numpy()] if len(names) else np.zeros(0, np.uint64)
-    for i, j in K.chunks(off):
+    for i, j in K.chunks(off, TEXTS):
         part = raw[off[i]:off[j]]
-        begin, end, h, first = K.words(part, off[i:j + 1] - off[i], _SEP)
+        begin, end, h, first = K.tokens(part, off[i:j + 1] - off[i], _SEP)
         text = np.repeat(np.arange(i, j), np.diff(first))
         h = np.maximum(K.mix(h ^ lang[text]), _U(1))
         piece = np.cumsum(_BREAK[part])[begin] if len(begin) else begin
@@ -196,15 +198,17 @@ def _counted(part, rows: np.ndarray, depth: int):
     return [(rows[first], count) for first, count in found]
 
 
-def frequent_prefixes(docs: DataFrame, known: np.ndarray, hot: np.ndarray, least: int = LEAST, text: str = "text", lang: str = "lang") -> DataFrame:
+def frequent_prefixes(docs: DataFrame, known: np.ndarray, hot: np.ndarray, total: int, least: int = LEAST, text: str = "text", lang: str = "lang") -> DataFrame:
     """``(h1, h2, h3, a)``: counts of the phrases of two (h3 null) and three words; those of two hot words in parts.
 
-    Pointers whose first or second word is too rare are dropped where they arise: all their phrases are.
+    Pointers whose first or second word is too rare are dropped where they arise: all their phrases are.  ``total`` words
+    decide into how many routes they are dealt.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((known, hot))
     tasks = parallelism(spark)
-    routes = ROUTES * tasks
+    # A task sends one blob per route at most, so there are no more routes than partitions unless pointers are too many for these.
+    routes = tasks * max(1, -(-total * 8 * DEPTH // (tasks * ROUTE_BYTES)))
 
     def send(batches):
         known, hot = shared.value
@@ -276,7 +280,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     tasks = parallelism(spark)
     hot = words.where(F.col("c") * (4 * tasks) >= total).select("h").toArrow().column("h").to_numpy()  # at most 4 rows a task
     known = _known(words, distinct)
-    grams = freeze(frequent_prefixes(docs, known, np.sort(hot.view(np.uint64)), least, text, lang), "prefixes")
+    grams = freeze(frequent_prefixes(docs, known, np.sort(hot.view(np.uint64)), total, least, text, lang), "prefixes")
     one = words.select(F.col("h").alias("h1"), "lang", F.col("word").alias("w1"), F.col("c").alias("f1"))
     two = words.select(F.col("h").alias("h2"), F.col("word").alias("w2"), F.col("c").alias("f2"))
     pairs = grams.where("h3 is null").groupBy("h1", "h2").agg(F.sum("a").alias("a")).where(F.col("a") >= least)

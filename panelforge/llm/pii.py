@@ -32,7 +32,8 @@ _MAY = {"email": "@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card
 REACH = 64
 TERMS = 3
 SUPPORT = 5
-BROADCAST_SPANS = 1_000_000
+#: Tables are broadcast up to so many bytes.
+BROADCAST_BYTES = 16 << 20
 DISCLOSURE = 0.9
 _WORD_BREAK = r"[\s.,;:!?()\[\]\"']+"
 _TERM = r"^\p{L}{3,40}$"
@@ -121,9 +122,10 @@ def disclosing_spans(docs: DataFrame, text: str = "text", disclosure: float = DI
     of other entities; see :func:`_entity_places`.
     """
     src = docs.select(F.coalesce(docs[text], F.lit("")).alias("text"))
-    beside = (src.where(" or ".join(f"text rlike r'{_MAY[k]}'" for k in _MAY))
-              .withColumn("spans", base_spans(F.col("text"))).where(F.size("spans") > 0)
-              .withColumn("text_key", F.sha2("text", 256)).withColumn("x", F.explode("spans"))
+    # Texts with entities, found once.
+    holds = freeze(src.where(" or ".join(f"text rlike r'{_MAY[k]}'" for k in _MAY)).withColumn("spans", base_spans(F.col("text")))
+                   .where(F.size("spans") > 0).withColumn("text_key", F.sha2("text", 256)), "holds")
+    beside = (holds.withColumn("x", F.explode("spans"))
               .select("text_key", F.col("x.kind").alias("kind"),
                       F.xxhash64(F.substring("text", (F.col("x.start") + 1).cast("int"), (F.col("x.end") - F.col("x.start")).cast("int"))).alias("entity"),
                       F.explode(_context_terms(F.col("text"), F.col("x"))).alias("t"))
@@ -141,12 +143,12 @@ def disclosing_spans(docs: DataFrame, text: str = "text", disclosure: float = DI
     pmi = F.log2(F.least(F.lit(1.0), F.col("n_beside") / F.col("n_term")) / p_kind)
     telling = (candidates.join(in_corpus, "term").join(F.broadcast(per_kind), "kind")  # one row per kind
                .where(pmi >= F.lit(disclosure) * F.log2(1 / p_kind)).select("kind", "term"))
-    places = beside.join(telling, ["kind", "term"]).select("text_key", "start", "end").unionByName(_entity_places(src, disclosure))
+    places = beside.join(telling, ["kind", "term"]).select("text_key", "start", "end").unionByName(_entity_places(src, holds, disclosure))
     return (places.groupBy("text_key")
             .agg(F.sort_array(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end"))).cast(_SPAN).alias("terms")))
 
 
-def _entity_places(src: DataFrame, disclosure: float) -> DataFrame:
+def _entity_places(src: DataFrame, holds: DataFrame, disclosure: float) -> DataFrame:
     """``(text_key, start, end)`` of all occurrences of terms that disclose an entity which the text holds.
 
     All counts are of different texts: a row counts as one part in as many as repeat its text, so that copies need not be brought
@@ -157,8 +159,6 @@ def _entity_places(src: DataFrame, disclosure: float) -> DataFrame:
     n_texts = copies.count() or 1
     repeated = small(copies.where("n > 1"), 200_000)
     share = (1 / F.coalesce("n", F.lit(1))).alias("w")
-    holds = (src.where(" or ".join(f"text rlike r'{_MAY[k]}'" for k in _MAY)).withColumn("spans", base_spans(F.col("text")))
-             .where(F.size("spans") > 0).withColumn("text_key", F.sha2("text", 256)))
     hashed = F.array_distinct(F.transform("spans", lambda x: F.xxhash64(
         x["kind"], F.lower(F.substring("text", (x["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int"))))))
     entities = freeze(holds.select("text_key", F.explode(hashed).alias("entity")).distinct(), "entities")
@@ -168,8 +168,8 @@ def _entity_places(src: DataFrame, disclosure: float) -> DataFrame:
     outside = F.regexp_replace(sanitised(F.col("text"), F.col("spans")), r"\[(EMAIL|IP|CARD|PHONE)\]", " ")
     terms = F.array_distinct(F.filter(F.split(F.lower(outside), _WORD_BREAK), lambda t: t.rlike(_NAME)))
     with_any = small(of_text.select("text_key").distinct(), 200_000)
-    own = (holds.join(with_any, "text_key", "left_semi").join(repeated, "text_key", "left")
-           .select("text_key", share, F.explode(terms).alias("term")).groupBy("text_key", "term").agg(F.sum("w").alias("w")))
+    own = freeze(holds.join(with_any, "text_key", "left_semi").join(repeated, "text_key", "left")
+                 .select("text_key", share, F.explode(terms).alias("term")).groupBy("text_key", "term").agg(F.sum("w").alias("w")), "own")
     pairs = freeze(own.join(of_text, "text_key").groupBy("term", "entity").agg(F.round(F.sum("w")).alias("n_both"))
                    .where(F.col("n_both") >= PAIR_TEXTS), "pairs")
     wanted = pairs.select("term").distinct()
@@ -182,10 +182,13 @@ def _entity_places(src: DataFrame, disclosure: float) -> DataFrame:
     pmi = F.log2(F.least(F.lit(1.0), F.col("n_both") / F.col("n_term")) / p)
     telling = freeze(pairs.join(in_texts, "term").join(recurring, "entity")
                      .where((p < 1) & (pmi >= F.lit(disclosure) * F.log2(1 / p))).select("entity", "term"), "telling")
-    marked = freeze(of_text.join(telling, "entity").groupBy("text_key").agg(F.collect_set("term").alias("names")), "names")
+    # A text's own terms meet its own entities, so an entity of many texts brings none of the others' terms along.
+    marked = freeze(own.join(telling.select("term").distinct(), "term", "left_semi").join(of_text, "text_key").join(telling, ["entity", "term"], "left_semi")
+                    .groupBy("text_key").agg(F.collect_set("term").alias("names")), "names")
     place = F.explode(F.filter(_located(F.col("text"), _WORD, 4, lambda m: F.array_contains("names", F.lower(m))),
                                lambda x: ~F.exists("spans", lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"]))))
-    return (holds.join(small(marked, 20_000), "text_key").select("text_key", place.alias("x"))
+    size = marked.agg(F.sum(F.lit(100) + F.aggregate("names", F.lit(0), lambda a, t: a + F.length(t) * 4 + 16))).first()[0] or 0  # bytes at most
+    return (holds.join(F.broadcast(marked) if size <= BROADCAST_BYTES else marked, "text_key").select("text_key", place.alias("x"))
             .select("text_key", F.col("x.start").alias("start"), F.col("x.end").alias("end")))
 
 
@@ -199,9 +202,8 @@ def find(docs: DataFrame, keep=("doc_id",), text: str = "text", disclosure: floa
     rows = docs.select(*[docs[c].alias(f"__k{i}") for i, c in enumerate(keep)], base_spans(body).alias("base"),
                        F.sha2(body, 256).alias("text_key"))
     terms = freeze(disclosing_spans(docs, text, disclosure, support), "terms")
-    held = terms.agg(F.count("*"), F.sum(F.size("terms"))).first()
-    # Broadcast up to a million spans of 24 bytes, else a shuffle join by text hash.
-    found = rows.join(F.broadcast(terms) if held[0] + (held[1] or 0) <= BROADCAST_SPANS else terms, "text_key", "left")
+    held = terms.agg(F.sum(F.lit(160) + 40 * F.size("terms"))).first()[0] or 0  # bytes: a key of 64 signs, spans of 24 bytes, overheads
+    found = rows.join(F.broadcast(terms) if held <= BROADCAST_BYTES else terms, "text_key", "left")
     none = F.array().cast(_SPAN)
     return found.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], "base",
                         F.when(F.col("terms").isNull(), F.col("base"))

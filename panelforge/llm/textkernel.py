@@ -88,6 +88,31 @@ def words(raw: np.ndarray, off: np.ndarray, sep: np.ndarray = _SEP):
     return start, end, mix(h ^ size.astype(np.uint64)), first
 
 
+_INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
+_UP = _DOWN = np.ones(0, np.uint64)
+
+
+def tokens(raw: np.ndarray, off: np.ndarray, sep: np.ndarray = _SEP):
+    """The same as :func:`words`, for chunks that fit the processor's cache: hashes are differences of one running sum over all
+    bytes, weighted by powers of the place, times the inverse power of the word's start."""
+    global _UP, _DOWN
+    n = len(raw)
+    if len(_UP) < n:
+        _UP, _DOWN = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n, 1 << 17), b, np.uint64)])) for b in (_BASE, _INVERSE))
+    inside = ~sep[raw]
+    cut = off[(off > 0) & (off < n)]
+    left, right = np.zeros(n, bool), np.zeros(n, bool)
+    left[1:], right[:-1] = inside[:-1], inside[1:]
+    left[cut], right[cut - 1] = False, False
+    start, end = np.flatnonzero(inside & ~left), np.flatnonzero(inside & ~right) + 1
+    value = np.where(sep, _U(0), _VALUE)[raw]
+    value *= _UP[:n]
+    np.cumsum(value, out=value)
+    h = np.diff(value[end - 1], prepend=_U(0))
+    h *= _DOWN[start]
+    return start, end, mix(h ^ (end - start).astype(np.uint64)), np.searchsorted(start, off)
+
+
 def shingle_sets(column):
     """Yields ``(i, set)`` for each text i: the sorted distinct hashes of its 5-word shingles (one for the whole
     sequence of a shorter text, none without words)."""

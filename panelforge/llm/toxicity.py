@@ -200,7 +200,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: str, key: str = "doc_id", tex
         sample: int = SAMPLE) -> Model:
     """Fit on labelled rows for which the SQL condition ``train`` over the key holds.
 
-    ``sample`` bounds the labelled documents of each class (the first in the order of a hash of the key).  Two
+    ``sample`` bounds the labelled documents of each class (the first in the order of a hash of the key); labels without a
+    document among ``docs`` count for nothing.  Two
     thirds of them give the gram counts, the others the logistic curve, in which each stands for as many as its class
     has for one of the sample: the share of toxic texts is that of all labels, whatever the bound.  A key with several
     labels counts as toxic if one of them says so; null labels and keys are left out.  Without labelled rows every score is 0.5.
@@ -208,6 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: str, key: str = "doc_id", tex
     ids = (labels.where(labels[key].isNotNull() & labels[label].isNotNull()).groupBy(labels[key].alias("k"))
            .agg(F.max(labels[label].cast("int")).alias("y")).withColumnRenamed("k", key).where(train)
            .select(F.col(key).alias("k"), "y"))
+    ids = freeze(ids.join(docs.select(docs[key].alias("k")), "k", "left_semi"), "labels", compact=True)
     sizes = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}  # one row per class
     order = F.xxhash64("k")
     chosen = ids.where("y = 1").orderBy(order, "k").limit(sample).unionByName(ids.where("y = 0").orderBy(order, "k").limit(sample))

@@ -2,7 +2,8 @@
 median split, treatment flags, inf cleanup.
 
 A panel has one row per (entity, time), so an entity window holds at most T
-rows whatever the data size; windows here are partitioned by the entity."""
+rows whatever the data size; windows here are partitioned by the entity unless
+``cut`` asks for blocks of long series (:mod:`panelforge.operators.series`)."""
 
 from __future__ import annotations
 
@@ -11,34 +12,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from panelforge.operators.quantiles import grouped_quantiles
-
-
-def _w(entity: str | Sequence[str], time: str):
-    ents = [entity] if isinstance(entity, str) else list(entity)
-    return Window.partitionBy(*ents).orderBy(time)
+from panelforge.operators.series import over_series
 
 
 def pct_change(df: DataFrame, entity, time: str, col: str, out: str, scale: float = 100.0,
-               calendar: bool = False, step: int = 1) -> DataFrame:
+               calendar: bool = False, step: int = 1, cut: str = "whole") -> DataFrame:
     """(x / previous x - 1) * scale per entity.  The previous row is positional
     (the row before in time order), not previous period, unless
     ``calendar=True``: then a gap of more than ``step`` gives null.  Null in
     either row gives null (no padding); division by zero gives null."""
-    w = _w(entity, time)
-    prev = F.lag(col, 1).over(w)
-    g = (F.try_divide(F.col(col), prev) - F.lit(1.0)) * F.lit(scale)
-    if calendar:
-        g = F.when(F.col(time) - F.lag(time, 1).over(w) == step, g)
-    return df.withColumn(out, g)
+    def growth(w, _):
+        g = (F.try_divide(F.col(col), F.lag(col, 1).over(w)) - F.lit(1.0)) * F.lit(scale)
+        return {out: F.when(F.col(time) - F.lag(time, 1).over(w) == step, g) if calendar else g}
+
+    return over_series(df, entity, time, growth, before=1, cut=cut)
 
 
 def lags(df: DataFrame, entity, time: str, col: str, ks: Sequence[int],
-         name: str = "{col}_lag{k}") -> DataFrame:
-    w = _w(entity, time)
-    return df.withColumns({name.format(col=col, k=k): F.lag(col, k).over(w) for k in ks})
+         name: str = "{col}_lag{k}", cut: str = "whole") -> DataFrame:
+    return over_series(df, entity, time, lambda w, _: {name.format(col=col, k=k): F.lag(col, k).over(w) for k in ks}, before=max(ks), cut=cut)
 
 
 def inf_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -61,7 +55,7 @@ def median_split(df: DataFrame, entity: str, value: str, out: str, method: str =
         v = F.col(value).cast("double")
         probe = df.select(entity, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         method, n_entities = choose_method(probe, [entity])
-        m2 = "hash" if n_entities <= HASH_DISTINCT_LIMIT else "sorted"
+        m2 = "hash" if n_entities <= HASH_DISTINCT_LIMIT else "refined"
     per = grouped_quantiles(df, value, [entity], [0.5], method=method, out_names=["_m"])
     overall = grouped_quantiles(per, "_m", [], [0.5], method=m2, out_names=["_mm"]).first()
     mm = F.lit(overall["_mm"] if overall is not None else None).cast("double")   # one scalar

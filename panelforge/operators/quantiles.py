@@ -1,9 +1,15 @@
 """Grouped quantiles with linear interpolation (pandas ``quantile`` /
 DuckDB ``quantile_cont`` / Spark ``percentile`` semantics).
 
-Three strategies, same numbers for the exact ones, plus ``"auto"``:
+Strategies, same numbers for the exact ones, plus ``"auto"``:
 
-* ``"sorted"`` (default) - exact and skew-safe.  Values are range-partitioned
+* ``"refined"`` - exact and skew-safe without a sort.  A histogram of up to 65,536
+  bins over a group's range says which bin holds a wanted rank, the next one
+  refines that bin between its least and greatest value, until it holds a single
+  value (two or three rounds as a rule; every round splits off a value at least).
+  Each round reads the values once and shuffles counts alone, which tasks combine
+  first, so neither a hot group nor a hot value makes an uneven task.
+* ``"sorted"`` - exact and skew-safe.  Values are range-partitioned
   and sorted by (group, value), so a hot group is spread over many tasks.
   Per (partition, group) block counts give each block's starting rank; only the
   (at most two per quantile) rows at the interpolation ranks are fetched.  No
@@ -13,11 +19,13 @@ Three strategies, same numbers for the exact ones, plus ``"auto"``:
   so it suits groups of bounded cardinality only.
 * ``"approx"`` - ``percentile_approx`` (bounded-memory sketch), relative rank
   error about 1/accuracy.
+* ``"split"`` - ``refined`` for the groups of more than ``HASH_DISTINCT_LIMIT``
+  rows, ``hash`` for the others.
 * ``"auto"`` (default) - one cheap pass estimates the distinct values of the
   largest group (HyperLogLog, bounded memory).  Under ``HASH_DISTINCT_LIMIT``
-  the exact hash aggregate is safe and used; above it the sorted strategy.
+  the exact hash aggregate is safe and used; above it ``split``.
   A group that holds a third of all rows but few distinct values stays on the
-  fast path; one with many distinct values goes to the sorted one.
+  fast path; one with many distinct values is refined.
 """
 
 from __future__ import annotations
@@ -36,6 +44,10 @@ BROADCAST_TARGET_ROWS = 200_000
 # Largest per-group distinct-value count for which the exact hash aggregate's
 # final value->count map (one task per group) is considered safe.
 HASH_DISTINCT_LIMIT = 1_000_000
+# Bins of a refining histogram, and rounds after which something must be wrong.
+BINS = 1 << 16
+MOST_ROUNDS = 300
+_LARGEST = 1.7976931348623157e308
 
 
 def group_profile(base: DataFrame, groups: Sequence[str], value: str = "_v") -> tuple[int, int]:
@@ -47,9 +59,9 @@ def group_profile(base: DataFrame, groups: Sequence[str], value: str = "_v") ->
 
 
 def choose_method(base: DataFrame, groups: Sequence[str], value: str = "_v") -> tuple[str, int]:
-    """('hash' or 'sorted', number of groups)."""
+    """('hash' or 'split', number of groups)."""
     mx, n_groups = group_profile(base, groups, value)
-    return ("hash" if mx <= HASH_DISTINCT_LIMIT else "sorted"), n_groups
+    return ("hash" if mx <= HASH_DISTINCT_LIMIT else "split"), n_groups
 
 
 def _qname(i: int) -> str:
@@ -72,6 +84,8 @@ def grouped_quantiles(df: DataFrame, value: Column | str, groups: Sequence[str],
 
     if method == "auto":
         method, _ = choose_method(base, groups)
+    if method in ("refined", "split"):
+        return _refined_quantiles(base, groups, probs, names, HASH_DISTINCT_LIMIT if method == "split" else 0)
     if method == "hash":
         agg = base.groupBy(*groups).agg(F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_qs"))
         return agg.select(*groups, *[F.col("_qs")[i].alias(n) for i, n in enumerate(names)])
@@ -173,3 +187,74 @@ def _sorted_quantiles(base: DataFrame, groups: list[str], probs: list[float],
         (1 - F.col("_frac")) * F.col("_lo") + F.col("_frac") * F.col("_hi")))
     return per_q.groupBy(*groups).agg(*[
         F.max(F.when(F.col("_qi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
+
+
+def _match(groups: Sequence[str], left: DataFrame, right: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Inner join by null-safe ``groups`` and ``more``, columns of ``right`` beside those of ``left``."""
+    names = [*groups, *more]
+    r = right.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(names)], *[c for c in right.columns if c not in names])
+    cond = F.lit(True)
+    for i, c in enumerate(names):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r{i}"))
+    return left.join(r, cond).drop(*[f"_r{i}" for i in range(len(names))])
+
+
+def _bin(v: Column, lo: Column, hi: Column) -> Column:
+    """Bin of ``v`` in [lo, hi]: rises with v, differs for lo and hi; infinities have bins of their own."""
+    low, high = F.greatest(lo, F.lit(-_LARGEST)), F.least(hi, F.lit(_LARGEST))
+    width = high / 2 - low / 2  # halved, as the difference may exceed the range
+    place = F.floor((v / 2 - low / 2) / width * F.lit(float(BINS - 1)))
+    return (F.when(v > _LARGEST, F.lit(BINS)).when(v < -_LARGEST, F.lit(-1))
+            .when(v >= high, F.lit(BINS - 1)).when(width > 0, F.least(place, F.lit(BINS - 2))).otherwise(F.lit(0)).cast("int"))
+
+
+def _refined_quantiles(base: DataFrame, groups: list[str], probs: list[float], names: list[str], least_rows: int = 0) -> DataFrame:
+    """Quantiles of the groups of more than ``least_rows`` rows by refining histograms, of the others by the hash aggregate.
+
+    A target is a rank within an interval of values; all targets of a group that lie in the same interval share its
+    histogram.  ``base`` is read once a round: freeze a costly one before.
+    """
+    ensure_checkpoint_dir(base.sparkSession)
+    own = groups or ["_one"]
+    rows = base if groups else base.withColumn("_one", F.lit(1))
+    sizes = rows.groupBy(*own).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).checkpoint(eager=True)
+    large = sizes.where(F.col("_n") > least_rows)
+    at = lambda p: (F.col("_n") - 1) * F.lit(p)
+    wanted = F.explode(F.array(*[F.struct(F.lit(2 * i + side).alias("_j"), (F.floor if side == 0 else F.ceil)(at(p)).cast("long").alias("_off"))
+                                 for i, p in enumerate(probs) for side in (0, 1)])).alias("_t")
+    targets = large.select(*own, "_lo", "_hi", wanted).select(*own, "_lo", "_hi", "_t._j", "_t._off")
+    open_ = F.col("_lo") < F.col("_hi")
+    done, todo = targets.where(~open_).drop("_off"), targets.where(open_)
+    for _ in range(MOST_ROUNDS):
+        n_open = todo.count()
+        if not n_open:
+            break
+        same = Window.partitionBy(*own, "_lo", "_hi")  # the few targets of a group
+        todo = todo.withColumn("_k", F.min("_j").over(same))
+        intervals = todo.groupBy(*own).agg(F.collect_set(F.struct("_k", "_lo", "_hi")).alias("_x"))
+        side = F.broadcast(intervals) if n_open <= BROADCAST_TARGET_ROWS else intervals
+        v = F.col("_v")
+        inside = _match(own, rows, side).select(*own, "_v", F.explode(F.filter("_x", lambda x: (v >= x["_lo"]) & (v <= x["_hi"]))).alias("_i"))
+        counts = inside.groupBy(*own, F.col("_i._k").alias("_k"), _bin(v, F.col("_i._lo"), F.col("_i._hi")).alias("_bin")).agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        up = Window.partitionBy(*own, "_k").orderBy("_bin")  # at most BINS + 2 bins
+        counts = counts.withColumn("_cum", F.sum("_c").over(up.rowsBetween(Window.unboundedPreceding, 0)))
+        hit = _match(own, todo.select(*own, "_j", "_k", "_off"), counts, ["_k"]).where(
+            (F.col("_off") < F.col("_cum")) & (F.col("_off") >= F.col("_cum") - F.col("_c")))
+        hit = hit.select(*own, "_lo", "_hi", "_j", (F.col("_off") - (F.col("_cum") - F.col("_c"))).alias("_off")).checkpoint(eager=True)
+        done, todo = done.unionByName(hit.where(~open_).drop("_off")), hit.where(open_)
+    else:
+        raise RuntimeError(f"quantiles did not settle in {MOST_ROUNDS} rounds")
+    found = done.groupBy(*own).agg(*[F.max(F.when(F.col("_j") == j, F.col("_lo"))).alias(f"_q{j}") for j in range(2 * len(probs))])
+    found = _match(own, found, large.select(*own, "_n"))
+
+    def value(i, p):
+        lo, hi, frac = F.col(f"_q{2 * i}"), F.col(f"_q{2 * i + 1}"), at(p) - F.floor(at(p))
+        return F.when((frac == 0) | (lo == hi), lo).otherwise((1 - frac) * lo + frac * hi)
+
+    out = found.select(*groups, *[value(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))])
+    if least_rows:
+        few = sizes.where(F.col("_n") <= least_rows).select(*own)
+        rest = _match(own, rows, few).groupBy(*groups).agg(F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_qs"))
+        out = out.unionByName(rest.select(*groups, *[F.col("_qs")[i].alias(n) for i, n in enumerate(names)]))
+    return out

@@ -1,8 +1,8 @@
 """Regular time series per series key: shifts, calendar densification, linear
 interpolation, additive seasonal decomposition, lag-correlation profiles.
 
-Every window is partitioned by a series key; a densified series holds one row
-per period, so a window holds at most the calendar length of one series."""
+Windows run over one series (:mod:`panelforge.operators.series`): partitioned by
+the series key as long as a series fits a task, over blocks of it beyond."""
 
 from __future__ import annotations
 
@@ -12,20 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from panelforge.operators.series import around_known, as_keys, over_series
 from panelforge.operators.stats import safe_corr
 
 LAGS = (0, 1, 2, 3, 6, 12)
 
 
-def _keys(key) -> list[str]:
-    if key is None:
-        return []
-    return [key] if isinstance(key, str) else list(key)
-
-
-def shift(df: DataFrame, col: str, k: int, order: str, key=None, out: str | None = None) -> DataFrame:
-    w = Window.partitionBy(*_keys(key)).orderBy(order)
-    return df.withColumn(out or f"{col}_shift{k}", F.lag(col, k).over(w))
+def shift(df: DataFrame, col: str, k: int, order: str, key=None, out: str | None = None, cut: str = "auto") -> DataFrame:
+    """``col`` of ``k`` rows before (after, if negative) in each series."""
+    return over_series(df, key, order, lambda w, _: {out or f"{col}_shift{k}": F.lag(col, k).over(w)}, max(k, 0), max(-k, 0), cut)
 
 
 def densify_monthly(df: DataFrame, key, date_col: str, value_cols: Sequence[str],
@@ -34,7 +29,7 @@ def densify_monthly(df: DataFrame, key, date_col: str, value_cols: Sequence[str]
     series with ``span='per_key'``, of all data with ``span='global'``, which
     gives a balanced panel); months without data get null values, or ``fill``.
     Input: at most one row per series and month."""
-    keys = _keys(key)
+    keys = as_keys(key)
     month = F.trunc(F.col(date_col), "month")
     src = df.select(*keys, month.alias(date_col), *value_cols)
     step = F.expr("INTERVAL 1 MONTH")
@@ -52,65 +47,48 @@ def densify_monthly(df: DataFrame, key, date_col: str, value_cols: Sequence[str]
     return out
 
 
-def interpolate_linear(df: DataFrame, key, order: str, col: str, out: str | None = None) -> DataFrame:
+def interpolate_linear(df: DataFrame, key, order: str, col: str, out: str | None = None, cut: str = "auto") -> DataFrame:
     """Linear interpolation over row positions.  Leading nulls stay null;
     trailing nulls carry the last value (pandas ``interpolate()``)."""
-    keys = _keys(key)
-    w = Window.partitionBy(*keys).orderBy(order)
-    pos = F.row_number().over(w)
-    d = df.withColumn("_i", pos).withColumn("_iv", F.when(F.col(col).isNotNull(), F.col("_i")))
-    # both directions as running frames (linear); a frame reaching to the end
-    # of the series would be re-aggregated for every row
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumns({
-        "_y0": F.last(col, ignorenulls=True).over(back), "_i0": F.last("_iv", ignorenulls=True).over(back)})
-    d = d.withColumns({
-        "_y1": F.last(col, ignorenulls=True).over(ahead), "_i1": F.last("_iv", ignorenulls=True).over(ahead)})
+    d = around_known(df, key, order, col, cut)
     val = (F.when(F.col(col).isNotNull(), F.col(col))
            .when(F.col("_y0").isNull(), F.lit(None))
            .when(F.col("_y1").isNull(), F.col("_y0"))
            .otherwise(F.col("_y0") + (F.col("_i") - F.col("_i0")) * (F.col("_y1") - F.col("_y0"))
                       / (F.col("_i1") - F.col("_i0"))))
-    return d.withColumn(out or col, val).drop("_i", "_iv", "_y0", "_i0", "_y1", "_i1")
+    return d.withColumn(out or col, val).drop("_i", "_y0", "_i0", "_y1", "_i1")
 
 
-def seasonal_decompose(df: DataFrame, key, order: str, col: str, period: int = 12) -> DataFrame:
+def seasonal_decompose(df: DataFrame, key, order: str, col: str, period: int = 12, cut: str = "auto") -> DataFrame:
     """Additive decomposition: centred moving-average trend (2 x period for an
     even period, null where the window is not full), seasonal = mean of the
     detrended values per phase minus the mean of those phase means, resid."""
-    keys = _keys(key)
-    w = Window.partitionBy(*keys).orderBy(order)
+    keys = asas_keys(key)
     h = period // 2
-    d = df.withColumn("_pos", F.row_number().over(w) - 1)
-    full = F.count(col).over(w.rowsBetween(-h, h)) == (2 * h + 1)
-    if period % 2 == 0:
-        ma = (F.avg(col).over(w.rowsBetween(-h, h - 1)) + F.avg(col).over(w.rowsBetween(-h + 1, h))) / 2
-    else:
-        ma = F.avg(col).over(w.rowsBetween(-h, h))
-    d = d.withColumn("trend", F.when(full, ma))
-    d = d.withColumn("_phase", F.pmod(F.col("_pos"), F.lit(period)))
-    phase_mean = F.avg(F.col(col) - F.col("trend")).over(Window.partitionBy(*keys, "_phase"))
-    d = d.withColumn("_pm", phase_mean)
-    # centre: mean over the distinct phase means of the series
-    centre = d.groupBy(*keys, "_phase").agg(F.first("_pm").alias("_pm1")).groupBy(*keys).agg(
-        F.avg("_pm1").alias("_pmc"))
-    if keys:
-        d = d.join(centre, on=keys, how="left")
-    else:   # a single series: its centre is one scalar
-        d = d.withColumn("_pmc", F.lit(centre.first()["_pmc"]).cast("double"))
-    d = d.withColumn("seasonal", F.col("_pm") - F.col("_pmc"))
-    d = d.withColumn("resid", F.col(col) - F.col("trend") - F.col("seasonal"))
-    return d.drop("_pos", "_phase", "_pm", "_pmc")
+
+    def trend(w, position):
+        full = F.count(col).over(w.rowsBetween(-h, h)) == (2 * h + 1)
+        if period % 2 == 0:
+            ma = (F.avg(col).over(w.rowsBetween(-h, h - 1)) + F.avg(col).over(w.rowsBetween(-h + 1, h))) / 2
+        else:
+            ma = F.avg(col).over(w.rowsBetween(-h, h))
+        return {"trend": F.when(full, ma), "_phase": F.pmod(position, F.lit(period))}
+
+    d = over_series(df, key, order, trend, h, h, cut)
+    # ``period`` rows per series: partial sums by phase, then centred on their mean
+    phases = d.groupBy(*keys, "_phase").agg(F.avg(F.col(col) - F.col("trend")).alias("_pm"))
+    phases = phases.withColumn("seasonal", F.col("_pm") - F.avg("_pm").over(Window.partitionBy(*keys))).drop("_pm")
+    d = d.join(phases if keys else F.broadcast(phases), on=[*keys, "_phase"], how="left").drop("_phase")
+    return d.select(*[c for c in d.columns if c != "seasonal"], "seasonal").withColumn("resid", F.col(col) - F.col("trend") - F.col("seasonal"))
 
 
 def lag_corr_profile(df: DataFrame, y: str, x: str, order: str, lags: Sequence[int] = LAGS,
-                     key=None) -> DataFrame:
+                     key=None, cut: str = "auto") -> DataFrame:
     """corr(y_t, x_{t-k}) for each lag k over one ordered pass (positional lags),
     pairwise-complete; returns (key..., lag, corr) long."""
-    keys = _keys(key)
-    w = Window.partitionBy(*keys).orderBy(order)
-    d = df.select(*keys, y, *[F.lag(x, k).over(w).alias(f"_x{k}") for k in lags])
+    keys = asas_keys(key)
+    narrow = df.select(*dict.fromkeys([*keys, order, y, x]))
+    d = over_series(narrow, key, order, lambda w, _: {f"_x{k}": F.lag(x, k).over(w) for k in lags}, max(0, *lags), max(0, *(-k for k in lags)), cut)
     agg = d.groupBy(*keys).agg(*[safe_corr(y, f"_x{k}").alias(f"_c{k}") for k in lags])
     stack = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_c{k}").alias("corr"))
                                 for k in lags])).alias("_s")
@@ -119,7 +97,7 @@ def lag_corr_profile(df: DataFrame, y: str, x: str, order: str, lags: Sequence[i
 
 def best_lag(profile: DataFrame, key=None) -> DataFrame:
     """Lag with the largest |corr| (ties -> smaller lag), ignoring undefined corr."""
-    keys = _keys(key)
+    keys = as_keys(key)
     p = profile.where(F.col("corr").isNotNull())
     rank = F.struct(F.abs("corr"), -F.col("lag"))
     return p.groupBy(*keys).agg(F.max_by("lag", rank).alias("best_lag"),

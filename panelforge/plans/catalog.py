@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.operators import clean, quantiles
-from panelforge.session import read_table
+from panelforge.session import read_table, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -685,7 +685,7 @@ def regression_table(spark, sf):
     fa, fb = _models(spark, sf)
     ta = report.coef_table(spark, fa, "model_a")
     tb = report.coef_table(spark, fb, "model_b")
-    return report.comparison_table(ta, tb)
+    return _round_doubles(report.comparison_table(ta, tb))
 
 
 # Term labels and order of the publication table.
@@ -780,15 +780,15 @@ PLACEBO_REGS = ["placebo_interaction", "high_energy_dependence", "placebo_post",
 
 @query
 def robustness_grid(spark, sf):
-    from panelforge.plans.regression import _f
-    rows = [(c, v, _f(f.coef.get(v)), _f(f.pvalue.get(v)), float(f.nobs)) for c, v, f in _robustness_fits(spark, sf)]
-    return spark.createDataFrame(rows, "check string, variable string, coef double, p_value double, nobs double")
+    from panelforge.plans import report
+    rows = report.coef_rows(spark, [((c, v), f) for c, v, f in _robustness_fits(spark, sf)])
+    return _round_doubles(rows.select(F.col("label0").alias("check"), "variable", "coef", F.col("p").alias("p_value"), F.col("nobs").cast("double").alias("nobs")))
 
 
 @query
 def robustness_coefs(spark, sf):
     """The robustness checks' coefficient, clustered SE and sample size of the
-    reported variable (the grid's p-values need distribution tails)."""
+    reported variable."""
     from panelforge.plans.regression import _f
     rows = [(c, v, _f(f.coef.get(v)), _f(f.se.get(v)), int(f.nobs)) for c, v, f in _robustness_fits(spark, sf)]
     return _round_doubles(spark.createDataFrame(
@@ -818,15 +818,114 @@ def date_harmonize(spark, sf):
     return out
 
 
-@query
-def final_panel_merge(spark, sf):
+def _merged_union(spark, sf):
+    """Documents, orders and events by name; events without a value or type of note are null throughout."""
     from panelforge.operators import reshape
-    from panelforge.plans.pipeline_stages import final_panel
     docs = read_table(spark, sf, "documents").select("lang", "source")
     od = read_table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority")
-    ev = read_table(spark, sf, "events").select(F.lit(None).cast("string").alias("obs_status"))
-    panel, _ = final_panel(reshape.union_by_name([docs, od, ev]))
-    return panel
+    told = F.col("event_type").isin("click", "purchase")
+    ev = read_table(spark, sf, "events").select(F.when(told, F.col("event_type")).alias("event_type"), F.when(told, F.floor("value")).alias("event_value"),
+                                                F.lit(None).cast("string").alias("obs_status"))
+    return reshape.union_by_name([docs, od, ev])
+
+
+@query
+def final_panel_merge(spark, sf):
+    from panelforge.plans.pipeline_stages import final_panel
+    return final_panel(_merged_union(spark, sf))[0]
+
+
+@query
+def final_panel_audit(spark, sf):
+    from panelforge.plans.pipeline_stages import final_panel, panel_audit
+    return panel_audit(spark, final_panel(_merged_union(spark, sf))[1])
+
+
+# ---------------------------------------------------------------- landing: files written from the tables and read back
+
+@query
+def csv_typed(spark, sf):
+    """Typed scan of two CSV datasets whose columns stand in different orders; 'NA' and empty text are null, a price
+    that is no number as well, and a column that the files lack."""
+    from panelforge.sources import read_typed_csv, write_table
+    od = read_table(spark, sf, "orders")
+    d = od.select("o_orderkey", "o_custkey", F.when(F.col("o_orderstatus") == "P", F.lit("NA")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+                  F.when(F.pmod("o_orderkey", F.lit(10)) == 3, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+                  F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), F.concat(F.lit('says "'), "o_orderpriority", F.lit('", often')).alias("o_note"))
+    even = F.pmod("o_orderkey", F.lit(2)) == 0
+    top = scratch_path(spark, "typed")
+    write_table(d.where(even), f"{top}/even.csv", fmt="csv")
+    write_table(d.where(~even).select(*reversed(d.columns)), f"{top}/odd.csv", fmt="csv")
+    out = read_typed_csv(spark, [f"{top}/even.csv", f"{top}/odd.csv"], "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                                                                       "o_orderdate date, o_note string, o_closed int", null_tokens=("", "NA"))
+    return _round_doubles(out)
+
+
+def _landed_lines(spark, sf):
+    """A CSV dataset of orders in which each tenth line lacks a field and each next one has one too many."""
+    od = read_table(spark, sf, "orders")
+    k = F.pmod("o_orderkey", F.lit(10))
+    part = [F.col(c).cast("string") for c in ("o_orderkey", "o_custkey", "o_orderstatus")]
+    line = F.when(k == 0, F.concat_ws(",", *part[:2])).when(k == 1, F.concat_ws(",", *part, F.lit("more"))).otherwise(F.concat_ws(",", *part))
+    path = scratch_path(spark, "lenient")
+    # the lines as they are: neither separator nor quote of this writer occurs in them
+    od.select(line.alias("o_orderkey,o_custkey,o_orderstatus")).write.options(header=True, sep="\x01", quote="\x02").csv(path)
+    return path
+
+
+@query
+def csv_lenient(spark, sf):
+    from panelforge.sources import read_lenient_csv
+    return read_lenient_csv(spark, _landed_lines(spark, sf))
+
+
+@query
+def csv_rejects(spark, sf):
+    """Rows read, rejected and delivered, counted by the scan that delivers (and here writes) the rows."""
+    from pyspark.sql import Observation
+    from panelforge.sources import read_lenient_csv, write_table
+    seen = Observation("lenient")
+    out = scratch_path(spark, "accepted")
+    write_table(read_lenient_csv(spark, _landed_lines(spark, sf), counts=seen), out)
+    row = (seen.get["rows_read"], seen.get["rows_rejected"], spark.read.parquet(out).count())
+    return spark.createDataFrame([row], "rows_read bigint, rows_rejected bigint, rows_delivered bigint")
+
+
+@query
+def provenance_scan(spark, sf):
+    """Yearly CSV datasets in one scan, rows tagged with year and source group."""
+    from panelforge.sources import read_with_provenance, write_table
+    od = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("yr"))
+    top = scratch_path(spark, "yearly")
+    write_table(od, top, fmt="csv", partition_by=["yr"])
+    return read_with_provenance(spark, f"{top}/yr=*", "orders_yearly")
+
+
+def _stage(spark, sf):
+    """A stage directory of datasets with the names and columns of the rule table, and one that is left out."""
+    from panelforge.sources import write_table
+    top = scratch_path(spark, "stage")
+    ms = _monthly_series(spark, sf)
+    write_table(ms.select(F.date_format("month", "yyyy-MM-dd").alias("date"), F.when(F.month("month") != 5, F.col("revenue")).alias("cpi_all_items"),
+                          F.col("discount").alias("policy_rate"), F.col("quantity").alias("industrial_production")), f"{top}/fred_macro_raw.csv", fmt="csv")
+    li = read_table(spark, sf, "lineitem")
+    write_table(li.select(F.col("l_returnflag").alias("REF_AREA"), F.date_format("l_shipdate", "yyyy-MM").alias("TIME_PERIOD"), F.col("l_linestatus").alias("ENERGY_PRODUCT"),
+                          F.col("l_linenumber").alias("FLOW_BREAKDOWN"), F.lit("KTOE").alias("UNIT_MEASURE"),
+                          F.when(F.col("l_quantity") > 2, F.pow("l_quantity", F.lit(6))).alias("OBS_VALUE")), f"{top}/staging_world_newformat.csv", fmt="csv")
+    ev = read_table(spark, sf, "events")
+    write_table(ev.select(F.col("event_type").alias("indicator_id"), F.col("user_id").alias("country_iso3"), F.year("ts").alias("year"), "value"),
+                f"{top}/world_bank_wdi_raw.csv", fmt="csv")
+    write_table(ev.select("event_id").limit(1), f"{top}/notes.csv", fmt="csv")
+    return top
+
+
+@query
+def stage_audit(spark, sf):
+    """Clean a stage directory by the rule table (every branch with its own columns); the run summary, read back."""
+    from panelforge.plans.pipeline_stages import clean_stage
+    out = scratch_path(spark, "cleaned")
+    clean_stage(spark, _stage(spark, sf), out, exclude=["notes.csv"])
+    return _audit_text(spark.read.schema(clean.AUDIT_SCHEMA).json(f"{out}/cleaning_summary"))
 
 
 @query
@@ -890,10 +989,10 @@ def fe_two_way_monthly(spark, sf):
 
 @query
 def iqr_fence_skewsafe(spark, sf):
-    """The grouped fence through the sorted (skew-safe) quantile strategy:
+    """The grouped fence through the refining (skew-safe) quantile strategy:
     same rows as ``iqr_fence_grouped``."""
     ev = read_table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
-    return clean.iqr_fence(ev, ["value"], ["event_type"], method="sorted")
+    return clean.iqr_fence(ev, ["value"], ["event_type"], method="refined")
 
 
 @query

@@ -601,12 +601,61 @@ SQL["date_columns_standardize"] = ("WITH " + _DATED + "\nSELECT o_orderkey, " +
 SQL["date_harmonize"] = ("WITH " + _DATED + "\nSELECT " + _STD.format(x="trim(tp)")
                          + " AS date, o_orderkey, o_totalprice, " + _FA + " AS fetched_date FROM d")
 
-SQL["final_panel_merge"] = """
-SELECT DISTINCT * FROM (
-  SELECT lang, source, CAST(NULL AS VARCHAR) AS o_orderstatus, CAST(NULL AS VARCHAR) AS o_orderpriority FROM documents
-  UNION ALL SELECT NULL, NULL, o_orderstatus, o_orderpriority FROM orders)
+_MERGED = """u AS (
+  SELECT lang, source, NULL AS o_orderstatus, NULL AS o_orderpriority, NULL AS event_type, CAST(NULL AS BIGINT) AS event_value FROM documents
+  UNION ALL SELECT NULL, NULL, o_orderstatus, o_orderpriority, NULL, NULL FROM orders
+  UNION ALL SELECT NULL, NULL, NULL, NULL, CASE WHEN event_type IN ('click', 'purchase') THEN event_type END,
+                   CASE WHEN event_type IN ('click', 'purchase') THEN CAST(floor(value) AS BIGINT) END FROM events),
+k AS (SELECT * FROM u WHERE coalesce(lang, source, o_orderstatus, o_orderpriority, event_type, CAST(event_value AS VARCHAR)) IS NOT NULL)"""
+SQL["final_panel_merge"] = "WITH " + _MERGED + "\nSELECT DISTINCT * FROM k"
+SQL["final_panel_audit"] = "WITH " + _MERGED + """,
+c AS (SELECT (SELECT count(*) FROM u) AS n, (SELECT count(*) FROM k) AS kept, (SELECT count(*) FROM (SELECT DISTINCT * FROM k)) AS rows_out)
+SELECT n AS rows_in, n - kept AS dropped_all_null_rows, 'obs_status' AS empty_columns, kept - rows_out AS duplicates_removed, rows_out FROM c
 """
 
+SQL["csv_typed"] = """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 10 <> 3 THEN round(o_totalprice, 6) END AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+       'says "' || o_orderpriority || '", often' AS o_note, CAST(NULL AS INTEGER) AS o_closed FROM orders
+"""
+SQL["csv_lenient"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 10 > 1
+"""
+SQL["csv_rejects"] = """
+SELECT count(*) AS rows_read, count(*) FILTER (WHERE o_orderkey % 10 <= 1) AS rows_rejected, count(*) FILTER (WHERE o_orderkey % 10 > 1) AS rows_delivered
+FROM orders
+"""
+SQL["provenance_scan"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS VARCHAR) AS "SOURCE_FILE_YEAR",
+       'orders_yearly' AS "SOURCE_GROUP" FROM orders
+"""
+
+
+def _audit_line(name: str, table: str, required: list[str], values: list[str], groups: list[str]) -> str:
+    ok = " AND ".join(f"{c} IS NOT NULL" for c in required)
+    by = f"PARTITION BY {', '.join(groups)}" if groups else ""
+    inside = " AND ".join(_inside(v, f"q_{v}") for v in values)
+    quartiles = ", ".join(f"quantile_cont({v}, [0.25, 0.75]) OVER ({by}) AS q_{v}" for v in values)
+    listed = lambda xs: ",".join(xs)
+    return f"""SELECT '{name}.csv' AS source_name, (SELECT count(*) FROM {table}) AS rows_in, count(*) AS rows_after_required,
+       count(*) FILTER (WHERE {inside}) AS rows_after_outliers, (SELECT count(*) FROM {table}) - count(*) AS dropped_missing_required,
+       count(*) - count(*) FILTER (WHERE {inside}) AS dropped_outliers, '{listed(required)}' AS required_fields,
+       '{listed(values)}' AS outlier_columns, '{listed(groups)}' AS group_columns
+FROM (SELECT *, {quartiles} FROM {table} WHERE {ok})"""
+
+
+SQL["stage_audit"] = "WITH " + _MS + """,
+macro AS (SELECT month AS date, CASE WHEN month(month) <> 5 THEN revenue END AS cpi_all_items, discount AS policy_rate, quantity AS industrial_production FROM ms),
+world AS (SELECT l_returnflag AS REF_AREA, strftime(l_shipdate, '%Y-%m') AS TIME_PERIOD, l_linestatus AS ENERGY_PRODUCT, l_linenumber AS FLOW_BREAKDOWN,
+                 'KTOE' AS UNIT_MEASURE, CASE WHEN l_quantity > 2 THEN pow(l_quantity, 6) END AS OBS_VALUE FROM lineitem),
+wdi AS (SELECT event_type AS indicator_id, user_id AS country_iso3, year(ts) AS year, value FROM events)
+""" + "\nUNION ALL ".join([
+    _audit_line("fred_macro_raw", "macro", ["date", "cpi_all_items", "policy_rate", "industrial_production"],
+                ["cpi_all_items", "policy_rate", "industrial_production"], []),
+    _audit_line("staging_world_newformat", "world", ["REF_AREA", "TIME_PERIOD", "ENERGY_PRODUCT", "FLOW_BREAKDOWN", "UNIT_MEASURE", "OBS_VALUE"],
+                ["OBS_VALUE"], ["ENERGY_PRODUCT", "FLOW_BREAKDOWN", "UNIT_MEASURE"]),
+    _audit_line("world_bank_wdi_raw", "wdi", ["indicator_id", "country_iso3", "year", "value"], ["value"], ["indicator_id"])])
+
 SQL["dictionary_datasets"] = """
 SELECT 'customer' AS dataset, 'JODI' AS source, count(*) AS rows_total FROM customer
 UNION ALL SELECT 'part', 'JODI', count(*) FROM part
@@ -816,7 +865,7 @@ def _inv_exprs(sym: str, k: int, det_name: str, out: str) -> tuple[str, list[str
     return _det(m), inv
 
 
-def _notes_sql() -> str:
+def _notes_ctes() -> str:
     k = 4
     xs = _A_REGS
     cc = ["nation_name", "year", "inflation"] + _A_REGS + ["energy_import_share", "high_energy_dependence"]
@@ -869,7 +918,11 @@ bmom AS (SELECT count(*) AS nb, sum(inflation * inflation) AS syy, sum(yc * yc)
                     + [f"sum({b_fit[j]} * inflation) AS zy{j}" for j in range(k)])} FROM b2),
 bdet AS (SELECT *, {_inv_exprs("z", k, "zdt", "w")[0]} AS zdt FROM bmom),
 binv AS (SELECT *, {", ".join(_inv_exprs("z", k, "zdt", "w")[1])} FROM bdet),
-r2b AS (SELECT nb, 1 - (syy - ({" + ".join(f"({' + '.join(f'w{i}_{j} * zy{j}' for j in range(k))}) * zy{i}" for i in range(k))})) / tss AS r2 FROM binv)
+r2b AS (SELECT nb, 1 - (syy - ({" + ".join(f"({' + '.join(f'w{i}_{j} * zy{j}' for j in range(k))}) * zy{i}" for i in range(k))})) / tss AS r2 FROM binv)"""
+
+
+def _notes_sql() -> str:
+    return _notes_ctes() + """
 SELECT 'Model A entity FE' AS metric, 'Yes' AS value
 UNION ALL SELECT 'Model A time FE', 'Yes'
 UNION ALL SELECT 'Model A clustered SE', 'Yes (entity)'
@@ -930,5 +983,98 @@ def _robustness_sql() -> str:
 
 SQL["robustness_coefs"] = _robustness_sql()
 
+# ---------------------------------------------------------------- p-values and the tables that show them
+
+# Tails by Simpson's rule over 2000 strips, independently of the continued fractions in the library: Student's t as the
+# integral of cos^(df - 1) up to atan(|t| / sqrt(df)), the normal one of its density up to 12.
+_STRIPS = "range(0, 2001) strips(i)"
+_WEIGHT = "(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) / 6000.0"
+
+
+def _t_tail(t: str, df: str) -> str:
+    top = f"atan(abs({t}) / sqrt({df}))"
+    return (f"1 - 2 * exp(lgamma(({df} + 1) / 2.0) - lgamma({df} / 2.0)) / sqrt(pi()) * {top} * "
+            f"sum({_WEIGHT} * pow(cos({top} * i / 2000.0), {df} - 1))")
+
+
+def _normal_tail(z: str) -> str:
+    top = f"least(abs({z}), 12)"
+    return f"1 - 2 / sqrt(2 * pi()) * {top} * sum({_WEIGHT} * exp(-pow({top} * i / 2000.0, 2) / 2))"
+
+
+def _tail_ctes(fits: list[tuple[str, str, int, int, str]]) -> str:
+    """CTE ``{name}`` (coef, se, t, p, n) of regressor j in ``fit`` of k regressors, for each (name, fit, j, k, distribution)."""
+    out = ""
+    for name, fit, j, k, dist in fits:
+        tail = _normal_tail("tt") if dist == "normal" else _t_tail("tt", "df")
+        out += (f",\n{name}_in AS (SELECT b{j} AS coef, se{j} AS se, b{j} / se{j} AS tt, CAST(n - {k} - (ne + nt - 1) AS DOUBLE) AS df, n FROM {fit}),\n"
+                f"{name} AS (SELECT coef, se, tt AS t, {tail} AS p, n FROM {name}_in, {_STRIPS} GROUP BY coef, se, tt, df, n)")
+    return out
+
+
+_B_FIT = ["did_interaction", "gas_import_shock_lag1", "gdp_growth", "imports_gdp"]
+
+
+def _both_models(ctes: str) -> str:
+    """``ctes`` with model A as ``fit_out``, then model B as ``mbfit_out`` and the coefficients of both (ca.., cb..)."""
+    ctes += ",\nmb_in AS (SELECT * FROM panel2 WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in ["nation_name", "year", "inflation"] + _B_REGS) + ")"
+    ctes = _fek_sql(ctes, "inflation", _B_FIT, "nation_name", "year",
+                    "(CAST(g AS DOUBLE) / (g - 1)) * (CAST(n AS DOUBLE) - 1) / (n - (1 + (ne - 1) + (nt - 1) + 6))", pre="mb", src="mb_in")
+    ctes += _tail_ctes([(f"ca{j}", "fit_out", j, 4, "t") for j in range(4)] + [(f"cb{j}", "mbfit_out", j, 4, "normal") for j in range(4)])
+    for m, names, cte in (("ta", _A_REGS, "ca"), ("tb", _B_FIT, "cb")):
+        ctes += f",\n{m} AS (" + " UNION ALL ".join(f"SELECT '{v}' AS variable, coef, se, t, p FROM {cte}{j}" for j, v in enumerate(names))
+        ctes += "".join(f" UNION ALL SELECT '{v}', NULL, NULL, NULL, NULL" for v in (_B_REGS if m == "tb" else []) if v not in names) + ")"
+    return ctes
+
+
+_MARKED = ("coalesce(printf('%.4f', {0}.coef) || CASE WHEN {0}.p < 0.01 THEN '***' WHEN {0}.p < 0.05 THEN '**' "
+           "WHEN {0}.p < 0.1 THEN '*' ELSE '' END, '')")
+
+
+def _table_sql() -> str:
+    cols = ", ".join(f"round({m}.{c}, 6) AS {c}_{name}" for m, name in (("ta", "model_a"), ("tb", "model_b")) for c in ("coef", "se", "t", "p"))
+    marks = ", ".join(f"CASE WHEN {m}.variable IS NOT NULL THEN {_MARKED.format(m)} END AS coef_{name}_fmt" for m, name in (("ta", "model_a"), ("tb", "model_b")))
+    return (_both_models(_notes_ctes())
+            + f"\nSELECT coalesce(ta.variable, tb.variable) AS variable, {cols}, {marks} FROM ta FULL JOIN tb ON ta.variable = tb.variable")
+
+
+SQL["regression_table"] = _table_sql()
+
+
+def _publication_sql() -> str:
+    terms = [("gas_import_shock_lag1", "Gas import shock (t-1)"), ("shock_x_highdep_lag1", "Shock x high energy dependence"),
+             ("did_interaction", "High dependence x Post-2022"), ("high_energy_dependence", "High energy dependence"),
+             ("post_treatment", "Post-treatment"), ("gdp_growth", "GDP growth"), ("imports_gdp", "Imports (% GDP)")]
+    listed = ", ".join(f"({2 * i}, '{v}', '{label}')" for i, (v, label) in enumerate(terms))
+    spread = "coalesce('(' || printf('%.4f', {0}.se) || ')', '')"
+    return _both_models(_notes_ctes()) + f""",
+listed(place, variable, label) AS (VALUES {listed}),
+body AS (SELECT place, label, {_MARKED.format("ta")} AS a, {_MARKED.format("tb")} AS b, {spread.format("ta")} AS sa, {spread.format("tb")} AS sb
+         FROM listed LEFT JOIN ta USING (variable) LEFT JOIN tb USING (variable))
+SELECT place AS row_order, label AS term, a AS model_fe, b AS model_did FROM body
+UNION ALL SELECT place + 1, '', sa, sb FROM body
+UNION ALL SELECT 14, 'Country fixed effects', 'Yes', 'Yes'
+UNION ALL SELECT 15, 'Year fixed effects', 'Yes', 'Yes'
+UNION ALL SELECT 16, 'Clustered standard errors', 'Country', 'Country'
+UNION ALL SELECT 17, 'Observations', CAST((SELECT na FROM r2a) AS VARCHAR), CAST((SELECT nb FROM r2b) AS VARCHAR)
+UNION ALL SELECT 18, 'R-squared', printf('%.4f', (SELECT r2w FROM r2a)), printf('%.4f', (SELECT r2 FROM r2b))
+"""
+
+
+SQL["publication_rows"] = _publication_sql()
+
+
+def _grid_sql() -> str:
+    base, _, _ = _robustness_sql().rpartition("\nSELECT 'Alternative lag 2'")
+    rows = [("Alternative lag 2", "gas_import_shock_lag2", "r1", 4, "t"), ("Alternative lag 3", "gas_import_shock_lag3", "r2", 4, "t"),
+            ("Exclude year 1999", "gas_import_shock_lag1", "r3", 4, "t"), ("Subsample high dependence", "gas_import_shock_lag1", "r4", 3, "t"),
+            ("Subsample low dependence", "gas_import_shock_lag1", "r5", 3, "t"), ("Placebo DiD pre-treatment", "placebo_interaction", "r6", 4, "normal")]
+    base += _tail_ctes([(f"{pre}p", f"{pre}fit_out", 0, k, dist) for _, _, pre, k, dist in rows])
+    return base + "\n" + "\nUNION ALL ".join(
+        f"SELECT '{check}' AS check, '{v}' AS variable, round(coef, 6) AS coef, round(p, 6) AS p_value, CAST(n AS DOUBLE) AS nobs FROM {pre}p" for check, v, pre, _, _ in rows)
+
+
+SQL["robustness_grid"] = _grid_sql()
+
 
 SQL = {k: _r6_text(v) for k, v in SQL.items()}

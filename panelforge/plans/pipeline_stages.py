@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.coerce import to_date_lenient, to_double
 from panelforge.operators import clean, reshape
+from panelforge.session import ensure_checkpoint_dir
 from panelforge.sources.files import list_datasets, read_lenient_csv
 from panelforge.sources.sinks import write_run_summary, write_table
 
@@ -29,7 +30,7 @@ def clean_stage(spark: SparkSession, in_dir: str, out_dir: str, exclude: Iterabl
     for path in list_datasets(spark, in_dir, ".csv", exclude):
         name = path.rsplit("/", 1)[-1]
         stem = name[: -len(".csv")]
-        df = read_lenient_csv(spark, path)
+        df = read_lenient_csv(spark, path)  # a file, or a folder of part files
         flagged, rule = clean.clean_flags(df, name)
         obs = Observation(f"funnel_{stem}")
         observed = flagged.observe(obs, F.count(F.lit(1)).alias("rows_in"),
@@ -50,19 +51,32 @@ def final_panel(df: DataFrame) -> tuple[DataFrame, dict]:
     """Drop all-null rows, drop all-null columns, remove exact duplicates and
     order by every column (nulls last).  Returns (panel, counts) where counts
     has rows_in, dropped_all_null_rows, empty_columns, duplicates_removed,
-    rows_out (one aggregation job for the counts)."""
-    rows_in_col = F.count(F.lit(1))
-    no_null_rows = clean.drop_all_null_rows(df)
-    panel, empty = clean.drop_empty_columns(no_null_rows)
-    deduped = panel.dropDuplicates()
-    counts = df.agg(rows_in_col.alias("rows_in")).first()["rows_in"]
-    kept = no_null_rows.count()
+    rows_out.
+
+    ``df`` is read twice: one aggregation counts rows and the non-null values of all columns, then the
+    deduplicated rows are frozen, so that their count and every later use come from that one shuffle."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cols = df.columns
+    filled = [F.col(f"`{c}`").isNotNull() & (~F.isnan(f"`{c}`") if df.schema[c].dataType.typeName() in ("double", "float") else F.lit(True)) for c in cols]
+    some = F.lit(False)
+    for x in filled:
+        some = some | x
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(some).alias("kept"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    empty = [c for i, c in enumerate(cols) if seen[f"c{i}"] == 0]
+    panel = clean.drop_all_null_rows(df).drop(*empty)
+    deduped = panel.dropDuplicates().checkpoint(eager=True)
     out = deduped.count()
-    meta = {"rows_in": counts, "dropped_all_null_rows": counts - kept, "empty_columns": empty,
-            "duplicates_removed": kept - out, "rows_out": out}
+    meta = {"rows_in": seen["rows"], "dropped_all_null_rows": seen["rows"] - seen["kept"], "empty_columns": empty,
+            "duplicates_removed": seen["kept"] - out, "rows_out": out}
     return reshape.sort_all_nulls_last(deduped), meta
 
 
+def panel_audit(spark: SparkSession, meta: dict) -> DataFrame:
+    """The counts of :func:`final_panel` as one row."""
+    row = (meta["rows_in"], meta["dropped_all_null_rows"], ", ".join(meta["empty_columns"]), meta["duplicates_removed"], meta["rows_out"])
+    return spark.createDataFrame([row], "rows_in bigint, dropped_all_null_rows bigint, empty_columns string, duplicates_removed bigint, rows_out bigint")
+
+
 # The two analysis blocks of the union table.
 MACRO_COLUMNS = ("date", "cpi_all_items", "policy_rate", "industrial_production")
 ENERGY_COLUMNS = ("time_period", "ref_area", "flow_breakdown", "obs_value", "unit_measure")

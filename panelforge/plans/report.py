@@ -9,18 +9,33 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.functions import tails
 from panelforge.functions.fmt import fmt_coef, fmt_fixed, fmt_se
 from panelforge.plans.regression import Fit, _f
 
 
+def p_value(t, df, dist):
+    """Two-sided p-value of a statistic, as a column: ``dist`` 't' with ``df`` degrees of freedom, or 'normal'."""
+    return F.when(F.col(dist) == "normal", tails.normal_two_sided(t)).otherwise(tails.t_two_sided(t, df))
+
+
+def coef_rows(spark: SparkSession, fits: Sequence[tuple[Sequence[str], Fit]]) -> DataFrame:
+    """(label..., variable, coef, se, t, p, nobs) for (labels with the variable last, fit) pairs; the p-value is a column
+    expression of the statistic, the residual degrees of freedom and the fit's distribution."""
+    labels = [f"label{i}" for i in range(len(fits[0][0]) - 1)] if fits else []
+    rows = [(*name[:-1], name[-1], _f(f.coef.get(name[-1])), _f(f.se.get(name[-1])), _f(f.tstat.get(name[-1])), float(f.df_resid), f.dist, int(f.nobs))
+            for name, f in fits]
+    kinds = "".join(f"{x} string, " for x in labels) + "variable string, coef double, se double, t double, _df double, _dist string, nobs bigint"
+    df = spark.createDataFrame(rows, kinds)
+    return df.withColumn("p", p_value("t", "_df", "_dist")).select(*labels, "variable", "coef", "se", "t", "p", "nobs")
+
+
 def coef_table(spark: SparkSession, fit: Fit, suffix: str, terms: Sequence[str] | None = None) -> DataFrame:
     """variable, coef_<s>, se_<s>, t_<s>, p_<s>, coef_<s>_fmt for the listed
     terms (a term the model lacks gets nulls: lookup into a fixed term list)."""
     terms = list(terms) if terms is not None else list(fit.terms)
-    rows = [(t, _f(fit.coef.get(t)), _f(fit.se.get(t)), _f(fit.tstat.get(t)), _f(fit.pvalue.get(t)))
-            for t in terms]
-    df = spark.createDataFrame(rows, f"variable string, coef_{suffix} double, se_{suffix} double, "
-                                     f"t_{suffix} double, p_{suffix} double")
+    df = coef_rows(spark, [((t,), fit) for t in terms]).drop("nobs")
+    df = df.toDF("variable", *[f"{c}_{suffix}" for c in ("coef", "se", "t", "p")])
     return df.withColumn(f"coef_{suffix}_fmt", fmt_coef(f"coef_{suffix}", f"p_{suffix}"))
 
 
@@ -64,4 +79,4 @@ def fmt4(x) -> str:
     return "" if x is None else f"{float(x):.4f}"
 
 
-__all__ = ["coef_table", "comparison_table", "publication_rows", "notes", "fmt4", "fmt_fixed"]
+__all__ = ["coef_rows", "coef_table", "p_value", "comparison_table", "publication_rows", "notes", "fmt4", "fmt_fixed"]

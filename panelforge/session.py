@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +58,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_scratch: list = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder; what is written there is deleted when the process ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pf-{name}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(_drop_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+def _drop_scratch() -> None:
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001  the session may already have ended
+            return
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

@@ -3,9 +3,11 @@ listings go through the Hadoop FileSystem API, never a local glob."""
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,17 +32,42 @@ def _expand(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
     return sorted(out)
 
 
+HEADER_READERS = 32
+
+
+def _first_lines(spark: SparkSession, files: list[str]) -> list[str | None]:
+    """The first line of each file (None: the file is empty), a few kilobytes each, through the Hadoop filesystem with its
+    codecs; many files are read at once and no Spark job runs for any of them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def read(name):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            codec = codecs.getCodec(path)
+            text = jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+            return jvm.java.io.BufferedReader(text).readLine()
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        return list(pool.map(read, files))
+
+
 def _header_groups(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header line: only the first line of each is read, and files of one header share a scan.
+    """Files by their header: only the first line of each is read, and files of one header share a scan.
     Empty files are left out; a path without files raises."""
     files = _expand(spark, path)
     if not files:
         raise FileNotFoundError(f"no CSV files at {path}")
     found: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        header = tuple(spark.read.options(header=True, **CSV_QUOTES).csv(f).columns)
-        if header:
-            found.setdefault(header, []).append(f)
+    for f, line in zip(files, _first_lines(spark, files)):
+        if line:
+            header = next(csv.reader([line.lstrip("\ufeff")]))
+            # a column without a name, or a repeated one, is named by its place
+            names = [c if c and header.count(c) == 1 else f"{c or '_c'}{i}" for i, c in enumerate(header)]
+            found.setdefault(tuple(names), []).append(f)
     return found
 
 
@@ -71,18 +98,29 @@ def read_typed_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Str
     return out
 
 
-def read_lenient_csv(spark: SparkSession, path: str | Sequence[str], keep_rejects: bool = False) -> DataFrame:
+_BAD = "_corrupt_record"
+
+
+def read_lenient_csv(spark: SparkSession, path: str | Sequence[str], keep_rejects: bool = False, counts: Observation | None = None) -> DataFrame:
     """Every column as text, malformed rows (wrong field count) skipped.  With
     ``keep_rejects`` they are kept instead, with the raw line in ``_corrupt_record``.
-    Files whose headers differ are stacked by name."""
-    frames = []
-    for header, files in _header_groups(spark, path).items():
-        if keep_rejects:
-            frames.append(_text_scan(spark, files, header, ("_corrupt_record",), mode="PERMISSIVE",
-                                     columnNameOfCorruptRecord="_corrupt_record", enforceSchema=False))
-        else:
-            frames.append(_text_scan(spark, files, header, mode="DROPMALFORMED", enforceSchema=False))
-    return union_by_name(frames) if frames else spark.createDataFrame([], T.StructType())
+    Files whose headers differ are stacked by name.
+
+    ``counts`` is the reject channel: an ``Observation`` that gets ``rows_read`` and ``rows_rejected`` from the very
+    scan that delivers the rows, whatever job runs it."""
+    frames = [_text_scan(spark, files, header, (_BAD,), mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, enforceSchema=False, columnPruning=False)
+              for header, files in _header_groups(spark, path).items()]
+    if not frames:
+        return spark.createDataFrame([], T.StructType())
+    rows = union_by_name(frames)
+    rows = rows.select(*[c for c in rows.columns if c != _BAD], _BAD)
+    if counts is not None:
+        rows = rows.observe(counts, F.count(F.lit(1)).alias("rows_read"), F.count(_BAD).alias("rows_rejected"))
+    return rows if keep_rejects else rows.where(F.col(_BAD).isNull()).drop(_BAD)
+
+
+#: Name of a dataset in a path: of a file, of a folder of part files, or the value of a partition folder.
+STEM = r"/(?:[^/=]+=)?([^/]+?)(?:\.[A-Za-z]+)?(?:/part-[^/]+)?$"
 
 
 def read_with_provenance(spark: SparkSession, path: str | Sequence[str], group_tag: str,
@@ -90,8 +128,8 @@ def read_with_provenance(spark: SparkSession, path: str | Sequence[str], group_t
                          group_col: str = "SOURCE_GROUP") -> DataFrame:
     """Many files (a glob or list), each row tagged with its file stem (e.g. the
     year of yearly files) and a source-group label.  One scan per distinct
-    header; columns are matched by name."""
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)\.[^./]+$", 1)
+    header; columns are matched by name.  Part files carry the name of their folder."""
+    stem = F.regexp_extract(F.col("_metadata.file_path"), STEM, 1)
     frames = []
     for header, files in _header_groups(spark, path).items():
         raw = _text_scan(spark, files, header)
@@ -107,13 +145,13 @@ def _fs_list(spark: SparkSession, directory: str) -> list[str]:
     fs = p.getFileSystem(conf)
     if not fs.exists(p):
         return []
-    return sorted(str(s.getPath().toString()) for s in fs.listStatus(p) if s.isFile())
+    return sorted(str(s.getPath().toString()) for s in fs.listStatus(p))
 
 
 def list_datasets(spark: SparkSession, directory: str, suffix: str = ".csv",
                   exclude: Iterable[str] = ()) -> list[str]:
-    """Files of a stage directory with the suffix, sorted by name, minus the
-    excluded names."""
+    """Datasets of a stage directory with the suffix, sorted by name, minus the
+    excluded names: files, or folders of part files as Spark writes them."""
     ex = set(exclude)
     return [p for p in _fs_list(spark, directory)
             if p.endswith(suffix) and p.rsplit("/", 1)[-1] not in ex]
@@ -126,7 +164,7 @@ def scan_stage_dir(spark: SparkSession, directory: str, exclude: Iterable[str] =
     out = {}
     for p in list_datasets(spark, directory, ".csv", exclude):
         name = p.rsplit("/", 1)[-1]
-        out[name] = read_lenient_csv(spark, p) if lenient else spark.read.options(header=True, **CSV_QUOTES).csv(p)
+        out[name] = read_lenient_csv(spark, p) if lenient else union_by_name([_text_scan(spark, files, h) for h, files in _header_groups(spark, p).items()])
     return out
 
 

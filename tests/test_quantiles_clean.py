@@ -11,7 +11,7 @@ def _np_q(v, p):
     return float(np.percentile(v, p * 100)) if len(v) else None
 
 
-@pytest.mark.parametrize("method", ["sorted", "hash", "auto"])
+@pytest.mark.parametrize("method", ["sorted", "refined", "split", "hash", "auto"])
 def test_grouped_quantiles_match_numpy(spark, method):
     rng = np.random.default_rng(7)
     rows = []
@@ -67,7 +67,7 @@ def _inside_fences(pdf, col, groups, width=3.0):
     return keep
 
 
-@pytest.mark.parametrize("method", ["sorted", "hash"])
+@pytest.mark.parametrize("method", ["sorted", "refined", "hash"])
 def test_fence_edges_match_pandas(spark, method):
     rows = [(None, "1"), (None, "2"), (None, "100"), ("a", "-"), ("a", "abc"), ("a", "NaN"),
             ("z", "5"), ("z", "5"), ("z", "5"), ("z", "500"),          # IQR 0 -> keep all
@@ -159,3 +159,44 @@ def test_sorted_and_hash_agree_to_the_last_bit_and_split_hot_values(spark):
     hot = spark.range(40000).select(F.lit(0.0).alias("_v"))
     srt, _ = _sorted_blocks(hot, [], 8)
     assert max(r["count"] for r in srt.groupBy("_pid").count().collect()) < 10000
+
+
+def _exact(values, p):
+    x = sorted(values)
+    at = (len(x) - 1) * p
+    lo, hi, f = x[int(np.floor(at))], x[int(np.ceil(at))], at - np.floor(at)
+    return lo if f == 0 or lo == hi else (1 - f) * lo + f * hi
+
+
+def test_refined_quantiles_of_hard_values(spark, monkeypatch):
+    """Half the rows equal, powers of two over the whole range, both infinities, extremes whose difference overflows, one value."""
+    rng = np.random.default_rng(51)
+    groups = {"equal": [7.0] * 500 + list(rng.normal(size=500)), "powers": [float(2.0**k) for k in range(-1074, 1024, 7)] + [0.0, -1.0],
+              "inf": [float("inf")] * 30 + [float("-inf")] * 20 + list(rng.normal(size=51)), "wide": [-1.7e308, 1.7e308, -1e-320, 1e-320, 0.0, 5e-324],
+              "one": [3.25], "two": [1.0, 2.0], None: list(rng.integers(0, 5, 99).astype(float))}
+    df = spark.createDataFrame([(g, float(v)) for g, x in groups.items() for v in x], "g string, v double").repartition(6)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    want = {g: [_exact(x, p) for p in probs] for g, x in groups.items()}
+    for bins in (quantiles.BINS, 4):
+        monkeypatch.setattr(quantiles, "BINS", bins)
+        if bins == 4:
+            df = df.where("g <> 'powers' or g is null")
+            want.pop("powers")
+        got = {r["g"]: list(r)[1:] for r in quantiles.grouped_quantiles(df, "v", ["g"], probs, method="refined").collect()}
+        assert got.keys() == want.keys()
+        for g in want:
+            np.testing.assert_equal(np.array(got[g]), np.array(want[g]))
+    monkeypatch.setattr(quantiles, "HASH_DISTINCT_LIMIT", 60)
+    a, b = ({r["g"]: list(r)[1:] for r in quantiles.grouped_quantiles(df, "v", ["g"], [0.3, 0.5], method=m).collect()} for m in ("split", "hash"))
+    assert {g: x for g, x in a.items() if g != "inf"} == {g: x for g, x in b.items() if g != "inf"}
+
+
+def test_refining_shuffles_counts_only(spark):
+    """No task reads more than the bins of its groups, though half of all rows are one value."""
+    df = spark.range(0, 60_000, 1, 8).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 2 == 0, 1.5).otherwise(F.rand(3)).alias("v"))
+    q = {r["g"]: r["_q0"] for r in quantiles.grouped_quantiles(df, "v", ["g"], [0.4], method="refined").collect()}
+    x = df.toPandas()
+    for g, part in x.groupby("g"):
+        assert q[g] == _exact(part["v"], 0.4)
+    plan = quantiles.grouped_quantiles(df, "v", ["g"], [0.4], method="refined")._jdf.queryExecution().executedPlan().toString()
+    assert "RangePartitioning" not in plan and "rangepartitioning" not in plan
