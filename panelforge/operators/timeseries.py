@@ -63,7 +63,7 @@ def seasonal_decompose(df: DataFrame, key, order: str, col: str, period: int = 1
     """Additive decomposition: centred moving-average trend (2 x period for an
     even period, null where the window is not full), seasonal = mean of the
     detrended values per phase minus the mean of those phase means, resid."""
-    keys = asas_keys(key)
+    keys = as_keys(key)
     h = period // 2
 
     def trend(w, position):
@@ -86,7 +86,7 @@ def lag_corr_profile(df: DataFrame, y: str, x: str, order: str, lags: Sequence[i
                      key=None, cut: str = "auto") -> DataFrame:
     """corr(y_t, x_{t-k}) for each lag k over one ordered pass (positional lags),
     pairwise-complete; returns (key..., lag, corr) long."""
-    keys = asas_keys(key)
+    keys = as_keys(key)
     narrow = df.select(*dict.fromkeys([*keys, order, y, x]))
     d = over_series(narrow, key, order, lambda w, _: {f"_x{k}": F.lag(x, k).over(w) for k in lags}, max(0, *lags), max(0, *(-k for k in lags)), cut)
     agg = d.groupBy(*keys).agg(*[safe_corr(y, f"_x{k}").alias(f"_c{k}") for k in lags])
