@@ -6,7 +6,9 @@ Strategies, same numbers for the exact ones, plus ``"auto"``:
 * ``"refined"`` - exact and skew-safe without a sort.  A histogram of up to 65,536
   bins over a group's range says which bin holds a wanted rank, the next one
   refines that bin between its least and greatest value, until it holds a single
-  value (two or three rounds as a rule; every round splits off a value at least).
+  value (two or three rounds as a rule).  The first round's bins have equal widths,
+  later ones equal ratios where an interval spans more than a factor of two, so that
+  values of all magnitudes settle in few rounds too.
   Each round reads the values once and shuffles counts alone, which tasks combine
   first, so neither a hot group nor a hot value makes an uneven task.
 * ``"sorted"`` - exact and skew-safe.  Values are range-partitioned
@@ -23,9 +25,9 @@ Strategies, same numbers for the exact ones, plus ``"auto"``:
   rows, ``hash`` for the others.
 * ``"auto"`` (default) - one cheap pass estimates the distinct values of the
   largest group (HyperLogLog, bounded memory).  Under ``HASH_DISTINCT_LIMIT``
-  the exact hash aggregate is safe and used; above it ``split``.
+  the exact hash aggregate is safe and used; above it ``sorted``.
   A group that holds a third of all rows but few distinct values stays on the
-  fast path; one with many distinct values is refined.
+  fast path; one with many distinct values is sorted.
 """
 
 from __future__ import annotations
@@ -59,9 +61,9 @@ def group_profile(base: DataFrame, groups: Sequence[str], value: str = "_v") ->
 
 
 def choose_method(base: DataFrame, groups: Sequence[str], value: str = "_v") -> tuple[str, int]:
-    """('hash' or 'split', number of groups)."""
+    """('hash' or 'sorted', number of groups)."""
     mx, n_groups = group_profile(base, groups, value)
-    return ("hash" if mx <= HASH_DISTINCT_LIMIT else "split"), n_groups
+    return ("hash" if mx <= HASH_DISTINCT_LIMIT else "sorted"), n_groups
 
 
 def _qname(i: int) -> str:
@@ -199,11 +201,21 @@ def _match(groups: Sequence[str], left: DataFrame, right: DataFrame, more: Seque
     return left.join(r, cond).drop(*[f"_r{i}" for i in range(len(names))])
 
 
-def _bin(v: Column, lo: Column, hi: Column) -> Column:
-    """Bin of ``v`` in [lo, hi]: rises with v, differs for lo and hi; infinities have bins of their own."""
+def _octave(v: Column) -> Column:
+    """Rises with ``v``: 1 to 2099 by the binary logarithm of a positive number, 0 for 0, the opposite for negative ones."""
+    return F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (F.log2(F.abs(v)) + 1075))
+
+
+def _bin(v: Column, lo: Column, hi: Column, by_octave: bool) -> Column:
+    """Bin of ``v`` in [lo, hi]: rises with v, differs for lo and hi; infinities have bins of their own.  The others are of
+    equal width, or of equal ratio with ``by_octave`` where the interval spans more than a factor of two."""
     low, high = F.greatest(lo, F.lit(-_LARGEST)), F.least(hi, F.lit(_LARGEST))
     width = high / 2 - low / 2  # halved, as the difference may exceed the range
-    place = F.floor((v / 2 - low / 2) / width * F.lit(float(BINS - 1)))
+    share = (v / 2 - low / 2) / width
+    if by_octave:
+        span = _octave(high) - _octave(low)
+        share = F.when(span > 1, (_octave(v) - _octave(low)) / span).otherwise(share)
+    place = F.floor(share * F.lit(float(BINS - 1)))
     return (F.when(v > _LARGEST, F.lit(BINS)).when(v < -_LARGEST, F.lit(-1))
             .when(v >= high, F.lit(BINS - 1)).when(width > 0, F.least(place, F.lit(BINS - 2))).otherwise(F.lit(0)).cast("int"))
 
@@ -225,7 +237,7 @@ def _refined_quantiles(base: DataFrame, groups: list[str], probs: list[float], n
     targets = large.select(*own, "_lo", "_hi", wanted).select(*own, "_lo", "_hi", "_t._j", "_t._off")
     open_ = F.col("_lo") < F.col("_hi")
     done, todo = targets.where(~open_).drop("_off"), targets.where(open_)
-    for _ in range(MOST_ROUNDS):
+    for step in range(MOST_ROUNDS):
         n_open = todo.count()
         if not n_open:
             break
@@ -235,7 +247,7 @@ def _refined_quantiles(base: DataFrame, groups: list[str], probs: list[float], n
         side = F.broadcast(intervals) if n_open <= BROADCAST_TARGET_ROWS else intervals
         v = F.col("_v")
         inside = _match(own, rows, side).select(*own, "_v", F.explode(F.filter("_x", lambda x: (v >= x["_lo"]) & (v <= x["_hi"]))).alias("_i"))
-        counts = inside.groupBy(*own, F.col("_i._k").alias("_k"), _bin(v, F.col("_i._lo"), F.col("_i._hi")).alias("_bin")).agg(
+        counts = inside.groupBy(*own, F.col("_i._k").alias("_k"), _bin(v, F.col("_i._lo"), F.col("_i._hi"), step > 0).alias("_bin")).agg(
             F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         up = Window.partitionBy(*own, "_k").orderBy("_bin")  # at most BINS + 2 bins
         counts = counts.withColumn("_cum", F.sum("_c").over(up.rowsBetween(Window.unboundedPreceding, 0)))
