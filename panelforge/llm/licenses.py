@@ -11,6 +11,7 @@ Words are handled as 64-bit hashes in numpy; all runs of a batch walk through th
 
 from __future__ import annotations
 
+import bisect
 from dataclasses import dataclass
 
 import numpy as np
@@ -235,7 +236,8 @@ def chain(rows: list[tuple[int, int, int]], gap: int = GAP) -> list[tuple[int, i
     words)`` of one text with one template.
 
     A match follows another if it ends later on both sides and starts at most ``gap`` words behind its end; words that both hold count once.
-    Every match takes the predecessor with which its chain covers most; each tree of chains gives its best one.  Predecessors lie within a
+    Every match takes the predecessor with which its chain covers most; each tree of chains gives its best one, unless its
+    words lie within those of another that covers as much (a run that the template repeats).  Predecessors lie within a
     window of the text that the gap and the template's length bound.
     """
     rows = sorted(rows)
@@ -260,7 +262,20 @@ def chain(rows: list[tuple[int, int, int]], gap: int = GAP) -> list[tuple[int, i
     for k, r in enumerate(root):
         if r not in tops or best[k] > best[tops[r]]:
             tops[r] = k
-    return [(rows[r][0], rows[k][0] + rows[k][2], rows[r][1], rows[k][1] + rows[k][2], best[k]) for r, k in sorted(tops.items())]
+    spans = [(rows[r][0], rows[k][0] + rows[k][2], rows[r][1], rows[k][1] + rows[k][2], best[k]) for r, k in tops.items()]
+    out, ends, most = [], [], []  # ends rise, the most words of a span that reaches so far fall
+    for span in sorted(spans, key=lambda x: (x[0], -x[1], -x[4], x[2])):
+        end, words = span[1], span[4]
+        k = bisect.bisect_left(ends, end)
+        if k < len(ends) and most[k] >= words:
+            continue
+        j = k
+        while j and most[j - 1] <= words:
+            j -= 1
+        same = k < len(ends) and ends[k] == end
+        ends[j:k + same], most[j:k + same] = [end], [words]
+        out.append(span)
+    return out
 
 
 PLACES = "places array<struct<start:bigint,label:string>>"
