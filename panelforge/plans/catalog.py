@@ -447,6 +447,31 @@ def corr_matrix(spark, sf):
     return _round_doubles(stats.corr_matrix(_monthly_series(spark, sf), ["revenue", "quantity", "discount"]))
 
 
+@query
+def corr_matrix_pairwise(spark, sf):
+    """Correlations over pairwise-complete rows, with nulls in every column."""
+    from panelforge.operators import moments
+    li = read_table(spark, sf, "lineitem").select(
+        F.when(F.col("l_linenumber") != 1, F.col("l_quantity")).alias("quantity"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_extendedprice") / 1000).alias("price_k"),
+        F.when(F.pmod("l_orderkey", F.lit(7)) != 0, F.col("l_discount")).alias("discount"),
+        F.when(F.pmod("l_orderkey", F.lit(5)) != 2, F.col("l_tax")).alias("tax"),
+        F.when(F.col("l_linestatus") == "O", F.lit(1.5)).alias("constant"))
+    return moments.pairwise_corr_matrix(li, li.columns).withColumn("corr", r6("corr"))
+
+
+BAND_POINTS = (1.0, 10.0, 25.0, 40.0, 50.0)
+BAND_REPLICATES = 40
+
+
+@query
+def regression_band(spark, sf):
+    """Line of price on quantity with the band of its bootstrap replicates; weights hang on the line's key alone."""
+    from panelforge.operators import moments
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", (F.col("l_extendedprice") / 1000).alias("price_k"))
+    return _round_doubles(moments.line_band(li, F.concat_ws("-", "l_orderkey", "l_linenumber"), "l_quantity", "price_k", BAND_POINTS, BAND_REPLICATES))
+
+
 @query
 def lag_corr(spark, sf):
     from panelforge.operators import timeseries
@@ -928,6 +953,16 @@ def stage_audit(spark, sf):
     return _audit_text(spark.read.schema(clean.AUDIT_SCHEMA).json(f"{out}/cleaning_summary"))
 
 
+@query
+def dataset_fingerprint(spark, sf):
+    """Fingerprints of two tables from those of their parts: whole rows, and the key columns alone."""
+    from panelforge.sources import fingerprint_parts, merge_fingerprints
+    od = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    doc = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return merge_fingerprints(fingerprint_parts(od, "orders", {"all": od.columns, "key": ["o_orderkey"]}, by="o_orderstatus"),
+                              fingerprint_parts(doc, "documents", {"all": doc.columns, "key": ["doc_id"]}, by="lang"))
+
+
 @query
 def dictionary_datasets(spark, sf):
     listing = dictionary_listing(spark, sf)

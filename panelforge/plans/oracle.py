@@ -358,6 +358,14 @@ SQL["corr_matrix"] = "WITH " + _MS + ",\nc AS (SELECT " + ", ".join(
     f"SELECT '{a}' AS var1, '{b}' AS var2, round(c_{a}_{b}, 6) AS corr FROM c"
     for a in ["revenue", "quantity", "discount"] for b in ["revenue", "quantity", "discount"])
 
+_PAIRWISE = ["quantity", "price_k", "discount", "tax", "constant"]
+SQL["corr_matrix_pairwise"] = """WITH li AS (SELECT CASE WHEN l_linenumber <> 1 THEN l_quantity END AS quantity,
+  CASE WHEN l_returnflag <> 'R' THEN l_extendedprice / 1000 END AS price_k, CASE WHEN l_orderkey % 7 <> 0 THEN l_discount END AS discount,
+  CASE WHEN l_orderkey % 5 <> 2 THEN l_tax END AS tax, CASE WHEN l_linestatus = 'O' THEN CAST(1.5 AS DOUBLE) END AS constant FROM lineitem)
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS var1, '{b}' AS var2, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n, round({_corr(a, b)}, 6) AS corr FROM li"
+    for a in _PAIRWISE for b in _PAIRWISE)
+
 _LAGS = [0, 1, 2, 3, 6, 12]
 _LAGCORR = "WITH " + _MS + ",\nl AS (SELECT revenue, " + ", ".join(
     f"lag(discount, {k}) OVER (ORDER BY month) AS x{k}" for k in _LAGS) + " FROM ms),\nc AS (SELECT " + ", ".join(
@@ -431,6 +439,24 @@ SELECT l_returnflag, round(regr_slope(l_extendedprice / 1000, l_quantity), 6) AS
 FROM lineitem GROUP BY ALL
 """
 
+# Poisson(1) weights: the distribution function times 65536, rounded down.  A digest serves eight replicates.
+SQL["regression_band"] = """WITH RECURSIVE term(k, p, total) AS (SELECT 0, exp(-1.0::DOUBLE), exp(-1.0::DOUBLE)
+  UNION ALL SELECT k + 1, p / (k + 1), total + p / (k + 1) FROM term WHERE k < 7),
+step AS (SELECT list(floor(total * 65536)) AS steps FROM term),
+li AS (SELECT l_orderkey || '-' || l_linenumber AS key, CAST(l_quantity AS DOUBLE) AS x, l_extendedprice / 1000 AS y FROM lineitem
+  WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
+digest AS (SELECT x, y, b, md5('1:' || b || ':' || key) AS d FROM li, range(0, 5) blocks(b)),
+draw AS (SELECT 8 * b + i AS replicate, x, y, len(list_filter(steps, lambda s: s <= CAST('0x' || substr(d, 1 + 4 * i, 4) AS BIGINT))) AS w
+  FROM digest, range(0, 8) places(i), step),
+line AS (SELECT replicate, sum(w) AS w, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my,
+  (sum(w * x * y) / sum(w) - sum(w * x) / sum(w) * sum(w * y) / sum(w)) / nullif(sum(w * x * x) / sum(w) - (sum(w * x) / sum(w)) ** 2, 0) AS b
+  FROM draw GROUP BY replicate),
+point AS (SELECT CAST(unnest([1.0, 10.0, 25.0, 40.0, 50.0]) AS DOUBLE) AS x),
+fit AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM li)
+SELECT p.x AS x, round(min(intercept + slope * p.x), 6) AS fit, round(quantile_cont(my + b * (p.x - mx), 0.025), 6) AS low,
+       round(quantile_cont(my + b * (p.x - mx), 0.975), 6) AS high, count(b) AS replicates
+FROM point p, line, fit WHERE b IS NOT NULL GROUP BY p.x"""
+
 SQL["json_flatten"] = """
 SELECT event_id, coalesce(TRY_CAST(json_extract(props, '$.k') AS BIGINT), -1) AS k FROM events
 """
@@ -656,6 +682,18 @@ wdi AS (SELECT event_type AS indicator_id, user_id AS country_iso3, year(ts) AS
                 ["OBS_VALUE"], ["ENERGY_PRODUCT", "FLOW_BREAKDOWN", "UNIT_MEASURE"]),
     _audit_line("world_bank_wdi_raw", "wdi", ["indicator_id", "country_iso3", "year", "value"], ["value"], ["indicator_id"])])
 
+def _fingerprint_sql(name: str, table: str, cols: str, fields: list[str]) -> str:
+    row = " || '|' || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in fields)
+    total = [f"CAST(sum(CAST('0x' || substr(d, {a}, 15) AS HUGEINT)) AS VARCHAR)" for a in (1, 17)]
+    return (f"SELECT '{name}' AS dataset, '{cols}' AS columns, CAST(count(*) AS BIGINT) AS rows, {total[0]} || ':' || {total[1]} AS fingerprint "
+            f"FROM (SELECT md5({row}) AS d FROM {table}) GROUP BY ALL")
+
+
+SQL["dataset_fingerprint"] = "\nUNION ALL\n".join(
+    _fingerprint_sql(t, t, k, c) for t, all_, key in (("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"], "o_orderkey"),
+                                                      ("documents", ["doc_id", "text", "lang", "source"], "doc_id"))
+    for k, c in (("all", all_), ("key", [key])))
+
 SQL["dictionary_datasets"] = """
 SELECT 'customer' AS dataset, 'JODI' AS source, count(*) AS rows_total FROM customer
 UNION ALL SELECT 'part', 'JODI', count(*) FROM part

@@ -187,3 +187,38 @@ def dataset_fingerprint(df: DataFrame, name: str) -> DataFrame:
     h = F.xxhash64(*[x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]).cast("decimal(38,0)")
     return df.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"),
                   F.sum(h).cast("string").alias("fingerprint"))
+
+
+_SLICES = ((1, 15), (17, 15))
+
+
+def _row_digest(cols: list[str]):
+    """MD5 of a row: each column's null flag, or its text's length and text, so that no two rows read alike."""
+    parts = []
+    for c in cols:
+        text = F.col(f"`{c}`").cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.md5(F.concat_ws("|", *parts).cast("binary"))
+
+
+def fingerprint_parts(df: DataFrame, name: str, column_sets: dict[str, list[str]] | None = None, by: str | None = None) -> DataFrame:
+    """``(dataset, columns, part, rows, low, high)``: mergeable fingerprints of a table, of one or more sets of its columns (default:
+    ``all``) and of the parts that the values of ``by`` name (null without it).
+
+    Two 60-bit slices of each row's MD5 are added up, so equal multisets of rows have equal fingerprints whatever their order or
+    partitioning, repeated rows count each, and parts add up to the whole (:func:`merge_fingerprints`).  One scan serves all
+    column sets.  Values enter as text: null and empty text differ, types with equal texts do not."""
+    sets = column_sets or {"all": df.columns}
+    digests = F.array(*[F.struct(F.lit(k).alias("columns"), _row_digest(list(c)).alias("digest")) for k, c in sets.items()])
+    part = F.col(f"`{by}`").cast("string") if by else F.lit(None).cast("string")
+    rows = df.select(part.alias("part"), F.explode(digests).alias("x"))
+    number = [F.sum(F.conv(F.substring("x.digest", a, n), 16, 10).cast("decimal(38,0)")) for a, n in _SLICES]
+    return rows.groupBy(F.col("x.columns").alias("columns"), "part").agg(F.count("*").alias("rows"), number[0].alias("low"), number[1].alias("high")).select(
+        F.lit(name).alias("dataset"), "columns", "part", "rows", "low", "high")
+
+
+def merge_fingerprints(*parts: DataFrame) -> DataFrame:
+    """``(dataset, columns, rows, fingerprint)`` of whole tables from fingerprints of their parts, each part given once.  A table
+    without rows has no row here."""
+    every = union_by_name(list(parts))
+    return every.groupBy("dataset", "columns").agg(F.sum("rows").alias("rows"), F.concat_ws(":", F.sum("low").cast("string"), F.sum("high").cast("string")).alias("fingerprint"))
