@@ -86,7 +86,8 @@ def _halo_rows(rows: DataFrame, seams: DataFrame, keys: list[str], before: int,
     least = seams.agg(F.min("_c")).first()[0] or 1
     reach = lambda n: min(n, -(-n // least) + 1)  # noqa: E731  blocks that hold n rows
     steps = [j for j in range(-reach(before), reach(after) + 1) if j]
-    t = seams.withColumn("_to", F.col(BLOCK)).withColumn("_b", F.col("_b") + F.explode(F.array(*[F.lit(j) for j in steps]))).alias("t")
+    t = seams.withColumn("_to", F.col(BLOCK)).withColumn("_step", F.explode(F.array(*[F.lit(j) for j in steps])))
+    t = t.withColumn("_b", F.col("_b") + F.col("_step")).drop("_step").alias("t")
     s = seams.alias("s")
     low, high = F.col("t._start") - before, F.col("t._start") + F.col("t._c") + after
     first = F.greatest(low, F.col("s._start")) - F.col("s._start") + F.col("s._i0")
@@ -114,7 +115,7 @@ def over_series(df: DataFrame, key, order: str, make: Callable[[Window, Column],
     keys = as_keys(key)
     if not _cut(df, keys, cut):
         w = Window.partitionBy(*keys).orderBy(order)
-        return df.withColumns(make(w, F.row_number().over(w) - 1))
+        return df.withColumns(make(w, F.row_number().over(w).cast("long") - 1))
     rows, seams = _blocks(df, keys, order, parts)
     mine = rows.withColumn(HALO, F.lit(False))
     if before or after:
@@ -140,7 +141,7 @@ def around_known(df: DataFrame, key, order: str, col: str, cut: str = "auto", pa
     # Running frames in both directions: one that reaches to the end would be added up anew for every row.
     back = Window.partitionBy(*group).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
     ahead = Window.partitionBy(*group).orderBy(F.col(by).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_i", start + F.row_number().over(Window.partitionBy(*group).orderBy(by)) - 1)
+    d = d.withColumn("_i", start + F.row_number().over(Window.partitionBy(*group).orderBy(by)).cast("long") - 1)
     at = F.when(F.col(col).isNotNull(), F.col("_i"))
     for value, place, frame, far in (("_y0", "_i0", back, ("_in_v", "_in_p")), ("_y1", "_i1", ahead, ("_out_v", "_out_p"))):
         v, p = F.last(col, ignorenulls=True).over(frame), F.last(at, ignorenulls=True).over(frame)
