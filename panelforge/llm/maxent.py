@@ -45,8 +45,9 @@ CELL_BLOCK = 1 << 15
 #: Arrays of so many tasks are summed at once.
 ONE_LEVEL = 64
 FLUSH = 1_500_000
-#: Tokens worked on at once, and contributions to cells that wait for their sum.
-PART, HELD = 8192, 4_000_000
+#: Tokens worked on at once, and tokens that a gradient task is meant to have.
+PART, TASK = 8192, 1 << 21
+PAIRS = CLASSES // 2
 #: Levels of a tree whose cells lie together, 2**LINE of them.
 LINE = 4
 TEXTS = 1 << 17
@@ -87,7 +88,7 @@ def _contexts(h: np.ndarray, cls: np.ndarray, first: np.ndarray, rows: int = ROW
     keys = [before(h, 1, _START), c1.astype(np.uint64) * _U(64) + c2 + _U(1), before(h, 2, _START), before(h, 3, _START)]
     mixed = [K.mix(k * s) for k, s in zip(keys, _SALT)]
     shift = _U(64 - (rows.bit_length() - 1))
-    return [(m >> shift).astype(np.uint16) for m in mixed], [mixed[0], mixed[2], mixed[3]]
+    return [(m >> shift).view(np.int64) for m in mixed], [mixed[0], mixed[2], mixed[3]]
 
 
 def _fit_size(want: float, least: int, most: int) -> int:
@@ -172,10 +173,10 @@ def _tree(counts: DataFrame, fullest: int, distinct: int) -> Tree:
 
 def _logits(w: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     """Of the classes; the weights are clipped, so that exponentials fit single precision."""
-    z = w[rows[0]]
+    z = w.take(rows[0], axis=0)
     z += bias
     for r in rows[1:]:
-        z += w[r]
+        z += w.take(r, axis=0)
     return z
 
 
@@ -212,7 +213,12 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.min("cls").alias("cls"), F.sum("c").alias("c"))
 
 
-def _gradient(docs: DataFrame, text: str, w: np.ndarray, bias: np.ndarray, tree: Tree) -> tuple[np.ndarray, ...]:
+def _dealt(docs: DataFrame, tokens: float) -> DataFrame:
+    """``docs`` of about ``tokens`` tokens in tasks of about TASK tokens, as far as it has partitions."""
+    return docs.coalesce(max(1, int(np.ceil(tokens / TASK))))
+
+
+def _gradient(docs: DataFrame, text: str, w: np.ndarray, bias: np.ndarray, tree: Tree, tokens: float) -> tuple[np.ndarray, ...]:
     """Gradient of the log-likelihood of all classes of ``docs`` and uses of each row, gradient and curvature of the tree's cells,
     summed over all tasks in two levels."""
     spark = docs.sparkSession
@@ -221,18 +227,21 @@ def _gradient(docs: DataFrame, text: str, w: np.ndarray, bias: np.ndarray, tree:
 
     def run(batches):
         w, bias, tree = shared.value
-        total = np.zeros((n_rows, width), np.float32)
-        cells = np.zeros((2, n_cells), np.float32)
-        some = False
-        # What is added to the cells waits until it is worth a pass over all of them.
-        held, size = ([], [], []), 0
-
-        def settle():
-            where, off, bend = (np.concatenate(x) for x in held)
-            cells[0] += np.bincount(where, off, n_cells)
-            cells[1] += np.bincount(where, bend, n_cells)
-            for x in held:
-                x.clear()
+        total = np.zeros((n_rows, width))
+        cells = np.zeros((2, n_cells))
+        # Two neighbouring classes are added as one complex number.
+        g_sum, uses = np.zeros(n_rows * PAIRS, np.complex64), np.zeros(n_rows, np.float32)
+        slope, bend = np.zeros((2, n_cells), np.float32)
+        pair, one = np.arange(PAIRS), np.ones(PART, np.float32)
+        some, size = False, 0
+
+        def settle():  # before sums outgrow single precision; often enough to be worth a pass over the tables
+            total[:, :CLASSES] += g_sum.view(np.float32).reshape(n_rows, CLASSES)
+            total[:, CLASSES] += uses
+            cells[0] += slope
+            cells[1] += bend
+            for x in (g_sum, uses, slope, bend):
+                x.fill(0)
 
         for batch in batches:
             for _, _, h, cls, first in _tokens(batch.column(0)):
@@ -245,25 +254,23 @@ def _gradient(docs: DataFrame, text: str, w: np.ndarray, bias: np.ndarray, tree:
                     g *= (-1 / g.sum(axis=1))[:, None]
                     g[np.arange(len(g)), own] += 1
                     for r in part:
-                        order = np.argsort(r, kind="stable")
-                        key = r[order]
-                        at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-                        total[key[at], :CLASSES] += np.add.reduceat(g[order], at, axis=0)
-                        total[key[at], CLASSES] += np.diff(np.append(at, len(key)))
+                        np.add.at(uses, r, one[:len(r)])
+                        np.add.at(g_sum, ((r * PAIRS)[:, None] + pair).ravel(), g.view(np.complex64).ravel())
                     for z, bit, at in tree.logits(h[a:a + PART], own, [q[a:a + PART] for q in before]):
                         np.negative(z, out=z)
-                        p = np.exp(z)
+                        # np.add.at takes 20 times as long if the type is not numpy's own object; that of a broadcast array is a copy.
+                        p = np.exp(z, out=z).view(np.float32)
                         p += 1
                         np.reciprocal(p, out=p)
                         off = bit.astype(np.float32)
                         off -= p
                         p -= p * p
-                        held[0].extend(at)
-                        held[1].extend([off] * len(at))
-                        held[2].extend([p] * len(at))
-                        size += len(at) * len(p)
+                        for x in at:
+                            np.add.at(slope, x, off)
+                            np.add.at(bend, x, p)
                     some = True
-                    if size > HELD:
+                    size += len(g)
+                    if size > min(n_cells // 4, MOST_CELLS):
                         settle()
                         size = 0
         if size:
@@ -272,7 +279,7 @@ def _gradient(docs: DataFrame, text: str, w: np.ndarray, bias: np.ndarray, tree:
             task = TaskContext.get().partitionId()
             blocks, more = range(0, n_rows, BLOCK), range(0, n_cells, CELL_BLOCK)
             names = [*blocks, *(-1 - b for b in more)]
-            sent = [*(total[b:b + BLOCK].tobytes() for b in blocks), *(cells[:, b:b + CELL_BLOCK].tobytes() for b in more)]
+            sent = [x.astype(np.float32).tobytes() for x in (*(total[b:b + BLOCK] for b in blocks), *(cells[:, b:b + CELL_BLOCK] for b in more))]
             yield pa.RecordBatch.from_arrays([pa.array([task] * len(names), pa.int32()), pa.array(names, pa.int32()), pa.array(sent, pa.binary())],
                                              names=["task", "block", "g"])
 
@@ -281,8 +288,9 @@ def _gradient(docs: DataFrame, text: str, w: np.ndarray, bias: np.ndarray, tree:
         g = sum((np.frombuffer(x, np.float32) for x in group["g"]), np.float32(0))
         return group.iloc[:1].assign(task=first["task"], g=[g.astype(np.float32).tobytes()])
 
-    # One task a core, so that as many arrays are summed, whatever the number of files; in two levels if they are many.
-    src = docs.select(docs[text]).coalesce(spark.sparkContext.defaultParallelism)
+    # Every task sends its arrays once: as many as the texts are worth, whatever the number of files or cores; summed in two levels
+    # if they are many.
+    src = _dealt(docs.select(docs[text]), tokens)
     parts = map_batches(src, run, "task int, block int, g binary")
     tasks, schema = src.rdd.getNumPartitions(), "task int, block int, g binary"
     if tasks > ONE_LEVEL:
@@ -329,7 +337,7 @@ def fit(docs: DataFrame, share: str, text: str = "text", rounds: int = ROUNDS) -
     tree = _tree(counts, int(v.max()), int(v.sum()))
     bias, w = np.log(p).astype(np.float32), np.zeros((_fit_size(v.sum() / 8, ROWS, MOST_ROWS), CLASSES), np.float32)
     for k in range(rounds):
-        g, uses, slope, bend = _gradient(docs.where(F.expr(share) == k), text, w, bias, tree)
+        g, uses, slope, bend = _gradient(docs.where(F.expr(share) == k), text, w, bias, tree, n.sum() / rounds)
         tidy(docs.sparkSession)
         # Curvature of a row: its uses times the variance of a class indicator; every token has FEATURES rows.
         step = RATE * g / (uses[:, None] * (p * (1 - p)) + 20)
@@ -370,10 +378,11 @@ def score(docs: DataFrame, model: Model, keys=("doc_id",), text: str = "text", h
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for i, j, h, cls, first in _tokens(batch.column(len(keys))):
-                at = np.minimum(np.searchsorted(top, h), max(0, len(top) - 1))
-                known = top[at] == h if len(top) else np.zeros(len(h), bool)
-                logs = np.zeros(len(h))
-                logs[known] = top_log[at[known]]
+                # Each distinct word of the chunk is looked up once, in the order of the table.
+                own, back = np.unique(h, return_inverse=True)
+                at = np.minimum(np.searchsorted(top, own), max(0, len(top) - 1))
+                found = top[at] == own if len(top) else np.zeros(len(own), bool)
+                known, logs = found[back], np.where(found, top_log[at], 0.0)[back] if len(top) else np.zeros(len(h))
                 part = -log_class[cls]
                 rows, before = _contexts(h, cls, first, len(w))
                 for a in range(0, len(h), PART):

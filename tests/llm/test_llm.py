@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -274,6 +275,39 @@ def test_maxent_words_of_one_class_depend_on_context(spark):
     assert (score - without) / n > 0.2 and score > base
 
 
+def test_maxent_gradient_tasks_follow_the_texts(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"w{i % 7} v{i % 5} w{i % 3}") for i in range(64)], "doc_id bigint, text string").repartition(8)
+    tasks = lambda tokens: maxent._dealt(df, tokens).rdd.getNumPartitions()
+    assert [tasks(t) for t in (0, 1, maxent.TASK, maxent.TASK + 1, 100 * maxent.TASK)] == [1, 1, 1, 2, 8]
+    model = maxent.fit(df, "pmod(doc_id, 4)")
+    monkeypatch.setattr(maxent, "TASK", 10)
+    more = maxent.fit(df, "pmod(doc_id, 4)")
+    assert np.allclose(model.weights, more.weights, atol=1e-5) and np.allclose(model.tree.cells, more.tree.cells, atol=1e-5)
+
+
+def test_maxent_gradient_is_the_plain_sum(spark):
+    texts = [" ".join(f"w{(i * k) % 11}" for k in range(1, 9)) for i in range(50)] + ["", "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model = maxent.fit(df, "pmod(doc_id, 4)")
+    w, bias, tree = model.weights, model.bias, model.tree
+    g, uses, slope, bend = np.zeros(w.shape), np.zeros(len(w)), *np.zeros((2, len(tree.cells)))
+    for _, _, h, cls, first in maxent._tokens(pa.array(texts)):
+        rows, before = maxent._contexts(h, cls, first, len(w))
+        miss = np.eye(maxent.CLASSES)[cls] - np.exp(maxent._log_softmax(w, bias, rows))
+        for r in rows:
+            for t, x in enumerate(r):
+                g[x] += miss[t]
+                uses[x] += 1
+        for z, bit, at in tree.logits(h, cls, before):
+            p = 1 / (1 + np.exp(-z.astype(float)))
+            for x in at:
+                for t, y in enumerate(x):
+                    slope[y] += bit[t] - p[t]
+                    bend[y] += p[t] * (1 - p[t])
+    got = maxent._gradient(df, "text", w, bias, tree, 400)
+    assert all(np.allclose(a, b, atol=1e-4) for a, b in zip(got, (g, uses, slope, bend)))
+
+
 def test_maxent_tree_is_a_distribution(docs):
     model = maxent.fit(docs, "pmod(coalesce(doc_id, 0), 4)")
     words = model.counts.where("cls = 5").toPandas()
