@@ -21,13 +21,14 @@ def p_value(t, df, dist):
 
 def coef_rows(spark: SparkSession, fits: Sequence[tuple[Sequence[str], Fit]]) -> DataFrame:
     """(label..., variable, coef, se, t, p, nobs) for (labels with the variable last, fit) pairs; the p-value is a column
-    expression of the statistic, the residual degrees of freedom and the fit's distribution."""
+    expression of the statistic, the residual degrees of freedom and the fit's distribution; a fit without the statistic has its own."""
     labels = [f"label{i}" for i in range(len(fits[0][0]) - 1)] if fits else []
-    rows = [(*name[:-1], name[-1], _f(f.coef.get(name[-1])), _f(f.se.get(name[-1])), _f(f.tstat.get(name[-1])), float(f.df_resid), f.dist, int(f.nobs))
+    rows = [(*name[:-1], name[-1], _f(f.coef.get(name[-1])), _f(f.se.get(name[-1])), _f(f.tstat.get(name[-1])),
+             None if f.tstat.get(name[-1]) is not None else _f(f.pvalue.get(name[-1])), float(f.df_resid), f.dist, int(f.nobs))
             for name, f in fits]
-    kinds = "".join(f"{x} string, " for x in labels) + "variable string, coef double, se double, t double, _df double, _dist string, nobs bigint"
+    kinds = "".join(f"{x} string, " for x in labels) + "variable string, coef double, se double, t double, _p double, _df double, _dist string, nobs bigint"
     df = spark.createDataFrame(rows, kinds)
-    return df.withColumn("p", p_value("t", "_df", "_dist")).select(*labels, "variable", "coef", "se", "t", "p", "nobs")
+    return df.withColumn("p", F.coalesce(p_value("t", "_df", "_dist"), "_p")).select(*labels, "variable", "coef", "se", "t", "p", "nobs")
 
 
 def coef_table(spark: SparkSession, fit: Fit, suffix: str, terms: Sequence[str] | None = None) -> DataFrame:
